@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from brindle.llm import decontaminate, quality, simhash
+from brindle.llm import decontaminate, mixing, packing, quality, simhash
 from brindle.llm.runtime import configure, stage, table
 
 
@@ -27,10 +27,24 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as its source's target weight asks for."""
+    configure(spark)
+    return mixing.mix(docs)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids packed into matrices; the result of the pipeline."""
+    configure(spark)
+    return packing.pack(docs)
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality_rules", quality_stage),
     ("simhash_near_dedup", near_duplicates_stage),
     ("decontamination", decontamination_stage),
+    ("mixing", mixing_stage),
+    ("packing", packing_stage),
 ]
 
 #: SQL can't express the near-duplicate and packing stages at this size; tests/llm compares run() with a brute-force version.
