@@ -264,12 +264,28 @@ def decontaminate(docs: DataFrame, bench: DataFrame, doc_id: str = "doc_id", tex
     return rows.select("doc_id", "_key").join(report, F.col("_key") == F.col("key"), "left").drop("_key", "key")
 
 
-def clean(docs: DataFrame, bench: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", bench_text: str = "text") -> DataFrame:
-    """The documents without an exact match, with their columns as they were."""
+def clean(docs: DataFrame, bench: DataFrame, text: str = "text", item_id: str = "item_id", bench_text: str = "text", window: int = WINDOW) -> DataFrame:
+    """The documents without an exact match, with their columns as they were. Only a verdict is needed here, so each block's postings are
+    searched where they are made: one pass over the documents per block of test items, without a shuffle or a stored index."""
+    spark = configure(docs.sparkSession)
     own = docs.columns
-    plain = docs.select(*[docs[c].alias(f"_{i}") for i, c in enumerate(own)])
-    rows = keyed(plain, f"_{own.index(doc_id)}", f"_{own.index(text)}")
-    _, hits = matches(rows, bench, "_key", item_id, f"_{own.index(text)}", bench_text)
-    bad = hits.where("not near").select(F.col("key").alias("_bad")).distinct()
-    left = rows.join(bad, F.col("_key") == F.col("_bad"), "left_anti")
+    left = docs.select(*[docs[c].alias(f"_{i}") for i, c in enumerate(own)])
+    body = f"_{own.index(text)}"
+
+    def without(shared) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            q = shared.value
+            for batch in batches:
+                for i, j, t in tn.pieces(tn.texts(batch.column(body))):
+                    h, row = terms_of(t)
+                    at = np.arange(len(h)) + row * GAP
+                    _, p = q.search(*postings(h, at), 0)
+                    keep = np.ones(j - i, dtype=bool)
+                    keep[row[np.searchsorted(at, p)]] = False
+                    yield batch.slice(i, j - i).filter(pa.array(keep))
+
+        return left.mapInArrow(run, left.schema)
+
+    for w in query_blocks(bench, item_id, bench_text, window):
+        left = without(spark.sparkContext.broadcast(w))  # bounded by QUERY_BYTES of text
     return left.select(*[F.col(f"_{i}").alias(c) for i, c in enumerate(own)])

@@ -234,14 +234,16 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     n = len(own)
     plain = docs.select(*[docs[c].alias(f"_{i}") for i, c in enumerate(own)])
     row_id, body = F.col(f"_{own.index(doc_id)}").cast("long"), f"_{own.index(text)}"
-    hashed = F.xxhash64(*[F.col(f"_{i}") for i in range(n)])
-    fp = stage(fingerprints(plain.withColumn("id", row_id).withColumn("h", hashed), body, ["id", "h"]), "fingerprints")
+    # (h, g) tells rows apart; neither is null, so that one exchange serves the join and the aggregate below.
+    hashed, second = F.xxhash64(*[F.col(f"_{i}") for i in range(n)]), F.xxhash64(F.lit(1), *[F.col(f"_{i}") for i in reversed(range(n))])
+    plain = plain.withColumn("h", hashed).withColumn("g", second)
+    fp = stage(fingerprints(plain.withColumn("id", row_id), body, ["id", "h", "g"]), "fingerprints")
     # The smallest of each fingerprint, then of each component: aggregates, so that a group of any size is one row early.
-    rank = F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("h"))
+    rank = F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("h"), F.col("g"))
     least = stage(fp.groupBy("fp").agg(F.min(rank).alias("best")), "classes")
     roots = components(links(least.select("fp")))
-    chosen = least.join(roots, least.fp == roots.node, "left").groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("best").alias("best")).select("best.id", "best.h")
-    picked = plain.withColumn("id", row_id).withColumn("h", hashed).alias("p").join(chosen.alias("c"), F.expr("p.id <=> c.id and p.h = c.h"), "left_semi")
-    # Equal rows pass together; a partial aggregate keeps one.
-    one = picked.groupBy("id", "h").agg(F.first(F.struct(*[F.col(f"_{i}") for i in range(n)])).alias("row"))
+    chosen = least.join(roots, least.fp == roots.node, "left").groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("best").alias("best")).select("best.h", "best.g")
+    picked = plain.join(chosen, ["h", "g"], "left_semi")
+    # Equal rows pass together; one stays.
+    one = picked.groupBy("h", "g").agg(F.first(F.struct(*[F.col(f"_{i}") for i in range(n)])).alias("row"))
     return one.select(*[F.col("row")[f"_{i}"].alias(c) for i, c in enumerate(own)])
