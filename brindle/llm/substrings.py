@@ -30,6 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -143,14 +144,27 @@ def anchors(rows: DataFrame) -> DataFrame:
     return rows.select("k1", "k2", "text").mapInArrow(run, "k1 long, k2 long, kg long, ctx long, at int, d0 int, d1 int")
 
 
+def packed(rows: DataFrame) -> DataFrame:
+    """(doc_id, k1, k2, packed): the bytes of the texts, compressed before they are exchanged."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        z = zstandard.ZstdCompressor(level=1)
+        for batch in batches:
+            body = pa.array([z.compress(x.as_buffer()) for x in batch.column("text")], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], body], names=["doc_id", "k1", "k2", "packed"])
+
+    return rows.select(F.col("doc_id").cast("long").alias("doc_id"), "k1", "k2", "text").mapInArrow(run, "doc_id long, k1 long, k2 long, packed binary")
+
+
 def contexts(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     """wanted: (kg, ctx, d0, d1, k1, k2, at). The bytes of these contexts, and how many of them stand before the anchor."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[tuple] = []
-            for body, own in zip(batch.column("body"), batch.column("wanted"), strict=True):
-                data = body.as_py()
+            z = zstandard.ZstdDecompressor()
+            for body, own in zip(batch.column("packed"), batch.column("wanted"), strict=True):
+                data = z.decompress(body.as_buffer())
                 for x in own.as_py():
                     left = max(0, x["at"] - LEFT)
                     out.append((x["kg"], x["ctx"], x["d0"], x["d1"], x["at"] - left, data[left : x["at"] + WINDOW]))
@@ -158,8 +172,8 @@ def contexts(rows: DataFrame, wanted: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out[i : i + 2000], strict=True), (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary()), strict=True)], names=["kg", "ctx", "d0", "d1", "before", "bytes"])
 
     lists = wanted.groupBy("k1", "k2").agg(F.collect_list(F.struct("kg", "ctx", "d0", "d1", "at")).alias("wanted"))
-    joined = rows.select("k1", "k2", F.encode("text", "utf-8").alias("body")).join(lists, ["k1", "k2"])
-    return joined.select("body", "wanted").mapInArrow(run, "kg long, ctx long, d0 int, d1 int, before int, bytes binary")
+    joined = packed(rows).drop("doc_id").join(lists, ["k1", "k2"])
+    return joined.select("packed", "wanted").mapInArrow(run, "kg long, ctx long, d0 int, d1 int, before int, bytes binary")
 
 
 class Contexts:
@@ -350,8 +364,9 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[tuple] = []
-            for d, body, own in zip(batch.column("doc_id").to_pylist(), batch.column("body"), batch.column("ranges"), strict=True):
-                data = body.as_py()
+            z = zstandard.ZstdDecompressor()
+            for d, body, own in zip(batch.column("doc_id").to_pylist(), batch.column("packed"), batch.column("ranges"), strict=True):
+                data = z.decompress(body.as_buffer())
                 spans: list[list[int]] = []
                 for r in sorted((x["first"], x["last"]) for x in own.as_py() or ()):
                     if spans and r[0] <= spans[-1][1]:
@@ -367,5 +382,5 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.list_(pa.list_(pa.int32()))]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=False)], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "spans"][: len(out[0])])
 
-    joined = rows.select(F.col("doc_id").cast("long").alias("doc_id"), "k1", "k2", F.encode("text", "utf-8").alias("body")).join(ranges, ["k1", "k2"], "left")
-    return joined.select("doc_id", "body", "ranges").mapInArrow(run, schema)
+    joined = packed(rows).join(ranges, ["k1", "k2"], "left")
+    return joined.select("doc_id", "packed", "ranges").mapInArrow(run, schema)
