@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from brindle.functions.exprs import clip, first_match, hour_of_week
 
@@ -75,7 +76,7 @@ def thompson(post: DataFrame, seed: int = 0) -> DataFrame:
             pdf["draw"] = [np.random.default_rng([seed, int(c), int(k)]).beta(a, b) for c, k, a, b in zip(pdf.customer_id, pdf.bucket, pdf.a, pdf.b, strict=True)]
             yield pdf
 
-    return post.mapInPandas(run, post.schema.add("draw", "double"))
+    return post.mapInPandas(run, T.StructType([*post.schema.fields, T.StructField("draw", T.DoubleType())]))
 
 
 def bandit_statistics(log: DataFrame, context: Sequence[str]) -> tuple[DataFrame, DataFrame]:

@@ -2,9 +2,5 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+from . import customers, search  # noqa: F401
+from .registry import ORACLES, QUERIES  # noqa: F401

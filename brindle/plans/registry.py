@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from brindle.functions.exprs import NUDGE
 from brindle.sources.tables import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,7 +19,8 @@ def query(sql: str | None = None) -> Callable:
     def add(f: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
         QUERIES[f.__name__] = lambda spark, sf_dir: f(Tables(spark, sf_dir))
         if sql:
-            ORACLES[f.__name__] = sql
+            # "round(x, 4) + 0.0" in the SQL stands for rounded().
+            ORACLES[f.__name__] = sql.replace(", 4) + 0.0", f" + {NUDGE}, 4) + 0.0")
         return f
 
     return add
@@ -41,7 +43,7 @@ SEARCHES = (
     REVIEWS
     + """, searches AS (
   SELECT review_id AS query_id,
-         array_to_string(list_filter(regexp_split_to_array(lower(substring(body, 1, 200)), '[^a-z0-9]+'), x -> x <> '')[1:2], ' ') AS query_text,
+         array_to_string(list_filter(regexp_split_to_array(lower(substring(body, 1, 200)), '[^a-z0-9]+'), lambda x: x <> '')[1:2], ' ') AS query_text,
          DATE '2024-01-01' + CAST(review_id % 60 AS INT) AS event_date, coalesce(quality, 0) = 1 AS clicked, sku AS category_id
   FROM reviews)"""
 )
