@@ -52,5 +52,5 @@ def cart_addons(carts: DataFrame, rule_table: DataFrame, categories: DataFrame,
     hits = hits.join(categories.select(F.col("sku").alias("consequent"), "category"), "consequent")
     taken = carts.join(categories, "sku").select("cart_id", "category").distinct()
     free = hits.join(taken, ["cart_id", "category"], "left_anti").join(carts.select("cart_id", F.col("sku").alias("consequent")), ["cart_id", "consequent"], "left_anti")
-    order = [F.desc("score"), F.asc("consequent")]
+    order = [F.desc(F.round("score", 9)), F.asc("consequent")]
     return top_k(top_k(free, ["cart_id", "category"], order, 1, "_r").drop("_r"), ["cart_id"], order, k)
