@@ -39,7 +39,8 @@ from .runtime import configure, shuffle_partitions, stage
 
 U64 = np.uint64
 WINDOW = 400
-KGRAM = 32
+#: Long enough that common phrases are not shared, so that groups are copies of passages.
+KGRAM = 96
 LEFT = WINDOW - KGRAM
 SLICE = 1 << 19
 #: Distinct contexts of one KGRAM that are sorted in one task.
@@ -338,7 +339,9 @@ def repeated_windows(rows: DataFrame) -> DataFrame:
     spark = rows.sparkSession
     a = stage(anchors(rows), "anchors")
     by_ctx = a.groupBy("kg", "ctx").agg(F.count("*").alias("n"), F.min(F.struct("k1", "k2", "at")).alias("one"), F.first("d0").alias("d0"), F.first("d1").alias("d1"))
-    many = by_ctx.groupBy("kg").agg(F.count("*").alias("m")).where("m > 1")
+    by_ctx = stage(by_ctx, "contexts_found")
+    # Staged, so that both sides of the join below are exchanged and a common KGRAM's partition can be split.
+    many = stage(by_ctx.groupBy("kg").agg(F.count("*").alias("m")).where("m > 1"), "shared")
     found = stage(by_ctx.join(many, "kg", "left").where("n > 1 or m > 1"), "found")
     runs = found.where("n > 1").select("kg", "ctx", "d0", "d1")
     # A context found twice still serves as the other side of those found once.
