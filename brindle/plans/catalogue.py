@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from . import customers, measures, recs, search  # noqa: F401
+from . import content, customers, measures, recs, search, supply  # noqa: F401
 from .registry import ORACLES, QUERIES  # noqa: F401
