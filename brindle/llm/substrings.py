@@ -334,27 +334,54 @@ def count_windows(ctxs: DataFrame) -> DataFrame:
     return w.join(many, ["kg", "d", "h1", "h2"]).select("kg", "ctx", d.alias("d0"), d.alias("d1"))
 
 
+#: (kg, ctx) pairs that a task counts before it hands them on.
+COMBINE = 2_000_000
+
+
+def counted(a: DataFrame) -> DataFrame:
+    """(kg, ctx, n, m) of the contexts found more than once (n), or sharing their KGRAM with others (m contexts).
+
+    Each task counts its own pairs first, so that copies are one row a task; one exchange by KGRAM then serves all three aggregates."""
+
+    def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+
+        def out() -> pa.RecordBatch:
+            pair, n = np.unique(np.concatenate(held), axis=0, return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(pair[:, 0]), pa.array(pair[:, 1]), pa.array(n)], names=["kg", "ctx", "n"])
+
+        for batch in batches:
+            held.append(np.stack([batch.column(0).to_numpy(), batch.column(1).to_numpy()], axis=1))
+            if sum(len(x) for x in held) >= COMBINE:
+                yield out()
+                held = []
+        if held:
+            yield out()
+
+    pairs = a.select("kg", "ctx").mapInArrow(combine, "kg long, ctx long, n long").repartition("kg")
+    by_ctx = pairs.groupBy("kg", "ctx").agg(F.sum("n").alias("n"))
+    shared = by_ctx.groupBy("kg").agg(F.count("*").alias("m"))
+    return by_ctx.join(shared, "kg").where("n > 1 or m > 1")
+
+
 def repeated_windows(rows: DataFrame) -> DataFrame:
     """rows: as from keyed(). (k1, k2, ranges): per distinct id and text, the byte ranges to drop."""
     spark = rows.sparkSession
     a = stage(anchors(rows), "anchors")
-    by_ctx = a.groupBy("kg", "ctx").agg(F.count("*").alias("n"), F.min(F.struct("k1", "k2", "at")).alias("one"), F.first("d0").alias("d0"), F.first("d1").alias("d1"))
-    by_ctx = stage(by_ctx, "contexts_found")
-    # Staged, so that both sides of the join below are exchanged and a common KGRAM's partition can be split.
-    many = stage(by_ctx.groupBy("kg").agg(F.count("*").alias("m")).where("m > 1"), "shared")
-    found = stage(by_ctx.join(many, "kg", "left").where("n > 1 or m > 1"), "found")
-    runs = found.where("n > 1").select("kg", "ctx", "d0", "d1")
-    # A context found twice still serves as the other side of those found once.
-    open_ = found.where("m > 1").select("kg", "ctx", "d0", "d1", "one.k1", "one.k2", "one.at", "m")
+    met = stage(a.join(stage(counted(a), "counted"), ["kg", "ctx"]), "met")
+    # A context found twice is settled, and still serves as the other side of those found once.
+    one = met.where("m > 1").groupBy("kg", "ctx").agg(F.min(F.struct("k1", "k2", "at", "d0", "d1")).alias("one"), F.first("m").alias("m"))
+    open_ = stage(one.select("kg", "ctx", "one.*", "m"), "open")
     todo = open_.agg(F.count("*"), F.count_if(F.col("m") > HOT)).first()
+    at = lambda d0, d1: F.struct((F.col("at") - F.col(d1)).alias("first"), (F.col("at") - F.col(d0) + WINDOW).alias("last")).alias("r")
+    cover = met.where("n > 1").select("k1", "k2", at("d0", "d1"))
+    single = met.where("n = 1").select("k1", "k2", "kg", "ctx", "at")
     if todo[0] - todo[1]:
         some = stage(contexts(rows, open_.where(F.col("m") <= HOT)), "contexts")
-        runs = runs.unionByName(stage(sort_groups(some, shuffle_partitions(spark, todo[0], PER_TASK)), "runs"))
+        cover = cover.unionByName(single.join(stage(sort_groups(some, shuffle_partitions(spark, todo[0], PER_TASK)), "runs"), ["kg", "ctx"]).select("k1", "k2", at("d0", "d1")))
     if todo[1]:
-        runs = runs.unionByName(stage(count_windows(contexts(rows, open_.where(F.col("m") > HOT))), "runs"))
-    back = a.select("k1", "k2", "kg", "ctx", "at").join(runs, ["kg", "ctx"])
-    cover = F.struct((F.col("at") - F.col("d1")).alias("first"), (F.col("at") - F.col("d0") + WINDOW).alias("last"))
-    return back.select("k1", "k2", cover.alias("r")).groupBy("k1", "k2").agg(F.collect_set("r").alias("ranges"))
+        cover = cover.unionByName(single.join(stage(count_windows(contexts(rows, open_.where(F.col("m") > HOT))), "runs"), ["kg", "ctx"]).select("k1", "k2", at("d0", "d1")))
+    return cover.groupBy("k1", "k2").agg(F.collect_set("r").alias("ranges"))
 
 
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", with_text: bool = False) -> DataFrame:
