@@ -85,8 +85,9 @@ def plan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: st
 
 
 def order_key(pi: Column) -> Column:
+    """Null where nothing is drawn (pi is 0)."""
     u = uniform(F.col("digest"))
-    return (u / (1 - u)) / (pi / (1 - pi))
+    return F.when(pi > 0, (u / (1 - u)) / (pi / (1 - pi)))
 
 
 def classes(q: Column) -> Column:
