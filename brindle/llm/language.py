@@ -154,7 +154,7 @@ def fit(docs: DataFrame, lang: str = "lang", text: str = "text", key: Column | N
 def predict(docs: DataFrame, model: Filters, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """The columns ``keep``, lang_pred and score."""
     spark = configure(docs.sparkSession)
-    keep = docs.columns if keep is None else keep
+    keep = [c for c in docs.columns if c not in ("lang_pred", "score")] if keep is None else keep
     shared = spark.sparkContext.broadcast(model)  # bounded by languages x MAX_GRAMS
     has = F.coalesce(docs[text].rlike(r"\p{L}"), F.lit(False))
     chosen = docs.select(*[docs[x] for x in keep], docs[text].alias("_text"), has.alias("_has"))

@@ -32,6 +32,9 @@ SYMBOL = ~tn.byte_class([(ord(c), ord(c)) for c in "#*$%&|<>"])
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "dup_line_chars", *(f"dup_chars_{n}" for n in MAX_GRAM_SHARE)]
 
 
+RESULTS = [*MEASURES, "base_failed", "kept"]
+
+
 def measure(t: tn.Texts) -> dict[str, np.ndarray]:
     """The measures of each text; all are counts, word_chars and the dup_ ones of code points in words."""
     rows = len(t)
@@ -74,8 +77,8 @@ def measure(t: tn.Texts) -> dict[str, np.ndarray]:
 
 
 def measured(docs: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """The columns ``keep`` of the documents, and their measures."""
-    keep = docs.columns if keep is None else keep
+    """The columns ``keep`` of the documents (all; of names that results have, the results), and their measures."""
+    keep = [c for c in docs.columns if c not in RESULTS] if keep is None else keep
     chosen = docs.select(*[docs[c] for c in dict.fromkeys([*keep, text])])
     schema = docs.select(*[docs[c] for c in keep]).schema
     for name in MEASURES:

@@ -89,7 +89,7 @@ def fingerprints_of(t: tn.Texts, shingle: int = SHINGLE) -> np.ndarray:
 def fingerprints(docs: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """The columns ``keep`` and fp long."""
     configure(docs.sparkSession)
-    keep = docs.columns if keep is None else keep
+    keep = [c for c in docs.columns if c != "fp"] if keep is None else keep
     chosen = docs.select(*[docs[c] for c in dict.fromkeys([*keep, text])])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -68,8 +68,8 @@ def resolve(records: DataFrame) -> DataFrame:
     payload_digest of resolved revisits.
     """
     configure(records.sparkSession)
-    own = records.columns
-    x = records.withColumn("canonical_url", canonical(F.col("url")))
+    own = [c for c in records.columns if c not in ("canonical_url", "refers_to", "resolution", "met")]
+    x = records.select(*own).withColumn("canonical_url", canonical(F.col("url")))
     full = F.coalesce(F.col("status") != 304, F.lit(True))
     x = latest_earlier(x, "canonical_url", "captured_at", full, F.struct("record_id", "headers", "payload_digest"))
     tag = lambda h: F.regexp_replace(h["etag"], "^W/", "")
