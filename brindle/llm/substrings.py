@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textnum as tn
+from .keyfilter import key_filter
 from .runtime import configure, shuffle_partitions, stage
 
 U64 = np.uint64
@@ -145,14 +146,15 @@ def anchors(rows: DataFrame) -> DataFrame:
     return rows.select("k1", "k2", "text").mapInArrow(run, "k1 long, k2 long, kg long, ctx long, at int, d0 int, d1 int")
 
 
-def packed(rows: DataFrame) -> DataFrame:
-    """(doc_id, k1, k2, packed): the bytes of the texts, compressed before they are exchanged."""
+def packed(rows: DataFrame, shared) -> DataFrame:
+    """(doc_id, k1, k2, packed) of the rows whose keys pass the filter: the bytes of the texts, compressed before they are exchanged."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         z = zstandard.ZstdCompressor(level=1)
         for batch in batches:
-            body = pa.array([z.compress(x.as_buffer()) for x in batch.column("text")], pa.binary())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], body], names=["doc_id", "k1", "k2", "packed"])
+            own = batch.filter(pa.array(shared.value.passes(batch.column("k1").to_numpy(), batch.column("k2").to_numpy())))
+            body = pa.array([z.compress(x.as_buffer()) for x in own.column("text")], pa.binary())
+            yield pa.RecordBatch.from_arrays([*own.columns[:3], body], names=["doc_id", "k1", "k2", "packed"])
 
     return rows.select(F.col("doc_id").cast("long").alias("doc_id"), "k1", "k2", "text").mapInArrow(run, "doc_id long, k1 long, k2 long, packed binary")
 
@@ -173,7 +175,8 @@ def contexts(rows: DataFrame, wanted: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out[i : i + 2000], strict=True), (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary()), strict=True)], names=["kg", "ctx", "d0", "d1", "before", "bytes"])
 
     lists = wanted.groupBy("k1", "k2").agg(F.collect_list(F.struct("kg", "ctx", "d0", "d1", "at")).alias("wanted"))
-    joined = packed(rows).drop("doc_id").join(lists, ["k1", "k2"])
+    shared = rows.sparkSession.sparkContext.broadcast(key_filter(wanted.select("k1", "k2").distinct()))  # bounded by MAX_BITS
+    joined = packed(rows, shared).drop("doc_id").join(lists, ["k1", "k2"])
     return joined.select("packed", "wanted").mapInArrow(run, "kg long, ctx long, d0 int, d1 int, before int, bytes binary")
 
 
@@ -384,33 +387,53 @@ def repeated_windows(rows: DataFrame) -> DataFrame:
     return cover.groupBy("k1", "k2").agg(F.collect_set("r").alias("ranges"))
 
 
+def cut(data: bytes, ranges: list[tuple[int, int]]) -> tuple[bytes, list[list[int]]]:
+    """What the ranges leave of the bytes, and the maximal runs they remove."""
+    spans: list[list[int]] = []
+    for first, last in sorted(ranges):
+        if spans and first <= spans[-1][1]:
+            spans[-1][1] = max(spans[-1][1], last)
+        else:
+            spans.append([first, last])
+    kept, at = [], 0
+    for first, last in spans:
+        kept.append(data[at:first])
+        at = last
+    return (b"".join([*kept, data[at:]]) if spans else data), spans
+
+
+NAMES = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "spans"]
+KINDS = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.list_(pa.list_(pa.int32()))]
+
+
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", with_text: bool = False) -> DataFrame:
-    """Per row: doc_id, n_bytes, n_removed, n_spans, kept_sha256; with_text adds kept (bytes) and spans."""
-    configure(docs.sparkSession)
+    """Per row: doc_id, n_bytes, n_removed, n_spans, kept_sha256; with_text adds kept (bytes) and spans.
+
+    Rows that lose nothing are reported where they are read; only the others meet their ranges in an exchange."""
+    spark = configure(docs.sparkSession)
     rows = keyed(docs, doc_id, text)
-    ranges = repeated_windows(rows)
+    ranges = stage(repeated_windows(rows), "ranges")
+    shared = spark.sparkContext.broadcast(key_filter(ranges))  # bounded by MAX_BITS
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary, spans array<array<int>>" * with_text
+    width = len(NAMES) if with_text else 5
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def result(ids: list, bodies: Iterator[bytes], ranges: Iterator[list]) -> pa.RecordBatch:
+        out = []
+        for d, data, own in zip(ids, bodies, ranges, strict=True):
+            kept, spans = cut(data, own)
+            out.append((d, len(data), len(data) - len(kept), len(spans), hashlib.sha256(kept).hexdigest(), kept, spans)[:width])
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], KINDS[i]) for i in range(width)], names=NAMES[:width])
+
+    def untouched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[tuple] = []
-            z = zstandard.ZstdDecompressor()
-            for d, body, own in zip(batch.column("doc_id").to_pylist(), batch.column("packed"), batch.column("ranges"), strict=True):
-                data = z.decompress(body.as_buffer())
-                spans: list[list[int]] = []
-                for r in sorted((x["first"], x["last"]) for x in own.as_py() or ()):
-                    if spans and r[0] <= spans[-1][1]:
-                        spans[-1][1] = max(spans[-1][1], r[1])
-                    else:
-                        spans.append(list(r))
-                kept, at = [], 0
-                for s, e in spans:
-                    kept.append(data[at:s])
-                    at = e
-                kept = b"".join([*kept, data[at:]]) if spans else data
-                out.append((d, len(data), len(data) - len(kept), len(spans), hashlib.sha256(kept).hexdigest(), *((kept, spans) if with_text else ())))
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.list_(pa.list_(pa.int32()))]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=False)], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "spans"][: len(out[0])])
-
-    joined = packed(rows).join(ranges, ["k1", "k2"], "left")
-    return joined.select("doc_id", "packed", "ranges").mapInArrow(run, schema)
+            own = batch.filter(pa.array(~shared.value.passes(batch.column("k1").to_numpy(), batch.column("k2").to_numpy())))
+            yield result(own.column("doc_id").to_pylist(), (x.as_buffer().to_pybytes() for x in own.column("text")), ([] for _ in range(own.num_rows)))
+
+    def touched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        z = zstandard.ZstdDecompressor()
+        for batch in batches:
+            yield result(batch.column("doc_id").to_pylist(), (z.decompress(x.as_buffer()) for x in batch.column("packed")), ([(r["first"], r["last"]) for r in x.as_py() or ()] for x in batch.column("ranges")))
+
+    calm = rows.select(F.col("doc_id").cast("long").alias("doc_id"), "k1", "k2", "text").mapInArrow(untouched, schema)
+    met = packed(rows, shared).join(ranges, ["k1", "k2"], "left").select("doc_id", "packed", "ranges").mapInArrow(touched, schema)
+    return calm.unionByName(met)

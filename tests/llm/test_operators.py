@@ -396,3 +396,16 @@ def test_mix_comes_near_its_targets(spark):
         taken[by_id[r.doc_id]] += r.taken
         target[by_id[r.doc_id]] = r.target
     assert all(abs(taken[s] - t) <= 60 for s, t in target.items())
+
+
+def test_key_filter_never_loses_a_key(spark, monkeypatch):
+    from brindle.llm import keyfilter
+
+    rnd = np.random.default_rng(6)
+    k = rnd.integers(-(1 << 62), 1 << 62, (2000, 2))
+    df = spark.createDataFrame([tuple(map(int, r)) for r in k], "k1 long, k2 long").repartition(5)
+    f = keyfilter.key_filter(df)
+    assert f.passes(k[:, 0], k[:, 1]).all() and f.passes(k[:, 1].copy(), k[:, 0].copy()).mean() < 0.1
+    monkeypatch.setattr(keyfilter, "MAX_BITS", 1 << 10)
+    full = keyfilter.key_filter(df)
+    assert len(full.words) == 16 and full.passes(k[:, 0], k[:, 1]).all()
