@@ -1,5 +1,111 @@
-"""DuckDB SQL for the queries that SQL can express on whole tables."""
+"""DuckDB SQL for the queries that SQL can express on whole tables.
+
+The substring, language, SimHash and packing operators have none (suffix comparisons, a fitted model, XXH64, a packing): tests compare them
+with brute-force versions.
+"""
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+from . import mixing, quality, secrets, urls, warc
+
+_SPACE = r"[^\x20\x09-\x0D]+"
+
+
+def _quality() -> str:
+    """Words with their places, n-grams by self-made windows of consecutive words, counted per document."""
+    grams = []
+    for n in (3, *quality.MAX_GRAM_SHARE):
+        tup = " || chr(1) || ".join(f"lead(w, {j}) OVER o" if j else "w" for j in range(n))
+        grams.append(
+            f"g{n} AS (SELECT doc_key, i, {tup} AS g FROM word WINDOW o AS (PARTITION BY doc_key ORDER BY i)), "
+            f"d{n} AS (SELECT doc_key, g FROM g{n} WHERE g IS NOT NULL GROUP BY 1, 2 HAVING count(*) > 1), "
+            f"c{n} AS (SELECT doc_key, count(*) AS words, sum(chars) AS chars FROM word WHERE EXISTS (SELECT 1 FROM h{n} WHERE h{n}.doc_key = word.doc_key AND h{n}.i = word.i) GROUP BY 1)".replace(
+                f"c{n} AS", f"h{n} AS (SELECT DISTINCT g{n}.doc_key, unnest(range(i, i + {n})) AS i FROM g{n} JOIN d{n} ON g{n}.doc_key = d{n}.doc_key AND g{n}.g = d{n}.g), c{n} AS"
+            )
+        )
+    shares = " OR ".join(f"coalesce(c{n}.chars, 0) > {s} * word_chars" for n, s in quality.MAX_GRAM_SHARE.items())
+    joins = " ".join(f"LEFT JOIN c{n} ON c{n}.doc_key = b.doc_key" for n in (3, *quality.MAX_GRAM_SHARE))
+    dups = ", ".join(f"CAST(coalesce(c{n}.chars, 0) AS BIGINT) AS dup_chars_{n}" for n in quality.MAX_GRAM_SHARE)
+    return rf"""WITH d AS (SELECT row_number() OVER () AS doc_key, doc_id, coalesce(text, '') AS text FROM documents), l AS (SELECT doc_key, regexp_extract_all(text, '{_SPACE}') AS ws FROM d),
+word AS (SELECT doc_key, i, w, length(w) AS chars FROM (SELECT doc_key, unnest(ws) AS w, unnest(range(1, len(ws) + 1)) AS i FROM l)),
+line AS (SELECT doc_key, x, j, row_number() OVER (PARTITION BY doc_key, x ORDER BY j) AS k FROM (SELECT doc_key, unnest(string_split(text, chr(10))) AS x, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS j FROM d) WHERE regexp_matches(x, '{_SPACE}')),
+ln AS (SELECT doc_key, count(*) AS n, sum(length(regexp_replace(x, '[\x20\x09-\x0D]+', '', 'g'))) AS chars FROM line WHERE k > 1 GROUP BY 1), {", ".join(grams)},
+b AS (SELECT d.doc_key, doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g')) AS BIGINT) AS word_chars, CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols FROM d JOIN l ON d.doc_key = l.doc_key)
+SELECT doc_id, n_words, word_chars, n_symbols, CAST(coalesce(ln.n, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(c3.words, 0) AS BIGINT) AS n_repeat_words, CAST(coalesce(ln.chars, 0) AS BIGINT) AS dup_line_chars, {dups},
+ (n_words < 50 OR 100 * coalesce(c3.words, 0) > 50 * n_words) AS base_failed,
+ NOT (n_words < 50 OR 100 * coalesce(c3.words, 0) > 50 * n_words) AND NOT (coalesce(ln.chars, 0) > {quality.MAX_LINE_SHARE} * word_chars OR {shares} OR n_symbols > {quality.MAX_SYMBOLS} * n_words) AS kept
+FROM b LEFT JOIN ln ON ln.doc_key = b.doc_key {joins}"""
+
+
+_TOKEN = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_DECONTAMINATE = rf"""WITH d AS (SELECT row_number() OVER () AS k, doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '{_TOKEN}') AS w FROM documents), q AS (SELECT item_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '{_TOKEN}') AS w FROM benchmark),
+qw AS (SELECT DISTINCT item_id, CASE WHEN len(w) < 10 THEN len(w) ELSE 10 END AS n, array_to_string(w[i : i + 9], ' ') AS g FROM (SELECT item_id, w, unnest(range(1, greatest(2, len(w) - 8))) AS i FROM q WHERE len(w) > 0)),
+sz AS (SELECT DISTINCT n FROM qw), dw AS (SELECT k, n, i, array_to_string(w[i : i + n - 1], ' ') AS g FROM (SELECT k, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, sz WHERE len(w) >= n)),
+h AS (SELECT k, i, dw.n, item_id FROM dw JOIN qw ON dw.g = qw.g AND dw.n = qw.n), hw AS (SELECT k, count(DISTINCT p) AS n_hit FROM (SELECT k, unnest(range(i, i + n)) AS p FROM h) GROUP BY 1),
+it AS (SELECT k, count(*) AS n_items, string_agg(x, ',' ORDER BY x) AS ids FROM (SELECT DISTINCT k, CAST(item_id AS VARCHAR) AS x FROM h WHERE item_id IS NOT NULL) GROUP BY 1)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated FROM d LEFT JOIN hw ON d.k = hw.k LEFT JOIN it ON d.k = it.k"""
+
+
+def _urls() -> str:
+    rules = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in urls.RULES)
+    return rf"""WITH r AS (SELECT *, length(rh) + length(rp) AS n FROM (VALUES {rules}) AS t(rh, rp, v)), p AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substring(url, instr(url, '://') + 3) ELSE '' END AS x FROM pages),
+u AS (SELECT page_id, {_LOWER.format("regexp_extract(x, '^[^/?#]*')")} AS host, regexp_extract(x, '^[^/?#]*([^?#]*)', 1) AS path FROM p),
+m AS (SELECT page_id, arg_max(rh || rp, n) AS rule, arg_max(v, n) AS verdict FROM u JOIN r ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp) GROUP BY 1)
+SELECT u.page_id, host, path, rule, coalesce(verdict, '{urls.DEFAULT}') AS verdict FROM u LEFT JOIN m ON u.page_id = m.page_id"""
+
+
+def _secrets() -> str:
+    """Per rule: pieces between matches and matches take turns, so their lengths add up to places."""
+    parts = []
+    for i, r in enumerate(secrets.RULES):
+        rx = r.regex.replace("'", "''")
+        parts.append(
+            f"s{i} AS (SELECT k, {i} AS rank, '{r.kind}' AS kind, hit, val, length(hit) AS len, start FROM (SELECT k, unnest(hits) AS hit, unnest(vals) AS val, unnest(list_transform(range(1, len(hits) + 1), lambda i: list_sum(list_transform(gaps[1:i], lambda g: length(g))) + coalesce(list_sum(list_transform(hits[1 : i - 1], lambda h: length(h))), 0))) AS start "
+            f"FROM (SELECT k, regexp_extract_all(text, '{rx}', 0) AS hits, regexp_extract_all(text, '{rx}', {r.group}) AS vals, string_split_regex(text, '{rx}') AS gaps FROM d WHERE regexp_matches(text, '{rx}'))) WHERE length(val) >= {r.least})"
+        )
+    every = " UNION ALL ".join(f"SELECT * FROM s{i}" for i in range(len(secrets.RULES)))
+    text = "string_agg(kind || ':' || CAST(start AS BIGINT) || ':' || CAST(start + len AS BIGINT), ',' ORDER BY start, rank, len)"
+    counts = ", ".join(f"count(*) FILTER (WHERE kind = '{r.kind}') AS n_{r.kind}" for r in secrets.BASE)
+    out = ", ".join(f"coalesce(n_{r.kind}, 0) AS n_{r.kind}" for r in secrets.BASE)
+    return f"""WITH d AS (SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS text FROM documents), {", ".join(parts)}, a AS ({every}),
+g AS (SELECT k, {counts}, {text} AS spans, {text} FILTER (WHERE rank < {len(secrets.BASE)}) AS base FROM a GROUP BY 1) SELECT doc_id, {out}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN g ON d.k = g.k"""
+
+
+def _mixing() -> str:
+    w = mixing.WEIGHTS
+    cases = " ".join(f"WHEN {i} THEN {x}" for i, x in enumerate(w))
+    return rf"""WITH RECURSIVE d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '{_SPACE}')) AS BIGINT) AS size, md5('{mixing.SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '-') || ':' || coalesce(text, '')) AS dg FROM documents),
+s AS (SELECT source, ss, CASE (row_number() OVER (ORDER BY source IS NULL, source) - 1) % {len(w)} {cases} END AS w FROM (SELECT source, CAST(sum(size) AS BIGINT) AS ss FROM d GROUP BY 1)),
+it(step, rest, share) AS (SELECT 0, CAST((SELECT sum(ss) FROM s) AS BIGINT), CAST((SELECT sum(w) FROM s) AS BIGINT) UNION ALL
+ SELECT step + 1, CAST((SELECT sum(ss) FROM s) - 3 * coalesce((SELECT sum(ss) FROM s WHERE 3 * ss * it.share < w * it.rest), 0) AS BIGINT), CAST(coalesce((SELECT sum(w) FROM s WHERE NOT (3 * ss * it.share < w * it.rest)), 0) AS BIGINT) FROM it WHERE step < 40 AND share > 0),
+f AS (SELECT rest, share FROM it WHERE share > 0 ORDER BY step DESC LIMIT 1), t0 AS (SELECT source, ss, w, CASE WHEN 3 * ss * share < w * rest THEN CAST(ss AS DOUBLE) * 3.0 ELSE CAST(w AS DOUBLE) * CAST(rest AS DOUBLE) / CAST(share AS DOUBLE) END AS target FROM s, f),
+t1 AS (SELECT *, CASE WHEN ss > 0 THEN target / ss ELSE 0.0 END AS r FROM t0), t AS (SELECT *, CAST(floor(r) AS BIGINT) AS whole, r - floor(r) AS pi, target - CAST(floor(r) AS BIGINT) * ss AS budget FROM t1),
+u AS (SELECT *, (CAST(('0x' || substring(dg, 1, 13)) AS BIGINT) + 0.5) / 4503599627370496.0 AS u FROM d), q AS (SELECT u.*, t.ss, t.target, whole, pi, budget, CASE WHEN pi > 0 THEN (u / (1 - u)) / (pi / (1 - pi)) END AS q FROM u JOIN t ON u.source IS NOT DISTINCT FROM t.source),
+c AS (SELECT *, sum(size) OVER (PARTITION BY source ORDER BY q, dg) AS upto FROM q WHERE pi > 0), b AS (SELECT source, max(budget) AS budget, min(abs(upto - budget)) AS off FROM c GROUP BY 1), k AS (SELECT c.source, min(upto) AS cut FROM c JOIN b ON c.source IS NOT DISTINCT FROM b.source WHERE abs(upto - c.budget) = off AND off < c.budget GROUP BY 1),
+x AS (SELECT c.doc_id, c.dg, c.source FROM c JOIN k ON c.source IS NOT DISTINCT FROM k.source WHERE upto <= cut), n AS (SELECT q.*, whole + CASE WHEN EXISTS (SELECT 1 FROM x WHERE x.dg = q.dg AND x.source IS NOT DISTINCT FROM q.source) THEN 1 ELSE 0 END AS copies FROM q)
+SELECT doc_id, size, ss AS source_size, target, copies * size AS taken, copies FROM n"""
+
+
+def _warc() -> str:
+    x = r"regexp_replace(regexp_replace(url, '^[A-Za-z][A-Za-z0-9+.-]*://', ''), '#.*$', '')"
+    start = _LOWER.format("regexp_extract(x, '^[^/?]*')")
+    host = rf"regexp_replace(regexp_replace(regexp_replace({start}, '^.*@', ''), ':(80|443)?$', ''), '^www\.', '')"
+    lines = "array_to_string(list_sort(list_filter([{}], lambda z: z IS NOT NULL)), chr(10))"
+    head = lambda **kv: lines.format(", ".join(f"'{k.replace('_', '-')}: ' || {v}" for k, v in kv.items()))
+    return rf"""WITH p AS (SELECT page_id, url, md5(coalesce(html, '')) AS dg, CAST(length(html) AS VARCHAR) AS n, page_id % 3 <> 1 AS tagged, page_id % 5 = 4 AS changed, page_id % 7 = 6 AS bare, 'day ' || (page_id % 28 + 1) AS day FROM pages),
+c AS (SELECT 'r' || page_id AS record_id, page_id, url, page_id * 4 AS ts, 200 AS status, CASE WHEN tagged THEN '"' || substring(dg, 1, 16) || '"' END AS tag, day, n, dg FROM p UNION ALL
+ SELECT 'v' || page_id, page_id, regexp_replace(url, '^http:', 'HTTPS:') || '#again', page_id * 4 + 401, 304, CASE WHEN tagged AND NOT bare THEN CASE WHEN changed THEN '"new"' ELSE 'W/"' || substring(dg, 1, 16) || '"' END END, CASE WHEN NOT bare THEN CASE WHEN changed THEN 'day 0' ELSE day END END, '0', NULL FROM p),
+u AS (SELECT *, {x} AS x FROM c), v AS (SELECT *, {host} || regexp_replace(regexp_extract(x, '^[^/?]*([^?]*)', 1), '/+$', '') AS hp, array_to_string(list_sort(list_filter(string_split(regexp_extract(x, '^[^?]*\?(.*)$', 1), '&'), lambda z: z <> '' AND NOT regexp_matches(lower(z), '{warc.TRACKING}'))), '&') AS qs FROM u),
+k AS (SELECT *, hp || CASE WHEN qs = '' THEN '' ELSE '?' || qs END AS canonical_url FROM v),
+m AS (SELECT a.record_id, arg_max(b.record_id, (b.ts, b.record_id)) AS mid FROM k a JOIN k b ON a.canonical_url = b.canonical_url AND b.status = 200 AND b.ts < a.ts WHERE a.status = 304 GROUP BY 1),
+j AS (SELECT k.*, r.record_id AS rid, r.tag AS rtag, r.day AS rday, r.n AS rn, r.dg AS rdg FROM k LEFT JOIN m ON m.record_id = k.record_id LEFT JOIN k r ON r.record_id = m.mid),
+z AS (SELECT *, CASE WHEN status = 200 THEN 'response' WHEN rid IS NULL THEN 'no_earlier_response' WHEN tag IS NOT NULL AND rtag IS NOT NULL THEN CASE WHEN regexp_replace(tag, '^W/', '') = rtag THEN 'resolved' ELSE 'validator_mismatch' END
+ WHEN day IS NOT NULL AND rday IS NOT NULL THEN CASE WHEN day = rday THEN 'resolved' ELSE 'validator_mismatch' END ELSE 'no_validator' END AS resolution FROM j)
+SELECT record_id, page_id, canonical_url, ts AS captured_at, CASE WHEN resolution = 'resolved' THEN rid END AS refers_to, resolution,
+ CASE resolution WHEN 'response' THEN {head(cache_control="'max-age=60'", content_length="n", content_type="'text/html'", etag="tag", last_modified="day")}
+ WHEN 'resolved' THEN {head(cache_control="'max-age=120'", content_length="rn", content_type="'text/html'", etag="coalesce(tag, rtag)", last_modified="coalesce(day, rday)")} ELSE {head(cache_control="'max-age=120'", connection="'close'", content_length="n", etag="tag", last_modified="day")} END AS headers,
+ CASE WHEN resolution = 'resolved' THEN rdg ELSE dg END AS payload_digest FROM z"""
+
+
+ORACLES: dict[str, str] = {"op2_quality_rules": _quality(), "op3_warc_revisits": _warc(), "op4_decontamination": _DECONTAMINATE, "op5_url_filters": _urls(), "op7_secret_scans": _secrets(), "op10_mixing": _mixing()}

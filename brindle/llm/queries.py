@@ -23,7 +23,8 @@ def op3_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    # The proximity matches are a column of the operator; the query returns what its SQL has, too.
+    return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("n_near")
 
 
 def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
