@@ -55,7 +55,8 @@ def jaccard_pairs(docs: DataFrame, key: str, text: str, least: float = 0.6, k: i
 def exact_jaccard(docs: DataFrame, key: str, text: str, least: float = 0.6, k: int = 3) -> DataFrame:
     """(a, b, jaccard) of all pairs at or above ``least``, by prefix filtering: with shingles ordered from the rarest, two sets that are similar
     enough share one of their first n - ceil(least * n) + 1."""
-    s = docs.select(key, F.explode(shingles(F.col(text), k)).alias("s"))
+    # Candidates meet by hashes of the shingles; the similarity is then taken from the shingles themselves.
+    s = docs.select(key, F.explode(F.transform(shingles(F.col(text), k), lambda x: F.xxhash64(x))).alias("s"))
     df = s.groupBy("s").agg(F.count("*").alias("df"))
     ranked = s.join(df, "s").withColumn("n", F.count("*").over(Window.partitionBy(key))).withColumn("r", F.row_number().over(Window.partitionBy(key).orderBy("df", "s")))
     prefix = ranked.where((F.col("r") <= F.col("n") - F.ceil(F.col("n") * least) + 1) & (F.col("df") > 1)).select(key, "s", "n")

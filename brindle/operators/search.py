@@ -130,9 +130,11 @@ def idf_table(docs: DataFrame, terms: Column) -> DataFrame:
 def bm25(queries: DataFrame, docs: DataFrame, k1: float = 1.2, b: float = 0.75) -> DataFrame:
     """(query_id, doc_id, score). queries: query_id, terms; docs: doc_id, terms. Joined on terms; query terms count once each."""
     stats = F.broadcast(docs.agg(F.count("*").alias("n"), F.avg(F.size("terms")).alias("avgdl")))  # one row
-    tf = docs.select("doc_id", F.size("terms").alias("len"), F.explode("terms").alias("t")).groupBy("doc_id", "len", "t").agg(F.count("*").alias("tf"))
-    df = tf.groupBy("t").agg(F.count("*").alias("df"))
     q = queries.select("query_id", F.explode(F.array_distinct("terms")).alias("t"))
+    # Only words that a query has are counted.
+    asked = docs.select("doc_id", F.size("terms").alias("len"), F.explode("terms").alias("t")).join(q.select("t").distinct(), "t", "left_semi")
+    tf = asked.groupBy("doc_id", "len", "t").agg(F.count("*").alias("tf"))
+    df = tf.groupBy("t").agg(F.count("*").alias("df"))
     hit = q.join(df, "t").join(tf, "t").join(stats)
     w = F.log(1 + (F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     part = w * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("len") / F.col("avgdl")))
