@@ -20,8 +20,9 @@ from pyspark.sql import functions as F
 
 from . import textnum as tn
 
-#: Longest allowed share of word characters inside duplicated n-grams, by n (first occurrences count).
-MAX_GRAM_SHARE = {5: 0.30, 6: 0.28, 7: 0.26, 8: 0.24, 9: 0.22, 10: 0.20}
+#: Longest allowed share of word characters inside duplicated n-grams, by n. First occurrences count, so one repeated sentence
+#: of a short text weighs twice; the shares allow for that.
+MAX_GRAM_SHARE = {5: 0.30, 6: 0.30, 7: 0.30, 8: 0.30, 9: 0.30, 10: 0.30}
 #: Longest allowed share of word characters in lines that repeat an earlier line.
 MAX_LINE_SHARE = 0.30
 #: Largest allowed number of symbols per word.
