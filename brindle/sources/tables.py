@@ -7,6 +7,7 @@ Dimension joins carry no hint: the optimizer broadcasts a side when its statisti
 from __future__ import annotations
 
 from functools import cached_property
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,8 +15,19 @@ from pyspark.sql import functions as F
 RAW = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
+def reachable(spark: SparkSession) -> SparkSession:
+    """Lets Python workers that start from now on import this package from where the driver has it. A cluster whose machines
+    don't share that path gets the package with --py-files."""
+    root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(":") if p]
+    if root not in paths:
+        env["PYTHONPATH"] = ":".join([root, *paths])
+    return spark
+
+
 class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str):
+        reachable(spark)
         spark.conf.set("spark.sql.session.timeZone", "UTC")
         self.spark, self.sf_dir = spark, sf_dir
 
