@@ -18,6 +18,7 @@ are ignored.
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -40,6 +41,24 @@ SCHEMA = "block string, matrix int, n_rows int, seq_len int, n_tokens long, ids
 _loaded: dict[str, tuple[Callable[[list[str]], list], int]] = {}
 
 
+#: White space that the split pattern's engine can't take back step by step, in one run.
+RUN = 5000
+SPACE = "[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+
+
+def by_runs(enc, text: str, run: int = RUN) -> np.ndarray:
+    """The ids of a text. A very long run of white space is cut out: as in the split pattern, all of it but the last character (all, at
+    the end of the text) is a piece of its own, and the rest goes on from there."""
+    if len(text) < run:
+        return enc.encode_to_numpy(text, disallowed_special=())
+    parts, at = [], 0
+    for m in re.finditer(f"{SPACE}{{{run},}}", text):
+        end = m.end() if m.end() == len(text) else m.end() - 1
+        parts += [enc.encode_to_numpy(text[at : m.start()], disallowed_special=()), np.array(enc._encode_single_piece(text[m.start() : end]), dtype=np.uint32)]
+        at = end
+    return np.concatenate([*parts, enc.encode_to_numpy(text[at:], disallowed_special=())]) if parts else enc.encode_to_numpy(text, disallowed_special=())
+
+
 def tokenizer(path: str) -> tuple[Callable[[list[str]], list], int]:
     """(texts -> lists of ids, id of the end token) for a .tiktoken, .json or .model file; kept per worker."""
     if path not in _loaded:
@@ -51,7 +70,7 @@ def tokenizer(path: str) -> tuple[Callable[[list[str]], list], int]:
             with open(path, "rb") as f:
                 ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
             enc = tiktoken.Encoding(path, pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-            _loaded[path] = (lambda xs: [enc.encode_to_numpy(x, disallowed_special=()) for x in xs]), max(ranks.values()) + 1
+            _loaded[path] = (lambda xs: [by_runs(enc, x) for x in xs]), max(ranks.values()) + 1
         elif path.endswith(".json"):
             from tokenizers import Tokenizer
 
