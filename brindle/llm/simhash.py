@@ -65,25 +65,34 @@ def fingerprints_of(t: tn.Texts, shingle: int = SHINGLE) -> np.ndarray:
     z = np.concatenate([full + shingle - 1, head[few] + words[few] - 1])
     order = np.argsort(a, kind="stable")
     a, z = a[order], z[order]
-    h = xxh64(joined, at[a], at[z] + n[z] - at[a])
     own = row[a]
     count = np.bincount(own, minlength=rows)
+    ones = np.zeros((rows, 64), dtype=np.int64)
+    for lo in range(0, len(a), HASHES):
+        part = slice(lo, lo + HASHES)
+        who, n_ones = bit_counts(xxh64(joined, at[a[part]], at[z[part]] + n[z[part]] - at[a[part]]), own[part])
+        ones[who] += n_ones
+    some = count > 0
+    out = np.zeros(rows, dtype=U64)
+    out[some] = np.packbits(2 * ones[some] > count[some][:, None], axis=1, bitorder="little").view(U64)[:, 0]
+    return out
+
+
+#: Hashes whose bits are spread out at a time, so that a very long text needs no more memory than others.
+HASHES = 1 << 18
+
+
+def bit_counts(h: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """own: the row of each hash, ascending. (rows that occur, how many of their hashes have each of the 64 bits)."""
     # One byte lane per bit; up to 255 hashes fit in a lane before it is widened.
     lanes = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").view(U64)
-    cut = np.zeros(len(h), dtype=bool)
-    cut[0] = True
-    cut[1:] = own[1:] != own[:-1]
+    cut = np.append(True, own[1:] != own[:-1])
     place = np.arange(len(h)) - np.maximum.accumulate(np.where(cut, np.arange(len(h)), 0))
     cut |= place % 255 == 0
     seg = np.flatnonzero(cut)
-    part = np.add.reduceat(lanes, seg, axis=0).view(np.uint8).astype(np.int32)
-    own_seg = own[seg]
-    new = np.flatnonzero(np.append(True, own_seg[1:] != own_seg[:-1]))
-    ones = np.add.reduceat(part, new, axis=0)
-    who = own_seg[new]
-    out = np.zeros(rows, dtype=U64)
-    out[who] = np.packbits(2 * ones > count[who][:, None], axis=1, bitorder="little").view(U64)[:, 0]
-    return out
+    part = np.add.reduceat(lanes, seg, axis=0).view(np.uint8).astype(np.int64)
+    new = np.flatnonzero(np.append(True, own[seg][1:] != own[seg][:-1]))
+    return own[seg][new], np.add.reduceat(part, new, axis=0)
 
 
 def fingerprints(docs: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:

@@ -409,3 +409,19 @@ def test_key_filter_never_loses_a_key(spark, monkeypatch):
     monkeypatch.setattr(keyfilter, "MAX_BITS", 1 << 10)
     full = keyfilter.key_filter(df)
     assert len(full.words) == 16 and full.passes(k[:, 0], k[:, 1]).all()
+
+
+def test_long_runs_of_white_space_are_split_as_the_pattern_does():
+    import base64
+
+    import tiktoken
+
+    pattern = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+    with open(packing.TOKENIZER, "rb") as f:
+        enc = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks={base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}, special_tokens={})
+    rnd = random.Random(1)
+    for _ in range(300):
+        x = "".join(rnd.choice([" " * rnd.randint(1, 40), "\n" * rnd.randint(1, 30), " \n\t" * rnd.randint(1, 12), "word", "1", "!?", "　" * 12, "\x1c" * 12, "é"]) for _ in range(rnd.randint(1, 12)))
+        assert packing.by_runs(enc, x, 10).tolist() == enc.encode_ordinary(x)
+    encode, _ = packing.tokenizer(packing.TOKENIZER)
+    assert len(encode(["a" + " " * 200_000 + "b"])[0]) > 2
