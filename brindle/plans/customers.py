@@ -50,7 +50,13 @@ feature_views:
 
 
 def _round(df: DataFrame, digits: int = 4) -> DataFrame:
-    return df.select(*[rounded(F.col(f.name), digits).alias(f.name) if f.dataType.typeName() == "double" else F.col(f.name) for f in df.schema])
+    """Doubles rounded as in the SQL; ranks as wide as there."""
+
+    def one(name: str, kind: str):
+        c = F.col(name)
+        return rounded(c, digits).alias(name) if kind == "double" else c.cast("long").alias(name) if name == "rank" else c
+
+    return df.select(*[one(f.name, f.dataType.typeName()) for f in df.schema])
 
 
 def _windows_sql() -> str:
