@@ -192,10 +192,14 @@ def minhash_candidates(t: Tables) -> DataFrame:
 _EDGES = f"WITH RECURSIVE {EVENTS}, o AS (SELECT DISTINCT customer_id, sku % 97 AS device FROM ev WHERE value > 97), k AS (SELECT device, min(customer_id) AS a, count(*) AS n FROM o GROUP BY 1 HAVING count(*) BETWEEN 2 AND 25), e AS (SELECT DISTINCT k.a, o.customer_id AS b FROM o JOIN k ON o.device = k.device WHERE o.customer_id <> k.a)"
 
 
+def devices(t: Tables) -> DataFrame:
+    """Who used which device: an item in an hour. All of them count; a fan-out limit is for shared IP addresses."""
+    return t.events.select("customer_id", F.concat(F.col("sku").cast("string"), F.date_format("event_ts", "-yyyy-MM-dd-HH")).alias("device"))
+
+
 @query(_EDGES + ", s AS (SELECT a AS u, b AS v FROM e UNION SELECT b, a FROM e), r(node, c) AS (SELECT u, u FROM s UNION SELECT s.v, r.c FROM r JOIN s ON s.u = r.node) SELECT node, min(c) AS component FROM r GROUP BY 1")
 def reviewer_components(t: Tables) -> DataFrame:
-    own = t.events.where("value > 97").select("customer_id", (F.col("sku") % 97).alias("device"))
-    return graph.components(graph.star_edges(own, "device", "customer_id", 25))
+    return graph.components(graph.star_edges(devices(t), "device", "customer_id"))
 
 
 @query(f"""WITH {EVENTS}, w AS (SELECT customer_id, event_ts, count(*) OVER b AS n, min(event_ts) OVER b AS start, epoch_us(event_ts) AS us FROM ev WHERE event_type = 'purchase' WINDOW b AS (PARTITION BY customer_id ORDER BY epoch_us(event_ts) RANGE BETWEEN 172800000000 PRECEDING AND CURRENT ROW)), r AS (SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY us, n DESC) AS r FROM w WHERE n >= 4)
@@ -206,8 +210,7 @@ def burst_windows(t: Tables) -> DataFrame:
 
 @query()
 def suspicious_rings(t: Tables) -> DataFrame:
-    own = t.events.where("value > 97").select("customer_id", (F.col("sku") % 97).alias("device"))
-    comp = graph.components(graph.star_edges(own, "device", "customer_id", 25))
+    comp = graph.components(graph.star_edges(devices(t), "device", "customer_id"))
     r = t.events.where("event_type in ('purchase', 'click')").select(F.col("customer_id").alias("reviewer_id"), (F.col("sku") % 5).alias("sku"), F.lit(5).alias("rating"), F.col("event_ts").alias("created_at"), F.lit("2023-12-20").cast("timestamp_ntz").alias("account_created_at"))
     return graph.rings(comp, r)
 
