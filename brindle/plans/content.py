@@ -166,7 +166,7 @@ def coupon_logistic(t: Tables) -> DataFrame:
 
 @query()
 def text_classifier(t: Tables) -> DataFrame:
-    d = t.reviews.select("review_id", F.col("lang").alias("label"), tx.tokens(F.substring("body", 1, 300)).alias("words"))
+    d = t.reviews.select("review_id", F.col("lang").alias("label"), tx.tokens(F.col("body")).alias("words"))
     test = models.bucket(F.col("review_id"), 5) == 0
     m = models.text_classifier(features=4096).fit(models.balanced(d.where(~test), "label"))
     names = m.stages[0].labels

@@ -103,7 +103,7 @@ j4 AS (SELECT *, row_number() OVER (PARTITION BY a ORDER BY round(npmi, 9) DESC,
 SELECT a AS term, b AS synonym, n AS support, round(pmi, 4) + 0.0 AS pmi, round(npmi, 4) + 0.0 AS npmi, direction, rank FROM j4 WHERE rank <= 5"""
 )
 def synonym_pmi(t: Tables) -> DataFrame:
-    k = tx.tokens(F.substring("body", 1, 400))
+    k = tx.tokens(F.col("body"))
     pairs = t.reviews.select(F.explode(tx.bigrams(k, " ")).alias("p")).select(F.get(F.split("p", " "), F.lit(0)).alias("a"), F.get(F.split("p", " "), F.lit(1)).alias("b"))
     return _round(search.synonym_scores(pairs))
 
@@ -158,7 +158,7 @@ SELECT review_id, label, round(p, 4) + 0.0 AS p, rank FROM r"""
 
 
 def text_labels(t: Tables) -> DataFrame:
-    return t.reviews.select("review_id", F.col("lang").alias("label"), F.lit(1.0).alias("weight"), tx.tokens(F.substring("body", 1, 300), 2).alias("terms"))
+    return t.reviews.select("review_id", F.col("lang").alias("label"), F.lit(1.0).alias("weight"), tx.tokens(F.col("body"), 2).alias("terms"))
 
 
 @query(_NB)
@@ -231,4 +231,4 @@ def tfidf_neighbours(t: Tables) -> DataFrame:
 
 @query()
 def normalized_queries(t: Tables) -> DataFrame:
-    return t.reviews.select("review_id", tx.normalize_query(F.substring("body", 1, 80)).alias("query_norm"))
+    return t.reviews.select("review_id", tx.normalize_query(F.col("body")).alias("query_norm"))
