@@ -121,7 +121,7 @@ SELECT query_id, doc_id, round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.
 @query(_BM)
 def bm25_scores(t: Tables) -> DataFrame:
     # A stated set of queries against all documents.
-    q = t.queries.where("query_id % 50 = 0 and query_text != ''").select("query_id", F.split("query_text", " ").alias("terms"))
+    q = t.queries.where("query_id % 20 = 0 and query_text != ''").select("query_id", F.split("query_text", " ").alias("terms"))
     return _round(search.bm25(q, t.reviews.select(F.col("review_id").alias("doc_id"), tx.tokens(F.col("body")).alias("terms"))))
 
 
