@@ -39,17 +39,25 @@ def minhash_bands(docs: DataFrame, key: str, text: str, bands: int = 20, rows: i
 
 
 def jaccard_pairs(docs: DataFrame, key: str, text: str, least: float = 0.6, k: int = 3, bands: int = 20, rows: int = 5, largest: int = 200) -> DataFrame:
-    """(a, b, jaccard): candidates that share a band, verified exactly. Buckets of more than ``largest`` documents are template spam and are
-    linked in a star to their first document instead of as pairs."""
-    b = minhash_bands(docs, key, text, bands, rows, k)
-    b = b.withColumn("n", F.count("*").over(Window.partitionBy("band", "bucket"))).where("n > 1")
-    few, many = b.where(F.col("n") <= largest), b.where(F.col("n") > largest)
-    pairs = few.alias("l").join(few.alias("r"), (F.col("l.band") == F.col("r.band")) & (F.col("l.bucket") == F.col("r.bucket")) & (F.col(f"l.{key}") < F.col(f"r.{key}"))).select(F.col(f"l.{key}").alias("a"), F.col(f"r.{key}").alias("b"))
-    star = many.withColumn("a", F.min(key).over(Window.partitionBy("band", "bucket"))).where(F.col("a") != F.col(key)).select("a", F.col(key).alias("b"))
-    cand = pairs.unionByName(star).distinct()
-    s = docs.select(key, shingles(F.col(text), k).alias("s"))
-    both = cand.join(s.select(F.col(key).alias("a"), F.col("s").alias("sa")), "a").join(s.select(F.col(key).alias("b"), F.col("s").alias("sb")), "b")
-    return both.withColumn("jaccard", F.size(F.array_intersect("sa", "sb")) / F.size(F.array_union("sa", "sb"))).where(F.col("jaccard") >= least).select("a", "b", "jaccard")
+    """(a, b, jaccard): all pairs that share a band, verified exactly. Documents with equal shingles are one class and verified once; buckets of
+    more than ``largest`` classes are paired in parts of about that size, each with all others, so that no task has a whole one."""
+    s = docs.select(key, F.array_sort(F.array_distinct(shingles(F.col(text), k))).alias("s")).where(F.size("s") > 0)
+    s = s.withColumn("class", F.sha2(F.array_join("s", "\x1f"), 256))
+    first = s.groupBy("class").agg(F.min(key).alias("c"))
+    of = s.select(key, "class").join(first, "class").select(key, "c").distinct()
+    b = minhash_bands(docs.join(first.select(F.col("c").alias(key)), key, "left_semi"), key, text, bands, rows, k)
+    n = b.groupBy("band", "bucket").agg(F.count("*").alias("n")).where("n > 1")
+    b = b.join(n, ["band", "bucket"]).withColumn("parts", F.ceil(F.col("n") / largest).cast("int"))
+    l = b.select("band", "bucket", F.col(key).alias("a"), F.pmod(F.xxhash64(key), F.col("parts")).cast("int").alias("part"))
+    r = b.select("band", "bucket", F.col(key).alias("b"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    cand = l.join(r, ["band", "bucket", "part"]).where("a < b").select("a", "b").distinct()
+    own = s.join(first.select(F.col("c").alias(key)), key, "left_semi")
+    both = cand.join(own.select(F.col(key).alias("a"), F.col("s").alias("sa")), "a").join(own.select(F.col(key).alias("b"), F.col("s").alias("sb")), "b")
+    like = both.withColumn("jaccard", F.size(F.array_intersect("sa", "sb")) / F.size(F.array_union("sa", "sb"))).where(F.col("jaccard") >= least).select("a", "b", "jaccard")
+    side = lambda c, name: of.select(F.col("c").alias(c), F.col(key).alias(name))
+    apart = like.withColumnsRenamed({"a": "ca", "b": "cb"}).join(side("ca", "x"), "ca").join(side("cb", "y"), "cb").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "jaccard")
+    same = side("c", "a").join(side("c", "b"), "c").where("a < b").select("a", "b", F.lit(1.0).alias("jaccard"))
+    return apart.unionByName(same)
 
 
 def exact_jaccard(docs: DataFrame, key: str, text: str, least: float = 0.6, k: int = 3) -> DataFrame:
