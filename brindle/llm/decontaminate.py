@@ -120,11 +120,12 @@ class Windows:
         self.ids = ids
         self.terms = np.unique(np.concatenate([self.grid[self.size > j, j] for j in range(window)])) if len(self.grid) else np.zeros(0, dtype=np.uint64)
 
-    def search(self, terms: np.ndarray, counts: np.ndarray, positions: np.ndarray, slop: int) -> tuple[np.ndarray, np.ndarray]:
-        """Windows and their start positions in a block; with slop, terms may stand that far from their places."""
+    def search(self, terms: np.ndarray, counts: np.ndarray, positions: np.ndarray, slop: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Windows, their start positions in a block, and where their rarest term stands; with slop, terms may stand that far from their places,
+        and a start can lie before its document's first word."""
         none = np.zeros(0, dtype=np.int64)
         if not len(terms) or not len(self.grid):
-            return none, none
+            return none, none, none
         at = np.searchsorted(terms, self.terms)
         found = (at < len(terms)) & (terms[np.minimum(at, len(terms) - 1)] == self.terms)
         n = np.where(found, counts[np.minimum(at, len(terms) - 1)], 0)
@@ -142,7 +143,7 @@ class Windows:
         rank = np.where(on, np.searchsorted(self.terms, np.where(on, self.grid, self.terms[0])), 0)
         freq = np.where(on, n[rank], np.iinfo(np.int64).max)
         live = np.flatnonzero(freq.min(axis=1) > 0)
-        hits_w, hits_p = [], []
+        hits_w, hits_p, hits_at = [], [], []
         # Bounded runs of windows by the length of their rarest lists.
         rarest = np.argsort(freq[live], axis=1, kind="stable")
         least = np.take_along_axis(freq[live], rarest[:, :1], axis=1)[:, 0]
@@ -154,8 +155,8 @@ class Windows:
             k = n[rank[w, off]]
             who = np.repeat(np.arange(len(w)), k)
             place = np.arange(len(who)) - np.repeat(np.cumsum(k) - k, k)
-            start = lists[list_at[rank[w, off]][who] + place] % wide - off[who]
-            who, start = who[start >= 0], start[start >= 0]
+            seat = lists[list_at[rank[w, off]][who] + place] % wide
+            start = seat - off[who]
             for j in range(1, self.grid.shape[1]):
                 if not len(who):
                     break
@@ -163,10 +164,11 @@ class Windows:
                 want = rank[w[who], o] * wide + start + o
                 i = np.searchsorted(lists, want - slop)
                 hit = (o >= self.size[w[who]]) | ((i < len(lists)) & (lists[np.minimum(i, len(lists) - 1)] <= want + slop))
-                who, start = who[hit], start[hit]
+                who, start, seat = who[hit], start[hit], seat[hit]
             hits_w.append(w[who])
             hits_p.append(start)
-        return (np.concatenate(hits_w), np.concatenate(hits_p)) if hits_w else (none, none)
+            hits_at.append(seat)
+        return (np.concatenate(hits_w), np.concatenate(hits_p), np.concatenate(hits_at)) if hits_w else (none, none, none)
 
 
 HITS = "key string, item string, near boolean, first array<int>, last array<int>"
@@ -189,8 +191,8 @@ def search_index(index: DataFrame, windows: Windows, slop: int = SLOP) -> DataFr
                 keys = batch.column("keys")[b].as_py()
                 seen: dict[tuple, list] = {}
                 for near in (False, True):
-                    w, p = q.search(terms, counts, positions, slop if near else 0)
-                    doc = np.searchsorted(first, p, side="right") - 1
+                    w, p, seat = q.search(terms, counts, positions, slop if near else 0)
+                    doc = np.searchsorted(first, seat, side="right") - 1
                     for x, d, s in zip(w.tolist(), doc.tolist(), (p - first[doc]).tolist(), strict=True):
                         for item in q.owner[q.owner_at[x] : q.owner_at[x + 1]].tolist():
                             if not near:
@@ -232,7 +234,7 @@ def matches(docs: DataFrame, bench: DataFrame, key: str, item_id: str = "item_id
 
 
 def contamination(docs: DataFrame, bench: DataFrame, key: str, **options) -> DataFrame:
-    """Per distinct key: n_words, n_hit, n_items, items_sha256, contaminated, n_near (items found by proximity only)."""
+    """Per distinct key: n_words, n_hit, n_items, items_sha256, contaminated, n_near and near_items (items found by proximity only)."""
     index, hits = matches(docs, bench, key, **options)
     size = index.select(F.explode(F.arrays_zip("keys", "n_words")).alias("x")).select(F.col("x.keys").alias("key"), F.col("x.n_words").alias("n_words")).groupBy("key").agg(F.max("n_words").alias("n_words"))
     # Word ranges of a document, joined where they overlap: sorted by start, each adds what lies past the ends before it.
@@ -240,14 +242,15 @@ def contamination(docs: DataFrame, bench: DataFrame, key: str, **options) -> Dat
     step = lambda acc, x: F.struct((acc["n"] + F.greatest(F.lit(0), x["last"] - F.greatest(x["first"], acc["upto"])).cast("long")).alias("n"), F.greatest(acc["upto"], x["last"]).alias("upto"))
     exact = F.when(~F.col("near"), F.col("item"))
     # The item list of a document is as long as the benchmark has items with hits in it; its ranges are bounded by its words.
-    per = hits.groupBy("key").agg(ranges.alias("r"), F.array_sort(F.collect_set(exact)).alias("items"), F.count_distinct(F.when(F.col("near"), F.col("item"))).alias("n_near"))
-    per = per.select("key", F.aggregate("r", F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).alias("upto")), step)["n"].alias("n_hit"), "items", "n_near")
+    per = hits.groupBy("key").agg(ranges.alias("r"), F.array_sort(F.collect_set(exact)).alias("items"), F.collect_set(F.when(F.col("near"), F.col("item"))).alias("near"))
+    per = per.select("key", F.aggregate("r", F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).alias("upto")), step)["n"].alias("n_hit"), "items", F.array_sort(F.array_except("near", "items")).alias("near"))
     return size.join(per, "key", "left").select(
         "key", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
         F.when(F.col("items").isNull(), 0).otherwise(F.size("items")).cast("long").alias("n_items"),
         F.sha2(F.coalesce(F.array_join("items", ","), F.lit("")), 256).alias("items_sha256"),
         (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"),
-        F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"),
+        F.when(F.col("near").isNull(), 0).otherwise(F.size("near")).cast("long").alias("n_near"),
+        F.coalesce(F.array_join("near", ","), F.lit("")).alias("near_items"),
     )
 
 
@@ -279,7 +282,7 @@ def clean(docs: DataFrame, bench: DataFrame, text: str = "text", item_id: str =
                 for i, j, t in tn.pieces(tn.texts(batch.column(body))):
                     h, row = terms_of(t)
                     at = np.arange(len(h)) + row * GAP
-                    _, p = q.search(*postings(h, at), 0)
+                    _, p, _ = q.search(*postings(h, at), 0)
                     keep = np.ones(j - i, dtype=bool)
                     keep[row[np.searchsorted(at, p)]] = False
                     yield batch.slice(i, j - i).filter(pa.array(keep))
