@@ -82,8 +82,10 @@ def match_listings(products: DataFrame, listings: DataFrame, threshold: float =
     block = F.concat_ws("|", F.lower(F.trim(F.coalesce("brand", F.lit("")))), F.lower(F.coalesce("category", F.lit(""))))
     p = products.select(block.alias("block"), "sku", normal_title(F.col("title")).alias("t1"), F.col("price").alias("our_price"))
     c = listings.select(block.alias("block"), "listing_id", "competitor", normal_title(F.col("title")).alias("t2"), F.col("price").alias("their_price"))
-    j = p.join(c, "block").withColumn("title_score", token_set_ratio("t1", "t2")).where("title_score >= 0.5")
-    j = j.withColumn("attr_score", agreement([(colour(F.col("t1")), colour(F.col("t2")))])).withColumn("price_score", plausibility(F.col("our_price"), F.col("their_price")))
+    # Titles are compared once per pair of titles, not once per pair of products.
+    titles = p.select("block", "t1").distinct().join(c.select("block", "t2").distinct(), "block").select("t1", "t2").distinct()
+    titles = titles.withColumn("title_score", token_set_ratio("t1", "t2")).where("title_score >= 0.5").withColumn("attr_score", agreement([(colour(F.col("t1")), colour(F.col("t2")))]))
+    j = p.join(c, "block").join(titles, ["t1", "t2"]).withColumn("price_score", plausibility(F.col("our_price"), F.col("their_price")))
     j = j.withColumn("score", 0.70 * F.col("title_score") + 0.15 * F.col("attr_score") + 0.15 * F.col("price_score"))
     one = top_k(j, ["listing_id"], [F.desc(F.round("score", 9)), F.asc("sku")], 1, "_r").where(F.col("score") >= threshold)
     out = top_k(one.drop("_r"), ["sku", "competitor"], [F.desc(F.round("score", 9)), F.asc("listing_id")], 1, "_r").drop("_r", "t1", "t2", "block")

@@ -239,11 +239,10 @@ def constrained_categories(t: Tables) -> DataFrame:
 
 
 def pictures(t: Tables) -> DataFrame:
-    """Small synthetic images: a coloured square on white, one per part of the first brand names."""
+    """Small synthetic images: a coloured square on white, one per part."""
     k = F.col("p_partkey")
     px = F.transform(F.sequence(F.lit(0), F.lit(24 * 24 - 1)), lambda i: F.when((i % 24).between(6, 17) & (i / 24).between(6, 18), F.concat(F.lpad(F.hex(k % 200), 2, "0"), F.lpad(F.hex(k * 7 % 220), 2, "0"), F.lpad(F.hex(k * 13 % 210), 2, "0"))).otherwise("FFFFFF"))
-    p = t.raw("part").where("p_size <= 3")
-    return p.select(F.concat(F.lit("i"), k.cast("string")).alias("image_id"), F.col("p_brand").alias("sku"), F.unhex(F.array_join(px, "")).alias("pixels"), F.lit(24).alias("height"), F.lit(24).alias("width"))
+    return t.raw("part").select(F.concat(F.lit("i"), k.cast("string")).alias("image_id"), F.col("p_brand").alias("sku"), F.unhex(F.array_join(px, "")).alias("pixels"), F.lit(24).alias("height"), F.lit(24).alias("width"))
 
 
 @query()

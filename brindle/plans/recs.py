@@ -162,7 +162,7 @@ def mmr_sweep(t: Tables) -> DataFrame:
 
 def listings(t: Tables) -> DataFrame:
     p = t.products
-    return p.where("sku % 10 = 3").select((F.col("sku") + 1_000_000).alias("listing_id"), F.concat(F.lit("shop"), (F.col("sku") % 3).cast("string")).alias("competitor"), F.concat("title", F.lit(" sale")).alias("title"), "brand", "category", (F.col("price") * (0.9 + (F.col("sku") % 5) / 20)).alias("price"))
+    return p.select((F.col("sku") + 1_000_000).alias("listing_id"), F.concat(F.lit("shop"), (F.col("sku") % 3).cast("string")).alias("competitor"), F.concat("title", F.lit(" sale")).alias("title"), "brand", "category", (F.col("price") * (0.9 + (F.col("sku") % 5) / 20)).alias("price"))
 
 
 @query()
