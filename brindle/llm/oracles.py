@@ -13,16 +13,17 @@ _SPACE = r"[^\x20\x09-\x0D]+"
 
 def _quality() -> str:
     """Words with their places, n-grams by self-made windows of consecutive words, counted per document."""
+    # Marked are all windows found twice for n = 3, and those that stand earlier for the others.
     grams = []
     for n in (3, *quality.MAX_GRAM_SHARE):
         tup = " || chr(1) || ".join(f"lead(w, {j}) OVER o" if j else "w" for j in range(n))
-        grams.append(
-            f"g{n} AS (SELECT doc_key, i, {tup} AS g FROM word WINDOW o AS (PARTITION BY doc_key ORDER BY i)), "
-            f"d{n} AS (SELECT doc_key, g FROM g{n} WHERE g IS NOT NULL GROUP BY 1, 2 HAVING count(*) > 1), "
-            f"c{n} AS (SELECT doc_key, count(*) AS words, sum(chars) AS chars FROM word WHERE EXISTS (SELECT 1 FROM h{n} WHERE h{n}.doc_key = word.doc_key AND h{n}.i = word.i) GROUP BY 1)".replace(
-                f"c{n} AS", f"h{n} AS (SELECT DISTINCT g{n}.doc_key, unnest(range(i, i + {n})) AS i FROM g{n} JOIN d{n} ON g{n}.doc_key = d{n}.doc_key AND g{n}.g = d{n}.g), c{n} AS"
-            )
-        )
+        which = "count(*) OVER (PARTITION BY doc_key, g)" if n == 3 else "row_number() OVER (PARTITION BY doc_key, g ORDER BY i)"
+        grams += [
+            f"g{n} AS (SELECT doc_key, i, {tup} AS g FROM word WINDOW o AS (PARTITION BY doc_key ORDER BY i))",
+            f"d{n} AS (SELECT doc_key, i FROM g{n} WHERE g IS NOT NULL QUALIFY {which} > 1)",
+            f"h{n} AS (SELECT DISTINCT doc_key, unnest(range(i, i + {n})) AS i FROM d{n})",
+            f"c{n} AS (SELECT word.doc_key, count(*) AS words, sum(chars) AS chars FROM word JOIN h{n} ON h{n}.doc_key = word.doc_key AND h{n}.i = word.i GROUP BY 1)",
+        ]
     shares = " OR ".join(f"coalesce(c{n}.chars, 0) > {s} * word_chars" for n, s in quality.MAX_GRAM_SHARE.items())
     joins = " ".join(f"LEFT JOIN c{n} ON c{n}.doc_key = b.doc_key" for n in (3, *quality.MAX_GRAM_SHARE))
     dups = ", ".join(f"CAST(coalesce(c{n}.chars, 0) AS BIGINT) AS dup_chars_{n}" for n in quality.MAX_GRAM_SHARE)

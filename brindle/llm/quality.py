@@ -2,7 +2,8 @@
 
 For every document, rolling hashes of its word n-grams of several lengths (numpy, a whole
 Arrow batch at once) find the n-grams that stand in it more than once; the operator measures
-the share of word characters inside duplicated n-grams and inside duplicated lines.
+the share of word characters inside duplicated n-grams and inside duplicated lines. Of equal n-grams, as of equal lines,
+the first is not counted, so that a sentence said twice weighs once.
 
 Cases: a null or empty text has no words, fails the base rule and is rejected. Very long texts
 are processed whole, as a piece of their own. Documents are judged alone, so ties, repeated
@@ -20,9 +21,9 @@ from pyspark.sql import functions as F
 
 from . import textnum as tn
 
-#: Longest allowed share of word characters inside duplicated n-grams, by n. First occurrences count, so one repeated sentence
-#: of a short text weighs twice; the shares allow for that.
-MAX_GRAM_SHARE = {5: 0.30, 6: 0.30, 7: 0.30, 8: 0.30, 9: 0.30, 10: 0.30}
+#: Largest allowed share of word characters inside n-grams that stand earlier in the text, by n: the published limits of Rae et al.,
+#: "Scaling Language Models" (2021), table A1. They fall with n, so that each length can reject a text that the shorter ones let pass.
+MAX_GRAM_SHARE = {5: 0.15, 6: 0.14, 7: 0.13, 8: 0.12, 9: 0.11, 10: 0.10}
 #: Longest allowed share of word characters in lines that repeat an earlier line.
 MAX_LINE_SHARE = 0.30
 #: Largest allowed number of symbols per word.
@@ -37,7 +38,8 @@ RESULTS = [*MEASURES, "base_failed", "kept"]
 
 
 def measure(t: tn.Texts) -> dict[str, np.ndarray]:
-    """The measures of each text; all are counts, word_chars and the dup_ ones of code points in words."""
+    """The measures of each text; all are counts, word_chars and the dup_ ones of code points in words (dup_chars_n: of words in n-grams that
+    stand earlier in the text)."""
     rows = len(t)
     s, e, row = tn.spans(t, tn.NOT_SPACE)
     lead = (t.buf & 0xC0) != 0x80
@@ -72,7 +74,7 @@ def measure(t: tn.Texts) -> dict[str, np.ndarray]:
         g = (row[at].astype(np.uint64) + np.uint64(1)) * np.uint64(0xA0761D6478BD642F)
         for j in range(n):
             g = g + h[at + j] * tn.GRAM[j]
-        at = at[tn.repeated(tn.mix(g))]
+        at = at[tn.later(tn.mix(g))]
         out[f"dup_chars_{n}"] = per_row(tn.covered(at, n, len(h)), chars)
     return out
 

@@ -8,6 +8,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -123,13 +124,27 @@ def test_quality(docs):
 def test_repetition_coverage_by_brute_force():
     x = "alpha beta gamma delta eps " * 3 + "one two three four five six seven " + "x y z"
     w = words(x)
-    m = quality.measure(tn.texts(__import__("pyarrow").array([x])))
+    m = quality.measure(tn.texts(pa.array([x])))
     for n in quality.MAX_GRAM_SHARE:
-        g = Counter(tuple(w[i : i + n]) for i in range(len(w) - n + 1))
-        hit = {j for i in range(len(w) - n + 1) if g[tuple(w[i : i + n])] > 1 for j in range(i, i + n)}
+        hit = {j for i in range(len(w) - n + 1) if tuple(w[i : i + n]) in {tuple(w[k : k + n]) for k in range(i)} for j in range(i, i + n)}
         assert m[f"dup_chars_{n}"][0] == sum(len(w[j]) for j in hit)
 
 
+@pytest.mark.parametrize("n", list(quality.MAX_GRAM_SHARE))
+def test_each_length_of_ngrams_decides_alone(spark, n):
+    """Phrases of exactly n words, said twice, with a share of characters that only the limit of n forbids."""
+    limit = quality.MAX_GRAM_SHARE
+    share = (limit[n] + limit.get(n - 1, limit[n] + 0.01)) / 2
+    new = (f"w{i:05d}" for i in range(10**5))
+    phrases = [[next(new) for _ in range(n)] for _ in range(round(share * 1200 / n))]
+    text = [w for p in phrases * 2 for w in (*p, next(new))]
+    text += [next(new) for _ in range(1200 - len(text))]
+    m = quality.measure(tn.texts(pa.array([" ".join(text)])))
+    assert [k for k in limit if m[f"dup_chars_{k}"][0] > limit[k] * m["word_chars"][0]] == [n]
+    r = quality.quality_rules(spark.createDataFrame([(" ".join(text),)], "text string")).first()
+    assert not r.base_failed and not r.kept
+
+
 def records():
     return [
         ("a", "http://WWW.x.org/p/?b=1&a=2&utm_source=z#f", 1, 200, {"etag": '"1"', "content-type": "t", "x": "old"}, "d1", 9),

@@ -62,13 +62,21 @@ def rejected(x: str) -> bool:
         g = Counter(tuple(w[i : i + n]) for i in range(len(w) - n + 1))
         return {j for i in range(len(w) - n + 1) if g[tuple(w[i : i + n])] > 1 for j in range(i, i + n)}
 
+    def earlier(n: int) -> set[int]:
+        seen, out = set(), set()
+        for i in range(len(w) - n + 1):
+            g = tuple(w[i : i + n])
+            out |= set(range(i, i + n)) if g in seen else set()
+            seen.add(g)
+        return out
+
     seen, again = set(), 0
     for line in x.split("\n"):
         if words(line):
             again += sum(map(len, words(line))) if line in seen else 0
             seen.add(line)
     bad = again > q.MAX_LINE_SHARE * chars or len(re.findall(r"[#*$%&|<>]", x)) > q.MAX_SYMBOLS * len(w)
-    return len(w) < 50 or 100 * len(inside(3)) > 50 * len(w) or bad or any(sum(len(w[j]) for j in inside(n)) > s * chars for n, s in q.MAX_GRAM_SHARE.items())
+    return len(w) < 50 or 100 * len(inside(3)) > 50 * len(w) or bad or any(sum(len(w[j]) for j in earlier(n)) > s * chars for n, s in q.MAX_GRAM_SHARE.items())
 
 
 def test_pipeline(spark, sf_dir):
