@@ -96,16 +96,17 @@ def _warc() -> str:
     head = lambda **kv: lines.format(", ".join(f"'{k.replace('_', '-')}: ' || {v}" for k, v in kv.items()))
     return rf"""WITH p AS (SELECT page_id, url, md5(coalesce(html, '')) AS dg, CAST(length(html) AS VARCHAR) AS n, page_id % 3 <> 1 AS tagged, page_id % 5 = 4 AS changed, page_id % 7 = 6 AS bare, 'day ' || (page_id % 28 + 1) AS day FROM pages),
 c AS (SELECT 'r' || page_id AS record_id, page_id, url, page_id * 4 AS ts, 200 AS status, CASE WHEN tagged THEN '"' || substring(dg, 1, 16) || '"' END AS tag, day, n, dg FROM p UNION ALL
- SELECT 'v' || page_id, page_id, regexp_replace(url, '^http:', 'HTTPS:') || '#again', page_id * 4 + 401, 304, CASE WHEN tagged AND NOT bare THEN CASE WHEN changed THEN '"new"' ELSE 'W/"' || substring(dg, 1, 16) || '"' END END, CASE WHEN NOT bare THEN CASE WHEN changed THEN 'day 0' ELSE day END END, '0', NULL FROM p),
+ SELECT 'v' || page_id, page_id, regexp_replace(url, '^http:', 'HTTPS:') || '#again', page_id * 4 + 401, 304, CASE WHEN tagged AND NOT bare THEN CASE WHEN changed THEN '"new"' ELSE 'W/"' || substring(dg, 1, 16) || '"' END END, CASE WHEN NOT bare THEN CASE WHEN changed THEN 'day 0' ELSE day END END, '0', NULL FROM p UNION ALL
+ SELECT 'b' || page_id, page_id, url, page_id * 4 + 203, CASE page_id % 22 WHEN 0 THEN 206 WHEN 5 THEN 500 WHEN 16 THEN 410 END, '"between"', 'day 99', NULL, md5('between') FROM p WHERE page_id % 22 IN (0, 5, 11, 16)),
 u AS (SELECT *, {x} AS x FROM c), v AS (SELECT *, {host} || regexp_replace(regexp_extract(x, '^[^/?]*([^?]*)', 1), '/+$', '') AS hp, array_to_string(list_sort(list_filter(string_split(regexp_extract(x, '^[^?]*\?(.*)$', 1), '&'), lambda z: z <> '' AND NOT regexp_matches(lower(z), '{warc.TRACKING}'))), '&') AS qs FROM u),
 k AS (SELECT *, hp || CASE WHEN qs = '' THEN '' ELSE '?' || qs END AS canonical_url FROM v),
-m AS (SELECT a.record_id, arg_max(b.record_id, (b.ts, b.record_id)) AS mid FROM k a JOIN k b ON a.canonical_url = b.canonical_url AND b.status = 200 AND b.ts < a.ts WHERE a.status = 304 GROUP BY 1),
+m AS (SELECT a.record_id, arg_max(b.record_id, (b.ts, b.record_id)) AS mid FROM k a JOIN k b ON a.canonical_url = b.canonical_url AND b.status IN (200, 410) AND b.ts < a.ts WHERE a.status = 304 GROUP BY 1),
 j AS (SELECT k.*, r.record_id AS rid, r.tag AS rtag, r.day AS rday, r.n AS rn, r.dg AS rdg FROM k LEFT JOIN m ON m.record_id = k.record_id LEFT JOIN k r ON r.record_id = m.mid),
-z AS (SELECT *, CASE WHEN status = 200 THEN 'response' WHEN rid IS NULL THEN 'no_earlier_response' WHEN tag IS NOT NULL AND rtag IS NOT NULL THEN CASE WHEN regexp_replace(tag, '^W/', '') = rtag THEN 'resolved' ELSE 'validator_mismatch' END
+z AS (SELECT *, CASE WHEN status IN (200, 410) THEN 'response' WHEN status IS NULL OR status <> 304 THEN 'other' WHEN rid IS NULL THEN 'no_earlier_response' WHEN tag IS NOT NULL AND rtag IS NOT NULL THEN CASE WHEN regexp_replace(tag, '^W/', '') = rtag THEN 'resolved' ELSE 'validator_mismatch' END
  WHEN day IS NOT NULL AND rday IS NOT NULL THEN CASE WHEN day = rday THEN 'resolved' ELSE 'validator_mismatch' END ELSE 'no_validator' END AS resolution FROM j)
 SELECT record_id, page_id, canonical_url, ts AS captured_at, CASE WHEN resolution = 'resolved' THEN rid END AS refers_to, resolution,
- CASE resolution WHEN 'response' THEN {head(cache_control="'max-age=60'", content_length="n", content_type="'text/html'", etag="tag", last_modified="day")}
- WHEN 'resolved' THEN {head(cache_control="'max-age=120'", content_length="rn", content_type="'text/html'", etag="coalesce(tag, rtag)", last_modified="coalesce(day, rday)")} ELSE {head(cache_control="'max-age=120'", connection="'close'", content_length="n", etag="tag", last_modified="day")} END AS headers,
+ CASE WHEN status IS NULL OR status NOT IN (200, 304) THEN {head(content_type="'text/plain'", etag="tag", last_modified="day")} WHEN resolution = 'response' THEN {head(cache_control="'max-age=60'", content_length="n", content_type="'text/html'", etag="tag", last_modified="day")}
+ WHEN resolution = 'resolved' THEN {head(cache_control="'max-age=120'", content_length="rn", content_type="'text/html'", etag="coalesce(tag, rtag)", last_modified="coalesce(day, rday)")} ELSE {head(cache_control="'max-age=120'", connection="'close'", content_length="n", etag="tag", last_modified="day")} END AS headers,
  CASE WHEN resolution = 'resolved' THEN rdg ELSE dg END AS payload_digest FROM z"""
 
 

@@ -1,13 +1,15 @@
 """Resolution of WARC not-modified revisits by an as-of join.
 
-A revisit record (status 304) carries no body. It refers to the latest full response of the same canonical URL that was
-captured strictly earlier. If their validators agree (entity tags where both have one, else Last-Modified dates), the stored headers
+A revisit record (status 304) carries no body. It refers to the latest complete response of the same canonical URL that was
+captured strictly earlier. Complete are the answers that a cache may keep whole (COMPLETE, a parameter); partial content, server
+errors and records of unknown status are never referred to and stay as they are (``other``). If their validators agree (entity tags where both have one, else Last-Modified dates), the stored headers
 are updated with those that a 304 may change, and the revisit takes the response's payload.
 
-The as-of join never brings a URL to one task: time is cut at quantiles into slots, a URL's records meet per slot, and the last
-response before a slot is carried in from a small table of (URL, slot) summaries.
+The as-of join never brings a large URL to one task: time is cut into slots, at the quantiles of the most frequent URL and as many as its records
+need, a URL's records meet per slot, and the last response before a slot is carried in from a small table of (URL, slot) summaries.
 
-Cases: a null or malformed URL is its own canonical form, as text; null URLs refer to nothing (no_earlier_response). Records without a
+Cases: a null or malformed URL is its own canonical form, as text; null URLs refer to nothing (no_earlier_response) and stay out of
+the join. Records without a
 time come before all others. Equal times: a response at the revisit's own time isn't earlier; of several responses at one time, that with the largest
 record id counts. Repeated rows stay repeated. An empty table gives an empty result. Extra columns pass through ``resolve``.
 """
@@ -26,7 +28,10 @@ KEPT = [
 ]
 #: Query parameters that don't choose a document.
 TRACKING = r"^(utm_[a-z]+|ref|fbclid|gclid|sessionid|phpsessid)(=|$)"
-SLOTS = 64
+#: Statuses of complete responses (fixed values: the final ones that RFC 9110 lets a cache store by default, without partial content).
+COMPLETE = (200, 203, 204, 300, 301, 308, 404, 405, 410, 414, 501)
+#: Records of one URL and slot, on average, at most.
+PER_SLOT = 20_000
 
 
 def canonical(url: Column) -> Column:
@@ -40,20 +45,32 @@ def canonical(url: Column) -> Column:
     return F.concat(host, path, F.when(joined == "", "").otherwise(F.concat(F.lit("?"), joined)))
 
 
-def latest_earlier(records: DataFrame, key: str, at: str, full: Column, what: Column, slots: int = SLOTS) -> DataFrame:
+def time_cuts(records: DataFrame, key: str, at: str, per_slot: int = PER_SLOT) -> list:
+    """Where time is cut: quantiles of the most frequent key's times, one slot for every per_slot of its records."""
+    top = records.groupBy(key).agg(F.count("*").alias("n")).agg(F.max_by(key, F.struct("n", key)).alias("key"), F.max("n").alias("n")).first()
+    slots = -(-(top.n or 0) // per_slot)
+    if slots < 2:
+        return []
+    cut = records.where(F.col(key) == F.lit(top.key)).agg(F.percentile_approx(at, [i / slots for i in range(1, slots)]).alias("q")).first().q
+    return sorted(set(cut or []))
+
+
+def latest_earlier(records: DataFrame, key: str, at: str, full: Column, what: Column, per_slot: int = PER_SLOT) -> DataFrame:
     """Adds ``met``: ``what`` of the latest row with ``full`` of the same key at an earlier time. Rows without key or match get null."""
-    cut = records.agg(F.percentile_approx(at, [i / slots for i in range(1, slots)], 1000).alias("q")).first().q or []
-    slot = F.coalesce(F.size(F.filter(F.array(*[F.lit(x) for x in sorted(set(cut))]), lambda x: x <= F.col(at))), F.lit(0)) if cut else F.lit(0)
-    x = records.withColumn("_slot", slot).withColumn("_full", full & F.col(key).isNotNull()).withColumn("_what", what)
-    last = x.where("_full").groupBy(key, "_slot").agg(F.max_by("_what", F.struct(F.col(at), F.col("record_id"))).alias("_last"))
-    # One row per key and slot that has responses; the slots of all records of the key look up the one before.
-    have = x.select(key, "_slot").distinct().join(last, [key, "_slot"], "left")
+    keyed, alone = records.where(F.col(key).isNotNull()), records.where(F.col(key).isNull())
+    cut = time_cuts(keyed, key, at, per_slot)
+    slot = F.coalesce(F.size(F.filter(F.array(*[F.lit(x) for x in cut]), lambda x: x <= F.col(at))), F.lit(0)) if cut else F.lit(0)
+    x = keyed.withColumn("_slot", slot).withColumn("_full", full).withColumn("_what", what)
+    last = F.max_by(F.when(F.col("_full"), F.col("_what")), F.when(F.col("_full"), F.struct(F.col(at), F.col("record_id"))))
+    # One row per key and slot; each looks up the last response of the slots before it.
+    have = x.groupBy(key, "_slot").agg(last.alias("_last"))
     carry = have.withColumn("_in", F.last("_last", ignorenulls=True).over(Window.partitionBy(key).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)))
     carry = carry.select(F.col(key).alias("_k"), F.col("_slot").alias("_s"), "_in")
     order = [F.col(at).asc_nulls_first(), F.col("_full"), F.col("record_id")]
     seen = F.last(F.when(F.col("_full"), F.col("_what")), ignorenulls=True).over(Window.partitionBy(key, "_slot").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1))
     x = x.withColumn("_seen", seen).join(carry, (F.col(key) == F.col("_k")) & (F.col("_slot") == F.col("_s")), "left")
-    return x.withColumn("met", F.when(F.col(key).isNotNull(), F.coalesce("_seen", "_in"))).drop("_slot", "_full", "_what", "_seen", "_k", "_s", "_in")
+    met = x.withColumn("met", F.coalesce("_seen", "_in")).drop("_slot", "_full", "_what", "_seen", "_k", "_s", "_in")
+    return met.unionByName(alone.withColumn("met", F.lit(None).cast(met.schema["met"].dataType)))
 
 
 def merged(stored: Column, update: Column) -> Column:
@@ -61,22 +78,22 @@ def merged(stored: Column, update: Column) -> Column:
     return F.map_concat(F.map_filter(stored, lambda k, _: ~F.array_contains(F.map_keys(may), k)), may)
 
 
-def resolve(records: DataFrame) -> DataFrame:
+def resolve(records: DataFrame, complete: tuple[int, ...] = COMPLETE, per_slot: int = PER_SLOT) -> DataFrame:
     """records: record_id string, url string, captured_at (any ordered type), status int (304: revisit), headers map of lower-case names, payload_digest string.
 
-    Adds canonical_url, refers_to, resolution (response, resolved, validator_mismatch, no_validator or no_earlier_response) and replaces headers and
+    Adds canonical_url, refers_to, resolution (response, other, resolved, validator_mismatch, no_validator or no_earlier_response) and replaces headers and
     payload_digest of resolved revisits.
     """
     configure(records.sparkSession)
     own = [c for c in records.columns if c not in ("canonical_url", "refers_to", "resolution", "met")]
     x = records.select(*own).withColumn("canonical_url", canonical(F.col("url")))
-    full = F.coalesce(F.col("status") != 304, F.lit(True))
-    x = latest_earlier(x, "canonical_url", "captured_at", full, F.struct("record_id", "headers", "payload_digest"))
+    full, revisit = F.coalesce(F.col("status").isin(*complete), F.lit(False)), F.coalesce(F.col("status") == 304, F.lit(False))
+    x = latest_earlier(x, "canonical_url", "captured_at", full, F.struct("record_id", "headers", "payload_digest"), per_slot)
     tag = lambda h: F.regexp_replace(h["etag"], "^W/", "")
     mine, theirs = F.col("headers"), F.col("met.headers")
     date = (mine["last-modified"], theirs["last-modified"])
     verdict = (
-        F.when(full, "response").when(F.col("met").isNull(), "no_earlier_response")
+        F.when(full, "response").when(~revisit, "other").when(F.col("met").isNull(), "no_earlier_response")
         .when(tag(mine).isNotNull() & tag(theirs).isNotNull(), F.when(tag(mine) == tag(theirs), "resolved").otherwise("validator_mismatch"))
         .when(date[0].isNotNull() & date[1].isNotNull(), F.when(date[0] == date[1], "resolved").otherwise("validator_mismatch"))
         .otherwise("no_validator")
@@ -89,14 +106,15 @@ def resolve(records: DataFrame) -> DataFrame:
 
 
 def with_body(resolved: DataFrame, bodies: DataFrame) -> DataFrame:
-    """bodies: (record_id, body) of the full responses. Gives every record the body that it stands for, or null."""
-    at = F.when(F.col("resolution") == "response", F.col("record_id")).otherwise(F.col("refers_to"))
+    """bodies: (record_id, body) of the records that have one. Gives every record the body that it stands for, or null."""
+    at = F.when(F.col("resolution").isin("response", "other"), F.col("record_id")).otherwise(F.col("refers_to"))
     return resolved.withColumn("_of", at).join(bodies.select(F.col("record_id").alias("_id"), "body"), F.col("_of") == F.col("_id"), "left").drop("_of", "_id")
 
 
 def captures(pages: DataFrame) -> DataFrame:
     """A crawl log made from pages: each page is captured in full at second 4 * page_id and asked for again 401 seconds later with another
-    spelling of its URL, when it may have changed (every fifth) or have no validator (every seventh)."""
+    spelling of its URL, when it may have changed (every fifth) or have no validator (every seventh). Between the two, of 22 pages, one
+    gives a part (206), one an error (500), one an answer of unknown status and one is gone (410); only the last is a complete response."""
     p = pages.select("page_id", "url", F.md5(F.coalesce("html", F.lit(""))).alias("digest"), F.length("html").cast("string").alias("size"))
     has_tag, old = F.col("page_id") % 3 != 1, F.concat(F.lit("day "), (F.col("page_id") % 28 + 1).cast("string"))
     tag = F.concat(F.lit('"'), F.substring("digest", 1, 16), F.lit('"'))
@@ -113,7 +131,14 @@ def captures(pages: DataFrame) -> DataFrame:
         head(("cache-control", F.lit("max-age=120")), ("connection", F.lit("close")), ("content-length", F.lit("0")), ("etag", F.when(has_tag & ~bare, F.when(changed, F.lit('"new"')).otherwise(F.concat(F.lit("W/"), tag)))), ("last-modified", F.when(~bare, F.when(changed, F.lit("day 0")).otherwise(old)))).alias("headers"),
         F.lit(None).cast("string").alias("payload_digest"),
     )
-    return full.unionByName(again)
+    k = F.col("page_id") % 22
+    status = F.when(k == 0, 206).when(k == 5, 500).when(k == 16, 410)
+    between = p.where(k.isin(0, 5, 11, 16)).select(
+        F.concat(F.lit("b"), F.col("page_id").cast("string")).alias("record_id"), "page_id", "url", (F.col("page_id") * 4 + 203).alias("captured_at"), status.alias("status"),
+        head(("content-type", F.lit("text/plain")), ("etag", F.lit('"between"')), ("last-modified", F.lit("day 99"))).alias("headers"),
+        F.md5(F.lit("between")).alias("payload_digest"),
+    )
+    return full.unionByName(again).unionByName(between)
 
 
 def report(pages: DataFrame) -> DataFrame:

@@ -172,6 +172,26 @@ def test_revisits(spark):
     assert {r.record_id: r.body for r in warc.with_body(warc.resolve(df), bodies).collect()}["b"] == "A"
 
 
+@pytest.mark.parametrize("per_slot", [3, warc.PER_SLOT])
+def test_revisits_by_brute_force(spark, per_slot):
+    """Partial, failed and unknown answers are no base; repeated rows stay; a frequent URL in many slots; times and URLs may be null."""
+    rnd = random.Random(4)
+    recs = [(f"r{i}", rnd.choice(["http://x.org/a"] * 6 + ["http://x.org/b", None]), rnd.choice([*range(40), None]), rnd.choice([200, 206, 404, 500, None, 304, 304, 304]), {"etag": rnd.choice("ab")} if rnd.random() < 0.8 else {}, f"d{i}") for i in range(300)]
+    recs += recs[:20]
+    got = Counter((r.record_id, r.resolution, r.refers_to) for r in warc.resolve(spark.createDataFrame(recs, "record_id string, url string, captured_at int, status int, headers map<string,string>, payload_digest string").repartition(3), per_slot=per_slot).collect())
+    want = Counter()
+    for rid, url, at, status, head, _ in recs:
+        if status != 304:
+            want[rid, "response" if status in (200, 404) else "other", None] += 1
+            continue
+        base = [b for b in recs if url is not None and b[1] == url and b[3] in (200, 404) and at is not None and (b[2] is None or b[2] < at)]
+        best = max(base, key=lambda b: (b[2] is not None, b[2] or 0, b[0])) if base else None
+        tags = (head.get("etag"), best[4].get("etag")) if best else (None, None)
+        verdict = "no_earlier_response" if best is None else "no_validator" if None in tags else "resolved" if tags[0] == tags[1] else "validator_mismatch"
+        want[rid, verdict, best[0] if verdict == "resolved" else None] += 1
+    assert got == want
+
+
 def tokens(x: str | None) -> list[str]:
     return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(x or ""))
 
