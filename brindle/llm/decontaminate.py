@@ -8,8 +8,9 @@ match crosses documents. Blocks are independent, so no key gathers and nothing i
 Search: the windows of the test items are taken in blocks of bounded size. In each index block a
 window's terms are ordered from the rarest; a term without postings ends it. The rarest term's
 list, less the term's offset, gives the possible starts, which are intersected with the other
-offset-adjusted lists. The same intersection with a tolerance gives proximity matches: each of
-the window's terms stands at most ``slop`` words from its place.
+offset-adjusted lists. The same intersection with a tolerance gives proximity matches: there is a start from
+which each of the window's terms stands at most ``slop`` words from its place. Neither depends on how documents
+are dealt to blocks.
 
 Cases: a null or empty text has no words, and so no windows and no hits. A document of any length
 is one block at least. Equal windows of several items are searched once. Items with the same id
@@ -27,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textnum as tn
+from .keyfilter import without
 from .runtime import configure, stage
 
 WINDOW = 10
@@ -121,8 +123,8 @@ class Windows:
         self.terms = np.unique(np.concatenate([self.grid[self.size > j, j] for j in range(window)])) if len(self.grid) else np.zeros(0, dtype=np.uint64)
 
     def search(self, terms: np.ndarray, counts: np.ndarray, positions: np.ndarray, slop: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Windows, their start positions in a block, and where their rarest term stands; with slop, terms may stand that far from their places,
-        and a start can lie before its document's first word."""
+        """Windows, their start positions in a block, and where their rarest term stands; with slop, terms may stand that far from their places
+        (the rarest one, too, so each of its places gives 2 * slop + 1 starts), and a start can lie before its document's first word."""
         none = np.zeros(0, dtype=np.int64)
         if not len(terms) or not len(self.grid):
             return none, none, none
@@ -157,6 +159,9 @@ class Windows:
             place = np.arange(len(who)) - np.repeat(np.cumsum(k) - k, k)
             seat = lists[list_at[rank[w, off]][who] + place] % wide
             start = seat - off[who]
+            if slop:
+                shift = np.arange(-slop, slop + 1)
+                who, seat, start = np.repeat(who, len(shift)), np.repeat(seat, len(shift)), (start[:, None] + shift).ravel()
             for j in range(1, self.grid.shape[1]):
                 if not len(who):
                     break
@@ -175,7 +180,8 @@ HITS = "key string, item string, near boolean, first array<int>, last array<int>
 
 
 def search_index(index: DataFrame, windows: Windows, slop: int = SLOP) -> DataFrame:
-    """Matches of one block of test items: per document and item, the word ranges hit exactly (near false), or none (near true: proximity only)."""
+    """Matches of one block of test items: per document and item, the word ranges hit exactly (near false), or none (near true: proximity
+    only). Without slop, exact ones only."""
     shared = index.sparkSession.sparkContext.broadcast(windows)  # bounded by QUERY_BYTES of text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -190,7 +196,7 @@ def search_index(index: DataFrame, windows: Windows, slop: int = SLOP) -> DataFr
                 first = get("first").to_numpy()
                 keys = batch.column("keys")[b].as_py()
                 seen: dict[tuple, list] = {}
-                for near in (False, True):
+                for near in (False, True) if slop else (False,):
                     w, p, seat = q.search(terms, counts, positions, slop if near else 0)
                     doc = np.searchsorted(first, seat, side="right") - 1
                     for x, d, s in zip(w.tolist(), doc.tolist(), (p - first[doc]).tolist(), strict=True):
@@ -215,7 +221,7 @@ def query_blocks(bench: DataFrame, item_id: str, text: str, window: int, query_b
     for x in bench.select(bench[item_id].cast("string").alias("i"), bench[text].alias("t")).toLocalIterator():
         ids.append(x.i)
         bodies.append(x.t)
-        held += len(x.t or "")
+        held += len((x.t or "").encode())
         if held >= query_bytes:
             yield Windows(ids, tn.texts(pa.array(bodies, pa.string())), window)
             ids, bodies, held = [], [], 0
@@ -267,28 +273,13 @@ def decontaminate(docs: DataFrame, bench: DataFrame, doc_id: str = "doc_id", tex
     return rows.select("doc_id", "_key").join(report, F.col("_key") == F.col("key"), "left").drop("_key", "key")
 
 
-def clean(docs: DataFrame, bench: DataFrame, text: str = "text", item_id: str = "item_id", bench_text: str = "text", window: int = WINDOW) -> DataFrame:
-    """The documents without an exact match, with their columns as they were. Only a verdict is needed here, so each block's postings are
-    searched where they are made: one pass over the documents per block of test items, without a shuffle or a stored index."""
+def clean(docs: DataFrame, bench: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", bench_text: str = "text", window: int = WINDOW) -> DataFrame:
+    """The documents without an exact match, with their columns as they were. Texts are not exchanged, but for those of documents that are hit
+    (and the few that pass the filter of keys by chance)."""
     spark = configure(docs.sparkSession)
     own = docs.columns
-    left = docs.select(*[docs[c].alias(f"_{i}") for i, c in enumerate(own)])
-    body = f"_{own.index(text)}"
-
-    def without(shared) -> DataFrame:
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            q = shared.value
-            for batch in batches:
-                for i, j, t in tn.pieces(tn.texts(batch.column(body))):
-                    h, row = terms_of(t)
-                    at = np.arange(len(h)) + row * GAP
-                    _, p, _ = q.search(*postings(h, at), 0)
-                    keep = np.ones(j - i, dtype=bool)
-                    keep[row[np.searchsorted(at, p)]] = False
-                    yield batch.slice(i, j - i).filter(pa.array(keep))
-
-        return left.mapInArrow(run, left.schema)
-
-    for w in query_blocks(bench, item_id, bench_text, window):
-        left = without(spark.sparkContext.broadcast(w))  # bounded by QUERY_BYTES of text
+    plain = docs.select(*[docs[c].alias(f"_{i}") for i, c in enumerate(own)])
+    rows = keyed(plain, f"_{own.index(doc_id)}", f"_{own.index(text)}")
+    _, hits = matches(rows, bench, "_key", item_id, f"_{own.index(text)}", bench_text, window, 0)
+    left = without(rows, stage(hits.select("key").distinct(), "hit"), "_key", "key")
     return left.select(*[F.col(f"_{i}").alias(c) for i, c in enumerate(own)])

@@ -53,3 +53,19 @@ def key_filter(keys: DataFrame) -> KeyFilter:
     words = np.zeros(bits // 64, dtype=U64)
     words[set_["at"].to_numpy()] = set_["word"].to_numpy().view(U64)
     return KeyFilter(words)
+
+
+def without(rows: DataFrame, keys: DataFrame, own: str, key: str) -> DataFrame:
+    """The rows whose column ``own`` (not null) is no ``key``. Rows that can't be one stay where they are; only the others meet the keys in an exchange."""
+    two = lambda c: [F.xxhash64(c).alias("k1"), F.xxhash64(F.lit(1), c).alias("k2")]
+    shared = rows.sparkSession.sparkContext.broadcast(key_filter(keys.select(*two(key))))  # bounded by MAX_BITS
+    schema = rows.schema.add("_may", "boolean")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            may = shared.value.passes(batch.column("k1").to_numpy(), batch.column("k2").to_numpy())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-2], pa.array(may)], names=[f.name for f in schema])
+
+    asked = rows.select("*", *two(own)).mapInArrow(run, schema)
+    met = asked.where("_may").join(keys.select(F.col(key).alias("_out")), F.col(own) == F.col("_out"), "left_anti")
+    return asked.where("not _may").unionByName(met).drop("_may")

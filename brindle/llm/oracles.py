@@ -6,7 +6,7 @@ with brute-force versions.
 
 from __future__ import annotations
 
-from . import mixing, quality, secrets, urls, warc
+from . import decontaminate, mixing, quality, secrets, urls, warc
 
 _SPACE = r"[^\x20\x09-\x0D]+"
 
@@ -40,12 +40,22 @@ FROM b LEFT JOIN ln ON ln.doc_key = b.doc_key {joins}"""
 
 _TOKEN = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_NEAR = decontaminate.SLOP
+_PAD = 10 + _NEAR
+#: Proximity starts from each window's rarest word in the corpus; every start near one of its places is tried, so another choice gives the same.
 _DECONTAMINATE = rf"""WITH d AS (SELECT row_number() OVER () AS k, doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '{_TOKEN}') AS w FROM documents), q AS (SELECT item_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '{_TOKEN}') AS w FROM benchmark),
-qw AS (SELECT DISTINCT item_id, CASE WHEN len(w) < 10 THEN len(w) ELSE 10 END AS n, array_to_string(w[i : i + 9], ' ') AS g FROM (SELECT item_id, w, unnest(range(1, greatest(2, len(w) - 8))) AS i FROM q WHERE len(w) > 0)),
+qw AS (SELECT DISTINCT item_id, CASE WHEN len(w) < 10 THEN len(w) ELSE 10 END AS n, w[i : i + 9] AS t, array_to_string(w[i : i + 9], ' ') AS g FROM (SELECT item_id, w, unnest(range(1, greatest(2, len(w) - 8))) AS i FROM q WHERE len(w) > 0)),
 sz AS (SELECT DISTINCT n FROM qw), dw AS (SELECT k, n, i, array_to_string(w[i : i + n - 1], ' ') AS g FROM (SELECT k, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, sz WHERE len(w) >= n)),
 h AS (SELECT k, i, dw.n, item_id FROM dw JOIN qw ON dw.g = qw.g AND dw.n = qw.n), hw AS (SELECT k, count(DISTINCT p) AS n_hit FROM (SELECT k, unnest(range(i, i + n)) AS p FROM h) GROUP BY 1),
-it AS (SELECT k, count(*) AS n_items, string_agg(x, ',' ORDER BY x) AS ids FROM (SELECT DISTINCT k, CAST(item_id AS VARCHAR) AS x FROM h WHERE item_id IS NOT NULL) GROUP BY 1)
-SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated FROM d LEFT JOIN hw ON d.k = hw.k LEFT JOIN it ON d.k = it.k"""
+it AS (SELECT k, count(*) AS n_items, string_agg(x, ',' ORDER BY x) AS ids FROM (SELECT DISTINCT k, CAST(item_id AS VARCHAR) AS x FROM h WHERE item_id IS NOT NULL) GROUP BY 1),
+dp AS (SELECT k, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS pos FROM d), fr AS (SELECT x, count(*) AS c FROM dp GROUP BY 1), wn AS (SELECT DISTINCT n, t, g FROM qw),
+wo AS (SELECT g, n, t, unnest(t) AS x, unnest(range(0, len(t))) AS o FROM wn), ra AS (SELECT g, any_value(n) AS n, any_value(t) AS t, arg_min(wo.x, (coalesce(c, 0), o)) AS x, arg_min(o, (coalesce(c, 0), o)) AS o FROM wo LEFT JOIN fr ON wo.x = fr.x GROUP BY g),
+pad AS (SELECT k, list_concat(list_transform(range(0, {_PAD}), lambda z: ''), w, list_transform(range(0, {_PAD}), lambda z: '')) AS w FROM d),
+ca AS (SELECT DISTINCT dp.k, ra.g, ra.t, pos - o + unnest(range(-{_NEAR}, {_NEAR} + 1)) AS p FROM ra JOIN dp ON ra.x = dp.x),
+nm AS (SELECT DISTINCT ca.k, g FROM ca JOIN pad ON ca.k = pad.k WHERE len(list_filter(range(0, len(t)), lambda o: list_contains(w[p + o + {_PAD} - {_NEAR} : p + o + {_PAD} + {_NEAR}], t[o + 1]))) = len(t)),
+ne AS (SELECT k, count(*) AS n_near, string_agg(x, ',' ORDER BY x) AS near FROM (SELECT DISTINCT nm.k, CAST(item_id AS VARCHAR) AS x FROM nm JOIN qw ON nm.g = qw.g WHERE item_id IS NOT NULL EXCEPT SELECT k, CAST(item_id AS VARCHAR) FROM h) GROUP BY 1)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated, coalesce(n_near, 0) AS n_near, coalesce(near, '') AS near_items
+FROM d LEFT JOIN hw ON d.k = hw.k LEFT JOIN it ON d.k = it.k LEFT JOIN ne ON d.k = ne.k"""
 
 
 def _urls() -> str:

@@ -23,13 +23,8 @@ def op3_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # What its SQL has; the proximity matches are in op4_near_matches.
-    return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("n_near", "near_items")
-
-
-def op4_near_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per document, the items that only proximity finds: how many and which."""
-    return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select("doc_id", "n_near", "near_items")
+    """Exact phrase matches, and in n_near and near_items the items that only proximity finds."""
+    return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,7 +53,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_substring_dedup, op2_quality_rules, op3_warc_revisits, op4_decontamination, op4_near_matches, op5_url_filters, op6_language_id, op7_secret_scans, op8_simhash, op9_packing, op10_mixing)
+    for f in (op1_substring_dedup, op2_quality_rules, op3_warc_revisits, op4_decontamination, op5_url_filters, op6_language_id, op7_secret_scans, op8_simhash, op9_packing, op10_mixing)
 }
 
 ORACLES: dict[str, str] = oracles.ORACLES
