@@ -1,15 +1,16 @@
 """Mixing sources to target weights by Pareto order sampling, in DataFrame operations only.
 
 Sources share all words by weight; a source's target stops at MAX_COPIES times its size, and what
-it can't take is shared again by weight among the others (the sums are exact integers). A document
-of a source with expected copies r = target / size gets floor(r) certain whole copies. For the
-rest, pi = r - floor(r), documents are ranked by random odds over inclusion odds,
-Q = (U / (1 - U)) / (pi / (1 - pi)), and those with the smallest Q are taken up to a fixed size,
-counted in words: the cut lies where the sum is nearest to what the whole copies left of the target.
+it can't take is shared again by weight among the others (the sums are exact integers). Inside a source the expected copies
+of a document grow slowly with its length: they are c * (LENGTH_BASE + number of binary digits of its size), but MAX_COPIES
+at most, with the c that makes the expected words the source's target. Of the expected copies r, floor(r) are certain whole
+copies. The rest, pi = r - floor(r), is the document's inclusion probability: documents are ranked by random odds over inclusion
+odds, Q = (U / (1 - U)) / (pi / (1 - pi)), and taken in this order up to a fixed size, counted in words: what
+the whole copies left of the target. A document that does not fit is stepped over and the order goes on, ROUNDS times.
 
 U comes from a digest of seed, id and text, so reruns agree and nothing depends on how rows are
-dealt out. No source is sorted in one task: sums over 1024 classes of Q, then over 1024 classes of
-the class with the cut, leave about a millionth of a source to be ranked exactly.
+dealt out. No source is sorted in one task: sums over CLASSES classes of Q find that with the cut, and only the documents of this class,
+about one in CLASSES of a source, are ranked exactly.
 
 Cases: a null text has size 0 and nothing is taken of it. A null source is a source of its own, the
 last. Rows that are equal in id and text share one rank, and so stand on one side of the cut. An
@@ -26,7 +27,11 @@ from .runtime import configure, stage
 WEIGHTS = (5, 2, 1)
 MAX_COPIES = 3
 SEED = 20
-CLASSES = 1024
+CLASSES = 1 << 16
+#: A document with twice the words is expected 1 / (LENGTH_BASE + digits) more often.
+LENGTH_BASE = 20
+#: How often a cut is sought: once, and again in the rest of the order after documents that don't fit are stepped over.
+ROUNDS = 3
 
 
 def words(text: Column) -> Column:
@@ -72,16 +77,51 @@ def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_copies:
     return s.withColumn("target", F.when(above, F.col("source_size").cast("double") * float(max_copies)).otherwise(even))
 
 
-def plan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", weights: tuple[int, ...] = WEIGHTS, max_copies: int = MAX_COPIES, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
+def digits(size: Column) -> Column:
+    """Binary digits of a size, 1 for 0."""
+    return F.length(F.bin(size))
+
+
+def expected(n: Column, max_copies: int) -> Column:
+    """Expected copies of a document with n binary digits in its size, in a source whose row has c (null: all are capped)."""
+    return F.when(F.col("c").isNull(), float(max_copies)).otherwise(F.least(F.lit(float(max_copies)), F.col("c") * (LENGTH_BASE + n)))
+
+
+def rates(by_length: DataFrame, max_copies: int) -> DataFrame:
+    """by_length: (source, target, n, w): words w of a source's documents with n digits. Adds c and left, the words that whole copies leave of the target.
+
+    The longest classes are capped first; c is that of the first class, from the longest, that needs no cap."""
+    down = Window.partitionBy("source").orderBy(F.desc("n"))
+    weighed = F.col("w") * (LENGTH_BASE + F.col("n"))
+    capped = F.coalesce(F.sum("w").over(down.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    rest = F.sum(weighed).over(down.rowsBetween(Window.currentRow, Window.unboundedFollowing))
+    c = F.when(rest > 0, (F.col("target") - float(max_copies) * capped) / rest).otherwise(0.0)
+    x = by_length.withColumn("c", c)
+    per = x.groupBy("source").agg(
+        F.first("target").alias("target"), F.sum("w").alias("source_size"), F.collect_list(F.struct("n", "w")).alias("lengths"),  # one entry a number of digits
+        F.max_by("c", F.when(F.col("c") * (LENGTH_BASE + F.col("n")) <= max_copies, F.col("n"))).alias("c"),
+    )
+    whole = F.aggregate("lengths", F.lit(0).cast("long"), lambda acc, x: acc + F.floor(expected(x["n"], max_copies)).cast("long") * x["w"])
+    return per.withColumn("left", F.col("target") - whole).drop("lengths")
+
+
+def plan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", weights: tuple[int, ...] = WEIGHTS, max_copies: int = MAX_COPIES, seed: int = SEED, rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame]:
     """(one row per document: doc_id, source, size, digest; one row per source: what decides the copies of its documents)."""
     configure(docs.sparkSession)
     sized = docs.select(docs[doc_id].alias("doc_id"), docs[source].alias("source"), words(docs[text]).alias("size"), digest(docs[doc_id], docs[text], seed).alias("digest"))
     sized = stage(sized, "sized")
-    shares = targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, max_copies)
-    r = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    shares = shares.withColumn("whole", F.floor(r).cast("long")).withColumn("pi", r - F.floor(r))
-    shares = stage(shares.withColumn("budget", F.col("target") - F.col("whole") * F.col("source_size")), "shares")
-    return sized, stage(cuts(sized, shares), "cuts")
+    lengths = stage(sized.groupBy("source", digits(F.col("size")).alias("n")).agg(F.sum("size").alias("w")), "lengths")
+    shares = targets(lengths.groupBy("source").agg(F.sum("w").alias("source_size")), weights, max_copies)
+    by_length = lengths.alias("l").join(shares.alias("s"), same_source("l", "s")).select("l.source", "s.target", "l.n", "l.w")
+    state = rates(by_length, max_copies).withColumn("cuts", F.array().cast(CUTS))
+    state = stage(state, "rates")
+    for _ in range(rounds):
+        state = stage(cut_once(sized, state, max_copies), "cuts")
+    return sized, state
+
+
+#: What a round took: of the documents with at most ``room`` words, those up to (class, q, digest) in the order (all, without a class).
+CUTS = "array<struct<room:double,class:long,q:double,digest:string>>"
 
 
 def order_key(pi: Column) -> Column:
@@ -91,50 +131,64 @@ def order_key(pi: Column) -> Column:
 
 
 def classes(q: Column) -> Column:
-    """Of the whole range of Q, which of CLASSES ** 2 parts."""
-    return F.floor(q / (1 + q) * (CLASSES * CLASSES)).cast("long")
+    """Of the whole range of Q, which of CLASSES parts."""
+    return F.floor(q / (1 + q) * CLASSES).cast("long")
 
 
 def same_source(a: str, b: str) -> Column:
     return F.col(f"{a}.source").eqNullSafe(F.col(f"{b}.source"))
 
 
-def cuts(sized: DataFrame, shares: DataFrame) -> DataFrame:
-    """Adds, per source, the class with the cut and the last key (q, digest) in it that is taken (null: none of the class)."""
-    some = shares.where("pi > 0")
-    rows = sized.alias("d").join(some.alias("s"), same_source("d", "s")).select("s.source", "s.budget", "d.size", "d.digest", order_key(F.col("s.pi")).alias("q"))
-    rows = rows.withColumn("c2", classes(F.col("q"))).withColumn("base", F.lit(0).cast("long"))
-    for part in (F.floor(F.col("c2") / CLASSES).cast("long"), F.col("c2")):
-        sums = rows.withColumn("c", part).groupBy("source", "c").agg(F.sum("size").alias("w"), F.first("budget").alias("budget"), F.first("base").alias("base"))
-        by = Window.partitionBy("source").orderBy("c").rowsBetween(Window.unboundedPreceding, 0)
-        sums = sums.withColumn("upto", F.col("base") + F.sum("w").over(by))
-        # The first class that reaches the budget, else the last one.
-        key = F.struct((F.col("upto") < F.col("budget")).alias("short"), F.when(F.col("upto") < F.col("budget"), -F.col("c")).otherwise(F.col("c")).alias("c"))
-        chosen = sums.groupBy("source").agg(F.min_by(F.struct("c", (F.col("upto") - F.col("w")).alias("base")), key).alias("x")).select("source", "x.c", "x.base")
-        rows = rows.drop("base").withColumn("c", part).alias("r").join(chosen.alias("k"), same_source("r", "k") & (F.col("r.c") == F.col("k.c"))).select("r.source", "r.budget", "r.size", "r.digest", "r.q", "r.c2", "k.base")
+def drawn(size: Column, q: Column, digest: Column) -> Column:
+    """Whether one of the rounds so far took the document."""
+    c = classes(q)
+    upto = lambda x: (q < x["q"]) | ((q == x["q"]) & (digest <= x["digest"]))
+    last = lambda x: x["class"].isNull() | (c < x["class"]) | ((c == x["class"]) & F.coalesce(upto(x), F.lit(False)))
+    return q.isNotNull() & F.exists("cuts", lambda x: (size <= x["room"]) & last(x))
+
+
+def part(max_copies: int) -> Column:
+    """The fractional part of the expected copies."""
+    r = expected(digits(F.col("size")), max_copies)
+    return r - F.floor(r)
+
+
+def cut_once(sized: DataFrame, state: DataFrame, max_copies: int) -> DataFrame:
+    """One more cut per source, among the documents not yet drawn that fit in what is left: the longest run of the order that fits as a whole."""
+    rows = sized.alias("d").join(state.alias("s"), same_source("d", "s")).select("s.source", "s.left", "s.cuts", "s.c", "d.size", "d.digest")
+    rows = rows.withColumn("q", order_key(part(max_copies))).where(F.col("q").isNotNull() & (F.col("size") <= F.col("left")))
+    rows = rows.where(~drawn(F.col("size"), F.col("q"), F.col("digest"))).select("source", "left", "size", "digest", "q", classes(F.col("q")).alias("class"))
+    sums = rows.groupBy("source", "class").agg(F.sum("size").alias("w"), F.first("left").alias("left"))
+    sums = sums.withColumn("upto", F.sum("w").over(Window.partitionBy("source").orderBy("class").rowsBetween(Window.unboundedPreceding, 0)))
+    # The first class that goes beyond what is left, and the words before it.
+    beyond = F.min(F.when(F.col("upto") > F.col("left"), F.struct("class", (F.col("upto") - F.col("w")).alias("base"))))
+    first = sums.groupBy("source").agg(beyond.alias("x"), F.max("upto").alias("all"))
+    rows = rows.alias("r").join(first.where("x is not null").alias("k"), same_source("r", "k") & (F.col("r.class") == F.col("k.x.class"))).select("r.*", "k.x.base")
     upto = F.col("base") + F.sum("size").over(Window.partitionBy("source").orderBy("q", "digest"))
-    near = rows.withColumn("upto", upto).groupBy("source").agg(
-        F.min(F.struct(F.abs(F.col("upto") - F.col("budget")).alias("off"), F.col("q"), F.col("digest"))).alias("best"),
-        F.first("c2").alias("cut_class"), F.first(F.abs(F.col("base") - F.col("budget"))).alias("none_off"),
+    last = rows.withColumn("upto", upto).groupBy("source").agg(
+        F.first("class").alias("class"), F.first("base").alias("base"), F.max(F.when(F.col("upto") <= F.col("left"), F.struct("upto", "q", "digest"))).alias("x")
+    )
+    found = first.alias("t").join(last.alias("l"), same_source("t", "l"), "left").select(
+        F.col("t.source").alias("source"), F.coalesce("l.x.upto", "l.base", "t.all").alias("took"), "l.class", F.col("l.x.q").alias("q"), F.col("l.x.digest").alias("digest")
     )
-    near = near.select("source", "cut_class", F.when(F.col("none_off") > F.col("best.off"), F.col("best")).alias("best"))
-    return shares.alias("s").join(near.alias("n"), same_source("s", "n"), "left").select("s.*", "n.cut_class", F.col("n.best.q").alias("cut_q"), F.col("n.best.digest").alias("cut_digest"))
+    met = state.alias("s").join(found.alias("f"), same_source("s", "f"), "left")
+    new = F.array(F.struct(F.col("s.left").alias("room"), F.col("f.class").alias("class"), F.col("f.q").alias("q"), F.col("f.digest").alias("digest")))
+    own = [c for c in state.columns if c not in ("left", "cuts")]
+    return met.select(*[F.col(f"s.{c}") for c in own], (F.col("s.left") - F.coalesce("f.took", F.lit(0))).alias("left"), F.when(F.col("f.took").isNull(), F.col("s.cuts")).otherwise(F.concat("s.cuts", new.cast(CUTS))).alias("cuts"))
 
 
-def copies() -> Column:
-    """Of a document joined with its source's row."""
-    q = order_key(F.col("pi"))
-    c = classes(q)
-    last = (q < F.col("cut_q")) | ((q == F.col("cut_q")) & (F.col("digest") <= F.col("cut_digest")))
-    taken = (F.col("pi") > 0) & ((c < F.col("cut_class")) | ((c == F.col("cut_class")) & F.coalesce(last, F.lit(False))))
-    return F.col("whole") + F.when(taken, 1).otherwise(0)
+def copies(max_copies: int = MAX_COPIES) -> Column:
+    """Of a document (size, digest) joined with its source's row."""
+    whole = F.floor(expected(digits(F.col("size")), max_copies)).cast("long")
+    q = order_key(part(max_copies))
+    return whole + F.when(drawn(F.col("size"), q, F.col("digest")), 1).otherwise(0)
 
 
 def report(docs: DataFrame, **options) -> DataFrame:
     """(doc_id, size, source_size, target, taken, copies) of every document."""
     sized, shares = plan(docs, **options)
     out = sized.alias("d").join(shares.alias("s"), same_source("d", "s"), "left")
-    n = copies()
+    n = copies(options.get("max_copies", MAX_COPIES))
     return out.select("doc_id", "size", "source_size", "target", (n * F.col("size")).alias("taken"), n.alias("copies"))
 
 
@@ -144,6 +198,6 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     _, shares = plan(docs, doc_id, text, source, seed=seed, **options)
     plain = docs.select(*[docs[c].alias(f"_{i}") for i, c in enumerate(own)])
     at = lambda c: F.col(f"_{own.index(c)}")
-    keyed = plain.withColumn("digest", digest(at(doc_id), at(text), seed)).withColumn("source", at(source))
-    out = keyed.alias("d").join(shares.alias("s"), same_source("d", "s"), "left").withColumn("n", copies().cast("int")).where("n > 0")
+    keyed = plain.withColumn("digest", digest(at(doc_id), at(text), seed)).withColumn("source", at(source)).withColumn("size", words(at(text)))
+    out = keyed.alias("d").join(shares.alias("s"), same_source("d", "s"), "left").withColumn("n", copies(options.get("max_copies", MAX_COPIES)).cast("int")).where("n > 0")
     return out.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("n")))).select(*[F.col(f"d._{i}").alias(c) for i, c in enumerate(own)])

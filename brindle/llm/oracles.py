@@ -86,16 +86,28 @@ g AS (SELECT k, {counts}, {text} AS spans, {text} FILTER (WHERE rank < {len(secr
 def _mixing() -> str:
     w = mixing.WEIGHTS
     cases = " ".join(f"WHEN {i} THEN {x}" for i, x in enumerate(w))
+    # Per round: of the rows not yet taken that fit in what is left, those whose running sum fits.
+    may = "q IS NOT NULL AND NOT got AND size <= room"
+    rounds = ", ".join(
+        f"u{i} AS (SELECT *, CASE WHEN {may} THEN sum(CASE WHEN {may} THEN size ELSE 0 END) OVER (PARTITION BY source ORDER BY q NULLS LAST, dg) END AS upto FROM {f'q{i - 1}' if i else 'q'}), "
+        f"q{i} AS (SELECT * EXCLUDE (upto, room, got), room - coalesce(max(upto) FILTER (WHERE upto <= room) OVER (PARTITION BY source), 0) AS room, got OR coalesce(upto <= room, false) AS got FROM u{i})"
+        for i in range(mixing.ROUNDS)
+    )
+    last = f"q{mixing.ROUNDS - 1}"
     return rf"""WITH RECURSIVE d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '{_SPACE}')) AS BIGINT) AS size, md5('{mixing.SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '-') || ':' || coalesce(text, '')) AS dg FROM documents),
 s AS (SELECT source, ss, CASE (row_number() OVER (ORDER BY source IS NULL, source) - 1) % {len(w)} {cases} END AS w FROM (SELECT source, CAST(sum(size) AS BIGINT) AS ss FROM d GROUP BY 1)),
 it(step, rest, share) AS (SELECT 0, CAST((SELECT sum(ss) FROM s) AS BIGINT), CAST((SELECT sum(w) FROM s) AS BIGINT) UNION ALL
  SELECT step + 1, CAST((SELECT sum(ss) FROM s) - 3 * coalesce((SELECT sum(ss) FROM s WHERE 3 * ss * it.share < w * it.rest), 0) AS BIGINT), CAST(coalesce((SELECT sum(w) FROM s WHERE NOT (3 * ss * it.share < w * it.rest)), 0) AS BIGINT) FROM it WHERE step < 40 AND share > 0),
 f AS (SELECT rest, share FROM it WHERE share > 0 ORDER BY step DESC LIMIT 1), t0 AS (SELECT source, ss, w, CASE WHEN 3 * ss * share < w * rest THEN CAST(ss AS DOUBLE) * 3.0 ELSE CAST(w AS DOUBLE) * CAST(rest AS DOUBLE) / CAST(share AS DOUBLE) END AS target FROM s, f),
-t1 AS (SELECT *, CASE WHEN ss > 0 THEN target / ss ELSE 0.0 END AS r FROM t0), t AS (SELECT *, CAST(floor(r) AS BIGINT) AS whole, r - floor(r) AS pi, target - CAST(floor(r) AS BIGINT) * ss AS budget FROM t1),
-u AS (SELECT *, (CAST(('0x' || substring(dg, 1, 13)) AS BIGINT) + 0.5) / 4503599627370496.0 AS u FROM d), q AS (SELECT u.*, t.ss, t.target, whole, pi, budget, CASE WHEN pi > 0 THEN (u / (1 - u)) / (pi / (1 - pi)) END AS q FROM u JOIN t ON u.source IS NOT DISTINCT FROM t.source),
-c AS (SELECT *, sum(size) OVER (PARTITION BY source ORDER BY q, dg) AS upto FROM q WHERE pi > 0), b AS (SELECT source, max(budget) AS budget, min(abs(upto - budget)) AS off FROM c GROUP BY 1), k AS (SELECT c.source, min(upto) AS cut FROM c JOIN b ON c.source IS NOT DISTINCT FROM b.source WHERE abs(upto - c.budget) = off AND off < c.budget GROUP BY 1),
-x AS (SELECT c.doc_id, c.dg, c.source FROM c JOIN k ON c.source IS NOT DISTINCT FROM k.source WHERE upto <= cut), n AS (SELECT q.*, whole + CASE WHEN EXISTS (SELECT 1 FROM x WHERE x.dg = q.dg AND x.source IS NOT DISTINCT FROM q.source) THEN 1 ELSE 0 END AS copies FROM q)
-SELECT doc_id, size, ss AS source_size, target, copies * size AS taken, copies FROM n"""
+n1 AS (SELECT source, length(bin(size)) AS n, CAST(sum(size) AS BIGINT) AS w FROM d GROUP BY 1, 2),
+c1 AS (SELECT n1.source, target, n, n1.w, CASE WHEN sum(n1.w * ({mixing.LENGTH_BASE} + n)) OVER up > 0 THEN (target - 3.0::DOUBLE * coalesce(sum(n1.w) OVER before, 0)) / sum(n1.w * ({mixing.LENGTH_BASE} + n)) OVER up ELSE 0.0 END AS c FROM n1 JOIN t0 ON n1.source IS NOT DISTINCT FROM t0.source
+ WINDOW up AS (PARTITION BY n1.source ORDER BY n DESC ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), before AS (PARTITION BY n1.source ORDER BY n DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+c2 AS (SELECT source, arg_max(c, n) FILTER (WHERE c * ({mixing.LENGTH_BASE} + n) <= 3) AS c FROM c1 GROUP BY 1), lam AS (SELECT c1.source, n, w, target, CASE WHEN c2.c IS NULL THEN 3.0::DOUBLE ELSE least(3.0::DOUBLE, c2.c * ({mixing.LENGTH_BASE} + n)) END AS r FROM c1 JOIN c2 ON c1.source IS NOT DISTINCT FROM c2.source),
+t AS (SELECT source, n, target, CAST(floor(r) AS BIGINT) AS whole, r - floor(r) AS pi, target - sum(CAST(floor(r) AS BIGINT) * w) OVER (PARTITION BY source) AS budget FROM lam),
+u AS (SELECT *, row_number() OVER () AS id, (CAST(('0x' || substring(dg, 1, 13)) AS BIGINT) + 0.5) / 4503599627370496.0 AS u FROM d),
+q AS (SELECT u.*, t.target, whole, CASE WHEN pi > 0 THEN (u / (1 - u)) / (pi / (1 - pi)) END AS q, CAST(budget AS DOUBLE) AS room, false AS got FROM u JOIN t ON u.source IS NOT DISTINCT FROM t.source AND length(bin(size)) = t.n),
+{rounds}
+SELECT doc_id, f.size, ss AS source_size, f.target, (whole + CASE WHEN got THEN 1 ELSE 0 END) * size AS taken, whole + CASE WHEN got THEN 1 ELSE 0 END AS copies FROM {last} f JOIN t0 ON f.source IS NOT DISTINCT FROM t0.source"""
 
 
 def _warc() -> str:

@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from brindle.llm import decontaminate, language, mixing, packing, quality, secrets, simhash, substrings, urls, warc
 from brindle.llm import textnum as tn
@@ -433,6 +434,36 @@ def test_mix_comes_near_its_targets(spark):
     assert all(abs(taken[s] - t) <= 60 for s, t in target.items())
 
 
+def test_long_documents_are_stepped_over(spark):
+    """One document holds more words than what is left when the order reaches it; shorter ones after it still come."""
+    data = [(i, "w " * (3000 if i % 50 == 0 else 5 + i % 40), f"s{i % 2}") for i in range(600)]
+    taken: Counter = Counter()
+    target = {}
+    for r in mixing.report(spark.createDataFrame(data, "doc_id long, text string, source string")).collect():
+        taken[r.doc_id % 2] += r.taken
+        target[r.doc_id % 2] = r.target
+    assert all(0 <= t - taken[s] <= 0.01 * t for s, t in target.items())
+
+
+def test_documents_are_drawn_at_their_rate(spark):
+    """Over many seeds, each class of lengths is taken as often as its expected copies say; short documents less often than long ones, but they are."""
+    data = [(i, "w " * (20 if i % 2 else 200), ["a", "b"][i % 3 == 0]) for i in range(3000)]
+    df = spark.createDataFrame(data, "doc_id long, text string, source string")
+    seeds = 4
+    got: Counter = Counter()
+    for seed in range(seeds):
+        sized, state = mixing.plan(df, seed=seed, rounds=2)
+        out = sized.alias("d").join(state.alias("s"), mixing.same_source("d", "s")).select("s.source", "d.size", mixing.copies().alias("n"), mixing.expected(mixing.digits(F.col("size")), 3).alias("r"))
+        for r in out.groupBy("source", "size", "r").agg(F.sum("n").alias("n"), F.count("*").alias("k")).collect():
+            got[r.source, r.size, round(r.r, 6), r.k] += r.n
+    assert len(got) == 4
+    for (_, _, rate, k), n in got.items():
+        # Four standard deviations, and the short documents that can fill the place of a long one that does not fit.
+        assert abs(n / (k * seeds) - rate) < 4 * (rate % 1 * (1 - rate % 1) / (k * seeds)) ** 0.5 + 200 / 20 / k
+    rate = {(s, size): r for s, size, r, _ in got}
+    assert all(rate[s, 20] < rate[s, 200] for s in "ab")
+
+
 def test_key_filter_never_loses_a_key(spark, monkeypatch):
     from brindle.llm import keyfilter
 
