@@ -300,6 +300,32 @@ def test_trigram_queries_are_necessary():
         for s in samples.get(r.kind, []):
             assert re.search(r.regex, s) and any(all(g in s.lower() for g in ands) for ands in q)
     assert secrets.trigram_query("[0-9a-f]{24,}") is None and secrets.trigram_query("(abc|de)") is None
+    some = lambda rx: secrets.trigram_query(rx, 9)
+    assert some(r"a\x42c\.d") == [frozenset({"abc", "bc.", "c.d"})] and some("ab(?:cd|e?f)g") == sorted([frozenset({"abc", "bcd", "cdg"}), frozenset({"abe", "bef", "efg"}), frozenset({"abf", "bfg"})], key=sorted)
+    assert some("abc+d") == [frozenset({"abc"})] and some("[xy]ab") == [frozenset({"xab"}), frozenset({"yab"})] and some("a[^b]cde*fgh") == [frozenset({"fgh"})] and some("ab{2}") is None
+    assert some("ab.{0,3}cde|^fgh$") == [frozenset({"cde"}), frozenset({"fgh"})]
+    for bad in ("(ab", "ab)", "(?=a)b"):
+        with pytest.raises((ValueError, IndexError)):
+            some(bad)
+
+
+def test_many_secrets_in_one_text(spark):
+    n = 100_000
+    df = spark.createDataFrame([(1, "token=abcdefg " * n), (2, "no such thing")], "doc_id long, text string")
+    got = {r.doc_id: r for r in secrets.report(df).collect()}
+    want = ",".join(f"assign:{14 * i}:{14 * i + 13}" for i in range(n))
+    assert got[1].n_assign == n and got[1].spans == want and got[1].base_sha256 == hashlib.sha256(want.encode()).hexdigest() and got[2].spans == ""
+
+
+def test_candidate_bitmap_never_loses_a_key(spark, monkeypatch):
+    rnd = random.Random(3)
+    keys = [rnd.randint(-(1 << 63), (1 << 63) - 1) for _ in range(4000)]
+    df = spark.createDataFrame([(k,) for k in keys], "key long")
+    few = df.where("key % 8 = 0").select(F.col("key").alias("key2"))
+    for bits in (secrets.ROW_BITS, secrets.MAX_BITS):
+        monkeypatch.setattr(secrets, "MAX_BITS", bits)
+        may = {r.key for r in secrets.may_be(df, few).where("_may").collect()}
+        assert {r.key2 for r in few.collect()} <= may and len(may) < 1200
 
 
 def fingerprint(x: str | None) -> int:
