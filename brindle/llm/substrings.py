@@ -7,25 +7,28 @@ WINDOW - KGRAM before it to WINDOW after it.
 
 1. Anchors of all documents: hash of the KGRAM bytes, hash of the context (together 128 bits that identify the
    context), place, and run of window starts.
-2. A context found twice or more settles all its windows. Counting is a partial aggregate, so thousands of copies are one row early.
+2. A context found twice or more settles all its windows. Counting is a partial aggregate, so thousands of copies are one row early. The
+   bytes of all these contexts are compared (``agreed``); if two hashes are equal and the bytes are not, all is done again with other hashes.
 3. What is left are different contexts around an equal KGRAM: the edges of repeated passages. One copy of each
    is cut from its document and they meet by KGRAM. In a group the suffixes at the anchors are merge-sorted;
    two suffixes are compared by a binary search over prefix polynomial hashes for their common extension. The
    sorted order with the common extensions of neighbours gives, for each distance d of a window's start from the
    anchor, the runs that agree in the WINDOW - d bytes from the anchor on; those that also agree in the d bytes
    before it (hash, then the bytes) are equal windows. Extensions found by hashes are checked on the bytes; on a collision another base is drawn.
-   Groups of more than HOT contexts are counted by window hash instead, as a distributed aggregate.
+   A group of more than HOT contexts is dealt again (``split``): each quarter of the distances d has a core, the bytes that all its
+   windows share, and contexts with different cores can't have equal windows there. Quarters are quartered until their groups are small
+   or their cores are the windows themselves; those are compared as bytes by an aggregate.
 4. The runs go back to all anchors with that context, and each document drops the bytes that its windows cover.
 
 Cases: null and empty texts, and texts shorter than WINDOW, keep all bytes. Rows that are equal in id and text are
 copies of each other like any others. A very long text is processed in overlapping slices, which meet again at
-their joints. Extra columns are ignored.
+their joints. Ids of any type stay as they are. Extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +36,7 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import textnum as tn
 from .keyfilter import key_filter
@@ -49,6 +53,21 @@ HOT = 8192
 #: Contexts sorted together.
 CHUNK = 4096
 PER_TASK = 20_000
+#: KGRAMs with more contexts than this are dealt by context, too.
+SPREAD = 1000
+SALTS = 64
+
+
+class Collision(Exception):
+    """Two different byte strings with equal hashes."""
+
+
+#: Of bytes and a seed, 64 bits.
+Hash = Callable[[bytes, int], int]
+
+
+def content_hash(data: bytes, seed: int) -> int:
+    return xxhash.xxh3_64_intdigest(data, seed)
 
 
 class Polynomial:
@@ -123,7 +142,7 @@ def keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return x.withColumn("k1", F.xxhash64("doc_id")).withColumn("k2", F.xxhash64("text"))
 
 
-def anchors(rows: DataFrame) -> DataFrame:
+def anchors(rows: DataFrame, hash_: Hash, seed: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             k1, k2 = batch.column("k1").to_numpy(), batch.column("k2").to_numpy()
@@ -134,9 +153,8 @@ def anchors(rows: DataFrame) -> DataFrame:
                 row = t.row_of(a)
                 data = t.buf.tobytes()
                 left = np.maximum(a - LEFT, t.start[row])
-                hash_ = xxhash.xxh3_64_intdigest
-                kg = np.fromiter((hash_(data[x : x + KGRAM]) for x in a.tolist()), dtype=U64, count=len(a))
-                ctx = np.fromiter((hash_(data[x:y]) for x, y in zip(left.tolist(), np.minimum(a + WINDOW, t.end[row]).tolist(), strict=True)), dtype=U64, count=len(a))
+                kg = np.fromiter((hash_(data[x : x + KGRAM], seed) for x in a.tolist()), dtype=U64, count=len(a))
+                ctx = np.fromiter((hash_(data[x:y], seed + 1) for x, y in zip(left.tolist(), np.minimum(a + WINDOW, t.end[row]).tolist(), strict=True)), dtype=U64, count=len(a))
                 ctx = tn.mix(ctx + (a - left).astype(U64) * U64(0x9E3779B97F4A7C15))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(k1[i + row]), pa.array(k2[i + row]), pa.array(kg.view(np.int64)), pa.array(ctx.view(np.int64)), pa.array((a - t.start[row]).astype(np.int32)), pa.array((a - s1).astype(np.int32)), pa.array((a - s0).astype(np.int32))],
@@ -146,6 +164,9 @@ def anchors(rows: DataFrame) -> DataFrame:
     return rows.select("k1", "k2", "text").mapInArrow(run, "k1 long, k2 long, kg long, ctx long, at int, d0 int, d1 int")
 
 
+PACKED = T.StructType().add("k1", "long").add("k2", "long").add("packed", "binary").fields
+
+
 def packed(rows: DataFrame, shared) -> DataFrame:
     """(doc_id, k1, k2, packed) of the rows whose keys pass the filter: the bytes of the texts, compressed before they are exchanged."""
 
@@ -156,28 +177,71 @@ def packed(rows: DataFrame, shared) -> DataFrame:
             body = pa.array([z.compress(x.as_buffer()) for x in own.column("text")], pa.binary())
             yield pa.RecordBatch.from_arrays([*own.columns[:3], body], names=["doc_id", "k1", "k2", "packed"])
 
-    return rows.select(F.col("doc_id").cast("long").alias("doc_id"), "k1", "k2", "text").mapInArrow(run, "doc_id long, k1 long, k2 long, packed binary")
+    chosen = rows.select("doc_id", "k1", "k2", "text")
+    return chosen.mapInArrow(run, T.StructType([chosen.schema["doc_id"], *PACKED]))
+
+
+CONTEXT = "kg long, ctx long, d0 int, d1 int, m long, before int, bytes binary"
+CONTEXT_NAMES = ["kg", "ctx", "d0", "d1", "m", "before", "bytes"]
+CONTEXT_KINDS = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.binary()]
+#: Bytes of contexts that a task remembers to leave out equal ones.
+REMEMBER = 64 << 20
 
 
 def contexts(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """wanted: (kg, ctx, d0, d1, k1, k2, at). The bytes of these contexts, and how many of them stand before the anchor."""
+    """wanted: (kg, ctx, d0, d1, m, k1, k2, at). The bytes of these contexts, and how many of them stand before the anchor; a task gives equal ones
+    once (again, when it has seen REMEMBER bytes of others)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        z = zstandard.ZstdDecompressor()
+        seen: set[tuple[int, int, int, bytes]] = set()
+        held = 0
         for batch in batches:
             out: list[tuple] = []
-            z = zstandard.ZstdDecompressor()
             for body, own in zip(batch.column("packed"), batch.column("wanted"), strict=True):
                 data = z.decompress(body.as_buffer())
-                for x in own.as_py():
-                    left = max(0, x["at"] - LEFT)
-                    out.append((x["kg"], x["ctx"], x["d0"], x["d1"], x["at"] - left, data[left : x["at"] + WINDOW]))
+                for kg, ctx, d0, d1, m, at in zip(*(own.values.field(c).to_pylist() for c in ("kg", "ctx", "d0", "d1", "m", "at")), strict=True):
+                    left = max(0, at - LEFT)
+                    key = kg, ctx, at - left, data[left : at + WINDOW]
+                    if key not in seen:
+                        if held > REMEMBER:
+                            seen, held = set(), 0
+                        seen.add(key)
+                        held += len(key[3]) + 150
+                        out.append((kg, ctx, d0, d1, m, *key[2:]))
             for i in range(0, len(out), 2000):
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out[i : i + 2000], strict=True), (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary()), strict=True)], names=["kg", "ctx", "d0", "d1", "before", "bytes"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out[i : i + 2000], strict=True), CONTEXT_KINDS, strict=True)], names=CONTEXT_NAMES)
 
-    lists = wanted.groupBy("k1", "k2").agg(F.collect_list(F.struct("kg", "ctx", "d0", "d1", "at")).alias("wanted"))
+    lists = wanted.groupBy("k1", "k2").agg(F.collect_list(F.struct("kg", "ctx", "d0", "d1", "m", "at")).alias("wanted"))  # bounded by the text's length
     shared = rows.sparkSession.sparkContext.broadcast(key_filter(wanted.select("k1", "k2").distinct()))  # bounded by MAX_BITS
     joined = packed(rows, shared).drop("doc_id").join(lists, ["k1", "k2"])
-    return joined.select("packed", "wanted").mapInArrow(run, "kg long, ctx long, d0 int, d1 int, before int, bytes binary")
+    return joined.select("packed", "wanted").mapInArrow(run, CONTEXT)
+
+
+def agreed(ctxs: DataFrame) -> DataFrame:
+    """One row for each (kg, ctx) that others share the KGRAM with (m > 1). Raises Collision if any (kg, ctx) stands for different bytes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, clash = None, False
+        for batch in batches:  # sorted by kg, ctx: equal contexts follow one another
+            keep = []
+            for i, (m, *now) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("m", "kg", "ctx", "before", "bytes")), strict=True)):
+                if last is None or now[:2] != last[:2]:
+                    if m > 1:
+                        keep.append(i)
+                elif now[2:] != last[2:]:
+                    clash = True
+                last = now
+            if keep:
+                yield pa.RecordBatch.from_arrays([*batch.take(pa.array(keep)).columns, pa.array([False] * len(keep))], names=[*CONTEXT_NAMES, "clash"])
+        if clash:
+            yield pa.RecordBatch.from_arrays([*(pa.array([b"" if k == pa.binary() else 0], k) for k in CONTEXT_KINDS), pa.array([True])], names=[*CONTEXT_NAMES, "clash"])
+
+    # A (kg, ctx) has no more rows here than there were tasks before.
+    one = stage(ctxs.repartition("kg", "ctx").sortWithinPartitions("kg", "ctx").mapInArrow(run, CONTEXT + ", clash boolean"), "contexts")
+    if not one.where("clash").isEmpty():
+        raise Collision
+    return one.drop("clash")
 
 
 class Contexts:
@@ -299,42 +363,81 @@ def _runs(kg: list, ctx: list, found: list[tuple[int, int, int]]) -> pa.RecordBa
 
 
 def sort_groups(ctxs: DataFrame, tasks: int) -> DataFrame:
-    """Groups of contexts with an equal KGRAM; returns the runs of windows (RUNS) that are found in another context."""
+    """ctxs: CONTEXT and g. Groups of contexts with an equal g; returns the runs of windows (RUNS) that are found in another context of the group."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
-            kg, ctx, d0, d1, before, data = zip(*rows, strict=True)
-            c = Contexts(np.array(kg, dtype=np.int64), np.array(before), list(data))
+            g, kg, ctx, d0, d1, before, data = zip(*rows, strict=True)
+            c = Contexts(np.array(g, dtype=np.int64), np.array(before), list(data))
             if found := c.equal_windows(np.array(d0), np.array(d1)):
                 yield _runs(kg, ctx, found)
 
         held: list[tuple] = []
-        for batch in batches:  # sorted by kg, ctx
+        for batch in batches:  # sorted by g
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if held and row[0] != held[-1][0] and len(held) >= CHUNK:
                     yield from out(held)
                     held = []
-                if not held or row[:2] != held[-1][:2]:
-                    held.append(row)
+                held.append(row)
         if held:
             yield from out(held)
 
-    return ctxs.repartition(tasks, "kg").sortWithinPartitions("kg", "ctx").mapInArrow(run, RUNS)
+    chosen = ctxs.select("g", "kg", "ctx", "d0", "d1", "before", "bytes")
+    return chosen.repartition(tasks, "g").sortWithinPartitions("g").mapInArrow(run, RUNS)
+
 
+PARTS = 4
 
-def count_windows(ctxs: DataFrame) -> DataFrame:
-    """The same for groups too large for a task: windows by their 128-bit hashes, counted by a partial aggregate."""
+
+def split(hot: DataFrame, hash_: Hash, seed: int, with_bytes: bool) -> DataFrame:
+    """hot: CONTEXT, g, and lo and hi, the range of distances d that g stands for. Each row once for every quarter of its range with windows of its
+    own; g becomes a hash of the old one, the quarter, and the bytes that all windows of the quarter share."""
+    keys = "g long"
+    schema = keys + (", lo int, hi int, " + CONTEXT) * with_bytes
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kg, ctx, d0, d1, before, data = (c.to_pylist() for c in batch.columns)
-            out = [(kg[i], ctx[i], d, *np.frombuffer(xxhash.xxh3_128_digest(x[before[i] - d : before[i] - d + WINDOW]), dtype=np.int64).tolist()) for i, x in enumerate(data) for d in range(d0[i], d1[i] + 1)]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names=["kg", "ctx", "d", "h1", "h2"])
-
-    w = stage(ctxs.mapInArrow(run, "kg long, ctx long, d long, h1 long, h2 long").distinct(), "windows")
-    many = w.groupBy("kg", "d", "h1", "h2").agg(F.count("*").alias("n")).where("n > 1").drop("n")
-    d = F.col("d").cast("int")
-    return w.join(many, ["kg", "d", "h1", "h2"]).select("kg", "ctx", d.alias("d0"), d.alias("d1"))
+            at: list[int] = []
+            out: list[tuple[int, int, int, int, int]] = []
+            for i, (g, lo, hi, d0, d1, before, data) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("g", "lo", "hi", "d0", "d1", "before", "bytes")), strict=True)):
+                for k in range(PARTS):
+                    a, z = lo + (hi - lo + 1) * k // PARTS, lo + (hi - lo + 1) * (k + 1) // PARTS - 1
+                    first, last = max(d0, a), min(d1, z)
+                    if first <= last:
+                        core = data[before - a : before - z + WINDOW]
+                        h = hash_(b"%d %d %d " % (g, a, z) + core, seed + 2)
+                        at.append(i)
+                        out.append((h - (1 << 64) if h >> 63 else h, a, z, first, last))
+            g2, a2, z2, first2, last2 = zip(*out, strict=True) if out else ((),) * 5
+            cols = [pa.array(g2, pa.int64())]
+            if with_bytes:
+                own = batch.take(pa.array(at, pa.int32()))
+                new = {"d0": pa.array(first2, pa.int32()), "d1": pa.array(last2, pa.int32())}
+                cols += [pa.array(a2, pa.int32()), pa.array(z2, pa.int32()), *(new.get(c, own.column(c)) for c in CONTEXT_NAMES)]
+            yield pa.RecordBatch.from_arrays(cols, names=["g", "lo", "hi", *CONTEXT_NAMES][: len(cols)])
+
+    return hot.mapInArrow(run, schema)
+
+
+def settle_hot(hot: DataFrame, hash_: Hash, seed: int) -> DataFrame:
+    """The runs (RUNS) of groups that are too large to be sorted in one task."""
+    spark = hot.sparkSession
+    found = None
+    rows = hot.withColumn("g", F.col("kg")).withColumn("lo", F.lit(0)).withColumn("hi", F.lit(LEFT))
+    while True:
+        # Groups are counted without bytes first; most contexts of a common phrase share no core with others and end here.
+        counts = stage(split(rows, hash_, seed, False).groupBy("g").agg(F.count("*").alias("n")).where("n > 1"), "counts")
+        met = stage(split(rows, hash_, seed, True).join(counts, "g"), "hot")
+        whole = met.where("lo = hi")
+        window = F.substring("bytes", F.col("before") - F.col("lo") + 1, F.lit(WINDOW))
+        if not whole.groupBy("g").agg(F.min(window).alias("a"), F.max(window).alias("z")).where("a != z").isEmpty():
+            raise Collision
+        few = met.where((F.col("lo") < F.col("hi")) & (F.col("n") <= HOT))
+        runs = sort_groups(few, shuffle_partitions(spark, few.count(), PER_TASK)).unionByName(whole.select("kg", "ctx", "d0", "d1"))
+        found = runs if found is None else found.unionByName(runs)
+        rows = met.where((F.col("lo") < F.col("hi")) & (F.col("n") > HOT)).drop("n")
+        if rows.isEmpty():
+            return found
 
 
 #: (kg, ctx) pairs that a task counts before it hands them on.
@@ -344,7 +447,8 @@ COMBINE = 2_000_000
 def counted(a: DataFrame) -> DataFrame:
     """(kg, ctx, n, m) of the contexts found more than once (n), or sharing their KGRAM with others (m contexts).
 
-    Each task counts its own pairs first, so that copies are one row a task; one exchange by KGRAM then serves all three aggregates."""
+    Each task counts its own pairs first, so that copies are one row a task. Contexts are counted by KGRAM with partial aggregates, and
+    learn m in a join in which a KGRAM with more than SPREAD of them is dealt by context, too."""
 
     def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -361,30 +465,50 @@ def counted(a: DataFrame) -> DataFrame:
         if held:
             yield out()
 
-    pairs = a.select("kg", "ctx").mapInArrow(combine, "kg long, ctx long, n long").repartition("kg")
-    by_ctx = pairs.groupBy("kg", "ctx").agg(F.sum("n").alias("n"))
-    shared = by_ctx.groupBy("kg").agg(F.count("*").alias("m"))
-    return by_ctx.join(shared, "kg").where("n > 1 or m > 1")
+    pairs = a.select("kg", "ctx").mapInArrow(combine, "kg long, ctx long, n long")
+    by_ctx = stage(pairs.groupBy("kg", "ctx").agg(F.sum("n").alias("n")), "pairs")
+    shared = stage(by_ctx.groupBy("kg").agg(F.count("*").alias("m")).where("m > 1"), "shared")
+    hot = a.sparkSession.sparkContext.broadcast(key_filter(shared.where(F.col("m") > SPREAD).select(F.col("kg").alias("k1"), F.col("kg").alias("k2"))))  # bounded by MAX_BITS
 
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            k = batch.column("kg").to_numpy()
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(hot.value.passes(k, k))], names=[*batch.schema.names, "hot"])
 
-def repeated_windows(rows: DataFrame) -> DataFrame:
-    """rows: as from keyed(). (k1, k2, ranges): per distinct id and text, the byte ranges to drop."""
+    # Both sides ask the same filter, so that it need not be right about a KGRAM, only the same.
+    left = by_ctx.mapInArrow(mark, "kg long, ctx long, n long, hot boolean").withColumn("salt", F.when(F.col("hot"), F.pmod("ctx", F.lit(SALTS))).otherwise(0))
+    right = shared.mapInArrow(mark, "kg long, m long, hot boolean").withColumn("salt", F.explode(F.when(F.col("hot"), F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).otherwise(F.array(F.lit(0).cast("long")))))
+    met = left.drop("hot").join(right.drop("hot"), ["kg", "salt"], "left").drop("salt")
+    return met.select("kg", "ctx", "n", F.coalesce("m", F.lit(1)).alias("m")).where("n > 1 or m > 1")
+
+
+def windows_found(rows: DataFrame, hash_: Hash, seed: int) -> DataFrame:
+    """As repeated_windows, with one choice of hashes; may raise Collision."""
     spark = rows.sparkSession
-    a = stage(anchors(rows), "anchors")
+    a = stage(anchors(rows, hash_, seed), "anchors")
     met = stage(a.join(stage(counted(a), "counted"), ["kg", "ctx"]), "met")
-    # A context found twice is settled, and still serves as the other side of those found once.
-    one = met.where("m > 1").groupBy("kg", "ctx").agg(F.min(F.struct("k1", "k2", "at", "d0", "d1")).alias("one"), F.first("m").alias("m"))
-    open_ = stage(one.select("kg", "ctx", "one.*", "m"), "open")
-    todo = open_.agg(F.count("*"), F.count_if(F.col("m") > HOT)).first()
+    ctxs = agreed(contexts(rows, met))
+    todo = ctxs.agg(F.count("*"), F.count_if(F.col("m") > HOT)).first()
     at = lambda d0, d1: F.struct((F.col("at") - F.col(d1)).alias("first"), (F.col("at") - F.col(d0) + WINDOW).alias("last")).alias("r")
+    # A context found twice is settled, and still serves as the other side of those found once.
     cover = met.where("n > 1").select("k1", "k2", at("d0", "d1"))
     single = met.where("n = 1").select("k1", "k2", "kg", "ctx", "at")
     if todo[0] - todo[1]:
-        some = stage(contexts(rows, open_.where(F.col("m") <= HOT)), "contexts")
-        cover = cover.unionByName(single.join(stage(sort_groups(some, shuffle_partitions(spark, todo[0], PER_TASK)), "runs"), ["kg", "ctx"]).select("k1", "k2", at("d0", "d1")))
+        few = ctxs.where(F.col("m") <= HOT).withColumn("g", F.col("kg"))
+        cover = cover.unionByName(single.join(stage(sort_groups(few, shuffle_partitions(spark, todo[0], PER_TASK)), "runs"), ["kg", "ctx"]).select("k1", "k2", at("d0", "d1")))
     if todo[1]:
-        cover = cover.unionByName(single.join(stage(count_windows(contexts(rows, open_.where(F.col("m") > HOT))), "runs"), ["kg", "ctx"]).select("k1", "k2", at("d0", "d1")))
-    return cover.groupBy("k1", "k2").agg(F.collect_set("r").alias("ranges"))
+        cover = cover.unionByName(single.join(stage(settle_hot(ctxs.where(F.col("m") > HOT), hash_, seed), "runs"), ["kg", "ctx"]).select("k1", "k2", at("d0", "d1")))
+    return cover.groupBy("k1", "k2").agg(F.collect_set("r").alias("ranges"))  # bounded by the text's length
+
+
+def repeated_windows(rows: DataFrame, hash_: Hash = content_hash) -> DataFrame:
+    """rows: as from keyed(). (k1, k2, ranges): per distinct id and text, the byte ranges to drop."""
+    for seed in range(0, 30, 10):
+        try:
+            return windows_found(rows, hash_, seed)
+        except Collision:
+            pass
+    raise RuntimeError("hash collisions with three choices of hashes")
 
 
 def cut(data: bytes, ranges: list[tuple[int, int]]) -> tuple[bytes, list[list[int]]]:
@@ -403,37 +527,38 @@ def cut(data: bytes, ranges: list[tuple[int, int]]) -> tuple[bytes, list[list[in
 
 
 NAMES = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "spans"]
-KINDS = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.list_(pa.list_(pa.int32()))]
+KINDS = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.list_(pa.list_(pa.int32()))]
 
 
-def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", with_text: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", with_text: bool = False, hash_: Hash = content_hash) -> DataFrame:
     """Per row: doc_id, n_bytes, n_removed, n_spans, kept_sha256; with_text adds kept (bytes) and spans.
 
     Rows that lose nothing are reported where they are read; only the others meet their ranges in an exchange."""
     spark = configure(docs.sparkSession)
     rows = keyed(docs, doc_id, text)
-    ranges = stage(repeated_windows(rows), "ranges")
+    ranges = stage(repeated_windows(rows, hash_), "ranges")
     shared = spark.sparkContext.broadcast(key_filter(ranges))  # bounded by MAX_BITS
-    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary, spans array<array<int>>" * with_text
-    width = len(NAMES) if with_text else 5
+    results = "n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary, spans array<array<int>>" * with_text
+    schema = T.StructType([rows.schema["doc_id"], *T.StructType.fromDDL(results).fields])
+    width = len(schema) - 1
 
-    def result(ids: list, bodies: Iterator[bytes], ranges: Iterator[list]) -> pa.RecordBatch:
+    def result(ids: pa.Array, bodies: Iterator[bytes], ranges: Iterator[list]) -> pa.RecordBatch:
         out = []
-        for d, data, own in zip(ids, bodies, ranges, strict=True):
+        for data, own in zip(bodies, ranges, strict=True):
             kept, spans = cut(data, own)
-            out.append((d, len(data), len(data) - len(kept), len(spans), hashlib.sha256(kept).hexdigest(), kept, spans)[:width])
-        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], KINDS[i]) for i in range(width)], names=NAMES[:width])
+            out.append((len(data), len(data) - len(kept), len(spans), hashlib.sha256(kept).hexdigest(), kept, spans)[:width])
+        return pa.RecordBatch.from_arrays([ids, *(pa.array([r[i] for r in out], KINDS[i]) for i in range(width))], names=NAMES[: width + 1])
 
     def untouched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             own = batch.filter(pa.array(~shared.value.passes(batch.column("k1").to_numpy(), batch.column("k2").to_numpy())))
-            yield result(own.column("doc_id").to_pylist(), (x.as_buffer().to_pybytes() for x in own.column("text")), ([] for _ in range(own.num_rows)))
+            yield result(own.column("doc_id"), (x.as_buffer().to_pybytes() for x in own.column("text")), ([] for _ in range(own.num_rows)))
 
     def touched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         z = zstandard.ZstdDecompressor()
         for batch in batches:
-            yield result(batch.column("doc_id").to_pylist(), (z.decompress(x.as_buffer()) for x in batch.column("packed")), ([(r["first"], r["last"]) for r in x.as_py() or ()] for x in batch.column("ranges")))
+            yield result(batch.column("doc_id"), (z.decompress(x.as_buffer()) for x in batch.column("packed")), ([(r["first"], r["last"]) for r in x.as_py() or ()] for x in batch.column("ranges")))
 
-    calm = rows.select(F.col("doc_id").cast("long").alias("doc_id"), "k1", "k2", "text").mapInArrow(untouched, schema)
+    calm = rows.select("doc_id", "k1", "k2", "text").mapInArrow(untouched, schema)
     met = packed(rows, shared).join(ranges, ["k1", "k2"], "left").select("doc_id", "packed", "ranges").mapInArrow(touched, schema)
     return calm.unionByName(met)

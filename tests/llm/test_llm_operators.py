@@ -91,6 +91,29 @@ def test_substrings(docs, hot, monkeypatch):
     assert any(k[2] and k[0] is not None and k[0] < 90 for k in want)
 
 
+@pytest.mark.parametrize("weak", [0, 1, 2])
+@pytest.mark.parametrize("hot", [1, 8192])
+def test_substrings_with_forged_collisions(spark, weak, hot, monkeypatch):
+    """The first choice of one of the hashes has few values only. Ids are strings here."""
+    monkeypatch.setattr(substrings, "HOT", hot)
+    rnd = random.Random(9)
+    text = lambda n: "".join(rnd.choice("abcdefgh ") for _ in range(n))
+    passage = text(700)
+    data = [(f"d{i}", text(rnd.randint(0, 300)) + passage[rnd.randint(0, 150) : 700 - rnd.randint(0, 150)] + text(300)) for i in range(12)] + [("n", None)]
+
+    def forged(x: bytes, seed: int) -> int:
+        h = xxhash.xxh3_64_intdigest(x, seed)
+        return h % 3 if seed == weak else h
+
+    seen = Counter(t[i : i + 400] for _, t in data if t for i in range(len(t) - 399))
+    want = {}
+    for d, t in data:
+        hit = {j for i in range(len(t or "") - 399) if seen[t[i : i + 400]] > 1 for j in range(i, i + 400)}
+        want[d] = len(hit)
+    got = substrings.remove_repeats(spark.createDataFrame(data, "doc_id string, text string").repartition(3), hash_=forged).collect()
+    assert {r.doc_id: r.n_removed for r in got} == want and sum(want.values())
+
+
 def test_substring_slices_meet(monkeypatch):
     b = np.frombuffer(" ".join(str(i * 7919 % 1000) for i in range(4000)).encode(), dtype=np.uint8)
     t = tn.Texts(b, np.zeros(1, dtype=np.int64), np.array([len(b)]))
