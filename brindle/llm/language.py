@@ -1,6 +1,6 @@
 """Language identification by bit-sliced Bloom filters of byte n-grams.
 
-Fit: on at most FIT_DOCS labelled documents of each language (those with the smallest hashes of id and text; the bound is a
+Fit: on at most FIT_DOCS labelled documents of each language (of different texts, those with the smallest hashes; the bound is a
 parameter), n-grams are counted per language. A language keeps the MAX_GRAMS most frequent ones among those whose rate in it is
 at least SHARE of the highest rate in any language. All languages share one Bloom filter whose slots hold a bit per
 language, so that one look-up of K slots, ANDed, returns all languages that contain the n-gram.
@@ -121,10 +121,13 @@ def fit(docs: DataFrame, lang: str = "lang", text: str = "text", key: Column | N
     if not langs:
         return Filters([], UNKNOWN, [])
     prior = max(langs, key=lambda v: count[v])
-    # Documents below their language's threshold: about fit_docs of each, in the order of a hash.
+    # Below its language's threshold lie about fit_docs documents of each; of these, different texts only, and no more than fit_docs.
     part = F.element_at(F.create_map(*[F.lit(v) for k in langs for v in (k, min(1.0, fit_docs / count[k]))]), x[lang])
     key = F.xxhash64(x[text]) if key is None else key
-    sample = x.where(F.pmod(key, F.lit(1 << 30)) < part * float(1 << 30))
+    place = F.pmod(key, F.lit(1 << 30))
+    below = x.where(place < part * float(1 << 30)).select(x[lang].alias("lang"), x[text].alias("text"), place.alias("place"), F.xxhash64(x[text]).alias("of"))
+    distinct = below.groupBy("lang", "place", "of").agg(F.first("text").alias("text"))
+    sample = distinct.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("place", "of"))).where(F.col("k") <= fit_docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, tuple[np.ndarray, np.ndarray]] = {}
@@ -141,7 +144,7 @@ def fit(docs: DataFrame, lang: str = "lang", text: str = "text", key: Column | N
         for name, (u, n) in held.items():
             yield pa.RecordBatch.from_arrays([pa.array([name] * len(u)), pa.array(u.view(np.int64)), pa.array(n)], names=["lang", "gram", "n"])
 
-    counted = sample.select(x[lang].alias("lang"), x[text].alias("text")).mapInArrow(run, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    counted = sample.repartition("of").select("lang", "text").mapInArrow(run, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     of_lang = Window.partitionBy("lang")
     rates = counted.withColumn("rate", F.col("n") / F.sum("n").over(of_lang))
     rates = rates.withColumn("top", F.max("rate").over(Window.partitionBy("gram"))).where(F.col("rate") >= SHARE * F.col("top"))

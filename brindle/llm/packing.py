@@ -10,7 +10,7 @@ One result row is a matrix of up to MATRIX_ROWS rows of ``seq_len`` little-endia
 cumulative lengths of its segments (padding closes a row as a segment of its own) and the places
 where positions start from 0 again.
 
-Cases: a null or empty text is a document of the end token alone. Null and repeated ids stay as they
+Cases: a null or empty text is a document of the end token alone. Ids of any type, null and repeated ones too, stay as they
 are: ``doc_nos`` tells documents of a block apart. An empty table gives no matrices. Extra columns
 are ignored.
 """
@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .runtime import configure
 
@@ -36,7 +37,8 @@ MATRIX_ROWS = 64
 BLOCK_TOKENS = 2_000_000
 PAD = 0
 
-SCHEMA = "block string, matrix int, n_rows int, seq_len int, n_tokens long, ids binary, cu_seqlens array<int>, position_resets array<int>, doc_ids array<long>, doc_nos array<int>, doc_offsets array<int>"
+#: Of the matrices; doc_ids has the type of the ids.
+SCHEMA = "block string, matrix int, n_rows int, seq_len int, n_tokens long, ids binary, cu_seqlens array<int>, position_resets array<int>, doc_ids array<{id}>, doc_nos array<int>, doc_offsets array<int>"
 
 _loaded: dict[str, tuple[Callable[[list[str]], list], int]] = {}
 
@@ -142,7 +144,7 @@ def best_fit(sizes: np.ndarray, seq_len: int) -> list[list[int]]:
     return rows
 
 
-def pack_block(name: str, doc_ids: list, tokens: list[np.ndarray], seq_len: int) -> Iterator[pa.RecordBatch]:
+def pack_block(name: str, doc_ids: list, tokens: list[np.ndarray], seq_len: int, kind: pa.DataType) -> Iterator[pa.RecordBatch]:
     size = np.array([len(x) for x in tokens], dtype=np.int64)
     parts = -(-size // seq_len)
     doc = np.repeat(np.arange(len(size)), parts)
@@ -172,7 +174,7 @@ def pack_block(name: str, doc_ids: list, tokens: list[np.ndarray], seq_len: int)
         one = lambda v, kind: pa.array([v], kind)
         ints = pa.list_(pa.int32())
         yield pa.RecordBatch.from_arrays(
-            [one(name, pa.string()), one(m // MATRIX_ROWS, pa.int32()), one(len(own), pa.int32()), one(seq_len, pa.int32()), one(used, pa.int64()), one(ids.tobytes(), pa.binary()), one(cuts, ints), one(cuts[:-1], ints), one(ends, pa.list_(pa.int64())), one(nos, ints), one(offsets, ints)],
+            [one(name, pa.string()), one(m // MATRIX_ROWS, pa.int32()), one(len(own), pa.int32()), one(seq_len, pa.int32()), one(used, pa.int64()), one(ids.tobytes(), pa.binary()), one(cuts, ints), one(cuts[:-1], ints), one(ends, pa.list_(kind)), one(nos, ints), one(offsets, ints)],
             names=["block", "matrix", "n_rows", "seq_len", "n_tokens", "ids", "cu_seqlens", "position_resets", "doc_ids", "doc_nos", "doc_offsets"],
         )
 
@@ -186,20 +188,21 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str
         task, k = TaskContext.get().partitionId(), 0
         ids, tokens, held = [], [], 0
         for batch in batches:
-            names, bodies = batch.column(0).to_pylist(), batch.column(1)
+            names, bodies, kind = batch.column(0).to_pylist(), batch.column(1), batch.column(0).type
             for i in range(0, len(names), 64):
                 for d, x in zip(names[i : i + 64], encode([x or "" for x in bodies.slice(i, 64).to_pylist()]), strict=True):
                     own = np.append(x, end).astype(np.int32)
                     if held and held + len(own) > block_tokens:
-                        yield from pack_block(f"{task}-{k}", ids, tokens, seq_len)
+                        yield from pack_block(f"{task}-{k}", ids, tokens, seq_len, kind)
                         ids, tokens, held, k = [], [], 0, k + 1
                     ids.append(d)
                     tokens.append(own)
                     held += len(own)
         if ids:
-            yield from pack_block(f"{task}-{k}", ids, tokens, seq_len)
+            yield from pack_block(f"{task}-{k}", ids, tokens, seq_len, kind)
 
-    return docs.select(docs[doc_id].cast("long"), docs[text]).mapInArrow(run, SCHEMA)
+    chosen = docs.select(docs[doc_id], docs[text])
+    return chosen.mapInArrow(run, SCHEMA.format(id=chosen.schema[0].dataType.simpleString()))
 
 
 def unpack(matrices: DataFrame) -> DataFrame:
@@ -207,15 +210,17 @@ def unpack(matrices: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            kind = batch.column("doc_ids").type.value_type
             for x in batch.to_pylist():
                 flat = np.frombuffer(x["ids"], dtype="<i4")
                 cu = x["cu_seqlens"]
                 own = [i for i, d in enumerate(x["doc_nos"]) if d >= 0]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([x["block"]] * len(own), pa.string()), pa.array([x["doc_nos"][i] for i in own], pa.int32()), pa.array([x["doc_ids"][i] for i in own], pa.int64()), pa.array([x["doc_offsets"][i] for i in own], pa.int32()), pa.array([flat[cu[i] : cu[i + 1]] for i in own], pa.list_(pa.int32()))],
+                    [pa.array([x["block"]] * len(own), pa.string()), pa.array([x["doc_nos"][i] for i in own], pa.int32()), pa.array([x["doc_ids"][i] for i in own], kind), pa.array([x["doc_offsets"][i] for i in own], pa.int32()), pa.array([flat[cu[i] : cu[i + 1]] for i in own], pa.list_(pa.int32()))],
                     names=["block", "doc_no", "doc_id", "at", "part"],
                 )
 
-    parts = matrices.mapInArrow(run, "block string, doc_no int, doc_id long, at int, part array<int>")
+    ids = matrices.schema["doc_ids"].dataType.elementType
+    parts = matrices.mapInArrow(run, T.StructType.fromDDL(f"block string, doc_no int, doc_id {ids.simpleString()}, at int, part array<int>"))
     # All parts of a document lie in one block, whose size is bounded.
     return parts.groupBy("block", "doc_no").agg(F.first("doc_id").alias("doc_id"), F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("at", "part"))), lambda x: x["part"])).alias("ids"))

@@ -14,7 +14,8 @@ A band value that more than REFINE distinct fingerprints share is dealt again by
 the other 48 bits (any pair within 3 differences agrees in one), so a hot value spreads over tasks.
 
 Cases: null and empty texts have fingerprint zero and link like others. Null doc_ids stand aside when
-the smallest is chosen; a component of null ids only has a null id. Repeated rows stay repeated.
+the smallest is chosen; a component of null ids only has a null id. Ids of any type that can be compared stay as they are.
+Repeated rows stay repeated.
 """
 
 from __future__ import annotations
@@ -227,7 +228,7 @@ def links(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, fingerprint, component_id): one row per document."""
-    fp = stage(fingerprints(docs.select(docs[doc_id].cast("long").alias("doc_id"), docs[text].alias("text")), "text", ["doc_id"]), "fingerprints")
+    fp = stage(fingerprints(docs.select(docs[doc_id].alias("doc_id"), docs[text].alias("text")), "text", ["doc_id"]), "fingerprints")
     least = fp.groupBy("fp").agg(F.min("doc_id").alias("own"))
     roots = components(links(least.select("fp")))
     named = least.join(roots, least.fp == roots.node, "left").select("fp", F.coalesce("root", "fp").alias("root"), "own")
@@ -242,7 +243,7 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     own = docs.columns
     n = len(own)
     plain = docs.select(*[docs[c].alias(f"_{i}") for i, c in enumerate(own)])
-    row_id, body = F.col(f"_{own.index(doc_id)}").cast("long"), f"_{own.index(text)}"
+    row_id, body = F.col(f"_{own.index(doc_id)}"), f"_{own.index(text)}"
     # (h, g) tells rows apart; neither is null, so that one exchange serves the join and the aggregate below.
     hashed, second = F.xxhash64(*[F.col(f"_{i}") for i in range(n)]), F.xxhash64(F.lit(1), *[F.col(f"_{i}") for i in reversed(range(n))])
     plain = plain.withColumn("h", hashed).withColumn("g", second)

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .runtime import stage
+from .runtime import shuffle_partitions, stage
 
 PREFIX = 8
 BROADCAST_RULES = 100_000
@@ -70,7 +70,8 @@ def judge(urls: DataFrame, rules: DataFrame, url: str = "url", default: str = DE
     lengths = sorted(r.n for r in own.select(F.length("rule_path").alias("n")).distinct().collect())  # no more than a path has characters
     host, path = parts(F.col("url"))
     distinct = urls.select(urls[url].alias("url")).distinct().select("url", host.alias("host"), path.alias("path"))
-    distinct = stage(distinct, "urls")
+    # Expanding is the work here; a fixed number of parts keeps it spread where few bytes would be put together.
+    distinct = stage(distinct.repartition(shuffle_partitions(urls.sparkSession, 0, 1)), "urls")
     digests = F.flatten(F.transform(suffixes(F.col("host")), lambda h: F.transform(prefixes(F.col("path"), lengths), lambda p: F.sha2(expression(h, p), 256))))
     asked = distinct.select("url", F.explode(digests).alias("asked")) if lengths else distinct.select("url", F.lit("").alias("asked")).limit(0)
     asked = asked.withColumn("ask_short", F.substring("asked", 1, PREFIX))
@@ -88,4 +89,7 @@ def judge(urls: DataFrame, rules: DataFrame, url: str = "url", default: str = DE
 def filter_pages(pages: DataFrame, rules: DataFrame, page_id: str = "page_id", url: str = "url", default: str = DEFAULT) -> DataFrame:
     """(page_id, host, path, rule, verdict) of every page."""
     own = pages.select(pages[page_id].alias("page_id"), pages[url].alias("url1"))
-    return own.join(judge(pages, rules, url, default), F.col("url1").eqNullSafe(F.col("url")), "left").select("page_id", "host", "path", "rule", "verdict")
+    verdicts = judge(pages.where(pages[url].isNotNull()), rules, url, default)
+    met = own.where("url1 is not null").join(verdicts, F.col("url1") == F.col("url"), "left").select("page_id", "host", "path", "rule", "verdict")
+    none = own.where("url1 is null").select("page_id", F.lit("").alias("host"), F.lit("").alias("path"), F.lit(None).cast("string").alias("rule"), F.lit(default).alias("verdict"))
+    return met.unionByName(none)

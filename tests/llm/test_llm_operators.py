@@ -262,7 +262,7 @@ def test_test_items_in_blocks(docs, bench, monkeypatch):
     assert Counter(tuple(r) for r in decontaminate.decontaminate(docs, bench).collect()) == one
 
 
-URLS = [None, "nourl", "http://A.B.Example.ORG/en/12?x#y", "x://org", "http://org?x://com/de/", "https://sub.com/de/É", "https://com/fr/", "http://example.org/es/", "http://notexample.org/es/", "http://example.org", "a://b.com/dex", "x://com/de/a#/fr/", "http://example.org/es/"]
+URLS = [None, "nourl", "http://A.B.Example.ORG/en/12?x#y", "x://org", "http://org?x://com/de/", "https://sub.com/de/É", "https://com/fr/", "http://example.org/es/", "http://notexample.org/es/", "http://example.org", "http://" + "a." * 3000 + "example.org/es/" + "x" * 50_000, "a://b.com/dex", "x://com/de/a#/fr/", "http://example.org/es/"]
 
 
 @pytest.mark.parametrize("few", [100, 0])
@@ -426,6 +426,38 @@ def test_packing_round_trip(docs, empty, path):
     assert packing.pack(empty).count() == 0
 
 
+def test_ids_of_any_type(spark):
+    data = [("b", "one two three four"), ("a", "one two three four"), (None, "one two three four"), ("c", "something else entirely different"), ("d", None)]
+    df = spark.createDataFrame(data, "doc_id string, text string")
+    got = {r.doc_id: r.component_id for r in simhash.near_duplicates(df).collect()}
+    assert got == {"b": "a", "a": "a", None: "a", "c": "c", "d": "d"}
+    assert sorted(r.doc_id for r in simhash.keep_one(df).collect()) == ["a", "c", "d"]
+    encode, end = packing.tokenizer(packing.TOKENIZER)
+    back = packing.unpack(packing.pack(df, seq_len=8)).collect()
+    assert Counter((r.doc_id, *r.ids) for r in back) == Counter((d, *[int(x) for x in encode([t or ""])[0]], end) for d, t in data)
+
+
+def test_a_document_longer_than_a_block(spark):
+    df = spark.createDataFrame([(1, "some words and more " * 3000), (2, "short"), (3, "words " * 40)], "doc_id long, text string")
+    m = packing.pack(df.coalesce(1), seq_len=64, block_tokens=500)
+    encode, end = packing.tokenizer(packing.TOKENIZER)
+    assert {r.doc_id: list(r.ids) for r in packing.unpack(m).collect()} == {r.doc_id: [int(x) for x in encode([r.text])[0]] + [end] for r in df.collect()}
+
+
+def test_packing_loses_nothing_however_rows_are_ordered(docs):
+    there, back = (packing.unpack(packing.pack(d, seq_len=128, block_tokens=5000)) for d in (docs.coalesce(1).orderBy("doc_id"), docs.coalesce(1).orderBy(F.desc("doc_id"))))
+    assert Counter((r.doc_id, *r.ids) for r in there.collect()) == Counter((r.doc_id, *r.ids) for r in back.collect())
+
+
+def test_language_fit_is_bounded(spark):
+    """One text repeated very often counts once, and no more than fit_docs different ones are learned."""
+    rnd = random.Random(2)
+    data = [("en", "the same text again")] * 3000 + [("en", "".join(rnd.choice("abcdefgh ") for _ in range(40))) for _ in range(300)] + [("fr", "zéro un deux trois")]
+    f = language.fit(spark.createDataFrame(data, "lang string, text string"), fit_docs=10)
+    known = lambda x: (f.masks(language.grams(language.lowered(pa.array([x])))[0])[:, 0] & 1).astype(bool).all()
+    assert f.langs == ["en", "fr"] and sum(known(t) for t in {t for la, t in data if la == "en"}) <= 10
+
+
 def test_best_fit_matches_a_plain_search():
     rnd = random.Random(3)
     sizes = np.array([rnd.randint(1, 64) for _ in range(500)])
