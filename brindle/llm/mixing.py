@@ -27,7 +27,7 @@ from .runtime import configure, stage
 WEIGHTS = (5, 2, 1)
 MAX_COPIES = 3
 SEED = 20
-CLASSES = 1 << 16
+CLASSES = 4096
 #: A document with twice the words is expected 1 / (LENGTH_BASE + digits) more often.
 LENGTH_BASE = 20
 #: How often a cut is sought: once, and again in the rest of the order after documents that don't fit are stepped over.
