@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 DAY = 86_400_000_000
 
+#: Aggregates that a feature view may ask for.
+AGGREGATES = {"count": F.count, "count_distinct": F.count_distinct, "sum": F.sum, "avg": F.avg}
+
 
 def micros(ts: str | Column) -> Column:
     return F.unix_micros((F.col(ts) if isinstance(ts, str) else ts).cast("timestamp"))

@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from brindle.functions.exprs import age_days, clip, half_life
+from brindle.functions.exprs import AGGREGATES, age_days, clip, half_life
 from brindle.sources.config import Aggregation, FeatureView, Source
 
 
 def _aggregate(a: Aggregation, inside: Column) -> Column:
     v = F.when(inside, F.col(a.column))
-    return {"count": F.count, "count_distinct": F.count_distinct, "sum": F.sum, "avg": F.avg}[a.function](v)
+    return AGGREGATES[a.function](v)
 
 
 def window_features(rows: DataFrame, source: Source, entity: str, as_of: str, windows: tuple[int, ...]) -> DataFrame:

@@ -76,15 +76,36 @@ def colour(c: Column) -> Column:
     return F.get(find_surfaces(c, {x: x for x in COLOURS}), F.lit(0))
 
 
+#: Characters that are counted one by one for the bound below; others fall into classes by code point.
+BAG = 64
+
+
+def bag(c: Column) -> Column:
+    """How many characters of a text fall into each of BAG classes."""
+    codes = F.transform(F.split(c, ""), lambda x: F.pmod(F.ascii(x), F.lit(BAG)))
+    return F.transform(F.sequence(F.lit(0), F.lit(BAG - 1)), lambda i: F.size(F.filter(codes, lambda v: v == i)))
+
+
+def ratio_bound(a: Column, b: Column, bag_a: Column, bag_b: Column) -> Column:
+    """No alignment of two texts can have a higher ratio: it matches no more characters than both have of each class."""
+    common = F.aggregate(F.zip_with(bag_a, bag_b, lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
+    return F.when(F.length(a) + F.length(b) > 0, 2 * common / (F.length(a) + F.length(b))).otherwise(1.0)
+
+
 def match_listings(products: DataFrame, listings: DataFrame, threshold: float = 0.78) -> DataFrame:
     """Best product per listing, then best listing per product and competitor. products: sku, title, brand, category, price;
     listings: listing_id, competitor, title, brand, category, price. Compared within brand and category only (an equi-join); a token-overlap bound comes before alignment."""
     block = F.concat_ws("|", F.lower(F.trim(F.coalesce("brand", F.lit("")))), F.lower(F.coalesce("category", F.lit(""))))
     p = products.select(block.alias("block"), "sku", normal_title(F.col("title")).alias("t1"), F.col("price").alias("our_price"))
     c = listings.select(block.alias("block"), "listing_id", "competitor", normal_title(F.col("title")).alias("t2"), F.col("price").alias("their_price"))
-    # Titles are compared once per pair of titles, not once per pair of products.
-    titles = p.select("block", "t1").distinct().join(c.select("block", "t2").distinct(), "block").select("t1", "t2").distinct()
-    titles = titles.withColumn("title_score", token_set_ratio("t1", "t2")).where("title_score >= 0.5").withColumn("attr_score", agreement([(colour(F.col("t1")), colour(F.col("t2")))]))
+    # Titles are compared once per pair of titles, not once per pair of products. Without a common word only the whole texts are aligned, so that their
+    # characters bound the score; at least 0.5 of it is asked for, and as much as the threshold needs with the other scores full.
+    need = max(0.5, (threshold - 0.30) / 0.70 - 1e-9)
+    sets = lambda df, i: df.withColumn(f"w{i}", F.array_distinct(F.split(f"t{i}", " "))).withColumn(f"s{i}", F.array_join(f"w{i}", " ")).withColumn(f"b{i}", bag(F.col(f"s{i}")))
+    left, right = sets(p.select("block", "t1").distinct(), 1), sets(c.select("block", "t2").distinct(), 2)
+    near = F.arrays_overlap("w1", "w2") | (ratio_bound(F.col("s1"), F.col("s2"), F.col("b1"), F.col("b2")) >= need)
+    titles = left.join(right, "block").where(near).select("t1", "t2").distinct()
+    titles = titles.withColumn("title_score", token_set_ratio("t1", "t2")).where(F.col("title_score") >= need).withColumn("attr_score", agreement([(colour(F.col("t1")), colour(F.col("t2")))]))
     j = p.join(c, "block").join(titles, ["t1", "t2"]).withColumn("price_score", plausibility(F.col("our_price"), F.col("their_price")))
     j = j.withColumn("score", 0.70 * F.col("title_score") + 0.15 * F.col("attr_score") + 0.15 * F.col("price_score"))
     one = top_k(j, ["listing_id"], [F.desc(F.round("score", 9)), F.asc("sku")], 1, "_r").where(F.col("score") >= threshold)
@@ -95,11 +116,13 @@ def match_listings(products: DataFrame, listings: DataFrame, threshold: float =
 def duplicate_listings(products: DataFrame, threshold: float = 0.85) -> DataFrame:
     """(a, b, score) within a brand. Distinct titles are aligned once per brand, not once per pair of products."""
     t = products.withColumn("t", squash(F.replace(F.lower("title"), F.lit("-"), F.lit(" "))))
-    names = t.select("brand", "t").distinct()
+    names = t.select("brand", "t").distinct().withColumn("b", bag(F.col("t")))
     l, r = names.alias("l"), names.alias("r")
-    al = l.join(r, (F.col("l.brand") == F.col("r.brand")) & (F.col("l.t") <= F.col("r.t"))).select(F.col("l.brand").alias("brand"), F.col("l.t").alias("t1"), F.col("r.t").alias("t2"))
-    # A price ratio of 1 adds 0.2: titles below the rest can't reach the threshold.
-    al = al.withColumn("sim", F.greatest(alignment("t1", "t2"), alignment("t2", "t1"))).where(F.col("sim") >= (threshold - 0.2) / 0.8 - 1e-9)
+    # A price ratio of 1 adds 0.2: titles below the rest can't reach the threshold, and those whose characters don't allow it are not aligned.
+    need = (threshold - 0.2) / 0.8 - 1e-9
+    may = ratio_bound(F.col("l.t"), F.col("r.t"), F.col("l.b"), F.col("r.b")) >= need
+    al = l.join(r, (F.col("l.brand") == F.col("r.brand")) & (F.col("l.t") <= F.col("r.t")) & may).select(F.col("l.brand").alias("brand"), F.col("l.t").alias("t1"), F.col("r.t").alias("t2"))
+    al = al.withColumn("sim", F.greatest(alignment("t1", "t2"), alignment("t2", "t1"))).where(F.col("sim") >= need)
     a = t.select("brand", F.col("t").alias("t1"), F.col("sku").alias("a"), F.col("price").alias("pa"))
     b = t.select("brand", F.col("t").alias("t2"), F.col("sku").alias("b"), F.col("price").alias("pb"))
     j = al.join(a, ["brand", "t1"]).join(b, ["brand", "t2"]).where((F.col("a") != F.col("b")) & ((F.col("t1") != F.col("t2")) | (F.col("a") < F.col("b"))))

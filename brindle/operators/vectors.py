@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -29,36 +30,127 @@ def dense(sparse: DataFrame, key: str, dim: int = 128) -> DataFrame:
     return m.select(key, F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), lambda i: F.coalesce(F.element_at("m", i), F.lit(0.0))).alias("vector"))
 
 
-def sparse_neighbours(sparse: DataFrame, key: str, k: int) -> DataFrame:
-    """(key, other, score, rank): top k by dot product, itself excluded, through the slots that two items share."""
-    a, b = sparse.alias("a"), sparse.alias("b")
-    pair = a.join(b, (F.col("a.slot") == F.col("b.slot")) & (F.col(f"a.{key}") != F.col(f"b.{key}")))
-    s = pair.groupBy(F.col(f"a.{key}").alias(key), F.col(f"b.{key}").alias("other")).agg(F.sum(F.col("a.value") * F.col("b.value")).alias("score"))
-    return top_k(s, [key], [F.desc(F.round("score", 9)), F.asc("other")], k)
-
-
-def neighbours(items: DataFrame, queries: DataFrame, k: int, key: str = "vec_id", vector: str = "embedding", block: int = 2048) -> DataFrame:
-    """(query, other, score, rank): exact top k by cosine. A stated set of queries against all items, block by block: both sides
-    are cut into blocks of at most ``block`` rows, each pair of blocks is one matrix product, and only k rows a query leave it."""
-    pick = lambda df, name: df.select(F.col(key).cast("long").alias("id"), F.col(vector).cast("array<float>").alias("v")).withColumn(name, F.pmod(F.xxhash64("id"), F.lit(max(1, -(-df.count() // block)))))
-    q, x = pick(queries, "bq"), pick(items, "bx")
-    rows = lambda df, b: df.groupBy(b).agg(F.collect_list("id").alias("ids"), F.collect_list("v").alias("vs"))
-    left, right = rows(q, "bq"), rows(x, "bx").select("bx", F.col("ids").alias("xids"), F.col("vs").alias("xvs"))
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for r in pdf.itertuples():
-                a, b = np.stack(r.vs).astype(np.float64), np.stack(r.xvs).astype(np.float64)
-                a /= np.maximum(np.linalg.norm(a, axis=1, keepdims=True), 1e-12)
-                b /= np.maximum(np.linalg.norm(b, axis=1, keepdims=True), 1e-12)
-                s = a @ b.T
-                qi, xi = np.asarray(r.ids), np.asarray(r.xids)
-                s[qi[:, None] == xi[None, :]] = -2.0
-                m = min(k + 8, len(xi))
-                top = np.argpartition(-s, m - 1, axis=1)[:, :m]
-                yield pd.DataFrame({"query": np.repeat(qi, m), "other": xi[top].ravel(), "score": np.take_along_axis(s, top, axis=1).ravel()}).query("score > -1.5")
-
-    parts = left.crossJoin(right).repartition("bq", "bx").mapInPandas(run, "query long, other long, score double")
+class Best:
+    """The k best others of each query so far: by score, rounded to nine digits, and of equal ones by id."""
+
+    def __init__(self, queries: int, k: int):
+        self.k = k
+        self.score = np.full((queries, 0), -np.inf)
+        self.id = np.zeros((queries, 0), dtype=np.int64)
+
+    def add(self, score: np.ndarray, ids: np.ndarray) -> None:
+        """score: queries x items, -inf where there is no pair; ids ascending."""
+        m = score.shape[1]
+        # The place breaks ties: rounded scores are whole numbers here, the places a fraction below one.
+        rank = np.round(score * 1e9) - np.arange(m) / (m + 1)
+        top = np.argpartition(-rank, min(self.k, m) - 1, axis=1)[:, : self.k] if m else np.zeros((len(score), 0), dtype=np.int64)
+        s = np.concatenate([self.score, np.take_along_axis(score, top, axis=1)], axis=1)
+        i = np.concatenate([self.id, ids[top]], axis=1)
+        order = np.lexsort((i, -np.round(s * 1e9)), axis=1)[:, : self.k]
+        self.score, self.id = np.take_along_axis(s, order, axis=1), np.take_along_axis(i, order, axis=1)
+
+    def frame(self, queries: np.ndarray) -> pd.DataFrame:
+        q, j = np.nonzero(self.score > -np.inf)
+        return pd.DataFrame({"query": queries[q], "other": self.id[q, j], "score": self.score[q, j]})
+
+
+#: Queries that are broadcast at a time, and items that meet them at a time.
+QUERY_BLOCK, ITEM_BLOCK = 2048, 1024
+
+
+def search_blocks(items: DataFrame, queries: DataFrame, k: int, prepare: Callable[[list], object], score: Callable[[object, list], np.ndarray], block: int) -> DataFrame:
+    """(query, other, score): items and queries have an id (long) and the columns that ``prepare`` and ``score`` use. The queries come in blocks of at
+    most ``block`` rows, each broadcast; the items stream past where they are read, and k rows a query leave a task. Nothing is joined or shuffled
+    but those."""
+
+    def against(shared) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            ids, ready = shared.value
+            best = Best(len(ids), k)
+            for pdf in batches:
+                pdf = pdf.sort_values("id")
+                for lo in range(0, len(pdf), ITEM_BLOCK):
+                    part = pdf.iloc[lo : lo + ITEM_BLOCK]
+                    own = part["id"].to_numpy()
+                    s = score(ready, [part[c].tolist() for c in part.columns[1:]])
+                    s[ids[:, None] == own[None, :]] = -np.inf
+                    best.add(s, own)
+            yield best.frame(ids)
+
+        return run
+
+    out = None
+    spark = items.sparkSession
+    rows, it = [], queries.toLocalIterator()
+    while True:
+        rows = list(islice(it, block))
+        if not rows and out is not None:
+            return out
+        ids = np.array([r[0] for r in rows], dtype=np.int64)
+        shared = spark.sparkContext.broadcast((ids, prepare([list(c) for c in zip(*[r[1:] for r in rows], strict=True)] if rows else [[]] * (len(queries.columns) - 1))))  # block rows
+        part = items.mapInPandas(against(shared), "query long, other long, score double")
+        out = part if out is None else out.unionByName(part)
+
+
+class Postings:
+    """An inverted index of sparse queries: per slot the queries that have it, and their values."""
+
+    def __init__(self, columns: list):
+        slots, values = columns
+        n = [len(x) for x in slots]
+        self.queries = len(slots)
+        slot = np.fromiter((x for r in slots for x in r), dtype=np.int64, count=sum(n))
+        order = np.argsort(slot, kind="stable")
+        self.who = np.repeat(np.arange(len(slots)), n)[order]
+        self.value = np.fromiter((x for r in values for x in r), dtype=np.float64, count=sum(n))[order]
+        self.slot, self.at = np.unique(slot[order], return_index=True)
+        self.end = np.append(self.at[1:], len(order)).astype(np.int64)
+
+    def products(self, columns: list) -> np.ndarray:
+        """queries x items; -inf where no slot is shared."""
+        slots, values = columns
+        m, out = len(slots), np.full((self.queries, len(slots)), -np.inf)
+        step = max(1, 4_000_000 // max(1, self.queries * 32))
+        for lo in range(0, m if len(self.slot) else 0, step):
+            own = slots[lo : lo + step]
+            n = [len(x) for x in own]
+            slot = np.fromiter((x for r in own for x in r), dtype=np.int64, count=sum(n))
+            value = np.fromiter((x for r in values[lo : lo + step] for x in r), dtype=np.float64, count=sum(n))
+            item = np.repeat(np.arange(len(own)), n)
+            k = np.minimum(np.searchsorted(self.slot, slot), len(self.slot) - 1)
+            hit = self.slot[k] == slot
+            k, value, item = k[hit], value[hit], item[hit]
+            size = self.end[k] - self.at[k]
+            place = np.repeat(self.at[k] - np.cumsum(size) + size, size) + np.arange(int(size.sum()))
+            cell = self.who[place] * len(own) + np.repeat(item, size)
+            total = np.bincount(cell, weights=self.value[place] * np.repeat(value, size), minlength=self.queries * len(own))
+            met = np.bincount(cell, minlength=self.queries * len(own)) > 0
+            out[:, lo : lo + step] = np.where(met, total, -np.inf).reshape(self.queries, len(own))
+        return out
+
+
+def sparse_neighbours(sparse: DataFrame, key: str, k: int, queries: Column | None = None, block: int = QUERY_BLOCK) -> DataFrame:
+    """(key, other, score, rank): exact top k by dot product, itself excluded, among items that share a slot. sparse: key (a number), slot, value.
+    ``queries`` says which items are asked for (all); see ``search_blocks`` for how they meet."""
+    slot = F.col("slot").cast("long") if sparse.schema["slot"].dataType.simpleString() in ("int", "bigint") else F.xxhash64("slot")
+    lists = sparse.select(F.col(key).cast("long").alias("id"), slot.alias("slot"), "value").groupBy("id").agg(F.collect_list(F.struct("slot", "value")).alias("x"))  # a row of an item's slots
+    rows = lists.select("id", F.col("x.slot").alias("slots"), F.col("x.value").alias("values"))
+    asked = rows if queries is None else rows.join(sparse.where(queries).select(F.col(key).cast("long").alias("id")).distinct(), "id", "left_semi")
+    parts = search_blocks(rows, asked, k, Postings, lambda q, x: q.products(x), block)
+    kind = sparse.schema[key].dataType
+    named = parts.select(F.col("query").cast(kind).alias(key), F.col("other").cast(kind).alias("other"), "score")
+    return top_k(named, [key], [F.desc(F.round("score", 9)), F.asc("other")], k)
+
+
+def units(columns: list) -> np.ndarray:
+    v = np.array(columns[0], dtype=np.float64) if len(columns[0]) else np.zeros((0, 1))
+    return v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
+
+
+def neighbours(items: DataFrame, queries: DataFrame, k: int, key: str = "vec_id", vector: str = "embedding", block: int = QUERY_BLOCK) -> DataFrame:
+    """(query, other, score, rank): exact top k by cosine of a stated set of queries among all items; see ``search_blocks``."""
+    pick = lambda df: df.select(F.col(key).cast("long").alias("id"), F.col(vector).cast("array<float>").alias("v"))
+    parts = search_blocks(pick(items), pick(queries), k, units, lambda q, x: q @ units(x).T, block)
     return top_k(parts, ["query"], [F.desc(F.round("score", 9)), F.asc("other")], k)
 
 
@@ -95,8 +187,8 @@ def tfidf(docs: DataFrame, key: str, terms: Column, least: int = 2, share: float
     return w.join(length, key).select(key, "term", (F.col("w") / F.col("len")).alias("weight"))
 
 
-def tfidf_neighbours(weights: DataFrame, key: str, k: int, least: float = 0.08) -> DataFrame:
-    return sparse_neighbours(weights.select(key, F.col("term").alias("slot"), F.col("weight").alias("value")), key, k).where(F.col("score") >= least)
+def tfidf_neighbours(weights: DataFrame, key: str, k: int, least: float = 0.08, queries: Column | None = None) -> DataFrame:
+    return sparse_neighbours(weights.select(key, F.col("term").alias("slot"), F.col("weight").alias("value")), key, k, queries, 256).where(F.col("score") >= least)
 
 
 def pair_cosine(df: DataFrame, a: str, b: str) -> DataFrame:

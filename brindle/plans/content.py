@@ -103,10 +103,10 @@ def offers(t: Tables) -> DataFrame:
     return _round(marketing.choose_offers(scores, recent, "customer_id"))
 
 
-@query(f"""WITH {REVIEWS}, s AS (SELECT review_id, substring(body, 1, 60) AS s FROM reviews), w AS (SELECT *, regexp_extract_all(lower(s), '([a-z'']+)', 1) AS w FROM s)
+@query(f"""WITH {REVIEWS}, s AS (SELECT review_id, string_split(body, chr(10))[1] AS s FROM reviews), w AS (SELECT *, regexp_extract_all(lower(s), '([a-z'']+)', 1) AS w FROM s)
 SELECT review_id, CAST(length(s) AS INT) AS n_chars, CAST(len(w) AS INT) AS n_words, CAST(len(list_filter(w, lambda x: x IN ('today', 'now', 'last', 'ends', 'hurry', 'final', 'hours', 'tonight', 'only', 'limited'))) AS INT) AS n_urgency, CAST(contains(s, '?') AS INT) AS has_question, CAST(regexp_matches(s, '\\d+\\s*%') AS INT) AS has_percent, round(length(regexp_replace(s, '[^A-Z]', '', 'g')) / greatest(length(regexp_replace(s, '[^A-Za-z]', '', 'g')), 1), 4) + 0.0 AS caps FROM w""")
 def subject_features(t: Tables) -> DataFrame:
-    f = marketing.subject_features(F.substring("body", 1, 60))
+    f = marketing.subject_features(F.get(F.split("body", "\n"), F.lit(0)))
     return _round(t.reviews.select("review_id", *[f[k].alias(k) for k in ("n_chars", "n_words", "n_urgency", "has_question", "has_percent", "caps")]))
 
 
@@ -114,7 +114,7 @@ def subject_features(t: Tables) -> DataFrame:
 def subject_scores(t: Tables) -> DataFrame:
     """Predicted open rates of subject lines by weighted ridge regression."""
     f = marketing.subject_features(F.col("s"))
-    d = t.reviews.select("review_id", F.substring("body", 1, 60).alias("s"), (F.coalesce("quality", F.lit(0)) * 0.5 + 0.1).alias("open_rate"), F.sqrt(F.length("body").cast("double")).alias("w"))
+    d = t.reviews.select("review_id", F.get(F.split("body", "\n"), F.lit(0)).alias("s"), (F.coalesce("quality", F.lit(0)) * 0.5 + 0.1).alias("open_rate"), F.sqrt(F.length("body").cast("double")).alias("w"))
     d = d.select("review_id", "open_rate", "w", *[v.cast("double").alias(k) for k, v in f.items()])
     p = models.ridge(d, list(f), "open_rate", "w", 0.1).transform(d)
     return _round(p.select("review_id", F.least(F.lit(1.0), F.greatest(F.lit(0.0), "prediction")).alias("predicted")))
@@ -122,7 +122,7 @@ def subject_scores(t: Tables) -> DataFrame:
 
 @query()
 def segments_kmeans(t: Tables) -> DataFrame:
-    return _round(models.segments(t.raw("embeddings"), "vec_id", "embedding", range(4, 7)), 3)
+    return _round(models.segments(t.raw("embeddings"), "vec_id", "embedding", range(4, 11)), 3)
 
 
 @query("""WITH s AS (SELECT o_custkey AS customer_id, sum(o_totalprice) AS spend, count(*) * 1.0 AS orders, date_diff('day', CAST(max(o_orderdate) AS DATE), DATE '2002-01-01') * 1.0 AS recency FROM orders GROUP BY 1), z AS (SELECT customer_id % 6 AS segment, (spend - avg(spend) OVER ()) / stddev_pop(spend) OVER () AS spend, (orders - avg(orders) OVER ()) / stddev_pop(orders) OVER () AS orders, (recency - avg(recency) OVER ()) / stddev_pop(recency) OVER () AS recency FROM s), m AS (SELECT segment, avg(spend) AS spend, avg(orders) AS orders, avg(recency) AS recency FROM z GROUP BY 1)

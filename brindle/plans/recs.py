@@ -189,7 +189,7 @@ def minhash_candidates(t: Tables) -> DataFrame:
     return _round(graph.jaccard_pairs(t.reviews, "review_id", "body"))
 
 
-_EDGES = f"WITH RECURSIVE {EVENTS}, o AS (SELECT DISTINCT customer_id, sku % 97 AS device FROM ev WHERE value > 97), k AS (SELECT device, min(customer_id) AS a, count(*) AS n FROM o GROUP BY 1 HAVING count(*) BETWEEN 2 AND 25), e AS (SELECT DISTINCT k.a, o.customer_id AS b FROM o JOIN k ON o.device = k.device WHERE o.customer_id <> k.a)"
+_EDGES = f"WITH RECURSIVE {EVENTS}, o AS (SELECT DISTINCT customer_id, CAST(sku AS VARCHAR) || strftime(event_ts, '-%Y-%m-%d-%H') AS device FROM ev WHERE sku IS NOT NULL), k AS (SELECT device, min(customer_id) AS a, count(*) AS n FROM o GROUP BY 1 HAVING count(*) >= 2), e AS (SELECT DISTINCT k.a, o.customer_id AS b FROM o JOIN k ON o.device = k.device WHERE o.customer_id <> k.a)"
 
 
 def devices(t: Tables) -> DataFrame:

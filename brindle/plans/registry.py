@@ -43,7 +43,7 @@ SEARCHES = (
     REVIEWS
     + """, searches AS (
   SELECT review_id AS query_id,
-         array_to_string(list_filter(regexp_split_to_array(lower(substring(body, 1, 200)), '[^a-z0-9]+'), lambda x: x <> '')[1:2], ' ') AS query_text,
+         array_to_string(list_filter(regexp_split_to_array(lower(body), '[^a-z0-9]+'), lambda x: x <> '')[1:2], ' ') AS query_text,
          DATE '2024-01-01' + CAST(review_id % 60 AS INT) AS event_date, coalesce(quality, 0) = 1 AS clicked, sku AS category_id
   FROM reviews)"""
 )

@@ -68,14 +68,17 @@ def intent_backoff(t: Tables) -> DataFrame:
     return _round(search.token_backoff(search.category_shares(q.where("query_id % 2 = 0")), q))
 
 
-_TURNS = """log AS (SELECT conv_id AS session_id, array_to_string(regexp_extract_all(lower(text), '([a-z0-9]+)', 1)[1:3], ' ') AS query_text, TIMESTAMP '2024-01-01' + to_seconds(turn * 30) AS event_ts, turn % 2 = 1 AS clicked FROM conversations)"""
+_TURNS = """log AS (SELECT conv_id AS session_id, array_to_string(w[3 * i + 1 : 3 * i + 3], ' ') AS query_text, TIMESTAMP '2024-01-01' + to_seconds(turn * 100000 + i * 30) AS event_ts, i % 2 = 1 AS clicked FROM (SELECT *, unnest(range(0, (len(w) + 2) // 3)) AS i FROM (SELECT conv_id, turn, regexp_extract_all(lower(text), '([a-z0-9]+)', 1) AS w FROM conversations)))"""
 
 
 def turn_log(t: Tables) -> DataFrame:
-    c = t.raw("conversations")
-    q = F.array_join(F.slice(tx.tokens(F.col("text")), 1, 3), " ")
-    ts = (F.lit("2024-01-01").cast("timestamp").cast("long") + F.col("turn") * 30).cast("timestamp")
-    return c.select(F.col("conv_id").alias("session_id"), q.alias("query_text"), ts.alias("event_ts"), (F.col("turn") % 2 == 1).alias("clicked"))
+    """A search log: a turn's words by threes, half a minute apart; every second one is clicked."""
+    c = t.raw("conversations").withColumn("w", tx.tokens(F.col("text")))
+    i = F.explode(F.sequence(F.lit(0), F.floor((F.size("w") + 2) / 3).cast("int") - 1))
+    c = c.where(F.size("w") > 0).select("conv_id", "turn", "w", i.alias("i"))
+    ts = (F.lit("2024-01-01").cast("timestamp").cast("long") + F.col("turn") * 100_000 + F.col("i") * 30).cast("timestamp")
+    q = F.array_join(F.slice("w", 3 * F.col("i") + 1, F.lit(3)), " ")
+    return c.select(F.col("conv_id").alias("session_id"), q.alias("query_text"), ts.alias("event_ts"), (F.col("i") % 2 == 1).alias("clicked"))
 
 
 _SWAPS = f"""WITH {_TURNS}, st AS (SELECT session_id, query_text, min(event_ts) AS ts, max(CAST(clicked AS INT)) AS clicked FROM log GROUP BY 1, 2),
@@ -91,7 +94,7 @@ def reformulation_pairs(t: Tables) -> DataFrame:
     return search.term_swaps(search.reformulations(turn_log(t))).groupBy("a", "b").agg(F.count("*").alias("n"))
 
 
-_PAIRS = f"""WITH {REVIEWS}, tk AS (SELECT review_id, {_tokens('substring(body, 1, 400)')} AS t FROM reviews), pr AS (SELECT t[i] AS a, t[i + 1] AS b FROM (SELECT t, unnest(range(1, len(t))) AS i FROM tk)),"""
+_PAIRS = f"""WITH {REVIEWS}, tk AS (SELECT review_id, {_tokens('body')} AS t FROM reviews), pr AS (SELECT t[i] AS a, t[i + 1] AS b FROM (SELECT t, unnest(range(1, len(t))) AS i FROM tk)),"""
 
 
 @query(
@@ -113,7 +116,7 @@ def query_idf_table(t: Tables) -> DataFrame:
     return _round(search.idf_table(t.reviews, tx.tokens(F.col("body"))))
 
 
-_BM = f"""WITH {SEARCHES}, d AS (SELECT review_id AS doc_id, {_tokens('body')} AS terms FROM reviews), q AS (SELECT DISTINCT query_id, unnest(string_split(query_text, ' ')) AS t FROM searches WHERE query_id % 50 = 0 AND query_text <> ''),
+_BM = f"""WITH {SEARCHES}, d AS (SELECT review_id AS doc_id, {_tokens('body')} AS terms FROM reviews), q AS (SELECT DISTINCT query_id, unnest(string_split(query_text, ' ')) AS t FROM searches WHERE query_id % 20 = 0 AND query_text <> ''),
 st AS (SELECT count(*) AS n, avg(len(terms)) AS avgdl FROM d), tf AS (SELECT doc_id, len, t, count(*) AS tf FROM (SELECT doc_id, len(terms) AS len, unnest(terms) AS t FROM d) GROUP BY 1, 2, 3), df AS (SELECT t, count(*) AS df FROM tf GROUP BY 1)
 SELECT query_id, doc_id, round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len / avgdl))), 4) + 0.0 AS score FROM q JOIN df ON q.t = df.t JOIN tf ON q.t = tf.t, st GROUP BY 1, 2"""
 
@@ -147,7 +150,7 @@ def position_propensity(t: Tables) -> DataFrame:
     return _round(search.position_propensity(t.events.select(pos.alias("position"), clicked.alias("clicked"))))
 
 
-_NB = f"""WITH {REVIEWS}, d AS (SELECT review_id, lang AS label, list_filter({_tokens('substring(body, 1, 300)')}, lambda x: length(x) >= 2) AS terms, review_id % 5 = 0 AS test FROM reviews),
+_NB = f"""WITH {REVIEWS}, d AS (SELECT review_id, lang AS label, list_filter({_tokens('body')}, lambda x: length(x) >= 2) AS terms, review_id % 5 = 0 AS test FROM reviews),
 tr AS (SELECT label, count(*) * 1.0 AS w FROM d WHERE NOT test GROUP BY 1), c AS (SELECT label, term, count(*) * 1.0 AS c FROM (SELECT label, unnest(terms) AS term FROM d WHERE NOT test) GROUP BY 1, 2),
 v AS (SELECT count(DISTINCT term) AS v FROM c), cl AS (SELECT tr.label, ln((w + 1) / ((SELECT sum(w) FROM tr) + (SELECT count(*) FROM tr))) AS lp, (SELECT sum(c) FROM c WHERE c.label = tr.label) + (SELECT v FROM v) AS total FROM tr),
 te AS (SELECT review_id, term, count(*) AS m FROM (SELECT review_id, unnest(terms) AS term FROM d WHERE test) WHERE term IN (SELECT term FROM c) GROUP BY 1, 2),
@@ -208,25 +211,26 @@ def zero_result_fallbacks(t: Tables) -> DataFrame:
 
 
 @query(r"""SELECT doc_id, CASE WHEN regexp_matches(q, '\$(\d+)\s*-\s*\$?(\d+)') THEN CAST(regexp_extract(q, '\$(\d+)\s*-\s*\$?(\d+)', 1) AS DOUBLE) END AS min_price, CASE WHEN regexp_matches(q, '\$(\d+)\s*-\s*\$?(\d+)') THEN CAST(regexp_extract(q, '\$(\d+)\s*-\s*\$?(\d+)', 2) AS DOUBLE) WHEN regexp_matches(q, '\b(?:under|below|less than)\s*\$?(\d+)') THEN CAST(regexp_extract(q, '\b(?:under|below|less than)\s*\$?(\d+)', 1) AS DOUBLE) END AS max_price,
- CASE WHEN regexp_matches(q, '\bqueen\b') THEN 'queen' END AS size, CASE WHEN regexp_matches(q, '\blinen\b') THEN 'linen' END AS material
-FROM (SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN 'linen sheets under $' || n_chars WHEN 1 THEN 'queen duvet $20 - $' || n_chars ELSE substring(lower(text), 1, 40) END AS q FROM documents)""")
+ CASE WHEN regexp_matches(q, '(^|[^\p{L}\p{N}_])queen([^\p{L}\p{N}_]|$)') THEN 'queen' END AS size, CASE WHEN regexp_matches(q, '(^|[^\p{L}\p{N}_])linen([^\p{L}\p{N}_]|$)') THEN 'linen' END AS material
+FROM (SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN 'linen sheets under $' || n_chars WHEN 1 THEN 'queen duvet $20 - $' || n_chars ELSE lower(text) END AS q FROM documents)""")
 def query_filters(t: Tables) -> DataFrame:
     d, n = t.raw("documents"), F.col("n_chars").cast("string")
-    q = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("linen sheets under $"), n)).when(F.col("doc_id") % 3 == 1, F.concat(F.lit("queen duvet $20 - $"), n)).otherwise(F.substring(F.lower("text"), 1, 40))
+    q = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("linen sheets under $"), n)).when(F.col("doc_id") % 3 == 1, F.concat(F.lit("queen duvet $20 - $"), n)).otherwise(F.lower("text"))
     d = d.select("doc_id", q.alias("q"))
     return d.select("doc_id", *[c.alias(k) for k, c in search.query_filters(F.col("q")).items()])
 
 
-_TF = f"""WITH {REVIEWS}, tk AS (SELECT review_id, unnest(list_filter({_tokens('substring(body, 1, 600)')}, lambda x: length(x) >= 4)) AS term FROM reviews), tf AS (SELECT review_id, term, count(*) AS tf FROM tk GROUP BY 1, 2), n AS (SELECT count(*) AS n FROM reviews),
-df AS (SELECT term, count(*) AS df FROM tf GROUP BY 1), w AS (SELECT review_id, tf.term, (1 + ln(tf)) * (ln((n + 1) / (df + 1)) + 1) AS w FROM tf JOIN df ON tf.term = df.term, n WHERE df >= 2 AND df <= 0.1 * n), l AS (SELECT review_id, sqrt(sum(w * w)) AS len FROM w GROUP BY 1), x AS (SELECT w.review_id, term, w / len AS v FROM w JOIN l ON w.review_id = l.review_id),
-s AS (SELECT a.review_id, b.review_id AS other, sum(a.v * b.v) AS score FROM x a JOIN x b ON a.term = b.term AND a.review_id <> b.review_id GROUP BY 1, 2), r AS (SELECT *, row_number() OVER (PARTITION BY review_id ORDER BY round(score, 9) DESC, other) AS rank FROM s)
+_TF = f"""WITH {REVIEWS}, tk AS (SELECT review_id, unnest(list_filter({_tokens('body')}, lambda x: length(x) >= 4)) AS term FROM reviews), tf AS (SELECT review_id, term, count(*) AS tf FROM tk GROUP BY 1, 2), n AS (SELECT count(*) AS n FROM reviews),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY 1), w AS (SELECT review_id, tf.term, (1 + ln(tf)) * (ln((n + 1) / (df + 1)) + 1) AS w FROM tf JOIN df ON tf.term = df.term, n WHERE df >= 2 AND df <= 0.5 * n), l AS (SELECT review_id, sqrt(sum(w * w)) AS len FROM w GROUP BY 1), x AS (SELECT w.review_id, term, w / len AS v FROM w JOIN l ON w.review_id = l.review_id),
+s AS (SELECT a.review_id, b.review_id AS other, sum(a.v * b.v) AS score FROM x a JOIN x b ON a.term = b.term AND a.review_id <> b.review_id WHERE a.review_id % 20 = 0 GROUP BY 1, 2), r AS (SELECT *, row_number() OVER (PARTITION BY review_id ORDER BY round(score, 9) DESC, other) AS rank FROM s)
 SELECT review_id, other, round(score, 4) + 0.0 AS score, rank FROM r WHERE rank <= 6 AND score >= 0.08"""
 
 
 @query(_TF)
 def tfidf_neighbours(t: Tables) -> DataFrame:
-    w = vectors.tfidf(t.reviews, "review_id", tx.tokens(F.substring("body", 1, 600), 4), 2, 0.1)
-    return _round(vectors.tfidf_neighbours(w, "review_id", 6))
+    """Of a stated set of documents, the nearest among all."""
+    w = vectors.tfidf(t.reviews, "review_id", tx.tokens(F.col("body"), 4))
+    return _round(vectors.tfidf_neighbours(w, "review_id", 6, queries=F.col("review_id") % 20 == 0))
 
 
 @query()

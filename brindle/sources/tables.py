@@ -70,7 +70,7 @@ class Tables:
     def queries(self) -> DataFrame:
         """A search log: the first two words of each document; a click where the document is labelled good."""
         r = self.reviews
-        toks = F.filter(F.split(F.lower(F.substring("body", 1, 200)), r"[^a-z0-9]+"), lambda x: x != "")
+        toks = F.filter(F.split(F.lower("body"), r"[^a-z0-9]+"), lambda x: x != "")
         q = F.array_join(F.slice(toks, 1, 2), " ")
         day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("review_id") % 60).cast("int"))
         return r.select(F.col("review_id").alias("query_id"), q.alias("query_text"), day.alias("event_date"), (F.coalesce("quality", F.lit(0)) == 1).alias("clicked"), F.col("sku").alias("category_id"))

@@ -137,10 +137,20 @@ def test_moderation_and_tags(spark):
     assert sorted(map(tuple, reviews.valid_tags(t).collect())) == [("B", "bedding"), ("B", "linen"), ("T", "towel")]
 
 
-def test_sentiment():
-    got = {m["aspect"]: m["score"] for m in reviews.mentions("not very soft. the color is beautiful")}
+def mentions(spark, text):
+    df = spark.createDataFrame([(text,)], "b string").select(reviews.aspect_mentions(F.col("b")).alias("m"))
+    return [(m.aspect, m.score) for m in df.first().m]
+
+
+def test_sentiment(spark):
+    got = dict(mentions(spark, "not very soft. the color is beautiful"))
     assert got["softness"] < 0 < got["color"]
-    assert reviews.mentions(None) == [] and reviews.mentions("so soft")[0]["score"] == pytest.approx(0.78)
+    assert mentions(spark, None) == [] and mentions(spark, "so soft")[0] == ("softness", pytest.approx(0.78))
+    assert mentions(spark, "never really soft") == [("softness", pytest.approx(0.6 * 1.4 * -0.7))]
+    assert mentions(spark, "not bad but soft") == [("softness", pytest.approx((0.6 * 1 - 0.6 * -0.7 * 1 / 3) / (1 + 1 / 3)))]
+    far = (-0.9 / 6 - 0.7 / 4) / (1 / 6 + 1 / 4)
+    assert mentions(spark, "it FELL\u3000APART after the soooo loooong delivery, it wore out") == [("durability", -0.9), ("shipping", pytest.approx(far)), ("durability", -0.7)]
+    assert mentions(spark, "the box") == []
 
 
 def test_summary(spark):
@@ -155,11 +165,17 @@ def test_attributes(spark):
     assert (b.width_cm, b.length_cm, b.care, b.material) == (228.6, 233.7, None, None)
 
 
-def test_titles():
-    t, why = catalog.render("Sheets", {"brand": "Hearth", "material": "linen", "product_type": "sheet set", "size": "queen", "color": "a very long colour name indeed", "thread_count": "400 Thread Count"})
-    assert why == "ok" and len(t) <= 70 and "Linen" in t and "400" not in t
-    assert catalog.render("Rugs", {"product_type": "rug"}) == (None, "missing:dimensions")
-    assert catalog.clean_title("SALE!! Linen sheet, -") == "Linen sheet"
+def test_titles(spark):
+    cols = ("sku", "title", "category_l2", "brand", "material", "product_type", "size", "color", "thread_count", "dimensions")
+    rows = [
+        (1, "t", "Sheets", "Hearth", "linen", "sheet set", "queen", "a very long colour name indeed", "400 Thread Count", None), (2, "SALE!! Linen sheet, -", "Rugs", None, None, "rug", None, None, None, ""),
+        (3, "t", None, "Oak and Co", "wool", "throw of wool", None, "rust", None, None), (4, None, "Towels", "B" * 90, None, "towel", None, None, None, None),
+    ]
+    got = {r.sku: r for r in catalog.seo_titles(spark.createDataFrame(rows, ", ".join(f"{c} {'int' if c == 'sku' else 'string'}" for c in cols))).collect()}
+    assert (got[1].reason, got[1].kept_original) == ("ok", False) and len(got[1].seo_title) <= 70 and "Linen" in got[1].seo_title and "400" not in got[1].seo_title
+    assert (got[2].reason, got[2].seo_title, got[2].kept_original) == ("missing:dimensions", "Linen sheet", True)
+    assert got[3].seo_title == "Oak and Co Wool Throw of Rust"
+    assert got[4].seo_title == "Towel"
 
 
 def test_paths(spark):
@@ -173,7 +189,11 @@ def test_images(spark):
     blur, mean, clipped, white, score, why = images.quality(img)
     assert white == 1.0 and "LOW_RES" in why and 0 <= score <= 100
     shares = images.colour_shares(img)
-    assert sum(shares.values()) == pytest.approx(1) and "navy" in shares
+    assert shares == {"navy": pytest.approx(1)}
+    img[10:30, 10:15] = (180, 60, 30)
+    shares = images.colour_shares(img)
+    assert sum(shares.values()) == pytest.approx(1) and shares["navy"] == pytest.approx(0.75) and len(shares) == 2
+    assert images.colour_shares(np.full((40, 40, 3), 250, dtype=np.uint8)) == {}
 
 
 def test_hash_embedding_has_unit_length(spark):
@@ -236,6 +256,8 @@ def test_feature_views_and_expectations(spark):
     text = "defaults: {windows: [7], ttl_days: 1}\nfeature_views:\n  - name: v\n    entity: c\n    sources:\n      - {table: t, timestamp_column: ts, aggregations: [{column: x, function: median, alias: m}]}\n"
     with pytest.raises(ValueError, match="unsupported"):
         config.feature_views(text)
+    with pytest.raises(ValueError, match=r"unsupported function median; feature_views\[0\].entity is missing"):
+        config.feature_views(text.replace("entity: c", "other: c"))
     v = config.feature_views(text.replace("median", "sum"))[0]
     t = spark.createDataFrame([("a", "2024-01-05", 2.0), ("a", "2024-01-10", 5.0), ("b", "2023-12-01", 1.0)], "c string, d string, x double").select("c", F.col("d").cast("timestamp_ntz").alias("ts"), "x")
     out = features.materialize(v, {"t": t}, "2024-01-10")
@@ -257,6 +279,9 @@ def test_config_layers(tmp_path, monkeypatch):
         config.load(config.JobConfig, None, {"nope": 1})
     with pytest.raises(ValueError, match="pin_top"):
         config.load(config.DiversityConfig, None, {"k": 100})
+    with pytest.raises(ValueError, match="lookback_days must be 1 at least; alpha must be 10 at most; n_max can't be read"):
+        config.load(config.CategorizerConfig, None, {"lookback_days": 0, "alpha": 11, "n_max": "x"})
+    assert config.load(config.ZeroResultConfig, None, {"protected": "king, xl"}).protected == ["king", "xl"] and config.load(config.SynonymConfig).min_npmi == 0.15
 
 
 def test_sources_and_sinks(spark, tmp_path):
