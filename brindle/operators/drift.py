@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from brindle.functions.exprs import first_match
 
+from .ranking import running_sums
+
 #: Fixed values: (metric, comparison, threshold, severity); the first that holds decides.
 RULES = [("psi", ">", 0.2, "alert"), ("psi", ">", 0.1, "warn"), ("ks_p", "<", 0.001, "alert"), ("null_rate_delta", ">", 0.05, "alert"), ("mean_shift_sd", "abs", 0.5, "warn")]
 
@@ -19,13 +21,13 @@ def unpivot(df: DataFrame, features: list[str], keep: list[str]) -> DataFrame:
 
 def psi(values: DataFrame, bins: int = 10, eps: float = 1e-6) -> DataFrame:
     """(feature, psi, n_ref, n_cur): population stability over quantile bins of the reference. values: feature, value, is_ref."""
-    v = values.where("value is not null")
-    edges = v.where("is_ref").groupBy("feature").agg(F.array_sort(F.array_distinct(F.percentile("value", F.array(*[F.lit(i / bins) for i in range(1, bins)])))).alias("edges"), F.min("value").alias("lo"), F.max("value").alias("hi"))
+    k = _counts(values)
+    edges = _quantiles(k, [i / bins for i in range(1, bins)])
     # Inner edges only: the outer bins are open. An inner edge equal to the lowest or highest value is an outer edge.
     edges = edges.select("feature", F.filter("edges", lambda x: (x > F.col("lo")) & (x < F.col("hi"))).alias("edges"))
-    b = v.join(edges, "feature").withColumn("bin", F.size(F.filter("edges", lambda x: x <= F.col("value"))))
-    counts = b.groupBy("feature", "bin").agg(F.count_if("is_ref").alias("r"), F.count_if(~F.col("is_ref")).alias("c"))
-    n = b.groupBy("feature").agg(F.count_if("is_ref").alias("n_ref"), F.count_if(~F.col("is_ref")).alias("n_cur"), F.first(F.size("edges")).alias("n_edges"))
+    b = k.join(edges, "feature").withColumn("bin", F.size(F.filter("edges", lambda x: x <= F.col("value"))))
+    counts = b.groupBy("feature", "bin").agg(F.sum("n_r").alias("r"), F.sum("n_c").alias("c"))
+    n = b.groupBy("feature").agg(F.sum("n_r").alias("n_ref"), F.sum("n_c").alias("n_cur"), F.first(F.size("edges")).alias("n_edges"))
     grid = n.withColumn("bin", F.explode(F.sequence(F.lit(0), F.col("n_edges"))))
     g = grid.join(counts, ["feature", "bin"], "left")
     share = lambda k, m: F.greatest(F.lit(eps), F.coalesce(k, F.lit(0)) / F.greatest(m, F.lit(1)))
@@ -33,13 +35,27 @@ def psi(values: DataFrame, bins: int = 10, eps: float = 1e-6) -> DataFrame:
     return g.groupBy("feature").agg(F.sum((c - r) * F.log(c / r)).alias("psi"), F.first("n_ref").alias("n_ref"), F.first("n_cur").alias("n_cur"))
 
 
+def _counts(values: DataFrame) -> DataFrame:
+    """(feature, value, n_r, n_c, r, c, r_all, c_all): each distinct value's rows in the reference and the current window, and the rows up to it."""
+    n = values.where("value is not null").groupBy("feature", "value").agg(F.count_if("is_ref").alias("n_r"), F.count_if(~F.col("is_ref")).alias("n_c"))
+    return running_sums(n, ["feature"], [F.col("value")], {"r": F.col("n_r"), "c": F.col("n_c")})
+
+
+def _quantiles(k: DataFrame, at: list[float]) -> DataFrame:
+    """(feature, edges, lo, hi): interpolated quantiles of the reference values, distinct and in order, with the lowest and highest. Each value knows
+    the ranks it covers, so a quantile is a conditional aggregate."""
+    ref = k.where("n_r > 0")
+    holds = lambda rank: (F.col("r") - F.col("n_r") <= rank) & (rank < F.col("r"))
+    value = lambda rank: F.max(F.when(holds(rank), F.col("value")))
+    place = [(F.col("r_all") - 1) * q for q in at]
+    edge = [value(F.floor(h)) + (value(F.ceil(h)) - value(F.floor(h))) * F.max(h - F.floor(h)) for h in place]
+    return ref.groupBy("feature").agg(F.array_sort(F.array_distinct(F.array(*edge))).alias("edges"), F.min("value").alias("lo"), F.max("value").alias("hi"))
+
+
 def ks(values: DataFrame) -> DataFrame:
-    """(feature, d, n_ref, n_cur): largest distance of the two distribution functions. Counts per distinct value come first, so the sort is over those."""
-    v = values.where("value is not null").groupBy("feature", "value").agg(F.count_if("is_ref").alias("r"), F.count_if(~F.col("is_ref")).alias("c"))
-    w, every = Window.partitionBy("feature").orderBy("value"), Window.partitionBy("feature")
-    d = F.abs(F.sum("r").over(w) / F.sum("r").over(every) - F.sum("c").over(w) / F.sum("c").over(every))
-    x = v.withColumn("d", d).withColumn("nr", F.sum("r").over(every)).withColumn("nc", F.sum("c").over(every))
-    return x.groupBy("feature").agg(F.max("d").alias("d"), F.first("nr").alias("n_ref"), F.first("nc").alias("n_cur"))
+    """(feature, d, n_ref, n_cur): largest distance of the two distribution functions, from counts up to each distinct value."""
+    d = F.abs(F.col("r") / F.col("r_all") - F.col("c") / F.col("c_all"))
+    return _counts(values).groupBy("feature").agg(F.max(d).alias("d"), F.first("r_all").alias("n_ref"), F.first("c_all").alias("n_cur"))
 
 
 def null_rates(values: DataFrame) -> DataFrame:

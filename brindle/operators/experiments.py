@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from brindle.functions.exprs import Z95, rank_band
 from brindle.functions.tails import chi2_p, normal_p, t_p
 
+from .ranking import running_sums
+
 
 def arm_sizes(units: DataFrame) -> DataFrame:
     """(experiment_id, chi2, df): goodness of fit of the arms to an equal split. units: experiment_id, variant, unit_id."""
@@ -19,9 +21,7 @@ def arm_sizes(units: DataFrame) -> DataFrame:
 def cuped(metrics: DataFrame, least: float = 0.5) -> DataFrame:
     """Adds adjusted and theta: value - theta * (pre - mean pre), theta pooled over arms; missing pre values are the mean. Below ``least`` coverage nothing changes."""
     by = ["experiment_id", "metric"]
-    w = Window.partitionBy(*by)
-    x = F.coalesce("pre_value", F.avg("pre_value").over(w))
-    filled = metrics.withColumn("_x", x)
+    filled = metrics.join(metrics.groupBy(*by).agg(F.avg("pre_value").alias("_pre")), by).withColumn("_x", F.coalesce("pre_value", "_pre")).drop("_pre")
     stats = filled.groupBy(*by).agg(F.covar_samp("_x", "value").alias("_cov"), F.var_samp("_x").alias("_var"), F.avg("_x").alias("_mean"), F.avg(F.when(F.col("pre_value").isNotNull(), 1.0).otherwise(0.0)).alias("_cover"))
     j = filled.join(stats, by)
     theta = F.when((F.col("_cover") >= least) & (F.col("_var") > 0), F.col("_cov") / F.col("_var")).otherwise(0.0)
@@ -73,17 +73,8 @@ def qini(scored: DataFrame, score: str = "uplift", key: str = "unit_id") -> Data
     """(rank, frac, n_t, n_c, qini, score): incremental conversions when the first rows by score are targeted. scored: treated, converted 0/1.
 
     Running sums over a total order: the rows are cut into ranges of the score first, so that no task sorts all of them."""
-    order = [F.desc(score), F.asc(key)]
-    cut = scored.repartitionByRange(*order).withColumn("_p", F.spark_partition_id())
-    cut = cut.select(key, score, "treated", "converted", "_p")
-    w = Window.partitionBy("_p").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     sums = {"rank": F.lit(1), "n_t": F.col("treated"), "n_c": 1 - F.col("treated"), "y_t": F.col("converted") * F.col("treated"), "y_c": F.col("converted") * (1 - F.col("treated"))}
-    local = cut.select("*", *[F.sum(v).over(w).alias(k) for k, v in sums.items()])
-    per = cut.groupBy("_p").agg(*[F.sum(v).alias(k) for k, v in sums.items()])
-    before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)  # one row a partition
-    base = per.select(F.col("_p").alias("_q"), *[F.coalesce(F.sum(k).over(before), F.lit(0)).alias(f"b_{k}") for k in sums])
-    total = F.broadcast(per.agg(F.sum("rank").alias("total")))  # one row
-    j = local.join(base, F.col("_p") == F.col("_q")).join(total).select(key, F.col(score).alias("score"), "total", *[(F.col(k) + F.col(f"b_{k}")).alias(k) for k in sums])
+    j = running_sums(scored.select(key, score, "treated", "converted"), [], [F.desc(score), F.asc(key)], sums).select(key, F.col(score).alias("score"), F.col("rank_all").alias("total"), *sums)
     q = F.col("y_t") - F.when(F.col("n_c") > 0, F.col("y_c") * F.col("n_t") / F.col("n_c")).otherwise(0.0)
     return j.select(key, "rank", (F.col("rank") / F.col("total")).alias("frac"), "n_t", "n_c", q.alias("qini"), "score")
 

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from brindle.functions.exprs import rank_band
 
+from .graph import _checkpoint
+
 
 def top_k(df: DataFrame, by: Sequence[str], order: Sequence[Column], k: int, rank: str = "rank") -> DataFrame:
     """The first k rows of each group in a total order, ranked. Spark prunes each task to k rows a group before the shuffle."""
@@ -20,6 +22,24 @@ def best(df: DataFrame, by: Sequence[str], order: Sequence[Column]) -> DataFrame
     return top_k(df, by, order, 1, "_rank").drop("_rank")
 
 
+def running_sums(df: DataFrame, by: Sequence[str], order: Sequence[Column], sums: dict[str, Column]) -> DataFrame:
+    """Adds, for each name in sums, its running sum over the group in this order (the row included; the order is total inside a group), and its total as
+    ``<name>_all``. Rows are dealt by ranges of group and order, so that no group comes to one task; the parts' sums are joined back."""
+    cut = df.withColumns(sums).repartitionByRange(*by, *order).withColumn("_p", F.spark_partition_id())
+    # Both uses below must see the same parts.
+    cut = _checkpoint(cut)
+    local = Window.partitionBy("_p", *by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    part = cut.groupBy("_p", *by).agg(*[F.sum(c).alias(c) for c in sums])
+    group = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
+    before = group.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)  # one row a part and group
+    base = part.select(F.col("_p").alias("_p2"), *[F.col(c).alias(f"_by_{c}") for c in by], *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"_before_{c}") for c in sums], *[F.sum(c).over(group).alias(f"{c}_all") for c in sums])
+    on = F.col("_p") == F.col("_p2")
+    for c in by:
+        on = on & F.col(c).eqNullSafe(F.col(f"_by_{c}"))
+    met = cut.withColumns({c: F.sum(c).over(local) for c in sums}).join(base, on)
+    return met.withColumns({c: F.col(c) + F.col(f"_before_{c}") for c in sums}).drop("_p", "_p2", *[f"_by_{c}" for c in by], *[f"_before_{c}" for c in sums])
+
+
 def price_bands(products: DataFrame, bands: int = 4, group: str = "category", price: str = "price", key: str = "sku") -> DataFrame:
     """Quantile band of the price in its group; groups with fewer distinct prices than bands are one band."""
     w = Window.partitionBy(group)

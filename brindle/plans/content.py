@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from brindle.functions import text as tx
 from brindle.operators import bayes, catalog, features, images, marketing, models, reviews
+from brindle.operators.graph import _checkpoint as checkpoint
 from brindle.sources.tables import Tables
 
 from .customers import ORDERS_END, _round, sends
@@ -195,8 +196,8 @@ def search_ranker(t: Tables) -> DataFrame:
 
 @query()
 def clv_values(t: Tables) -> DataFrame:
-    s = features.repeat_summary(t.lines, "2002-01-01").persist()
-    return _round(models.lifetime_values(s, models.fit_bgnbd(s, grid=4.0), models.fit_gamma_gamma(s, grid=5000.0)))
+    s = checkpoint(features.repeat_summary(t.lines, "2002-01-01"))
+    return _round(models.lifetime_values(s, models.fit_bgnbd(s), models.fit_gamma_gamma(s)))
 
 
 def described(t: Tables) -> DataFrame:

@@ -139,7 +139,7 @@ def demand_recursive(t: Tables) -> DataFrame:
     p = panel(t).where(F.col("week_start") <= F.lit("2001-03-26").cast("date"))
     train = demand_features(p).where("lag_4 is not null")
     model, q = models.demand_model(train, FEATURES)
-    return models.recursive_forecast(p, KEYS, FEATURES, model, q, demand_features, 4)
+    return models.recursive_forecast(p, KEYS, FEATURES, model, q, demand_features)
 
 
 @query("""WITH a AS (SELECT count(*) AS n, sum(p_size) AS sx, sum(p_size * p_size) AS sxx, sum(p_retailprice) AS sy, sum(p_size * p_retailprice) AS sxy FROM part) SELECT 'intercept' AS term, round((sy - (n * sxy - sx * sy) / (n * sxx - sx * sx) * sx) / n, 4) + 0.0 AS coefficient FROM a UNION ALL SELECT 'size', round((n * sxy - sx * sy) / (n * sxx - sx * sx), 4) + 0.0 FROM a""")
