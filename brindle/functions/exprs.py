@@ -96,3 +96,18 @@ def idf(n_docs: Column, df: Column) -> Column:
 
 Z95 = 1.959963984540054
 LN2 = math.log(2)
+
+
+def paired(a: Column, b: Column, most: int) -> Column:
+    """Elements of two arrays side by side, the first ``most``; null if the arrays are not equally long."""
+    return F.when(F.size(a) == F.size(b), F.arrays_zip(F.slice(a, 1, most).alias("a"), F.slice(b, 1, most).alias("b")))
+
+
+def from_json_map(c: Column) -> Column:
+    """A JSON object as a map of texts; null if it is none."""
+    return F.from_json(c, "map<string,string>")
+
+
+def path_of(*levels: Column) -> Column:
+    """Levels that are known, joined by " > "."""
+    return F.concat_ws(" > ", *levels)

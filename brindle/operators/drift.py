@@ -88,3 +88,27 @@ def findings(values: DataFrame) -> DataFrame:
     k = ks(values).withColumn("ks_p", ks_p(F.col("d"), F.col("n_ref"), F.col("n_cur")))
     parts = [(psi(values), "psi"), (k, "ks_p"), (null_rates(values), "null_rate_delta"), (mean_shift(values), "mean_shift_sd")]
     return reduce(DataFrame.unionByName, [d.select("feature", F.lit(m).alias("metric"), F.col(m).alias("value")) for d, m in parts])
+
+
+def with_features(predictions: DataFrame, features: DataFrame, key: str, at: str = "predicted_at") -> DataFrame:
+    """Each prediction with its entity's features of the day it was made."""
+    f = features.withColumnRenamed("as_of_date", "_day").withColumnRenamed(key, "_key")
+    return predictions.join(f, (F.col(key) == F.col("_key")) & (F.to_date(at) == F.col("_day")), "left").drop("_day", "_key")
+
+
+WHOLE, BROKEN = ("tinyint", "smallint", "int", "bigint"), ("float", "double")
+
+
+def numeric_columns(df: DataFrame, leave_out: tuple[str, ...] = ()) -> list[str]:
+    """Columns that can be features: numbers, but for those left out."""
+    kind = {f.name: f.dataType.simpleString() for f in df.schema}
+    return [c for c, k in kind.items() if c not in leave_out and (k in WHOLE + BROKEN or k.startswith("decimal"))]
+
+
+def feature_kinds(df: DataFrame, leave_out: tuple[str, ...] = (), many: int = 20) -> DataFrame:
+    """(feature, distinct_values, continuous): fractions are continuous, whole numbers with more than ``many`` different values, too."""
+    names = numeric_columns(df, leave_out)
+    whole = [c for c in names if df.schema[c].dataType.simpleString() in WHOLE]
+    wide = df.agg(*[F.count_distinct(c).alias(c) for c in names])
+    long = wide.unpivot([], [F.col(c) for c in names], "feature", "distinct_values")
+    return long.withColumn("continuous", ~F.col("feature").isin(whole) | (F.col("distinct_values") > many))

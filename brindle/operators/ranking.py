@@ -92,3 +92,14 @@ def diversity(ranked: DataFrame, group: str, item: str, attributes: dict[str, fl
     same = sum((F.when(F.col(f"a.{n}") == F.col(f"b.{n}"), w).otherwise(0.0) for n, w in attributes.items()), F.lit(0.0))
     pairs = a.join(b, (F.col(f"a.{group}") == F.col(f"b.{group}")) & (F.col(f"a.{item}") < F.col(f"b.{item}")))
     return pairs.groupBy(F.col(f"a.{group}").alias(group)).agg(F.avg(1 - same).alias("diversity"))
+
+
+def catalogue_coverage(ranked: DataFrame, catalogue: DataFrame, item: str) -> DataFrame:
+    """One row: the share of the catalogue's items that stand in any list."""
+    shown = ranked.select(item).distinct().join(catalogue.select(item).distinct(), item, "left_semi").agg(F.count("*").alias("shown"))
+    return catalogue.agg(F.count_distinct(item).alias("items")).join(F.broadcast(shown)).select("shown", "items", (F.col("shown") / F.col("items")).alias("coverage"))  # one row
+
+
+def distinct_shares(ranked: DataFrame, group: str, attributes: Sequence[str]) -> DataFrame:
+    """Per list and attribute, different values over rows."""
+    return ranked.groupBy(group).agg(*[(F.count_distinct(a) / F.count("*")).alias(f"{a}_share") for a in attributes])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from brindle.functions.exprs import LN2, micros, sigmoid
@@ -130,3 +130,29 @@ def duplicate_listings(products: DataFrame, threshold: float = 0.85) -> DataFram
     return j.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), (0.8 * F.col("sim") + 0.2 * ratio).alias("score")).where(F.col("score") >= threshold)
 
 
+def candidate_pool(modules: DataFrame, feed: DataFrame, trend: DataFrame) -> DataFrame:
+    """(module, sku, category, z): a module's products are those of its categories in the trend and those that the feed names; without a trend z is 0.
+    modules: module, category; feed: module, sku, category; trend: sku, category, z."""
+    moving = modules.join(trend.select("sku", "category"), "category").select("module", "sku", "category")
+    both = moving.unionByName(feed.select("module", "sku", "category")).distinct()
+    return both.join(trend.select("sku", "z"), "sku", "left").select("module", "sku", "category", F.coalesce("z", F.lit(0.0)).alias("z"))
+
+
+def home_page(customers: DataFrame, affinity: DataFrame, pool: DataFrame, prior: DataFrame, slots: int = 12, lam: float = 0.7) -> DataFrame:
+    """(customer_id, module, module_rank, sku, position, relevance). customers: customer_id; affinity: customer_id, category, affinity (a customer without any
+    has the prior only); prior: category, prior; pool: as from candidate_pool. Relevance blends affinity and trend; each module is filled by greedy
+    marginal relevance over categories, and modules come by the mean relevance of what they show.
+
+    Two products are alike (1) or not (0) by category, so greedy choice needs no loop: a category's best product never pays, every other one
+    always does, and the order of these scores is the order of the choices."""
+    own = affinity.select("customer_id", "category", "affinity")
+    x = customers.select("customer_id").distinct().crossJoin(F.broadcast(pool.select("module").distinct()))  # a few modules
+    x = x.join(pool, "module").join(own, ["customer_id", "category"], "left").join(prior, "category", "left")
+    score = relevance(F.coalesce("affinity", F.lit(0.0)), F.coalesce("prior", F.lit(0.0)), F.col("z"))
+    page, best_first = ["customer_id", "module"], [F.desc("relevance"), F.asc("sku")]
+    x = x.withColumn("relevance", score).withColumn("_again", F.row_number().over(Window.partitionBy(*page, "category").orderBy(*best_first)) > 1)
+    gain = lam * F.col("relevance") - F.when(F.col("_again"), 1 - lam).otherwise(0.0)
+    shown = top_k(x.withColumn("_gain", F.round(gain, 12)), page, [F.desc("_gain"), *best_first], slots, "position").select(*page, "sku", "position", "relevance")
+    mean = shown.groupBy("customer_id", "module").agg(F.avg("relevance").alias("_m"))
+    order = mean.withColumn("module_rank", F.row_number().over(Window.partitionBy("customer_id").orderBy(F.desc(F.round("_m", 9)), "module"))).drop("_m")
+    return shown.join(order, ["customer_id", "module"]).select("customer_id", "module", "module_rank", "sku", "position", "relevance")

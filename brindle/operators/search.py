@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from brindle.functions import text as tx
 from brindle.functions.exprs import beta_smoothed, clip, half_life, idf, micros
 
+from brindle.sources.io import latest
+
 from .ranking import best, top_k
 
 
@@ -184,3 +186,24 @@ def zero_result_fallbacks(queries: DataFrame, products: DataFrame, protected: li
     out = q.select("query").join(kept, "query", "left").join(top, "query", "left")
     strategy = F.when(F.col("relaxed").isNotNull(), "relaxed").when(F.col("category").isNotNull(), "category").otherwise("global")
     return out.select("query", strategy.alias("strategy"), "relaxed", F.when(F.col("relaxed").isNull(), F.col("category")).alias("category"))
+
+
+def strategy_shares(fallbacks: DataFrame, searches: DataFrame) -> DataFrame:
+    """(strategy, queries, searches, share): how much of the search volume each strategy serves. fallbacks: query, strategy; searches: query, n."""
+    j = searches.join(fallbacks.select("query", "strategy"), "query", "left").withColumn("strategy", F.coalesce("strategy", F.lit("none")))
+    g = j.groupBy("strategy").agg(F.count("*").alias("queries"), F.sum("n").alias("searches"))
+    return g.join(F.broadcast(g.agg(F.sum("searches").alias("all")))).select("strategy", "queries", "searches", (F.col("searches") / F.col("all")).alias("share"))  # one row
+
+
+def fallback_products(fallbacks: DataFrame, trending: DataFrame, k: int = 24) -> DataFrame:
+    """(query, sku, rank): for queries that fall back on a category, its k products with the highest trend, else the k highest of all. trending:
+    snapshot_date, category, sku, score, of which the latest snapshot counts; an empty one is refused."""
+    now = latest(trending, "snapshot_date")
+    if now.isEmpty():
+        raise ValueError("the trending snapshot is empty")
+    order = [F.desc(F.round("score", 9)), F.asc("sku")]
+    by_category = top_k(now, ["category"], order, k).select("category", "sku", "rank")
+    # k rows.
+    overall = F.broadcast(now.orderBy(*order).limit(k).withColumn("rank", F.row_number().over(Window.orderBy(*order))).select("sku", "rank"))
+    own = fallbacks.where("strategy = 'category'").select("query", "category").join(by_category, "category").select("query", "sku", "rank")
+    return own.unionByName(fallbacks.where("strategy = 'global'").select("query").join(overall).select("query", "sku", "rank"))

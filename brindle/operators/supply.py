@@ -202,3 +202,13 @@ def seasonal_forecast(panel: DataFrame, keys: Sequence[str], origin: str, horizo
     g = past.groupBy(*keys).agg(F.avg("units").alias("p50"), F.percentile("units", F.lit(0.1)).alias("q1"), F.percentile("units", F.lit(0.9)).alias("q9"))
     h = g.withColumn("horizon", F.explode(F.sequence(F.lit(1), F.lit(horizon))))
     return h.select(*keys, F.date_add(F.lit(origin).cast("date"), F.col("horizon") * 7).alias("week_start"), "horizon", F.least("q1", "p50").alias("p10"), "p50", F.greatest("q9", "p50").alias("p90"))
+
+
+def rolling_backtest(panel: DataFrame, keys: Sequence[str], origins: Sequence[str], horizon: int = 12, forecast=seasonal_forecast) -> DataFrame:
+    """(origin, wape, bias, coverage, n): a forecast made at each origin against the weeks that followed. forecast(panel, keys, origin, horizon) must only
+    look at weeks up to the origin."""
+    out = None
+    for o in origins:
+        f = forecast(panel, keys, o, horizon).join(panel.select(*keys, "week_start", "units"), [*keys, "week_start"]).withColumn("origin", F.lit(o))
+        out = f if out is None else out.unionByName(f)
+    return forecast_scores(out, ["origin"])
