@@ -91,8 +91,7 @@ def test_substrings(docs, hot, monkeypatch):
     assert any(k[2] and k[0] is not None and k[0] < 90 for k in want)
 
 
-@pytest.mark.parametrize("weak", [0, 1, 2])
-@pytest.mark.parametrize("hot", [1, 8192])
+@pytest.mark.parametrize(("weak", "hot"), [(0, 1), (1, 1), (2, 1), (1, 8192)])
 def test_substrings_with_forged_collisions(spark, weak, hot, monkeypatch):
     """The first choice of one of the hashes has few values only. Ids are strings here."""
     monkeypatch.setattr(substrings, "HOT", hot)
