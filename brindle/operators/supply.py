@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from brindle.functions.exprs import clip
 
+from .graph import _checkpoint
+
 #: ISO weeks of the year's peaks.
 HOLIDAYS = {"memorial_day": [21, 22], "july_4": [27], "labor_day": [36], "black_friday": [47, 48], "holiday_season": [50, 51, 52], "white_sale": [1, 2]}
 
@@ -59,37 +61,94 @@ def elasticity_panel(lines: DataFrame, prices: DataFrame) -> DataFrame:
     return u.join(p, ["sku", "week_start"]).where("units > 0").select("sku", "category", "week_start", F.weekofyear("week_start").alias("week_of_year"), "units", avg.alias("avg_price"))
 
 
-FIT = "category string, beta double, se double, n_obs long, n_skus long, r2 double"
+#: Places in an observation: log price, the ISO weeks 1 to 53, log units. Beside the products of these, sums are kept in ROWS and ITEMS.
+PRICE, UNITS, ROWS, ITEMS = 0, 54, 55, 56
+SOLVED = "category string, beta double, spread double, n_obs long, n_skus long, r2 double, coef array<double>, lead array<double>"
+
+
+def _grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(category, i, j, v): the items' demeaned cross products, summed over the items of a task; at (week, ROWS) the rows of the week."""
+    sums: dict[str | None, np.ndarray] = {}
+
+    def cells() -> Iterator[pd.DataFrame]:
+        for c, m in sums.items():
+            i, j = np.nonzero(np.triu(m))
+            yield pd.DataFrame({"category": c, "i": i.astype(np.int32), "j": j.astype(np.int32), "v": m[i, j]})
+        sums.clear()
+
+    for pdf in batches:
+        code, names = pd.factorize(pdf.category, use_na_sentinel=False)
+        item = np.repeat(np.arange(len(pdf)), pdf.week.str.len())
+        w, n, sx, sy = (np.concatenate(pdf[c].to_numpy()) for c in ("week", "n", "sx", "sy"))
+        total = np.zeros((len(pdf), ROWS))
+        total[item, w], total[:, PRICE], total[:, UNITS] = n, np.bincount(item, sx), np.bincount(item, sy)
+        rows = np.bincount(item, n)
+        for k, name in enumerate(names):
+            m = sums.setdefault(None if pd.isna(name) else name, np.zeros((ITEMS + 1, ITEMS + 1)))
+            own, at = code == k, code[item] == k
+            m[:ROWS, :ROWS] -= (total[own] / rows[own, None]).T @ total[own]
+            np.add.at(m, (w[at], w[at]), n[at])
+            np.add.at(m, (np.full(at.sum(), PRICE), w[at]), sx[at])
+            np.add.at(m, (w[at], np.full(at.sum(), UNITS)), sy[at])
+            np.add.at(m, (w[at], np.full(at.sum(), ROWS)), n[at])
+            xx = pdf.sxx[own].sum()
+            m[PRICE, PRICE] += xx
+            m[PRICE, ROWS] += xx
+            m[PRICE, UNITS] += pdf.sxy[own].sum()
+            m[UNITS, UNITS] += pdf.syy[own].sum()
+            m[ROWS, ROWS] += rows[own].sum()
+            m[ITEMS, ITEMS] += own.sum()
+        if len(sums) > 256:
+            yield from cells()
+    yield from cells()
+
+
+def _normal_equations(min_skus: int, min_obs: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
+        names = [c.split()[0] for c in SOLVED.split(", ")]
+        m = np.zeros((ITEMS + 1, ITEMS + 1))
+        m[pdf.i, pdf.j] = m[pdf.j, pdf.i] = pdf.v
+        rows, items = int(m[ROWS, ROWS]), int(m[ITEMS, ITEMS])
+        # Sums leave a trace of rounding where an item's prices or weeks don't vary.
+        if items < min_skus or rows < min_obs or m[PRICE, PRICE] <= 1e-11 * m[PRICE, ROWS]:
+            return pd.DataFrame(columns=names)
+        weeks = np.flatnonzero(m[1:UNITS, ROWS])[1:] + 1
+        x = np.array([PRICE, *[w for w in weeks if m[w, w] > 1e-9]])
+        g, xy, yy = m[np.ix_(x, x)], m[x, UNITS], max(m[UNITS, UNITS], 0.0)
+        inv = np.linalg.pinv(g, rcond=1e-12, hermitian=True)
+        b = inv @ xy
+        coef, lead = np.zeros(ROWS), np.zeros(ROWS)
+        coef[x], coef[UNITS], lead[x] = -b, 1.0, inv[0]
+        scale = items / (items - 1) * (rows - 1) / max(rows - len(x) - items, 1)
+        left = yy - 2 * b @ xy + b @ g @ b
+        return pd.DataFrame([(pdf.category.iloc[0], b[0], scale, rows, items, 1 - left / yy if yy > 0 else 0.0, coef, lead)], columns=names)
+
+    return solve
 
 
 def fit_elasticity(panel: DataFrame, min_skus: int = 3, min_obs: int = 60) -> DataFrame:
-    """Per category: log units on log price with item effects (demeaned) and week dummies; errors clustered by item."""
-
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame(columns=[c.split()[0] for c in FIT.split(", ")])
-        pdf = pdf[(pdf.units > 0) & (pdf.avg_price > 0)].sort_values(["sku", "week_start"])
-        sku, g = np.unique(pdf.sku, return_inverse=True)
-        if len(sku) < min_skus or len(pdf) < min_obs:
-            return empty
-        weeks = np.unique(pdf.week_of_year)[1:]
-        x = np.column_stack([np.log(pdf.avg_price), *[(pdf.week_of_year == w).astype(float) for w in weeks], np.log(pdf.units)])
-        n = np.bincount(g)[:, None]
-        x = x - np.stack([np.bincount(g, c) for c in x.T], axis=1)[g] / n[g]
-        y, x = x[:, -1], x[:, :-1]
-        keep = np.abs(x).sum(axis=0) > 1e-12
-        if not keep[0]:
-            return empty
-        x = x[:, keep]
-        inv = np.linalg.pinv(x.T @ x)
-        b = inv @ x.T @ y
-        u = y - x @ b
-        s = np.stack([np.bincount(g, c) for c in (x * u[:, None]).T], axis=1)
-        m, k, rows = len(sku), x.shape[1], len(y)
-        scale = m / (m - 1) * (rows - 1) / max(rows - k - m, 1)
-        var = scale * (inv @ (s.T @ s) @ inv)[0, 0]
-        return pd.DataFrame([(pdf.category.iloc[0], b[0], np.sqrt(max(var, 0.0)), rows, m, 1 - u.var() / y.var() if y.var() > 0 else 0.0)], columns=empty.columns)
-
-    return panel.groupBy("category").applyInPandas(fit, FIT)
+    """Per category: log units on log price with item effects (demeaned) and week dummies; errors clustered by item.
+
+    Each item is reduced to sums by week. Their demeaned cross products add up to one matrix of 55 x 55 a category, all that meets in one task; a second
+    pass over the items, in column expressions, adds up the squared scores that the clustered error needs. A category of any size spreads over tasks."""
+    x, y = F.ln("avg_price"), F.ln("units")
+    cells = panel.where("units > 0 and avg_price > 0").groupBy("category", "sku", F.col("week_of_year").cast("int").alias("week"))
+    cells = cells.agg(F.count("*").cast("double").alias("n"), F.sum(x).alias("sx"), F.sum(y).alias("sy"), F.sum(x * x).alias("xx"), F.sum(x * y).alias("xy"), F.sum(y * y).alias("yy"))
+    lists = F.collect_list(F.struct("week", "n", "sx", "sy")).alias("cells")  # at most 53
+    items = _checkpoint(cells.groupBy("category", "sku").agg(lists, F.sum("xx").alias("sxx"), F.sum("xy").alias("sxy"), F.sum("yy").alias("syy")))
+    flat = items.select("category", *[F.col(f"cells.{c}").alias(c) for c in ("week", "n", "sx", "sy")], "sxx", "sxy", "syy")
+    grams = flat.mapInPandas(_grams, "category string, i int, j int, v double").groupBy("category", "i", "j").agg(F.sum("v").alias("v"))
+    fits = grams.groupBy("category").applyInPandas(_normal_equations(min_skus, min_obs), SOLVED)
+
+    c, e = F.col("coef"), F.col("lead")
+    over = lambda f: F.aggregate("cells", F.lit(0.0), lambda total, k: total + f(k))
+    sx, sy, n = over(lambda k: k.sx), over(lambda k: k.sy), over(lambda k: k.n)
+    raw = over(lambda k: e[k.week] * (k.sx * c[PRICE] + k.n * c[k.week] + k.sy * c[UNITS])) + e[PRICE] * (F.col("sxx") * c[PRICE] + over(lambda k: k.sx * c[k.week]) + F.col("sxy") * c[UNITS])
+    means = (sx * e[PRICE] + over(lambda k: k.n * e[k.week])) * (sx * c[PRICE] + over(lambda k: k.n * c[k.week]) + sy * c[UNITS]) / n
+    of = fits.select(F.col("category").alias("of"), "coef", "lead")
+    meat = items.join(of, F.col("category").eqNullSafe(F.col("of"))).select("of", (raw - means).alias("s")).groupBy("of").agg(F.sum(F.col("s") * F.col("s")).alias("meat"))
+    out = fits.join(meat, F.col("category").eqNullSafe(F.col("of")))
+    return out.select("category", "beta", F.sqrt(F.col("spread") * F.col("meat")).alias("se"), "n_obs", "n_skus", "r2")
 
 
 def shrink(fits: DataFrame) -> DataFrame:

@@ -130,6 +130,40 @@ def test_elasticity_is_recovered(spark):
     assert supply.fit_elasticity(df).first().beta == pytest.approx(-1.7, abs=1e-6)
 
 
+def test_elasticity_equals_a_regression_on_dummies(spark):
+    """Beta, clustered error and fit against least squares with a dummy for each item and week; items of one row, one week or one price, and a null category."""
+    rnd = np.random.default_rng(5)
+    rows = []
+    for c, items in (("a", 9), (None, 5), ("flat", 4), ("few", 2)):
+        for i in range(items):
+            n = 1 if i == 0 else int(rnd.integers(10, 40))
+            price = np.full(n, 2.0 + i) if c == "flat" or i == 1 else np.exp(rnd.normal(0.5, 0.3, n))
+            weeks = np.full(n, 7) if i == 2 else rnd.integers(1, 54, n)
+            rows += [(c, f"{c}{i}", int(w), float(np.exp(2 + 0.2 * i - 1.3 * np.log(p) + rnd.normal(0, 0.4))), float(p)) for w, p in zip(weeks, price, strict=True)]
+    rows += [("a", "a3", 5, 0.0, 1.0), ("a", "a3", 5, 3.0, 0.0)]
+    df = spark.createDataFrame(rows, "category string, sku string, week_of_year int, units double, avg_price double").repartition(5)
+    got = {r.category: r for r in supply.fit_elasticity(df, min_skus=3, min_obs=20).collect()}
+    assert set(got) == {"a", None}
+    for c in got:
+        own = [r for r in rows if r[0] == c and r[3] > 0 and r[4] > 0]
+        y, lp = np.log([r[3] for r in own]), np.log([r[4] for r in own])
+        sku, g = np.unique([r[1] for r in own], return_inverse=True)
+        d = np.eye(len(sku))[g]
+        off = np.eye(len(y)) - d @ np.linalg.pinv(d)
+        week = np.array([r[2] for r in own])
+        x = off @ np.column_stack([lp, *[week == w for w in np.unique(week)[1:]]])
+        x = x[:, np.abs(x).sum(axis=0) > 1e-9]
+        b = np.linalg.lstsq(x, off @ y, rcond=1e-12)[0]
+        u = off @ y - x @ b
+        inv = np.linalg.pinv(x.T @ x, rcond=1e-12)
+        meat = sum(np.outer(s, s) for k in range(len(sku)) for s in [x[g == k].T @ u[g == k]])
+        m, rows_, k = len(sku), len(y), x.shape[1]
+        se = np.sqrt(m / (m - 1) * (rows_ - 1) / max(rows_ - k - m, 1) * (inv @ meat @ inv)[0, 0])
+        r = got[c]
+        assert (r.n_obs, r.n_skus) == (rows_, m)
+        assert (r.beta, r.se, r.r2) == pytest.approx((b[0], se, 1 - (u @ u) / ((off @ y) @ (off @ y))), rel=1e-8)
+
+
 def test_moderation_and_tags(spark):
     df = spark.createDataFrame([("Lovely duvet",), ("SCAM buy at http://cheap.example",), ("what a scam!",), ("THIS IS BAD",)], "b string")
     assert [r.x for r in df.select(reviews.moderation(F.col("b")).alias("x")).collect()] == [None, "spam_link", "profanity", "shouting"]
