@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from brindle.functions.exprs import micros
@@ -30,6 +31,15 @@ def star_edges(owners: DataFrame, attribute: str, node: str, most: int | None =
     return d.join(size, attribute).where("n != a").select("a", F.col("n").alias("b")).distinct()
 
 
+def _classes(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """(key, c): each document's class, the smallest document with the same text; and (c, text) of each class. Documents without a word
+    are in none. Only classes are cut into shingles, so copies cost a hash each; equal shingles of other texts are found as pairs."""
+    w = docs.where(F.lower(F.col(text)).rlike("[a-z0-9']")).select(key, F.col(text).alias("text"), F.sha2(F.col(text), 256).alias("class"))
+    first = w.groupBy("class").agg(F.min(F.struct(F.col(key).alias("c"), "text")).alias("x"))
+    of = w.select(key, "class").join(first.select("class", "x.c"), "class").select(key, "c").distinct()
+    return of, first.select("x.c", "x.text")
+
+
 def minhash_bands(docs: DataFrame, key: str, text: str, bands: int = 32, rows: int = 4, k: int = 3) -> DataFrame:
     """(key, band, bucket): MinHash signatures from xxhash64 families over word shingles, in bands."""
     sh = docs.select(key, F.explode(shingles(F.col(text), k)).alias("s"))
@@ -38,41 +48,59 @@ def minhash_bands(docs: DataFrame, key: str, text: str, bands: int = 32, rows: i
     return sig.select(key, F.explode(band).alias("x")).select(key, "x.band", "x.bucket")
 
 
-def jaccard_pairs(docs: DataFrame, key: str, text: str, least: float = 0.6, k: int = 3, bands: int = 32, rows: int = 4, largest: int = 200) -> DataFrame:
-    """(a, b, jaccard): all pairs that share a band, verified exactly. 32 bands of 4 rows find a pair of similarity 0.6 with a probability of 0.988. Documents with equal shingles are one class and verified once; buckets of
-    more than ``largest`` classes are paired in parts of about that size, each with all others, so that no task has a whole one."""
-    s = docs.select(key, F.array_sort(F.array_distinct(shingles(F.col(text), k))).alias("s")).where(F.size("s") > 0)
-    s = s.withColumn("class", F.sha2(F.array_join("s", "\x1f"), 256))
-    first = s.groupBy("class").agg(F.min(key).alias("c"))
-    of = s.select(key, "class").join(first, "class").select(key, "c").distinct()
-    b = minhash_bands(docs.join(first.select(F.col("c").alias(key)), key, "left_semi"), key, text, bands, rows, k)
-    n = b.groupBy("band", "bucket").agg(F.count("*").alias("n")).where("n > 1")
-    b = b.join(n, ["band", "bucket"]).withColumn("parts", F.ceil(F.col("n") / largest).cast("int"))
-    l = b.select("band", "bucket", F.col(key).alias("a"), F.pmod(F.xxhash64(key), F.col("parts")).cast("int").alias("part"))
-    r = b.select("band", "bucket", F.col(key).alias("b"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-    cand = l.join(r, ["band", "bucket", "part"]).where("a < b").select("a", "b").distinct()
-    own = s.join(first.select(F.col("c").alias(key)), key, "left_semi")
-    both = cand.join(own.select(F.col(key).alias("a"), F.col("s").alias("sa")), "a").join(own.select(F.col(key).alias("b"), F.col("s").alias("sb")), "b")
-    like = both.withColumn("jaccard", F.size(F.array_intersect("sa", "sb")) / F.size(F.array_union("sa", "sb"))).where(F.col("jaccard") >= least).select("a", "b", "jaccard")
-    side = lambda c, name: of.select(F.col("c").alias(c), F.col(key).alias(name))
-    apart = like.withColumnsRenamed({"a": "ca", "b": "cb"}).join(side("ca", "x"), "ca").join(side("cb", "y"), "cb").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "jaccard")
-    same = side("c", "a").join(side("c", "b"), "c").where("a < b").select("a", "b", F.lit(1.0).alias("jaccard"))
+def _meet(d: DataFrame, by: list[str], largest: int, carry: list[str], on: Callable[[Column, Column], Column] | None = None) -> DataFrame:
+    """(a, b) with a < b: the classes c of d that share a value of ``by`` and for which ``on`` (of both sides' structs of the ``carry`` columns) holds. Values with more
+    than ``largest`` classes are paired in parts of about that size, each with all others, so that no task has a whole one."""
+    d = _checkpoint(d.select(*by, "c", *carry))  # three uses of what hashing or ranking all shingles gives
+    n = d.groupBy(*by).agg(F.count("*").alias("_n")).where("_n > 1")
+    d = d.select(*by, "c", F.struct(*(carry or ["c"])).alias("_x")).join(n, by).withColumn("_parts", F.ceil(F.col("_n") / largest).cast("int"))
+    l = d.select(*by, F.col("c").alias("a"), F.col("_x").alias("_l"), F.pmod(F.xxhash64("c"), F.col("_parts")).cast("int").alias("_part"))
+    r = d.select(*by, F.col("c").alias("b"), F.col("_x").alias("_r"), F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)).alias("_part"))
+    both = l.join(r, [*by, "_part"]).where("a < b")
+    return (both.where(on(F.col("_l"), F.col("_r"))) if on else both).select("a", "b").distinct()
+
+
+def _similar(cand: DataFrame, of: DataFrame, first: DataFrame, key: str, least: float, k: int, expand: bool) -> DataFrame:
+    """(a, b, jaccard) of the candidates that reach ``least``, from the shingles themselves, and of equal documents. Expanded, a row for each pair of
+    documents; else a row for each pair of classes, by their smallest documents, and one from the smallest to each other document of its class."""
+    sets = first.select("c", shingles(F.col("text"), k).alias("s"))
+    side = lambda c, s: sets.select(F.col("c").alias(c), F.col("s").alias(s))
+    both = cand.join(side("a", "sa"), "a").join(side("b", "sb"), "b")
+    common = F.size(F.array_intersect("sa", "sb"))
+    like = both.select("a", "b", (common / (F.size("sa") + F.size("sb") - common)).alias("jaccard")).where(F.col("jaccard") >= least)
+    member = lambda c, name: of.select(F.col("c").alias(c), F.col(key).alias(name))
+    if not expand:
+        return like.unionByName(member("a", "b").where("a != b").withColumn("jaccard", F.lit(1.0)))
+    apart = like.withColumnsRenamed({"a": "ca", "b": "cb"}).join(member("ca", "x"), "ca").join(member("cb", "y"), "cb").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "jaccard")
+    same = member("c", "a").join(member("c", "b"), "c").where("a < b").select("a", "b", F.lit(1.0).alias("jaccard"))
     return apart.unionByName(same)
 
 
-def exact_jaccard(docs: DataFrame, key: str, text: str, least: float = 0.6, k: int = 3) -> DataFrame:
+def jaccard_pairs(docs: DataFrame, key: str, text: str, least: float = 0.6, k: int = 3, bands: int = 32, rows: int = 4, largest: int = 200, expand: bool = True) -> DataFrame:
+    """(a, b, jaccard): all pairs that share a band, verified exactly. 32 bands of 4 rows find a pair of similarity 0.6 with a probability of 0.988.
+    Documents of the same text are one class and verified once; without ``expand`` their copies give a row each instead of all pairs."""
+    of, first = _classes(docs, key, text)
+    cand = _meet(minhash_bands(first, "c", "text", bands, rows, k), ["band", "bucket"], largest, [])
+    return _similar(cand, of, first, key, least, k, expand)
+
+
+def exact_jaccard(docs: DataFrame, key: str, text: str, least: float = 0.6, k: int = 3, largest: int = 2000, expand: bool = True) -> DataFrame:
     """(a, b, jaccard) of all pairs at or above ``least``, by prefix filtering: with shingles ordered from the rarest, two sets that are similar
-    enough share one of their first n - ceil(least * n) + 1."""
-    # Candidates meet by hashes of the shingles; the similarity is then taken from the shingles themselves.
-    s = docs.select(key, F.explode(F.transform(shingles(F.col(text), k), lambda x: F.xxhash64(x))).alias("s"))
+    enough share one of their first n - ceil(least * n) + 1, their sizes are near, and after the first that they share enough are left. Classes and
+    ``expand`` as in jaccard_pairs."""
+    of, first = _classes(docs, key, text)
+    # Candidates meet by hashes of the shingles.
+    s = first.select("c", F.explode(F.transform(shingles(F.col("text"), k), lambda x: F.xxhash64(x))).alias("s"))
     df = s.groupBy("s").agg(F.count("*").alias("df"))
-    ranked = s.join(df, "s").withColumn("n", F.count("*").over(Window.partitionBy(key))).withColumn("r", F.row_number().over(Window.partitionBy(key).orderBy("df", "s")))
-    prefix = ranked.where((F.col("r") <= F.col("n") - F.ceil(F.col("n") * least) + 1) & (F.col("df") > 1)).select(key, "s", "n")
-    l, r = prefix.alias("l"), prefix.alias("r")
-    cand = l.join(r, (F.col("l.s") == F.col("r.s")) & (F.col(f"l.{key}") < F.col(f"r.{key}")) & (F.least("l.n", "r.n") >= least * F.greatest("l.n", "r.n"))).select(F.col(f"l.{key}").alias("a"), F.col(f"r.{key}").alias("b")).distinct()
-    sets = docs.select(key, shingles(F.col(text), k).alias("s"))
-    both = cand.join(sets.select(F.col(key).alias("a"), F.col("s").alias("sa")), "a").join(sets.select(F.col(key).alias("b"), F.col("s").alias("sb")), "b")
-    return both.withColumn("jaccard", F.size(F.array_intersect("sa", "sb")) / F.size(F.array_union("sa", "sb"))).where(F.col("jaccard") >= least).select("a", "b", "jaccard")
+    ranked = s.join(df, "s").withColumn("n", F.count("*").over(Window.partitionBy("c"))).withColumn("r", F.row_number().over(Window.partitionBy("c").orderBy("df", "s")))
+    prefix = ranked.where((F.col("r") <= F.col("n") - F.ceil(F.col("n") * least) + 1) & (F.col("df") > 1))
+
+    def can(x: Column, y: Column) -> Column:
+        left = 1 + F.least(x.n - x.r, y.n - y.r)
+        # least * union <= common; the margin is for rounding.
+        return (F.least(x.n, y.n) >= least * F.greatest(x.n, y.n) - 1e-9) & (left * (1 + least) >= least * (x.n + y.n) - 1e-9)
+
+    return _similar(_meet(prefix, ["s"], largest, ["n", "r"], can), of, first, key, least, k, expand)
 
 
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:

@@ -176,17 +176,22 @@ def duplicate_listings(t: Tables) -> DataFrame:
 
 
 _SHINGLES = rf"""tk AS (SELECT review_id, regexp_extract_all(lower(body), '([a-z0-9'']+)', 1) AS t FROM reviews), sh AS (SELECT review_id, list_distinct(CASE WHEN len(t) = 0 THEN [] WHEN len(t) < 3 THEN [array_to_string(t, ' ')] ELSE list_transform(range(1, len(t) - 1), lambda i: t[i] || ' ' || t[i + 1] || ' ' || t[i + 2]) END) AS s FROM tk)"""
-_JACCARD = f"""WITH {REVIEWS}, {_SHINGLES}, x AS (SELECT review_id, unnest(s) AS g, len(s) AS n FROM sh), pr AS (SELECT a.review_id AS a, b.review_id AS b, count(*) / (max(a.n) + max(b.n) - count(*)) AS jaccard FROM x a JOIN x b ON a.g = b.g AND a.review_id < b.review_id GROUP BY 1, 2)"""
+_JACCARD = f"""WITH {REVIEWS}, {_SHINGLES}, x AS (SELECT review_id, unnest(s) AS g, len(s) AS n FROM sh), pr AS (SELECT a.review_id AS a, b.review_id AS b, count(*) / (max(a.n) + max(b.n) - count(*)) AS jaccard FROM x a JOIN x b ON a.g = b.g AND a.review_id < b.review_id GROUP BY 1, 2), cl AS (SELECT reviews.review_id, min(reviews.review_id) OVER (PARTITION BY body) AS c FROM reviews JOIN sh ON reviews.review_id = sh.review_id WHERE len(s) > 0)"""
 
 
-@query(_JACCARD + " SELECT a, b, round(jaccard, 4) + 0.0 AS jaccard FROM pr WHERE jaccard >= 0.6")
+@query(
+    _JACCARD
+    + """ SELECT a, b, round(jaccard, 4) + 0.0 AS jaccard FROM pr WHERE jaccard >= 0.6 AND a IN (SELECT c FROM cl) AND b IN (SELECT c FROM cl)
+UNION ALL SELECT c AS a, review_id AS b, CAST(1 AS DOUBLE) AS jaccard FROM cl WHERE c <> review_id"""
+)
 def near_duplicate_docs(t: Tables) -> DataFrame:
-    return _round(graph.exact_jaccard(t.reviews, "review_id", "body"))
+    """Pairs of different texts by their smallest documents, and each copy with the smallest of its text: linear in the copies, no link lost."""
+    return _round(graph.exact_jaccard(t.reviews, "review_id", "body", expand=False))
 
 
 @query()
 def minhash_candidates(t: Tables) -> DataFrame:
-    return _round(graph.jaccard_pairs(t.reviews, "review_id", "body"))
+    return _round(graph.jaccard_pairs(t.reviews, "review_id", "body", expand=False))
 
 
 _EDGES = f"WITH RECURSIVE {EVENTS}, o AS (SELECT DISTINCT customer_id, CAST(sku AS VARCHAR) || strftime(event_ts, '-%Y-%m-%d-%H') AS device FROM ev WHERE sku IS NOT NULL), k AS (SELECT device, min(customer_id) AS a, count(*) AS n FROM o GROUP BY 1 HAVING count(*) >= 2), e AS (SELECT DISTINCT k.a, o.customer_id AS b FROM o JOIN k ON o.device = k.device WHERE o.customer_id <> k.a)"

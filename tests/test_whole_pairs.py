@@ -18,3 +18,19 @@ def test_pairs_of_large_buckets(spark):
     want = {(a, b): jac(a, b) for a, b in itertools.combinations(sorted(texts), 2) if band[a] & band[b] and jac(a, b) >= 0.5}
     got = graph.jaccard_pairs(df, "id", "t", 0.5, largest=3).collect()
     assert len(got) == len(want) and {(r.a, r.b): r.jaccard for r in got} == want and len(want) > 30
+
+
+def test_exact_pairs_in_any_parts_and_without_their_copies(spark):
+    """All pairs by brute force, whatever the parts; unexpanded, the pairs of the smallest copies and a row for each other copy. Null and empty texts link to nothing."""
+    words = [f"w{i}" for i in range(12)]
+    texts = {i: " ".join(w if j != i % 13 else f"x{i // 26}" for j, w in enumerate(words)) for i in range(60)} | {90: None, 91: "", 92: "", 93: "--", 94: "--"}
+    df = spark.createDataFrame(list(texts.items()), "id int, t string")
+    sets = {k: {tuple(t.split()[i : i + 3]) for i in range(10)} for k, t in texts.items() if k < 90}
+    jac = lambda a, b: len(sets[a] & sets[b]) / len(sets[a] | sets[b])
+    want = {(a, b): jac(a, b) for a, b in itertools.combinations(sets, 2) if jac(a, b) >= 0.5}
+    first = {k: min(j for j in sets if texts[j] == texts[k]) for k in sets}
+    compact = {(a, b): j for (a, b), j in want.items() if first[a] == a and (first[b] == b or first[b] == a)}
+    assert 30 < len(compact) < len(want)
+    for largest, expand, rows in ((2000, True, want), (3, True, want), (3, False, compact)):
+        got = [(r.a, r.b, r.jaccard) for r in graph.exact_jaccard(df, "id", "t", 0.5, largest=largest, expand=expand).collect()]
+        assert len(got) == len(rows) and {(a, b): j for a, b, j in got} == rows
