@@ -38,6 +38,9 @@ BLOCK_BYTES = 2 << 20
 #: Bytes of benchmark text that are searched for at a time.
 QUERY_BYTES = 4 << 20
 GAP = 64
+#: The writer holds a row group, and the vectorized reader decodes up to 4,096 rows of one at once: a block has a row group of its own,
+#: so that neither holds more than one block, however many a task has.
+ONE_BLOCK = {"parquet.block.row.count.limit": "1"}
 
 INDEX = "block string, keys array<string>, first array<long>, n_words array<long>, terms array<long>, counts array<int>, positions array<int>"
 
@@ -231,7 +234,7 @@ def query_blocks(bench: DataFrame, item_id: str, text: str, window: int, query_b
 
 def matches(docs: DataFrame, bench: DataFrame, key: str, item_id: str = "item_id", text: str = "text", bench_text: str = "text", window: int = WINDOW, slop: int = SLOP) -> tuple[DataFrame, DataFrame]:
     """The index of the documents, and the matches (HITS) of all items in it."""
-    index = stage(build_index(docs, key, text), "postings")
+    index = stage(build_index(docs, key, text), "postings", **ONE_BLOCK)
     hits = None
     for w in query_blocks(bench, item_id, bench_text, window):
         part = stage(search_index(index, w, slop), "hits")

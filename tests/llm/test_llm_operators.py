@@ -9,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -261,6 +262,15 @@ def test_test_items_in_blocks(docs, bench, monkeypatch):
     assert Counter(tuple(r) for r in decontaminate.decontaminate(docs, bench).collect()) == one
 
 
+def test_index_blocks_are_held_one_at_a_time(docs, bench, monkeypatch):
+    """A task writes and reads many blocks; each is a row group, so that its memory does not grow with their number."""
+    monkeypatch.setattr(decontaminate.build_index, "__defaults__", ("text", 2000))
+    index, _ = decontaminate.matches(decontaminate.keyed(docs.select("doc_id", "text").coalesce(1)), bench, "_key")
+    files = [pq.ParquetFile(f.removeprefix("file://")).metadata for f in index.inputFiles()]
+    assert sum(m.num_rows for m in files) > 10
+    assert all(m.row_group(i).num_rows == 1 for m in files for i in range(m.num_row_groups))
+
+
 URLS = [None, "nourl", "http://A.B.Example.ORG/en/12?x#y", "x://org", "http://org?x://com/de/", "https://sub.com/de/É", "https://com/fr/", "http://example.org/es/", "http://notexample.org/es/", "http://example.org", "http://" + "a." * 3000 + "example.org/es/" + "x" * 50_000, "a://b.com/dex", "x://com/de/a#/fr/", "http://example.org/es/"]
 
 
