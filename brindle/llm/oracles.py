@@ -6,7 +6,7 @@ with brute-force versions.
 
 from __future__ import annotations
 
-from . import decontaminate, mixing, quality, secrets, urls, warc
+from . import decontaminate, merkle, mixing, quality, ranked, secrets, topk, urls, warc
 
 _SPACE = r"[^\x20\x09-\x0D]+"
 
@@ -132,4 +132,35 @@ SELECT record_id, page_id, canonical_url, ts AS captured_at, CASE WHEN resolutio
  CASE WHEN resolution = 'resolved' THEN rdg ELSE dg END AS payload_digest FROM z"""
 
 
-ORACLES: dict[str, str] = {"op2_quality_rules": _quality(), "op3_warc_revisits": _warc(), "op4_decontamination": _DECONTAMINATE, "op5_url_filters": _urls(), "op7_secret_scans": _secrets(), "op10_mixing": _mixing()}
+_TOPK = f"""WITH v AS (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (SELECT q.r, q.vec_id AS query_id, c.vec_id, CAST(coalesce(list_sum(list_transform(range(1, len(q.e) + 1), lambda i: q.e[i] * c.e[i])), 0) AS BIGINT) AS score FROM v q JOIN v c ON q.r <> c.r AND len(q.e) = len(c.e) WHERE q.vec_id % 100 = 0)
+SELECT query_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id, score FROM p WINDOW w AS (PARTITION BY r ORDER BY score DESC, vec_id NULLS LAST) QUALIFY rank <= {topk.K}"""
+
+
+def _merkle() -> str:
+    part = lambda v: f"CASE WHEN {v} IS NULL THEN '-' ELSE octet_length(encode(CAST({v} AS VARCHAR))) || ':' || CAST({v} AS VARCHAR) END"
+    leaf = lambda text: "sha256(" + " || ".join(part(text if c == "text" else c) for c in merkle.FIELDS) + ")"
+    # CRC-32 bit by bit: -1 stands for one of the eight shifts after each byte.
+    bits = "flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: [ascii(x), -1, -1, -1, -1, -1, -1, -1, -1]))"
+    crc = f"xor(list_reduce(list_transform(list_concat([4294967295], {bits}), lambda x: CAST(x AS BIGINT)), lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, (a & 1) * 3988292384) END), 4294967295)"
+    grow = "UNION ALL SELECT l + 1, g, i // {0}, sha256(string_agg(h, '' ORDER BY i)), (any_value(n) + {0} - 1) // {0} FROM {1} WHERE n > 1 GROUP BY l, g, i // {0}"
+    beside = "string_agg(b.h, '' ORDER BY b.i) FILTER (WHERE b.i {0} a.i)"
+    sib = f"SELECT a.l, a.g, a.i, coalesce({beside.format('<')}, '') AS before, coalesce({beside.format('>')}, '') AS after FROM {{0}} a JOIN {{0}} b ON a.l = b.l AND a.g = b.g AND a.i // {merkle.FAN} = b.i // {merkle.FAN} WHERE a.n > 1 GROUP BY 1, 2, 3"
+    return rf"""WITH RECURSIVE d AS (SELECT doc_id, coalesce('=' || source, '') AS g, {leaf("text")} AS h, CASE WHEN {crc} % 5 = 0 THEN {leaf(_LOWER.format("text"))} ELSE {leaf("text")} END AS other FROM documents),
+f AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, h) - 1 AS i, count(*) OVER (PARTITION BY g) AS n FROM d),
+t(l, g, i, h, n) AS (SELECT 0, g, i, h, n FROM f {grow.format(merkle.FAN, "t")}), s AS (SELECT g, h, l AS top, row_number() OVER (ORDER BY encode(g)) - 1 AS i, count(*) OVER () AS n FROM t WHERE n = 1),
+c(l, g, i, h, n) AS (SELECT 0, '', i, h, n FROM s {grow.format(merkle.FAN, "c")}), root AS (SELECT h, l AS top FROM c WHERE n = 1), ts AS ({sib.format("t")}), cs AS ({sib.format("c")}),
+steps AS (SELECT row_number() OVER () AS k, doc_id, f.g, f.i, f.h, other, s.h AS subroot, s.i AS gi, s.top, root.h AS root, root.top AS last FROM f JOIN s ON f.g = s.g, root),
+walk(k, step, hash, proof) AS (SELECT k, 0, other, '' FROM steps UNION ALL SELECT w.k, step + 1, sha256(coalesce(ts.before, cs.before) || hash || coalesce(ts.after, cs.after)), proof || coalesce(ts.before, cs.before) || coalesce(ts.after, cs.after)
+ FROM walk w JOIN steps x ON w.k = x.k LEFT JOIN ts ON step < top AND ts.l = step AND ts.g = x.g AND ts.i = x.i // CAST(pow({merkle.FAN}, step) AS BIGINT) LEFT JOIN cs ON step >= top AND cs.l = step - top AND cs.i = x.gi // CAST(pow({merkle.FAN}, greatest(step - top, 0)) AS BIGINT) WHERE step < top + last)
+SELECT doc_id, h AS leaf, subroot, root, sha256(proof) AS proof_sha256, hash AS folded_root, hash = root AS verified FROM steps x JOIN walk w ON w.k = x.k AND step = top + last"""
+
+
+_RANKED = rf"""WITH d AS (SELECT row_number() OVER () AS k, doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '{_TOKEN}') AS w FROM documents), q AS (SELECT row_number() OVER () AS item, item_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '{_TOKEN}') AS w FROM benchmark),
+s AS (SELECT CAST(count(*) AS BIGINT) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_terms FROM d WHERE len(w) > 0), it AS (SELECT item, item_id, t, count(*) AS c FROM (SELECT item, item_id, unnest(w) AS t FROM q) GROUP BY ALL),
+p AS (SELECT k, doc_id, n, t, count(*) AS tf FROM (SELECT k, doc_id, len(w) AS n, unnest(w) AS t FROM d) GROUP BY ALL), x AS (SELECT t, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w FROM p, s GROUP BY t, n_docs),
+r AS (SELECT item, item_id, k, doc_id, CAST(sum(c * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * n_docs) // n_terms)))) AS BIGINT) AS score FROM p JOIN x USING (t) JOIN it USING (t), s GROUP BY 1, 2, 3, 4)
+SELECT item_id, CAST(row_number() OVER w AS INTEGER) AS rank, doc_id, score FROM r WHERE score > 0 WINDOW w AS (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) QUALIFY rank <= {ranked.K}"""
+
+
+ORACLES: dict[str, str] = {"op2_quality_rules": _quality(), "op3_warc_revisits": _warc(), "op4_decontamination": _DECONTAMINATE, "op5_url_filters": _urls(), "op7_secret_scans": _secrets(), "op10_mixing": _mixing(), "op11_topk": _TOPK, "op12_merkle": _merkle(), "op13_ranked_search": _RANKED}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, language, mixing, oracles, packing, quality, secrets, simhash, substrings, urls, warc
+from . import decontaminate, language, merkle, mixing, oracles, packing, quality, ranked, secrets, simhash, substrings, topk, urls, warc
 from .runtime import table
 
 
@@ -51,9 +51,21 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.report(table(spark, sf_dir, "documents"))
 
 
+def op11_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.report(table(spark, sf_dir, "embeddings"))
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.report(table(spark, sf_dir, "documents"))
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_substring_dedup, op2_quality_rules, op3_warc_revisits, op4_decontamination, op5_url_filters, op6_language_id, op7_secret_scans, op8_simhash, op9_packing, op10_mixing)
+    for f in (op1_substring_dedup, op2_quality_rules, op3_warc_revisits, op4_decontamination, op5_url_filters, op6_language_id, op7_secret_scans, op8_simhash, op9_packing, op10_mixing, op11_topk, op12_merkle, op13_ranked_search)
 }
 
 ORACLES: dict[str, str] = oracles.ORACLES
