@@ -5,12 +5,12 @@ captured strictly earlier. Complete are the answers that a cache may keep whole
 errors and records of unknown status are never referred to and stay as they are (``other``). If their validators agree (entity tags where both have one, else Last-Modified dates), the stored headers
 are updated with those that a 304 may change, and the revisit takes the response's payload.
 
-The as-of join never brings a large URL to one task: time is cut into slots, at the quantiles of the most frequent URL and as many as its records
-need, a URL's records meet per slot, and the last response before a slot is carried in from a small table of (URL, slot) summaries.
+The as-of join never brings a large URL to one task: records are cut into slots, ranges of (URL, time) with PER_SLOT records on average, whatever their number and the
+type of their times; a URL's records meet per slot, and the last response before a slot is carried in from a small table of (URL, slot) summaries.
 
 Cases: a null or malformed URL is its own canonical form, as text; null URLs refer to nothing (no_earlier_response) and stay out of
 the join. Records without a
-time come before all others. Equal times: a response at the revisit's own time isn't earlier; of several responses at one time, that with the largest
+time come before all others. Equal times share a slot, however many: a response at the revisit's own time isn't earlier; of several responses at one time, that with the largest
 record id counts. Repeated rows stay repeated. An empty table gives an empty result. Extra columns pass through ``resolve``.
 """
 
@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .runtime import configure, stage
+from .runtime import configure, shuffle_partitions, stage
 
 #: Headers that a not-modified answer may not change, or that belong to its own connection (fixed names of RFC 9110 and 9111).
 KEPT = [
@@ -30,7 +30,7 @@ KEPT = [
 TRACKING = r"^(utm_[a-z]+|ref|fbclid|gclid|sessionid|phpsessid)(=|$)"
 #: Statuses of complete responses (fixed values: the final ones that RFC 9110 lets a cache store by default, without partial content).
 COMPLETE = (200, 203, 204, 300, 301, 308, 404, 405, 410, 414, 501)
-#: Records of one URL and slot, on average, at most.
+#: Records of a slot, on average.
 PER_SLOT = 20_000
 
 
@@ -45,22 +45,13 @@ def canonical(url: Column) -> Column:
     return F.concat(host, path, F.when(joined == "", "").otherwise(F.concat(F.lit("?"), joined)))
 
 
-def time_cuts(records: DataFrame, key: str, at: str, per_slot: int = PER_SLOT) -> list:
-    """Where time is cut: quantiles of the most frequent key's times, one slot for every per_slot of its records."""
-    top = records.groupBy(key).agg(F.count("*").alias("n")).agg(F.max_by(key, F.struct("n", key)).alias("key"), F.max("n").alias("n")).first()
-    slots = -(-(top.n or 0) // per_slot)
-    if slots < 2:
-        return []
-    cut = records.where(F.col(key) == F.lit(top.key)).agg(F.percentile_approx(at, [i / slots for i in range(1, slots)]).alias("q")).first().q
-    return sorted(set(cut or []))
-
-
 def latest_earlier(records: DataFrame, key: str, at: str, full: Column, what: Column, per_slot: int = PER_SLOT) -> DataFrame:
     """Adds ``met``: ``what`` of the latest row with ``full`` of the same key at an earlier time. Rows without key or match get null."""
     keyed, alone = records.where(F.col(key).isNotNull()), records.where(F.col(key).isNull())
-    cut = time_cuts(keyed, key, at, per_slot)
-    slot = F.coalesce(F.size(F.filter(F.array(*[F.lit(x) for x in cut]), lambda x: x <= F.col(at))), F.lit(0)) if cut else F.lit(0)
-    x = keyed.withColumn("_slot", slot).withColumn("_full", full).withColumn("_what", what)
+    slots = shuffle_partitions(records.sparkSession, keyed.count(), per_slot)
+    # Slots are ranges of (key, time): any type that orders can be a time, and equal times share a slot.
+    x = keyed.withColumn("_full", full).withColumn("_what", what).repartitionByRange(slots, key, F.col(at).asc_nulls_first())
+    x = stage(x.withColumn("_slot", F.spark_partition_id()), "slots")
     last = F.max_by(F.when(F.col("_full"), F.col("_what")), F.when(F.col("_full"), F.struct(F.col(at), F.col("record_id"))))
     # One row per key and slot; each looks up the last response of the slots before it.
     have = x.groupBy(key, "_slot").agg(last.alias("_last"))
