@@ -194,7 +194,7 @@ def postings(rows: DataFrame, grams: list[str], blocks: int) -> DataFrame:
 
 
 def candidates(index: DataFrame, queries: list[list[frozenset[str]] | None]) -> DataFrame:
-    """(key, rules): bit i of rules is set if the document passes query i. Full-scan rules are not asked."""
+    """(key, rules): the numbers of the queries that the document passes, of any number of them. Full-scan rules are not asked."""
     by = index.groupBy("block").agg(F.map_from_entries(F.collect_list(F.struct("gram", "keys"))).alias("of"))
     none = F.array().cast("array<bigint>")
     get = lambda g: F.coalesce(F.element_at("of", F.lit(g)), none)
@@ -203,12 +203,12 @@ def candidates(index: DataFrame, queries: list[list[frozenset[str]] | None]) ->
         return reduce(F.array_union, [reduce(F.array_intersect, [get(g) for g in sorted(ands)]) for ands in query])
 
     def tagged(i: int, query: list[frozenset[str]]) -> Column:
-        return F.transform(answer(query), lambda k: F.struct(k.alias("key"), F.lit(1 << i).cast("long").alias("rule")))
+        return F.transform(answer(query), lambda k: F.struct(k.alias("key"), F.lit(i).alias("rule")))
 
     rows = [tagged(i, q) for i, q in enumerate(queries) if q is not None]
     if not rows:
-        return index.sparkSession.createDataFrame([], "key long, rules long")
-    return by.select(F.explode(F.flatten(F.array(*rows))).alias("x")).groupBy("x.key").agg(F.bit_or("x.rule").alias("rules"))
+        return index.sparkSession.createDataFrame([], "key long, rules array<int>")
+    return by.select(F.explode(F.flatten(F.array(*rows))).alias("x")).groupBy("x.key").agg(F.collect_set("x.rule").alias("rules"))
 
 
 def may_be(rows: DataFrame, keys: DataFrame) -> DataFrame:
@@ -268,7 +268,7 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rules: tup
             if q is None:
                 out.append(F.when(F.col("text").rlike(r.regex), spans(F.col("text"), r, i)).otherwise(none))
             elif not full_only:
-                ask = F.coalesce(F.col("rules").bitwiseAND(F.lit(1 << i).cast("long")) != 0, F.lit(False))
+                ask = F.coalesce(F.array_contains("rules", i), F.lit(False))
                 out.append(F.when(ask, spans(F.col("text"), r, i)).otherwise(none))
         return of.select("doc_id", F.array_sort(F.concat(*out) if out else none).alias("found"))
 
