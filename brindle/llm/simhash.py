@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
 from . import textnum as tn
 from .components import components
@@ -238,14 +239,21 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     return fp.join(of_fp, fp.fp == of_fp.fp2, "left").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def has_map(kind: DataType) -> bool:
+    return isinstance(kind, MapType) or (isinstance(kind, ArrayType) and has_map(kind.elementType)) or (isinstance(kind, StructType) and any(has_map(f.dataType) for f in kind))
+
+
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One document of each component, that with the smallest id (of several with it, the one with the smallest hash; of equal rows, one)."""
+    """One document of each component, that with the smallest id (of several with it, the one with the smallest hash; of equal rows, one). Columns of any type
+    pass through: maps, arrays and structs, too."""
     own = docs.columns
     n = len(own)
     plain = docs.select(*[docs[c].alias(f"_{i}") for i, c in enumerate(own)])
     row_id, body = F.col(f"_{own.index(doc_id)}"), f"_{own.index(text)}"
     # (h, g) tells rows apart; neither is null, so that one exchange serves the join and the aggregate below.
-    hashed, second = F.xxhash64(*[F.col(f"_{i}") for i in range(n)]), F.xxhash64(F.lit(1), *[F.col(f"_{i}") for i in reversed(range(n))])
+    # Maps have no hash of their own; their JSON text has, so that equal maps in another order count as different rows.
+    value = [F.to_json(F.struct(f"_{i}")) if has_map(plain.schema[f"_{i}"].dataType) else F.col(f"_{i}") for i in range(n)]
+    hashed, second = F.xxhash64(*value), F.xxhash64(F.lit(1), *reversed(value))
     plain = plain.withColumn("h", hashed).withColumn("g", second)
     fp = stage(fingerprints(plain.withColumn("id", row_id), body, ["id", "h", "g"]), "fingerprints")
     # The smallest of each fingerprint, then of each component: aggregates, so that a group of any size is one row early.
