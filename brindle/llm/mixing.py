@@ -13,7 +13,8 @@ dealt out. No source is sorted in one task: sums over CLASSES classes of Q find
 about one in CLASSES of a source, are ranked exactly.
 
 Cases: a null text has size 0 and nothing is taken of it. A null source is a source of its own, the
-last. Rows that are equal in id and text share one rank, and so stand on one side of the cut. An
+last. Rows that are equal in source, id and text are numbered, and each has a random number of its own, so that the cut takes as many of them as fit;
+which of them it takes is left open. An
 empty table gives an empty result. Extra columns pass through ``mix`` and are ignored by ``plan``.
 """
 
@@ -27,7 +28,9 @@ from .runtime import configure, stage
 WEIGHTS = (5, 2, 1)
 MAX_COPIES = 3
 SEED = 20
+#: Classes of the order, at least, and documents of a class.
 CLASSES = 4096
+CLASS_ROWS = 2000
 #: A document with twice the words is expected 1 / (LENGTH_BASE + digits) more often.
 LENGTH_BASE = 20
 #: How often a cut is sought: once, and again in the rest of the order after documents that don't fit are stepped over.
@@ -107,17 +110,26 @@ def rates(by_length: DataFrame, max_copies: int) -> DataFrame:
 
 def plan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", weights: tuple[int, ...] = WEIGHTS, max_copies: int = MAX_COPIES, seed: int = SEED, rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame]:
     """(one row per document: doc_id, source, size, digest; one row per source: what decides the copies of its documents)."""
+    return decided(docs, doc_id, text, source, weights, max_copies, seed, rounds)[:2]
+
+
+def decided(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", weights: tuple[int, ...] = WEIGHTS, max_copies: int = MAX_COPIES, seed: int = SEED, rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The two tables of ``plan``, and the repeated (source, digest)."""
     configure(docs.sparkSession)
     sized = docs.select(docs[doc_id].alias("doc_id"), docs[source].alias("source"), words(docs[text]).alias("size"), digest(docs[doc_id], docs[text], seed).alias("digest"))
-    sized = stage(sized, "sized")
+    rows = stage(sized, "rows")
+    again = stage(repeated(rows), "again")
+    sized = stage(spread(rows, again), "sized")
     lengths = stage(sized.groupBy("source", digits(F.col("size")).alias("n")).agg(F.sum("size").alias("w")), "lengths")
     shares = targets(lengths.groupBy("source").agg(F.sum("w").alias("source_size")), weights, max_copies)
     by_length = lengths.alias("l").join(shares.alias("s"), same_source("l", "s")).select("l.source", "s.target", "l.n", "l.w")
-    state = rates(by_length, max_copies).withColumn("cuts", F.array().cast(CUTS))
+    # As many classes as leave a class of the largest source CLASS_ROWS documents, on average.
+    most = max(CLASSES, 1 << (sized.count() // CLASS_ROWS).bit_length())
+    state = rates(by_length, max_copies).withColumn("cuts", F.array().cast(CUTS)).withColumn("classes", F.lit(most).cast("long"))
     state = stage(state, "rates")
     for _ in range(rounds):
         state = stage(cut_once(sized, state, max_copies), "cuts")
-    return sized, state
+    return sized, state, again
 
 
 #: What a round took: of the documents with at most ``room`` words, those up to (class, q, digest) in the order (all, without a class).
@@ -131,8 +143,8 @@ def order_key(pi: Column) -> Column:
 
 
 def classes(q: Column) -> Column:
-    """Of the whole range of Q, which of CLASSES parts."""
-    return F.floor(q / (1 + q) * CLASSES).cast("long")
+    """Of the whole range of Q, which of its parts (column ``classes`` of the source's row)."""
+    return F.floor(q / (1 + q) * F.col("classes")).cast("long")
 
 
 def same_source(a: str, b: str) -> Column:
@@ -155,7 +167,7 @@ def part(max_copies: int) -> Column:
 
 def cut_once(sized: DataFrame, state: DataFrame, max_copies: int) -> DataFrame:
     """One more cut per source, among the documents not yet drawn that fit in what is left: the longest run of the order that fits as a whole."""
-    rows = sized.alias("d").join(state.alias("s"), same_source("d", "s")).select("s.source", "s.left", "s.cuts", "s.c", "d.size", "d.digest")
+    rows = sized.alias("d").join(state.alias("s"), same_source("d", "s")).select("s.source", "s.left", "s.cuts", "s.c", "s.classes", "d.size", "d.digest")
     rows = rows.withColumn("q", order_key(part(max_copies))).where(F.col("q").isNotNull() & (F.col("size") <= F.col("left")))
     rows = rows.where(~drawn(F.col("size"), F.col("q"), F.col("digest"))).select("source", "left", "size", "digest", "q", classes(F.col("q")).alias("class"))
     sums = rows.groupBy("source", "class").agg(F.sum("size").alias("w"), F.first("left").alias("left"))
@@ -184,6 +196,29 @@ def copies(max_copies: int = MAX_COPIES) -> Column:
     return whole + F.when(drawn(F.col("size"), q, F.col("digest")), 1).otherwise(0)
 
 
+def spread(rows: DataFrame, again: DataFrame) -> DataFrame:
+    """rows: with source and digest; again: the repeated ones. Of rows with the same two, all but one get digests of their own: by their number, which counts inside the tasks' parts first and adds
+    what lies in the parts before, so that no task meets them all. Only repeated rows are written."""
+    if again.isEmpty():
+        return rows
+    same = lambda a, b: same_source(a, b) & (F.col(f"{a}.digest") == F.col(f"{b}.digest"))
+    own = rows.columns
+    alone = rows.alias("r").join(again.alias("a"), same("r", "a"), "left_anti")
+    met = rows.alias("r").join(again.alias("a"), same("r", "a"), "left_semi").withColumn("_m", F.monotonically_increasing_id())
+    met = stage(met, "repeated").withColumn("_p", F.shiftright("_m", 33))
+    runs = met.groupBy("source", "digest", "_p").agg(F.count("*").alias("c"))
+    before = F.sum("c").over(Window.partitionBy("source", "digest").orderBy("_p").rowsBetween(Window.unboundedPreceding, -1))
+    runs = runs.withColumn("before", F.coalesce(before, F.lit(0)))
+    inside = met.withColumn("_k", F.row_number().over(Window.partitionBy("source", "digest", "_p").orderBy("_m")) - 1)
+    at = inside.alias("r").join(runs.alias("a"), same("r", "a") & (F.col("r._p") == F.col("a._p"))).withColumn("_n", F.col("r._k") + F.col("a.before"))
+    fresh = F.when(F.col("_n") > 0, F.md5(F.concat(F.col("r.digest"), F.lit(":"), F.col("_n").cast("string")))).otherwise(F.col("r.digest"))
+    return alone.unionByName(at.select(*[(fresh if c == "digest" else F.col(f"r.{c}")).alias(c) for c in own]))
+
+
+def repeated(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("source", "digest").agg(F.count("*").alias("n")).where("n > 1").drop("n")
+
+
 def report(docs: DataFrame, **options) -> DataFrame:
     """(doc_id, size, source_size, target, taken, copies) of every document."""
     sized, shares = plan(docs, **options)
@@ -193,11 +228,12 @@ def report(docs: DataFrame, **options) -> DataFrame:
 
 
 def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", seed: int = SEED, **options) -> DataFrame:
-    """Each document as often as the mix takes it, with its columns as they were. Only the sources' rows are joined, so no text is shuffled."""
+    """Each document as often as the mix takes it, with its columns as they were. Only the sources' rows are joined, so no text is shuffled
+    but for those of repeated rows."""
     own = docs.columns
-    _, shares = plan(docs, doc_id, text, source, seed=seed, **options)
+    _, shares, again = decided(docs, doc_id, text, source, seed=seed, **options)
     plain = docs.select(*[docs[c].alias(f"_{i}") for i, c in enumerate(own)])
     at = lambda c: F.col(f"_{own.index(c)}")
     keyed = plain.withColumn("digest", digest(at(doc_id), at(text), seed)).withColumn("source", at(source)).withColumn("size", words(at(text)))
-    out = keyed.alias("d").join(shares.alias("s"), same_source("d", "s"), "left").withColumn("n", copies(options.get("max_copies", MAX_COPIES)).cast("int")).where("n > 0")
+    out = spread(keyed, again).alias("d").join(shares.alias("s"), same_source("d", "s"), "left").withColumn("n", copies(options.get("max_copies", MAX_COPIES)).cast("int")).where("n > 0")
     return out.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("n")))).select(*[F.col(f"d._{i}").alias(c) for i, c in enumerate(own)])

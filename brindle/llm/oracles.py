@@ -94,7 +94,8 @@ def _mixing() -> str:
         for i in range(mixing.ROUNDS)
     )
     last = f"q{mixing.ROUNDS - 1}"
-    return rf"""WITH RECURSIVE d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '{_SPACE}')) AS BIGINT) AS size, md5('{mixing.SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '-') || ':' || coalesce(text, '')) AS dg FROM documents),
+    return rf"""WITH RECURSIVE d0 AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '{_SPACE}')) AS BIGINT) AS size, md5('{mixing.SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '-') || ':' || coalesce(text, '')) AS dg FROM documents),
+d AS (SELECT doc_id, source, size, CASE WHEN o > 1 THEN md5(dg || ':' || (o - 1)) ELSE dg END AS dg FROM (SELECT *, row_number() OVER (PARTITION BY source, dg) AS o FROM d0)),
 s AS (SELECT source, ss, CASE (row_number() OVER (ORDER BY source IS NULL, source) - 1) % {len(w)} {cases} END AS w FROM (SELECT source, CAST(sum(size) AS BIGINT) AS ss FROM d GROUP BY 1)),
 it(step, rest, share) AS (SELECT 0, CAST((SELECT sum(ss) FROM s) AS BIGINT), CAST((SELECT sum(w) FROM s) AS BIGINT) UNION ALL
  SELECT step + 1, CAST((SELECT sum(ss) FROM s) - 3 * coalesce((SELECT sum(ss) FROM s WHERE 3 * ss * it.share < w * it.rest), 0) AS BIGINT), CAST(coalesce((SELECT sum(w) FROM s WHERE NOT (3 * ss * it.share < w * it.rest)), 0) AS BIGINT) FROM it WHERE step < 40 AND share > 0),
