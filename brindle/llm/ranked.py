@@ -11,7 +11,7 @@ Search, for all items at once:
    its postings from there on. They are sent by document, once for all items, and meet the items' terms there. What a list
    has not given up for a document is less than the threshold, and no more than the list's head; documents that can't reach the bound with that, or
    not the k-th best partial score, go.
-3. The exact scores of those left are looked up in all lists.
+3. For those left, what the lists have kept back is looked up, which makes their scores exact.
 
 Scores are integers: log weights are floored, products are divided with the remainder dropped, so the order of summing doesn't show.
 
@@ -35,7 +35,7 @@ from .runtime import configure, shuffle_partitions, stage
 K = 20
 #: Postings from the head of each list, and documents of each item that are looked up for its lower bound.
 HEAD = 100
-LOOK = 100
+LOOK = 2 * K
 #: Documents in a partition of the second phase.
 PART_DOCS = 20_000
 
@@ -154,8 +154,12 @@ def tput(lists: DataFrame, terms: DataFrame, n_docs: int, k: int = K, head: int
     sums = met.groupBy("item", "r").agg(F.sum("add").alias("partial"), F.sum("hidden").alias("shown"), F.first("all").alias("all"), F.first("low").alias("low"))
     left = stage(sums.withColumn("upper", F.col("partial") + F.col("all") - F.col("shown")).where("upper >= low").select("item", "r", "partial", "upper"), "candidates")
     second = kth(left, k, "partial", "second")
-    left = left.join(second, "item", "left").where("second is null or upper >= second")
-    return lookup(lists, stage(left.select("item", "r"), "left"), asked)
+    left = stage(left.join(second, "item", "left").where("second is null or upper >= second").select("item", "r", "partial"), "left")
+    # What is missing of an exact score are the postings that the lists have kept back.
+    kept = asked.groupBy("term").agg(F.max(F.expr("(need + c - 1) div c")).alias("most"))
+    behind = lists.join(kept, "term").where("s < most").select("term", "r", "s").join(left.select("item", "r"), "r").join(asked.select("item", "term", "c", "need"), ["item", "term"])
+    more = behind.withColumn("add", F.col("c") * F.col("s")).where("add < need").groupBy("item", "r").agg(F.sum("add").alias("more"))
+    return left.join(more, ["item", "r"], "left").select("item", "r", (F.col("partial") + F.coalesce("more", F.lit(0))).alias("score"))
 
 
 def search(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", k: int = K) -> DataFrame:

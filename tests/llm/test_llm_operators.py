@@ -581,3 +581,42 @@ def test_long_runs_of_white_space_are_split_as_the_pattern_does():
         assert packing.by_runs(enc, x, 10).tolist() == enc.encode_ordinary(x)
     encode, _ = packing.tokenizer(packing.TOKENIZER)
     assert len(encode(["a" + " " * 200_000 + "b"])[0]) > 2
+
+
+def test_repeated_rows_reach_the_target(spark):
+    """400 equal rows of 50 words beside 400 different ones: each is drawn for itself."""
+    equal = " ".join(["same"] * 50)
+    data = [(1, equal, "a")] * 400 + [(i, " ".join([f"w{i}"] * 50), "b") for i in range(2, 402)]
+    df = spark.createDataFrame(data, "doc_id long, text string, source string").repartition(5)
+    out = mixing.report(df)
+    per = {r.source: r for r in out.join(df.select("doc_id", "source").distinct(), "doc_id").groupBy("source").agg(F.sum("taken").alias("taken"), F.first("target").alias("target")).collect()}
+    assert all(abs(r.taken - r.target) <= 50 for r in per.values()), per
+    assert {r.taken for r in out.where("doc_id = 1").collect()} == {50, 100}
+    again = mixing.report(df.repartition(3))
+    assert Counter(map(tuple, again.collect())) == Counter(map(tuple, out.collect()))
+    mixed = mixing.mix(df.withColumn("m", F.create_map(F.lit("k"), F.col("doc_id"))))
+    assert mixed.where("doc_id = 1").count() * 50 == per["a"].taken and mixed.columns == ["doc_id", "text", "source", "m"]
+
+
+@pytest.mark.parametrize("kind", ["int", "string", "timestamp", "date"])
+def test_revisits_at_times_of_any_type(spark, kind):
+    """Many slots, with ties at their cuts, give what one slot gives."""
+    rnd = random.Random(6)
+    recs = [(f"r{i}", rnd.choice(["http://x.org/a"] * 8 + ["http://x.org/b"]), rnd.choice([*range(9), None]), rnd.choice([200, 304]), {"etag": rnd.choice("ab")}, f"d{i}") for i in range(400)]
+    df = spark.createDataFrame(recs, "record_id string, url string, n int, status int, headers map<string,string>, payload_digest string")
+    day = F.date_add(F.lit("2024-01-01").cast("date"), F.col("n"))
+    at = {"int": F.col("n"), "string": F.concat(day.cast("string"), F.lit("T00:00:00Z")), "timestamp": day.cast("timestamp"), "date": day}[kind]
+    pair = ((df.withColumn("captured_at", at).repartition(3), 3), (df.withColumn("captured_at", F.col("n")), 10**6))
+    got, want = (Counter((r.record_id, r.resolution, r.refers_to) for r in warc.resolve(d.drop("n"), per_slot=k).collect()) for d, k in pair)
+    assert got == want
+
+
+def test_any_number_of_rules(spark):
+    rules = tuple(secrets.Rule(f"k{i}", f"key{i:03d}x[a-z]+", 0, 8) for i in range(70))
+    df = spark.createDataFrame([(i, f"some key{i:03d}xabc text") for i in range(70)], "doc_id long, text string")
+    assert {r.doc_id: [x.kind for x in r.found] for r in secrets.scan(df, rules=rules).collect()} == {i: [f"k{i}"] for i in range(70)}
+
+
+def test_one_of_a_group_with_columns_of_any_type(spark):
+    df = spark.createDataFrame([(i, "some words that stand here twice or more", {"a": i % 2, "b": 1}, [{"k": "v"}], (1, {"x": 2})) for i in (3, 1, 1, 2)], "doc_id long, text string, m map<string,int>, a array<map<string,string>>, s struct<n:int,m:map<string,int>>")
+    assert [tuple(r) for r in simhash.keep_one(df).collect()] == [(1, "some words that stand here twice or more", {"a": 1, "b": 1}, [{"k": "v"}], (1, {"x": 2}))]

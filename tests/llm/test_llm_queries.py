@@ -14,7 +14,7 @@ from brindle.llm import decontaminate, mixing, packing, simhash
 from brindle.llm.oracles import ORACLES
 from brindle.llm.queries import QUERIES
 
-TABLES = ("documents", "pages", "benchmark")
+TABLES = ("documents", "pages", "benchmark", "embeddings")
 
 
 @pytest.fixture(scope="module")
