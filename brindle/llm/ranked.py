@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from . import textnum as tn
 from .keyfilter import KeyFilter, key_filter
-from .runtime import configure, shuffle_partitions, stage
+from .runtime import configure, shuffle_partitions, small, stage
 
 K = 20
 #: Postings from the head of each list, and documents of each item that are looked up for its lower bound.
@@ -102,9 +102,9 @@ def postings(counts: DataFrame, terms: DataFrame | None = None) -> DataFrame:
     rows = counts.select("r", "n", F.explode(F.arrays_zip("terms", "tfs")).alias("x")).select(F.col("x.terms").alias("term"), "r", "n", F.col("x.tfs").alias("tf"))
     df = rows.groupBy("term").agg(F.count("*").alias("df"))
     if terms is not None:
-        df = df.join(terms, "term", "left_semi")
+        df = stage(df, "frequencies").join(terms, "term", "left_semi")
     weight = F.floor(1000 * F.log(F.lit(float(2 * n_docs + 2)) / (2 * F.col("df") + 1).cast("double")))
-    df = stage(df.select("term", weight.alias("w")), "weights")
+    df = small(stage(df.select("term", weight.alias("w")), "weights"))
     # 25 * n * N leaves 64 bits for the longest documents of the largest corpora; those alone are divided as decimals.
     wide = F.expr(f"(25 * CAST(n AS DECIMAL(19, 0)) * CAST({n_docs} AS DECIMAL(15, 0))) div CAST({n_terms} AS DECIMAL(19, 0))").cast("long")
     share = F.when(F.col("n") <= (1 << 62) // (25 * max(1, n_docs)), F.expr(f"(25 * n * {n_docs}L) div {n_terms}L")).otherwise(wide)
@@ -126,9 +126,11 @@ def top(scores: DataFrame, k: int, by: str, *ties: Column) -> DataFrame:
     return scores.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
-def lookup(lists: DataFrame, wanted: DataFrame, asked: DataFrame) -> DataFrame:
-    """(item, r, score) of the pairs (item, r) in ``wanted``, from all lists of ``asked``, the items' terms."""
-    return lists.join(wanted.select("item", "r"), "r").join(asked.select("item", "term", "c"), ["item", "term"]).groupBy("item", "r").agg(F.sum(F.col("c") * F.col("s")).alias("score"))
+def entries(lists: DataFrame, pairs: DataFrame, asked: DataFrame, which: Column | bool = True) -> DataFrame:
+    """(item, r, add) from all lists, for the written pairs (item, r): lists are cut to the pairs' documents first, and not exchanged while those are few."""
+    docs = stage(pairs.select("r").distinct(), "documents")
+    own = lists.join(small(docs), "r", "left_semi").join(small(asked), "term").withColumn("add", F.col("c") * F.col("s")).where(F.lit(which) if isinstance(which, bool) else which)
+    return own.select("item", "r", "add").join(small(pairs.select("item", "r")), ["item", "r"])
 
 
 def kth(scores: DataFrame, k: int, by: str, alias: str) -> DataFrame:
@@ -140,25 +142,25 @@ def tput(lists: DataFrame, terms: DataFrame, n_docs: int, k: int = K, head: int
     """(item, r, score): a set that holds the k best of each item, by any order of ties. lists: the written index; terms: (item, term, c)."""
     first = Window.partitionBy("term").orderBy(F.desc("s"), "r")
     heads = stage(lists.where("s > 0").withColumn("i", F.row_number().over(first)).where(F.col("i") <= max(k, head)), "heads")
-    asked = terms.join(heads.groupBy("term").agg(F.max("s").alias("most")), "term")  # lists without a posting above 0 add nothing
-    partial = heads.join(asked, "term").groupBy("item", "r").agg(F.sum(F.col("c") * F.col("s")).alias("score"))
-    low = stage(kth(lookup(lists, stage(top(partial, max(k, look), "score", F.col("r").asc()), "looked"), asked), k, "score", "low"), "bounds")
+    # Lists without a posting above 0 add nothing.
+    asked = stage(terms.join(heads.groupBy("term").agg(F.max("s").alias("most")), "term"), "asked")
+    partial = heads.join(small(asked), "term").groupBy("item", "r").agg(F.sum(F.col("c") * F.col("s")).alias("score"))
+    looked = stage(top(partial, max(k, look), "score", F.col("r").asc()).select("item", "r"), "looked")
+    low = stage(kth(entries(lists, looked, asked).groupBy("item", "r").agg(F.sum("add").alias("score")), k, "score", "low"), "bounds")
     # The least a posting must add, and the most that a list hides below that.
     m = terms.groupBy("item").agg(F.count("*").alias("m"))
     need = F.greatest(F.lit(1), F.expr("(coalesce(low, 0) + m - 1) div m"))
     asked = asked.join(m, "item").join(low, "item", "left").withColumn("need", need).withColumn("hidden", F.least(F.col("c") * F.col("most"), F.col("need") - 1))
     asked = stage(asked.select("item", "term", "c", "need", "hidden", F.coalesce("low", F.lit(0)).alias("low"), F.sum("hidden").over(Window.partitionBy("item")).alias("all")), "asked")
-    least = asked.groupBy("term").agg(F.min(F.expr("(need + c - 1) div c")).alias("least"))
-    given = lists.join(least, "term").where("s >= least").select("term", "r", "s").repartition(shuffle_partitions(lists.sparkSession, n_docs, PART_DOCS), "r")
-    met = given.join(asked, "term").withColumn("add", F.col("c") * F.col("s")).where("add >= need")
+    least = stage(asked.groupBy("term").agg(F.min(F.expr("(need + c - 1) div c")).alias("least")), "least")
+    given = lists.join(small(least), "term").where("s >= least").select("term", "r", "s").repartition(shuffle_partitions(lists.sparkSession, n_docs, PART_DOCS), "r")
+    met = given.join(small(asked), "term").withColumn("add", F.col("c") * F.col("s")).where("add >= need")
     sums = met.groupBy("item", "r").agg(F.sum("add").alias("partial"), F.sum("hidden").alias("shown"), F.first("all").alias("all"), F.first("low").alias("low"))
     left = stage(sums.withColumn("upper", F.col("partial") + F.col("all") - F.col("shown")).where("upper >= low").select("item", "r", "partial", "upper"), "candidates")
-    second = kth(left, k, "partial", "second")
-    left = stage(left.join(second, "item", "left").where("second is null or upper >= second").select("item", "r", "partial"), "left")
+    second = stage(kth(left, k, "partial", "second"), "bounds")
+    left = stage(left.join(small(second), "item", "left").where("second is null or upper >= second").select("item", "r", "partial"), "left")
     # What is missing of an exact score are the postings that the lists have kept back.
-    kept = asked.groupBy("term").agg(F.max(F.expr("(need + c - 1) div c")).alias("most"))
-    behind = lists.join(kept, "term").where("s < most").select("term", "r", "s").join(left.select("item", "r"), "r").join(asked.select("item", "term", "c", "need"), ["item", "term"])
-    more = behind.withColumn("add", F.col("c") * F.col("s")).where("add < need").groupBy("item", "r").agg(F.sum("add").alias("more"))
+    more = entries(lists, left, asked, F.col("add") < F.col("need")).groupBy("item", "r").agg(F.sum("add").alias("more"))
     return left.join(more, ["item", "r"], "left").select("item", "r", (F.col("partial") + F.coalesce("more", F.lit(0))).alias("score"))
 
 

@@ -54,6 +54,11 @@ def stage(df: DataFrame, name: str, **options: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small(df: DataFrame, rows: int = 100_000) -> DataFrame:
+    """A written table of narrow rows, to be broadcast if it has no more than ``rows``; a larger one is joined as Spark sees fit."""
+    return df.hint("broadcast") if df.limit(rows + 1).count() <= rows else df
+
+
 def shuffle_partitions(spark: SparkSession, rows: int, per_task: int) -> int:
     """Partitions for ``rows`` rows with at most ``per_task`` in each on average, and no fewer than the session's."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // per_task))
