@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from brindle.functions import text as tx
-from brindle.operators import bayes, catalog, features, images, marketing, models, reviews
+from brindle.operators import bayes, boosting, catalog, classify, features, images, lifetime, marketing, models, reviews, search
 from brindle.operators.graph import _checkpoint as checkpoint
 from brindle.sources.tables import Tables
 
@@ -165,14 +165,32 @@ def coupon_logistic(t: Tables) -> DataFrame:
     return _round(m.transform(h.where(late).withColumn("weight", F.lit(1.0))).select("send_id", "redeemed", models.p1().alias("p_redeem")))
 
 
+def _paths(t: Tables) -> DataFrame:
+    """Texts with two levels of labels: the language, and inside it what the labels say of the text. The first line counts as title."""
+    kind = F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 1, "good").when(F.col("quality") == 0, "poor")
+    title = F.substring_index("body", "\n", 1)
+    rest = F.substr("body", F.length(title) + 2)
+    return t.reviews.select("review_id", classify.weighted_text(title, rest).alias("text"), F.col("lang").alias("label"), F.concat_ws("/", "lang", kind).alias("path"), kind.isNotNull().alias("labelled"))
+
+
 @query()
 def text_classifier(t: Tables) -> DataFrame:
-    d = t.reviews.select("review_id", F.col("lang").alias("label"), tx.tokens(F.col("body")).alias("words"))
+    """The first level alone, over all documents: words, pairs and character n-grams."""
+    d = _paths(t)
     test = models.bucket(F.col("review_id"), 5) == 0
-    m = models.text_classifier(features=4096).fit(models.balanced(d.where(~test), "label"))
-    names = m.stages[0].labels
-    p = m.transform(d.where(test).withColumn("weight", F.lit(1.0)))
-    return p.select("review_id", "label", F.get(F.array(*[F.lit(x) for x in names]), F.col("prediction").cast("int")).alias("guess"))
+    m = classify.fit_paths(d.where(~test), "review_id", "text", "label", "label", iterations=25)
+    p = m.predict(d.where(test), "review_id", "text", 0.0).select("review_id", F.col("l1").alias("guess"))
+    return d.where(test).select("review_id", "label").join(p, "review_id", "left")
+
+
+@query()
+def category_paths(t: Tables) -> DataFrame:
+    """Both levels, fitted on four fifths of the labelled documents and told for the others."""
+    d = _paths(t).where("labelled")
+    test = models.bucket(F.col("review_id"), 5) == 0
+    m = classify.fit_paths(d.where(~test), "review_id", "text", "label", "path", iterations=25)
+    p = m.predict(d.where(test), "review_id", "text", 0.0).withColumnsRenamed({"l1": "guess_l1", "l2": "guess_l2"})
+    return _round(d.where(test).select("review_id", F.col("label").alias("l1"), F.col("path").alias("l2")).join(p, "review_id", "left"))
 
 
 @query("""WITH p AS (SELECT doc_id, lang AS label, CASE WHEN doc_id % 10 = 0 THEN 'en' ELSE lang END AS guess FROM documents), c AS (SELECT DISTINCT label AS c FROM p), m AS (SELECT c, (SELECT count(*) FROM p WHERE label = c AND guess = c) AS tp, (SELECT count(*) FROM p WHERE label = c) AS r, (SELECT count(*) FROM p WHERE guess = c) AS s FROM c) SELECT round(avg(2 * tp / (r + s)), 4) + 0.0 AS macro_f1 FROM m""")
@@ -194,10 +212,34 @@ def search_ranker(t: Tables) -> DataFrame:
     return _round(models.ranker(p.where("sku % 4 != 0"), p.where("sku % 4 = 0"), ["size", "price"], "clicked", "weight").select("sku", F.lower("title").alias("query"), "clicked", "rank_score"))
 
 
+def shown_lists(t: Tables) -> DataFrame:
+    """Result lists for a ranker: a customer's order lines as they came, with clicks that follow quantity and position."""
+    w = Window.partitionBy("customer_id").orderBy("order_ts", "order_id", "line_no")
+    k = F.col("order_id") * 8 + F.col("line_no")
+    d = t.lines.select(F.col("customer_id").alias("query_id"), k.alias("line_id"), "sku", "quantity", "unit_price", (F.col("net_revenue") / F.col("quantity") / F.col("unit_price")).alias("paid_share"), F.to_date("order_ts").alias("event_date"), F.row_number().over(w).alias("position"))
+    wanted, seen = (F.col("sku") * 7919 + F.col("line_id") * 31) % 100 < F.col("quantity") * 2, (F.col("line_id") * 17) % 100 < 100 / F.sqrt("position")
+    price = (F.col("unit_price") - F.avg("unit_price").over(Window.partitionBy("query_id"))).alias("price_gap")
+    return d.select("*", price, (wanted & seen).cast("int").alias("clicked"))
+
+
+RANKED = ["quantity", "unit_price", "paid_share", "price_gap"]
+
+
+@query()
+def listwise_ranker(t: Tables) -> DataFrame:
+    """Scores of held-out lists by trees on pair gradients, clicks weighted by inverse propensity."""
+    d = boosting.impressions(shown_lists(t), "query_id", "position", 48, 2)
+    held = models.bucket(F.col("query_id"), 4) == 0
+    train = d.where(~held)
+    weighed = boosting.click_weights(train, search.position_propensity(train))
+    m = boosting.listwise_ranker(weighed, RANKED, "query_id", "clicked", "line_id", "weight", rounds=10, depth=3)
+    return _round(m.predict(d.where(held), ["rank_score"]).select("query_id", "line_id", "position", "clicked", "rank_score"))
+
+
 @query()
 def clv_values(t: Tables) -> DataFrame:
     s = checkpoint(features.repeat_summary(t.lines, "2002-01-01"))
-    return _round(models.lifetime_values(s, models.fit_bgnbd(s), models.fit_gamma_gamma(s)))
+    return _round(lifetime.lifetime_values(s, lifetime.fit_bgnbd(s), lifetime.fit_gamma_gamma(s)))
 
 
 def described(t: Tables) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from brindle.functions import exprs, tails
 from brindle.functions import text as tx
-from brindle.operators import baskets, catalog, drift, experiments, features, graph, images, marketing, models, ranking, recs, reviews, search, supply, vectors
+from brindle.operators import baskets, catalog, drift, experiments, features, graph, images, lifetime, marketing, models, ranking, recs, reviews, search, supply, vectors
 from brindle.sources import config, io
 
 
@@ -269,9 +269,9 @@ def test_offer_propensities(spark):
 
 def test_lifetime_value_parts():
     x = np.array([0.3])
-    assert models.hyp2f1(np.array([1.0]), np.array([1.0]), np.array([2.0]), x)[0] == pytest.approx(-math.log(0.7) / 0.3)
-    m = models.nelder_mead(lambda p: (p[0] - 1) ** 2 + (p[1] + 2) ** 2, [0, 0])
-    assert m == pytest.approx([1, -2], abs=1e-3)
+    assert lifetime.hyp2f1(np.array([1.0]), np.array([1.0]), np.array([2.0]), x)[0] == pytest.approx(-math.log(0.7) / 0.3)
+    log, psi = lifetime.stirling(np.array([0.01, 1.0, 2.5, 40.0]))
+    assert log == pytest.approx([math.lgamma(v) for v in (0.01, 1.0, 2.5, 40.0)], rel=1e-10, abs=1e-10) and psi[1] == pytest.approx(-0.5772156649015329)
 
 
 def test_auc_and_ndcg(spark):

@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from brindle.operators import features, graph, marketing, models, recs, supply
+from brindle.operators import features, graph, lifetime, marketing, models, recs, supply
 from brindle.plans.catalogue import QUERIES
 from brindle.sources.tables import Tables
 
@@ -132,18 +132,79 @@ def test_lifetime_values_of_simulated_customers(spark):
         future += sum(v > age for v in times)
         rows.append((i, len(x), x[-1] if x else 0.0, age, float(rng.gamma(6, 5)) if x else 0.0))
     s = spark.createDataFrame(rows, "customer_id long, frequency long, recency double, T double, monetary double")
-    out = models.lifetime_values(s, models.fit_bgnbd(s), models.fit_gamma_gamma(s)).collect()
+    out = lifetime.lifetime_values(s, lifetime.fit_bgnbd(s), lifetime.fit_gamma_gamma(s)).collect()
     assert sum(r.purchases for r in out) == pytest.approx(future, rel=0.12)
     assert all(0 <= r.p_alive <= 1 and r.value >= 0 for r in out) and np.mean([r.order_value for r in out]) == pytest.approx(30, rel=0.1)
 
 
-def test_gamma_gamma_does_not_depend_on_its_steps(spark):
-    rng = np.random.default_rng(13)
-    s = spark.createDataFrame([(int(n), float(rng.gamma(4, 10))) for n in rng.integers(1, 6, 2000)], "frequency long, monetary double")
-    assert np.allclose(np.log(models.fit_gamma_gamma(s, 0.01)), np.log(models.fit_gamma_gamma(s, 1e-9)), atol=0.02)
+@pytest.mark.parametrize("kind", ["purchases", "spend"])
+def test_likelihood_slopes(kind):
+    """Against differences of the likelihood, and the likelihood against the gamma function."""
+    rng = np.random.default_rng(1)
+    x = rng.integers(0 if kind == "purchases" else 1, 30, 200).astype(float)
+    if kind == "purchases":
+        t = rng.uniform(10, 100, 200)
+        rows, p, terms = [x, np.where(x > 0, t * rng.random(200), 0.0), t], np.array([0.7, 9.0, 1.1, 3.0]), lifetime.purchase_terms
+    else:
+        rows, p, terms = [x, rng.gamma(4, 10, 200)], np.array([4.0, 3.0, 20.0]), lifetime.spend_terms
+    value, slopes = terms(p, rows)
+    for j in range(len(p)):
+        up, down = p.copy(), p.copy()
+        up[j] *= 1 + 1e-6
+        down[j] *= 1 - 1e-6
+        assert np.allclose((terms(up, rows)[0] - terms(down, rows)[0]) / (2e-6 * p[j]), slopes[j], rtol=1e-4, atol=1e-6)
+    g = np.vectorize(math.lgamma)
+    if kind == "purchases":
+        r, al, a, b = p
+        tx = rows[1]
+        gone = np.where(x > 0, a / np.where(x > 0, b + x - 1, 1) * (al + tx) ** -(r + x), 0)
+        want = g(b + x) + g(a + b) - g(a + b + x) - g(b) + g(r + x) - g(r) + r * np.log(al) + np.log((al + t) ** -(r + x) + gone)
+    else:
+        k, q, c = p
+        m = rows[1]
+        want = g(k * x + q) - g(k * x) - g(q) + q * np.log(c) + (k * x - 1) * np.log(m) + k * x * np.log(x) - (k * x + q) * np.log(c + m * x)
+    assert np.allclose(value, want, rtol=1e-9)
+
+
+def test_expected_purchases_equal_the_closed_form():
+    p, x, t = np.array([0.7, 9.0, 1.6, 3.0]), np.array([0.0, 1.0, 7.0, 40.0]), np.array([5.0, 20.0, 52.0, 104.0])
+    r, al, a, b = p
+    got = lifetime.to_come(p, x, t, np.array([4.0, 52.0]))
+    for j, s in enumerate((4.0, 52.0)):
+        z = s / (al + t + s)
+        # By the posterior given that the customer is alive: dropout chances are Beta(a, b + x).
+        want = (a + b + x - 1) / (a - 1) * (1 - ((al + t) / (al + t + s)) ** (r + x) * lifetime.hyp2f1(r + x, b + x, a + b + x - 1, z))
+        assert np.allclose(got[:, j], want, rtol=1e-6)
+
+
+def simulated(n, seed, r, alpha, a, b, weeks=104.0):
+    rng = np.random.default_rng(seed)
+    rows = []
+    for i in range(n):
+        rate, leave, t, times = rng.gamma(r, 1 / alpha), rng.beta(a, b), 0.0, []
+        while True:
+            t += rng.exponential(1 / rate)
+            if t > weeks:
+                break
+            times.append(t)
+            if rng.random() < leave:
+                break
+        rows.append((i, len(times), times[-1] if times else 0.0, weeks))
+    return rows
+
+
+def test_parameters_are_recovered(spark):
+    s = spark.createDataFrame(simulated(40_000, 5, 0.8, 10.0, 1.2, 4.0), "customer_id long, frequency long, recency double, T double").repartition(4)
+    r, alpha, a, b = lifetime.fit_bgnbd(s, penalty=0.0)
+    assert r == pytest.approx(0.8, rel=0.05) and r / alpha == pytest.approx(0.08, rel=0.05) and a / (a + b) == pytest.approx(1.2 / 5.2, rel=0.05)
+    rng = np.random.default_rng(6)
+    n = rng.integers(1, 9, 40_000)
+    m = [float(rng.gamma(6.0 * k, 1 / v) / k) for k, v in zip(n, rng.gamma(4.0, 1 / 15.0, 40_000), strict=True)]
+    p, q, g = lifetime.fit_gamma_gamma(spark.createDataFrame([(int(k), v) for k, v in zip(n, m, strict=True)], "frequency long, monetary double"))
+    assert p == pytest.approx(6.0, rel=0.05) and q == pytest.approx(4.0, rel=0.05) and g == pytest.approx(15.0, rel=0.08)
 
 
-@pytest.mark.parametrize("name", ["churn_gbt", "uplift_tlearner", "coupon_logistic", "segments_kmeans", "demand_recursive", "search_ranker", "subject_scores", "clv_values"])
+@pytest.mark.parametrize("name", ["churn_gbt", "uplift_tlearner", "coupon_logistic", "segments_kmeans", "demand_recursive", "search_ranker", "listwise_ranker", "category_paths", "subject_scores", "clv_values"])
 def test_model_queries_cover_their_tables(name, spark, sf_dir):
     t = Tables(spark, sf_dir)
     df = QUERIES[name](spark, sf_dir)

@@ -13,7 +13,7 @@ from brindle.plans.catalogue import ORACLES, QUERIES
 from brindle.sources.tables import RAW
 
 #: Model fits take long; test_models runs each of these queries once and holds the models against known answers.
-SLOW = {"churn_gbt", "uplift_tlearner", "coupon_logistic", "text_classifier", "segments_kmeans", "demand_recursive", "search_ranker", "subject_scores", "clv_values"}
+SLOW = {"churn_gbt", "uplift_tlearner", "coupon_logistic", "text_classifier", "segments_kmeans", "demand_recursive", "search_ranker", "subject_scores", "clv_values", "listwise_ranker", "category_paths"}
 
 
 def plain(v):
