@@ -42,10 +42,10 @@ def running_sums(df: DataFrame, by: Sequence[str], order: Sequence[Column], sums
 
 def price_bands(products: DataFrame, bands: int = 4, group: str = "category", price: str = "price", key: str = "sku") -> DataFrame:
     """Quantile band of the price in its group; groups with fewer distinct prices than bands are one band."""
-    w = Window.partitionBy(group)
-    rn = F.row_number().over(w.orderBy(price, key))
-    distinct = F.size(F.collect_set(price).over(w))
-    return products.withColumn("band", F.when(distinct < bands, 0).otherwise(rank_band(rn, F.count("*").over(w), bands)))
+    kinds = products.groupBy(F.col(group).alias("_g")).agg(F.count_distinct(price).alias("_kinds"))
+    placed = running_sums(products, [group], [F.col(price), F.col(key)], {"_n": F.lit(1)})
+    met = placed.join(kinds, F.col(group).eqNullSafe(F.col("_g")))
+    return met.withColumn("band", F.when(F.col("_kinds") < bands, 0).otherwise(rank_band(F.col("_n"), F.col("_n_all"), bands))).select(*products.columns, "band")
 
 
 def minmax(c: Column, by: Sequence[str]) -> Column:

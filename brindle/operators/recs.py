@@ -9,6 +9,7 @@ from brindle.functions.exprs import LN2, micros, sigmoid
 from brindle.functions.tails import normal_p
 from brindle.functions.text import alignment, find_surfaces, squash, token_set_ratio
 
+from .graph import _checkpoint
 from .ranking import top_k
 
 #: Fixed values.
@@ -146,7 +147,10 @@ def home_page(customers: DataFrame, affinity: DataFrame, pool: DataFrame, prior:
     Two products are alike (1) or not (0) by category, so greedy choice needs no loop: a category's best product never pays, every other one
     always does, and the order of these scores is the order of the choices."""
     own = affinity.select("customer_id", "category", "affinity")
-    x = customers.select("customer_id").distinct().crossJoin(F.broadcast(pool.select("module").distinct()))  # a few modules
+    # Inside a category a customer's order is that of the trend, so no page shows more than the first ``slots`` products of one.
+    pool = _checkpoint(top_k(pool.distinct(), ["module", "category"], [F.desc(sigmoid(F.col("z") / 2)), F.asc("sku")], slots, "_r").drop("_r"))
+    modules = [r[0] for r in pool.select("module").distinct().collect()]  # a few names
+    x = customers.select("customer_id").distinct().withColumn("module", F.explode(F.array(*[F.lit(m) for m in modules]).cast(f"array<{pool.schema['module'].dataType.simpleString()}>")))
     x = x.join(pool, "module").join(own, ["customer_id", "category"], "left").join(prior, "category", "left")
     score = relevance(F.coalesce("affinity", F.lit(0.0)), F.coalesce("prior", F.lit(0.0)), F.col("z"))
     page, best_first = ["customer_id", "module"], [F.desc("relevance"), F.asc("sku")]

@@ -109,7 +109,9 @@ def synonym_scores(pairs: DataFrame, support: int = 8, least_npmi: float = 0.15,
     """(term, synonym, support, pmi, npmi, direction). Pairs that look like typos or differ much in length go; of a pair seen both ways the stronger stays."""
     n = F.broadcast(pairs.agg(F.count("*").alias("total")))  # one row
     j = pairs.groupBy("a", "b").agg(F.count("*").alias("n"))
-    j = j.withColumn("na", F.sum("n").over(Window.partitionBy("a"))).withColumn("nb", F.sum("n").over(Window.partitionBy("b"))).join(n)
+    # Sums by word are aggregates, joined back: a frequent word's pairs need not meet.
+    side = lambda c: j.groupBy(c).agg(F.sum("n").alias(f"n{c}"))
+    j = j.join(side("a"), "a").join(side("b"), "b").join(n)
     pmi = F.log(F.col("n") * F.col("total") / (F.col("na") * F.col("nb")))
     p = F.col("n") / F.col("total")
     la, lb = F.length("a"), F.length("b")

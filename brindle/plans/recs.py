@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from brindle.functions.exprs import clip, rounded, sigmoid
 from brindle.functions.text import words
-from brindle.operators import baskets, graph, ranking, recs, vectors
+from brindle.operators import ann, baskets, graph, ranking, recs, vectors
 from brindle.sources.tables import Tables
 
 from .customers import _round
@@ -107,6 +107,14 @@ def vector_neighbours(t: Tables) -> DataFrame:
     return _round(vectors.neighbours(e, e.where("vec_id % 20 = 0"), 10))
 
 
+@query()
+def vector_index_neighbours(t: Tables) -> DataFrame:
+    """The same neighbours from the index: all vectors indexed, recall measured in the tests."""
+    e = t.raw("embeddings")
+    coder = ann.fit(e, "vec_id", "embedding")
+    return _round(ann.search(ann.index(e, "vec_id", "embedding", coder), coder, e.where("vec_id % 20 = 0"), 10, "vec_id", "embedding"))
+
+
 @query(
     f"""WITH {_UNIT}, sd AS (SELECT * FROM n WHERE label = 0), c0 AS (SELECT list(m ORDER BY i) AS c FROM (SELECT i, avg(x) AS m FROM (SELECT unnest(v) AS x, unnest(range(1, len(v) + 1)) AS i FROM sd) GROUP BY i)), c1 AS (SELECT list_transform(c, lambda x: x / sqrt(list_dot_product(c, c))) AS c FROM c0),
 k0 AS (SELECT vec_id, v, list_dot_product(v, c) AS s FROM sd, c1), kp AS (SELECT v FROM k0 WHERE s >= (SELECT quantile_cont(s, 0.1) FROM k0) - 1e-12), d0 AS (SELECT list(m ORDER BY i) AS c FROM (SELECT i, avg(x) AS m FROM (SELECT unnest(v) AS x, unnest(range(1, len(v) + 1)) AS i FROM kp) GROUP BY i)), d1 AS (SELECT list_transform(c, lambda x: x / sqrt(list_dot_product(c, c))) AS c FROM d0)
