@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from brindle.functions.exprs import clip
 
 from .graph import _checkpoint
+from .ranking import running_sums
 
 #: ISO weeks of the year's peaks.
 HOLIDAYS = {"memorial_day": [21, 22], "july_4": [27], "labor_day": [36], "black_friday": [47, 48], "holiday_season": [50, 51, 52], "white_sale": [1, 2]}
@@ -184,15 +185,9 @@ def reorder(forecast: DataFrame, stock: DataFrame, terms: DataFrame, z: float =
 
 
 def within_budget(lines: DataFrame, budget: float) -> DataFrame:
-    """The lines with the highest margins whose running cost stays within the budget: the rest, from the lowest margin, is dropped. The cut is
-    found on sums per margin class first, so only one class is ranked."""
+    """The lines with the highest margins whose running cost stays within the budget: the rest, from the lowest margin, is dropped."""
     order = [F.desc("margin"), F.asc("sku"), F.asc("warehouse_id")]
-    cls = -F.floor(F.col("margin") * 1000)
-    c = lines.withColumn("cls", cls)
-    sums = c.groupBy("cls").agg(F.sum("cost").alias("s"))  # at most a class per 0.001 of margin
-    upto = sums.withColumn("before", F.sum("s").over(Window.orderBy("cls").rowsBetween(Window.unboundedPreceding, 0)) - F.col("s")).select("cls", "before")
-    run = F.col("before") + F.sum("cost").over(Window.partitionBy("cls").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
-    return c.join(upto, "cls").withColumn("running_cost", run).where(F.col("running_cost") <= budget).drop("cls", "before")
+    return running_sums(lines, [], order, {"running_cost": F.col("cost")}).where(F.col("running_cost") <= budget).drop("running_cost_all")
 
 
 def excess_stock(stock: DataFrame, today: str) -> DataFrame:
@@ -271,3 +266,32 @@ def rolling_backtest(panel: DataFrame, keys: Sequence[str], origins: Sequence[st
         f = forecast(panel, keys, o, horizon).join(panel.select(*keys, "week_start", "units"), [*keys, "week_start"]).withColumn("origin", F.lit(o))
         out = f if out is None else out.unionByName(f)
     return forecast_scores(out, ["origin"])
+
+
+def expanding_fits(examples: DataFrame, columns: Sequence[str], y: str, week: str, origins: Sequence[object]) -> DataFrame:
+    """(origin, coefficients): at each origin the least squares over all examples up to it. Cross products are summed by week in one pass; an origin's are a running sum over
+    weeks, so further origins cost no further pass. A constant comes first in the coefficients."""
+    x = [F.lit(1.0), *[F.col(c).cast("double") for c in columns]]
+    d = len(x)
+    cells = [(i, j) for i in range(d) for j in range(i, d)]
+    products = [F.sum(x[i] * x[j]).alias(f"a{i}_{j}") for i, j in cells] + [F.sum(x[i] * F.col(y)).alias(f"b{i}") for i in range(d)]
+    weekly_ = examples.dropna(subset=[*columns, y]).groupBy(week).agg(*products)
+    names = [f"a{i}_{j}" for i, j in cells] + [f"b{i}" for i in range(d)]
+    at = examples.sparkSession.createDataFrame([(o,) for o in origins], "origin string").withColumn("_at", F.col("origin").cast("date"))
+    upto = at.join(weekly_, F.col(week) <= F.col("_at")).groupBy("origin").agg(*[F.sum(n).alias(n) for n in names])  # origins x weeks rows of sums
+    fits = []
+    for r in upto.collect():
+        a = np.zeros((d, d))
+        for i, j in cells:
+            a[i, j] = a[j, i] = r[f"a{i}_{j}"]
+        fits.append((r.origin, [float(v) for v in np.linalg.pinv(a, hermitian=True) @ np.array([r[f"b{i}"] for i in range(d)])]))
+    return examples.sparkSession.createDataFrame(fits, "origin string, coefficients array<double>")
+
+
+def expanding_backtest(examples: DataFrame, keys: Sequence[str], columns: Sequence[str], y: str, week: str, origins: Sequence[str], horizon: int = 12) -> DataFrame:
+    """(keys, origin, week, horizon, units, p50) of the weeks after each origin, by the fit of what was known at it. The columns must be known ``horizon`` weeks ahead."""
+    fits = expanding_fits(examples, columns, y, week, origins)
+    ahead = (F.datediff(F.col(week), F.col("origin").cast("date")) / 7).cast("int")
+    rows = examples.dropna(subset=list(columns)).join(F.broadcast(fits), ahead.between(1, horizon)).withColumn("horizon", ahead)  # a row an origin
+    p = F.get("coefficients", F.lit(0)) + sum((F.get("coefficients", F.lit(i + 1)) * F.col(c) for i, c in enumerate(columns)), F.lit(0.0))
+    return rows.select(*keys, "origin", week, "horizon", F.col(y).alias("units"), F.greatest(p, F.lit(0.0)).alias("p50"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brindle.operators import drift, experiments
+from brindle.operators import drift, experiments, holdout
 from brindle.sources.tables import Tables
 
 from .customers import _round
@@ -143,3 +143,21 @@ def alert_dedup(t: Tables) -> DataFrame:
     ts = lambda s: F.lit(s).cast("timestamp_ntz")
     recent = f.where(F.col("created_at") < ts("2024-01-01 06:00:00"))
     return drift.alerts(f.where(F.col("created_at") >= ts("2024-01-16")), recent).select("finding_id", "model", "feature", "metric", "severity")
+
+
+_RANK = "CAST('0x' || substring(md5('0:' || {}), 1, 15) AS BIGINT)"
+
+
+@query(f"""SELECT doc_id, lang, row_number() OVER (PARTITION BY lang ORDER BY {_RANK.format('doc_id')}) <= floor(count(*) OVER (PARTITION BY lang) * 0.2 + 0.5) AS held FROM documents""")
+def stratified_holdout(t: Tables) -> DataFrame:
+    """A fifth of the documents of each language, to the row."""
+    return holdout.hold_out(t.raw("documents").select("doc_id", "lang"), "doc_id", "lang", 0.2)
+
+
+@query(f"""WITH u AS (SELECT c_custkey AS k, c_mktsegment AS s FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders)), h AS (SELECT k, row_number() OVER (PARTITION BY s ORDER BY {_RANK.format('k')}) <= floor(count(*) OVER (PARTITION BY s) * 0.25 + 0.5) AS held FROM u)
+SELECT o_orderkey AS order_id, o_custkey AS customer_id, held FROM orders JOIN h ON k = o_custkey""")
+def grouped_holdout(t: Tables) -> DataFrame:
+    """A quarter of the customers of each segment, with all their orders."""
+    o, c = t.raw("orders"), t.raw("customer")
+    rows = o.join(c, o.o_custkey == c.c_custkey).select(o.o_orderkey.alias("order_id"), o.o_custkey.alias("customer_id"), c.c_mktsegment.alias("segment"))
+    return holdout.hold_out(rows, "order_id", "segment", 0.25, "customer_id").drop("segment")

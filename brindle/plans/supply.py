@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from brindle.functions.exprs import cut, rounded
@@ -127,6 +127,22 @@ def backtest_metrics(t: Tables) -> DataFrame:
     return _round(supply.forecast_scores(_scored(t), ["category", "h_bucket"]))
 
 
+ORIGINS = ["2000-03-27", "2000-06-26", "2000-09-25", "2000-12-25", "2001-03-26"]
+
+
+@query(f"""WITH {_WEEKS}, x AS (SELECT *, avg(units) OVER (PARTITION BY category, size ORDER BY week_start ROWS BETWEEN 19 PRECEDING AND 12 PRECEDING) AS level, count(*) OVER (PARTITION BY category, size ORDER BY week_start ROWS BETWEEN 19 PRECEDING AND 12 PRECEDING) AS k FROM pa),
+o AS (SELECT unnest({ORIGINS}) AS origin), f AS (SELECT origin, regr_slope(units, level) AS b, regr_intercept(units, level) AS a FROM o JOIN x ON week_start <= CAST(origin AS DATE) WHERE k > 0 GROUP BY 1),
+j AS (SELECT f.origin, CASE WHEN h <= 4 THEN '1-4' WHEN h <= 8 THEN '5-8' ELSE '9-12' END AS h_bucket, units, greatest(a + b * level, 0) AS p FROM (SELECT *, (week_start - CAST(origin AS DATE)) // 7 AS h FROM x, o WHERE k > 0) y JOIN f ON f.origin = y.origin WHERE h BETWEEN 1 AND 12)
+SELECT origin, h_bucket, round(sum(abs(units - p)) / sum(abs(units)), 4) + 0.0 AS wape, round((sum(p) - sum(units)) / sum(units), 4) + 0.0 AS bias, count(*) AS n FROM j GROUP BY 1, 2""")
+def expanding_backtest(t: Tables) -> DataFrame:
+    """A linear model of the level twelve weeks before, fitted anew at each origin."""
+    w = Window.partitionBy(*KEYS).orderBy("week_start").rowsBetween(-19, -12)
+    x = panel(t).withColumn("level", F.avg("units").over(w))
+    out = supply.expanding_backtest(x, KEYS, ["level"], "units", "week_start", ORIGINS)
+    out = out.withColumn("h_bucket", cut(F.col("horizon").cast("double"), [0, 4, 8, 12], ["1-4", "5-8", "9-12"])).withColumn("p10", F.col("p50")).withColumn("p90", F.col("p50"))
+    return _round(supply.forecast_scores(out, ["origin", "h_bucket"]).drop("coverage"))
+
+
 FEATURES = ["lag_1", "lag_2", "lag_4", "roll_mean_4", "roll_mean_8", "roll_mean_13", "roll_std_8", "woy_sin", "woy_cos"]
 
 
@@ -136,10 +152,10 @@ def demand_features(df: DataFrame) -> DataFrame:
 
 @query()
 def demand_recursive(t: Tables) -> DataFrame:
+    """Boosted point and quantile models, rolled forward twelve weeks."""
     p = panel(t).where(F.col("week_start") <= F.lit("2001-03-26").cast("date"))
-    train = demand_features(p).where("lag_4 is not null")
-    model, q = models.demand_model(train, FEATURES)
-    return models.recursive_forecast(p, KEYS, FEATURES, model, q, demand_features)
+    model = models.demand_band(demand_features(p).where("lag_4 is not null"), FEATURES)
+    return models.roll_forward(p, KEYS, models.forecast_band(model), demand_features)
 
 
 @query("""WITH a AS (SELECT count(*) AS n, sum(p_size) AS sx, sum(p_size * p_size) AS sxx, sum(p_retailprice) AS sy, sum(p_size * p_retailprice) AS sxy FROM part) SELECT 'intercept' AS term, round((sy - (n * sxy - sx * sy) / (n * sxx - sx * sx) * sx) / n, 4) + 0.0 AS coefficient FROM a UNION ALL SELECT 'size', round((n * sxy - sx * sy) / (n * sxx - sx * sx), 4) + 0.0 FROM a""")
