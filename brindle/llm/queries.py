@@ -5,13 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import decontaminate, language, merkle, mixing, oracles, packing, quality, ranked, secrets, simhash, substrings, topk, urls, warc
 from .runtime import table
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substrings.remove_repeats(table(spark, sf_dir, "documents"))
+    """The fixed columns; then the bytes that stay, and whether any had to go."""
+    out = substrings.remove_repeats(table(spark, sf_dir, "documents"))
+    return out.withColumn("n_kept", F.col("n_bytes") - F.col("n_removed")).withColumn("has_repeats", F.col("n_removed") > 0)
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
