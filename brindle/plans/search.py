@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from brindle.functions import text as tx
-from brindle.operators import bayes, search, vectors
+from brindle.operators import bayes, retrieval, search, vectors
 from brindle.sources.tables import Tables
 
 from .customers import _round
@@ -128,6 +128,14 @@ def bm25_scores(t: Tables) -> DataFrame:
     return _round(search.bm25(q, t.reviews.select(F.col("review_id").alias("doc_id"), tx.tokens(F.col("body")).alias("terms"))))
 
 
+@query(_BM.replace("SELECT query_id, doc_id, round(sum(", "SELECT query_id, doc_id, round(s, 4) + 0.0 AS score, rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(s, 9) DESC, doc_id) AS rank FROM (SELECT query_id, doc_id, sum(").replace("))), 4) + 0.0 AS score FROM q JOIN", "))) AS s FROM q JOIN") + ")) WHERE rank <= 100")
+def bm25_topk(t: Tables) -> DataFrame:
+    """The best hundred documents of the same queries, from the index."""
+    q = t.queries.where("query_id % 20 = 0 and query_text != ''").select("query_id", F.split("query_text", " ").alias("terms"))
+    lists = retrieval.index(t.reviews.select(F.col("review_id").alias("doc_id"), tx.tokens(F.col("body")).alias("terms")))
+    return _round(retrieval.search(lists, q, 100).drop("read", "postings"))
+
+
 @query("""WITH p AS (SELECT DISTINCT p_partkey AS doc_id, unnest(string_split(lower(p_name), ' ')) AS term FROM part), q AS (SELECT DISTINCT p_name AS query_id, unnest(string_split(lower(p_name), ' ')) AS term FROM part), n AS (SELECT query_id, count(*) AS n FROM q GROUP BY 1)
 SELECT q.query_id, doc_id FROM q JOIN p ON q.term = p.term JOIN n ON n.query_id = q.query_id GROUP BY 1, 2, n HAVING count(*) = n""")
 def title_tokens_inverted_and(t: Tables) -> DataFrame:

@@ -288,3 +288,37 @@ def _ck(df):
     from brindle.operators.graph import _checkpoint
 
     return _checkpoint(df)
+
+
+@pytest.mark.parametrize("shard", [40, 10_000])
+def test_skipping_finds_what_full_scores_find(spark, shard, monkeypatch):
+    reachable(spark)
+    from brindle.operators import retrieval, search
+
+    monkeypatch.setattr(retrieval, "BLOCK", 4)
+    monkeypatch.setattr(retrieval, "QUERY_ROWS", 7)
+    rnd = random.Random(6)
+    word = lambda: f"w{min(60, int(rnd.expovariate(0.1)))}"
+    docs = spark.createDataFrame([(i, [word() for _ in range(rnd.randint(0, 40))]) for i in range(400)], "doc_id long, terms array<string>")
+    queries = spark.createDataFrame([(i, [word() for _ in range(rnd.randint(1, 6))]) for i in range(30)] + [(98, ["none"]), (99, [])], "query_id long, terms array<string>")
+    got = retrieval.search(retrieval.index(docs, shard_docs=shard), queries, 5).collect()
+    want = {}
+    for r in search.bm25(queries, docs).collect():
+        want.setdefault(r.query_id, []).append((-round(r.score, 9), r.doc_id))
+    assert {(r.query_id, r["rank"]): (-round(r.score, 9), r.doc_id) for r in got} == {(q, i): (pytest.approx(s), d) for q, v in want.items() for i, (s, d) in enumerate(sorted(v)[:5], 1)}
+    assert all(0 < r.read <= r.postings for r in got)
+
+
+def test_a_frequent_word_is_looked_up_only():
+    """A rare word's few documents decide; of the frequent word's list only blocks that hold them are read."""
+    from brindle.operators import retrieval
+
+    rng = np.random.default_rng(2)
+    rare = (np.sort(rng.choice(100_000, 200, replace=False)), 5 + rng.random(200), np.full(2, 255.0), 6.0)
+    common = (np.arange(100_000), 0.5 * rng.random(100_000), np.full(-(-100_000 // retrieval.BLOCK), 255.0), 0.5)
+    f = retrieval.run_query([common, rare], 10)
+    full = np.zeros(100_000)
+    full[rare[0]] += rare[1]
+    full += common[1]
+    want = np.lexsort((np.arange(100_000), -full))[:10]
+    assert f.docs[np.lexsort((f.docs, -f.scores))[:10]].tolist() == want.tolist() and np.allclose(np.sort(f.scores)[::-1][:10], full[want]) and f.read < 30_000
