@@ -221,11 +221,15 @@ def burst_windows(t: Tables) -> DataFrame:
     return graph.bursts(t.events.where("event_type = 'purchase'"), ["customer_id"], "event_ts", 48, 4)
 
 
-@query()
+@query(_EDGES + """, s AS (SELECT a AS u, b AS v FROM e UNION SELECT b, a FROM e), r(node, c) AS (SELECT u, u FROM s UNION SELECT s.v, r.c FROM r JOIN s ON s.u = r.node), co AS (SELECT node, min(c) AS component FROM r GROUP BY 1),
+sz AS (SELECT component, count(*) AS members FROM co GROUP BY 1 HAVING count(*) >= 3), rv AS (SELECT sz.component, members, customer_id, sku % 5 AS sku, event_ts, epoch_us(event_ts) AS us FROM ev JOIN co ON node = customer_id JOIN sz ON sz.component = co.component WHERE event_type IN ('purchase', 'click')),
+bu AS (SELECT DISTINCT component, sku FROM (SELECT component, sku, count(*) OVER (PARTITION BY component, sku ORDER BY us RANGE BETWEEN 172800000000 PRECEDING AND CURRENT ROW) AS n FROM rv) WHERE n >= 4), nb AS (SELECT component, count(*) AS bursts FROM bu GROUP BY 1),
+ag AS (SELECT component, customer_id, (min(us) - epoch_us(TIMESTAMP '2023-12-20')) // 86400000000 AS days FROM rv GROUP BY 1, 2), ns AS (SELECT component, avg(CASE WHEN days <= 30 THEN 1.0 ELSE 0.0 END) AS new_share FROM ag GROUP BY 1)
+SELECT sz.component, members, bursts, round(new_share, 4) + 0.0 AS new_share FROM sz JOIN nb ON nb.component = sz.component JOIN ns ON ns.component = sz.component WHERE new_share >= 0.5""")
 def suspicious_rings(t: Tables) -> DataFrame:
     comp = graph.components(graph.star_edges(devices(t), "device", "customer_id"))
     r = t.events.where("event_type in ('purchase', 'click')").select(F.col("customer_id").alias("reviewer_id"), (F.col("sku") % 5).alias("sku"), F.lit(5).alias("rating"), F.col("event_ts").alias("created_at"), F.lit("2023-12-20").cast("timestamp_ntz").alias("account_created_at"))
-    return graph.rings(comp, r)
+    return _round(graph.rings(comp, r))
 
 
 @query("""WITH z AS (SELECT p_partkey AS sku, p_type AS category, (p_size - 25.0) / 10 AS z, p_retailprice / 1000 AS aff FROM part) SELECT sku, round(0.65 * greatest(aff, 0.2) + 0.35 / (1 + exp(-z / 2)), 4) + 0.0 AS relevance FROM z""")

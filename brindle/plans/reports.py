@@ -12,7 +12,7 @@ from brindle.sources.tables import Tables
 
 from .customers import _round
 from .registry import LINES, SEARCHES, query
-from .supply import KEYS, panel
+from .supply import _WEEKS, KEYS, panel
 
 
 @query("""WITH p AS (SELECT CASE WHEN event_type = 'purchase' THEN 1.0 ELSE 0.0 END AS y, value / 100.0 AS p FROM events) SELECT round(avg(abs(y - p)), 4) + 0.0 AS mae, round(avg((y - p) * (y - p)), 4) + 0.0 AS brier, round(1 - sum((y - p) * (y - p)) / (var_pop(y) * count(*)), 4) + 0.0 AS r2 FROM p""")
@@ -100,7 +100,9 @@ def title_texts(t: Tables) -> DataFrame:
     return t.products.select("sku", tx.weighted_title(F.col("title"), F.col("category")).alias("training_text"), tx.longest_known(F.col("title"), ["small", "red", "green", "blue", "small red"]).alias("longest"))
 
 
-@query()
+@query(f"""WITH {_WEEKS}, o AS (SELECT unnest(['2000-03-27', '2000-09-25', '2001-03-26']) AS origin), fc AS (SELECT origin, category, size, avg(units) AS p50, quantile_cont(units, 0.1) AS q1, quantile_cont(units, 0.9) AS q9 FROM pa JOIN o ON week_start <= CAST(origin AS DATE) AND week_start > CAST(origin AS DATE) - 56 GROUP BY 1, 2, 3),
+j AS (SELECT fc.*, units FROM fc JOIN pa ON fc.category = pa.category AND fc.size = pa.size AND (week_start - CAST(origin AS DATE)) % 7 = 0 AND (week_start - CAST(origin AS DATE)) // 7 BETWEEN 1 AND 12)
+SELECT origin, round(sum(abs(units - p50)) / sum(abs(units)), 4) + 0.0 AS wape, round((sum(p50) - sum(units)) / sum(units), 4) + 0.0 AS bias, round(avg(CASE WHEN units BETWEEN least(q1, p50) AND greatest(q9, p50) THEN 1.0 ELSE 0.0 END), 4) + 0.0 AS coverage, count(*) AS n FROM j GROUP BY 1""")
 def rolling_backtest(t: Tables) -> DataFrame:
     return _round(supply.rolling_backtest(panel(t), KEYS, ["2000-03-27", "2000-09-25", "2001-03-26"]))
 

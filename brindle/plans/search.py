@@ -194,13 +194,18 @@ def query_category_nb(t: Tables) -> DataFrame:
     return _round(m["terms"].select("label", "term", "c"))
 
 
-@query()
+@query("""WITH q AS (SELECT DISTINCT lower(p_name) AS q, lower(p_type) AS label FROM part), g AS (SELECT q, label, unnest(flatten([list_transform(range(1, length(' ' || q || ' ') - n + 2), lambda i: substring(' ' || q || ' ', i, n)) for n in [2, 3, 4]])) AS term FROM q),
+c AS (SELECT label, term, count(*) * 1.0 AS c FROM g GROUP BY 1, 2), v AS (SELECT count(DISTINCT term) AS v FROM c), cl AS (SELECT label, ln(count(*) / (SELECT count(*) FROM q)) AS lp FROM q GROUP BY 1), tt AS (SELECT label, sum(c) + 0.3 * (SELECT v FROM v) AS total FROM c GROUP BY 1),
+te AS (SELECT q, term, count(*) AS m FROM (SELECT DISTINCT q, label, term, k FROM (SELECT q, label, term, row_number() OVER (PARTITION BY q, label, term) AS k FROM g WHERE label = (SELECT min(label) FROM q q2 WHERE q2.q = g.q))) GROUP BY 1, 2),
+s AS (SELECT te.q, cl.label, any_value(lp) + sum(m * (ln(coalesce(c.c, 0) + 0.3) - ln(total))) AS s FROM te CROSS JOIN cl JOIN tt ON tt.label = cl.label LEFT JOIN c ON c.label = cl.label AND c.term = te.term GROUP BY 1, 2),
+e AS (SELECT *, exp(s - max(s) OVER (PARTITION BY q)) AS e FROM s), p AS (SELECT q, label, e / sum(e) OVER (PARTITION BY q) AS p FROM e), r AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY round(p, 9) DESC, label) AS rank FROM p)
+SELECT q, max(label) FILTER (WHERE rank = 1) AS best, round(max(p) FILTER (WHERE rank = 1), 4) + 0.0 AS p, max(label) FILTER (WHERE rank = 2) AS second FROM r GROUP BY 1""")
 def query_categories(t: Tables) -> DataFrame:
     """Best and second category of each product title, with its n-gram classifier."""
     q = t.products.select(F.lower("title").alias("q"), F.lower("category").alias("label")).distinct()
     m = bayes.fit(q.select("label", F.lit(1.0).alias("weight"), tx.char_ngrams(F.col("q")).alias("terms")), 0.3, "share")
     p = bayes.predict(q.select("q").distinct().withColumn("terms", tx.char_ngrams(F.col("q"))), m, "q")
-    return p.where("rank <= 2").groupBy("q").agg(F.max(F.when(F.col("rank") == 1, F.col("label"))).alias("best"), F.max(F.when(F.col("rank") == 1, F.col("p"))).alias("p"), F.max(F.when(F.col("rank") == 2, F.col("label"))).alias("second"))
+    return _round(p.where("rank <= 2").groupBy("q").agg(F.max(F.when(F.col("rank") == 1, F.col("label"))).alias("best"), F.max(F.when(F.col("rank") == 1, F.col("p"))).alias("p"), F.max(F.when(F.col("rank") == 2, F.col("label"))).alias("second")))
 
 
 @query()
@@ -211,7 +216,13 @@ def spell_corrections(t: Tables) -> DataFrame:
     return search.corrections(wrong, vocab)
 
 
-@query()
+@query("""WITH pr AS (SELECT p_partkey AS sku, p_type AS category, list_distinct(string_split(lower(p_name), ' ')) AS ts FROM part), ix AS (SELECT sku, category, unnest(ts) AS term FROM pr), n AS (SELECT count(*) AS n FROM pr), kn AS (SELECT term, ln(((SELECT n FROM n) + 1) / (count(*) + 1)) + 1 AS idf FROM ix GROUP BY 1),
+q AS (SELECT DISTINCT lower(p_name) || ' zzz ' || lower(p_brand) AS query FROM part), w AS (SELECT query, string_split(query, ' ') AS ws FROM q), t0 AS (SELECT query, term, min(pos) AS pos FROM (SELECT query, unnest(ws) AS term, unnest(range(0, len(ws))) AS pos FROM w) GROUP BY 1, 2),
+t AS (SELECT t0.*, idf, row_number() OVER (PARTITION BY query ORDER BY idf IS NOT NULL, t0.term IN ('king', 'queen', 'twin', 'full'), round(idf, 9), pos) AS gone, count(*) OVER (PARTITION BY query) AS n, count(*) FILTER (WHERE idf IS NULL) OVER (PARTITION BY query) AS unknown FROM t0 LEFT JOIN kn ON kn.term = t0.term),
+tr AS (SELECT * FROM (SELECT *, unnest(range(least(unknown, n - 1), greatest(least(unknown, n - 1), least(n - 1, 3)) + 1)) AS cut FROM t) WHERE gone > cut), hi AS (SELECT query, cut, sku FROM tr JOIN ix ON ix.term = tr.term GROUP BY query, cut, n, sku HAVING count(*) = n - cut),
+en AS (SELECT query, min(cut) AS cut FROM (SELECT query, cut, count(*) AS m FROM hi GROUP BY 1, 2) WHERE m >= 4 AND cut > 0 GROUP BY 1), ke AS (SELECT t.query, string_agg(term, ' ' ORDER BY pos) AS relaxed FROM t JOIN en ON en.query = t.query WHERE gone > cut GROUP BY 1),
+vo AS (SELECT query, category, count(*) AS v FROM t JOIN ix ON ix.term = t.term GROUP BY 1, 2 HAVING count(*) >= 3), tp AS (SELECT query, category FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY v DESC, category) AS r FROM vo) WHERE r = 1)
+SELECT q.query, CASE WHEN relaxed IS NOT NULL THEN 'relaxed' WHEN category IS NOT NULL THEN 'category' ELSE 'global' END AS strategy, relaxed, CASE WHEN relaxed IS NULL THEN category END AS category FROM q LEFT JOIN ke ON ke.query = q.query LEFT JOIN tp ON tp.query = q.query""")
 def zero_result_fallbacks(t: Tables) -> DataFrame:
     p = t.products.select("sku", "category", F.split(F.lower("title"), " ").alias("terms"))
     q = t.products.select(F.concat_ws(" ", F.lower("title"), F.lit("zzz"), F.lower("brand")).alias("query")).distinct()
