@@ -103,3 +103,23 @@ def catalogue_coverage(ranked: DataFrame, catalogue: DataFrame, item: str) -> Da
 def distinct_shares(ranked: DataFrame, group: str, attributes: Sequence[str]) -> DataFrame:
     """Per list and attribute, different values over rows."""
     return ranked.groupBy(group).agg(*[(F.count_distinct(a) / F.count("*")).alias(f"{a}_share") for a in attributes])
+
+
+def trade_offs(rows: DataFrame, group: str, item: str, relevance: str, attributes: dict[str, float], grid: Sequence[float], relevant: DataFrame | None = None, k: int = 24, pin: int = 0, pool: int = 48) -> DataFrame:
+    """A row for each weight of relevance: mean diversity of the lists, mean relevance and what it loses against the order by relevance alone, precision on ``relevant`` (group, item),
+    the share of places that changed, and the mean share of different values of each attribute."""
+    out = None
+    for lam in grid:
+        r = _checkpoint(diversify(rows, group, item, relevance, attributes, lam, k, pin, pool).join(rows.select(group, item, relevance, *attributes), [group, item]))
+        first = r.groupBy(group).agg(F.max("position").alias("n")).join(rows, group)
+        plain = top_k(first, [group], [F.desc(relevance), F.asc(item)], k, "_r").where(F.col("_r") <= F.col("n")).groupBy(group).agg(F.avg(relevance).alias("plain"))
+        per = r.groupBy(group).agg(F.avg(relevance).alias("relevance"), F.avg((F.col("position") != F.col("original_position")).cast("double")).alias("moved"), *[(F.count_distinct(a) / F.count("*")).alias(f"{a}_distinct") for a in attributes])
+        per = per.join(plain, group).join(diversity(r, group, item, attributes), group, "left")
+        if relevant is not None:
+            hit = list_metrics(r, relevant, group, item, k).join(relevant.select(group).distinct(), group, "left_semi")
+            per = per.join(hit, group, "left")
+        names = ["diversity", "relevance", "moved", *[f"{a}_distinct" for a in attributes], *(["precision_at_k"] if relevant is not None else [])]
+        one = per.agg(*[F.avg(F.coalesce(c, F.lit(0.0)) if c == "diversity" else F.col(c)).alias(c) for c in names], F.avg(F.col("plain") - F.col("relevance")).alias("relevance_loss"))
+        one = one.select(F.lit(float(lam)).alias("lam"), "*")
+        out = one if out is None else out.unionByName(one)
+    return out

@@ -11,6 +11,7 @@ from brindle.functions.text import alignment, find_surfaces, squash, token_set_r
 
 from .graph import _checkpoint
 from .ranking import top_k
+from .vectors import sparse_neighbours, tfidf
 
 #: Fixed values.
 WEIGHTS = {"view": 1.0, "click": 4.0, "purchase": 10.0}
@@ -160,3 +161,39 @@ def home_page(customers: DataFrame, affinity: DataFrame, pool: DataFrame, prior:
     mean = shown.groupBy("customer_id", "module").agg(F.avg("relevance").alias("_m"))
     order = mean.withColumn("module_rank", F.row_number().over(Window.partitionBy("customer_id").orderBy(F.desc(F.round("_m", 9)), "module"))).drop("_m")
     return shown.join(order, ["customer_id", "module"]).select("customer_id", "module", "module_rank", "sku", "position", "relevance")
+
+
+def mail_text(title: Column, description: Column) -> Column:
+    """Title twice and description: markup dropped, thread counts as one word, letters and digits only."""
+
+    def clean(c: Column) -> Column:
+        t = F.regexp_replace(F.lower(F.coalesce(c, F.lit(""))), r"<[^>]+>", " ")
+        t = F.regexp_replace(t, r"\b\d+\s*(?:tc|thread count)\b", " threadcount ")
+        return F.trim(F.regexp_replace(F.regexp_replace(t, r"[^a-z0-9 ]+", " "), r"\s+", " "))
+
+    return F.concat_ws(" ", clean(title), clean(title), clean(description))
+
+
+def word_pairs(text: Column, stop: list[str]) -> Column:
+    """Words of two letters and more that are no stop words, and pairs of those that then stand side by side."""
+    w = F.filter(F.split(text, " "), lambda x: (F.length(x) >= 2) & ~x.isin(stop))
+    second = F.slice(w, 2, F.greatest(F.size(w) - 1, F.lit(1)))
+    pairs = F.zip_with(F.slice(w, 1, F.size(second)), second, lambda a, b: F.concat(a, F.lit(" "), b))
+    return F.concat(w, F.when(F.size(w) >= 2, pairs).otherwise(F.array().cast("array<string>")))
+
+
+def mail_recommendations(products: DataFrame, lines: DataFrame, asof: str, stop: list[str], k: int = 6, recent_days: int = 30, owned_days: int = 730, least: float = 0.08) -> DataFrame:
+    """(customer_id, anchor, sku, similarity, rank): to whom who bought lately, what is most like their last item, of what can be sold and is not theirs.
+
+    products: sku, title, description, is_active, in_stock; lines: customer_id, sku, order_ts. Only items that are some customer's last one are searched for."""
+    end = F.lit(asof).cast("timestamp_ntz")
+    known = products.select("sku")
+    past = lines.where((F.col("order_ts") < end) & (F.col("order_ts") >= end - F.make_dt_interval(F.lit(owned_days))))
+    late = past.where(F.col("order_ts") >= end - F.make_dt_interval(F.lit(recent_days)))
+    last = late.groupBy("customer_id").agg(F.max_by("sku", F.struct("order_ts", "sku")).alias("anchor")).join(known.withColumnRenamed("sku", "anchor"), "anchor", "left_semi")
+    last = _checkpoint(last)
+    w = tfidf(products, "sku", word_pairs(mail_text(F.col("title"), F.col("description")), stop))
+    near = sparse_neighbours(w.select("sku", F.col("term").alias("slot"), F.col("weight").alias("value")), "sku", 4 * k, block=256, asked=last.select(F.col("anchor").alias("sku")), eligible=products.where("is_active and in_stock"))
+    near = near.where(F.col("score") >= least).select(F.col("sku").alias("anchor"), F.col("other").alias("sku"), F.col("score").alias("similarity"))
+    fresh = last.join(near, "anchor").join(past.select("customer_id", "sku").distinct(), ["customer_id", "sku"], "left_anti")
+    return top_k(fresh, ["customer_id"], [F.desc(F.round("similarity", 9)), F.asc("sku")], k).select("customer_id", "anchor", "sku", "similarity", "rank")

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -54,42 +53,49 @@ class Best:
         return pd.DataFrame({"query": queries[q], "other": self.id[q, j], "score": self.score[q, j]})
 
 
-#: Queries that are broadcast at a time, and items that meet them at a time.
-QUERY_BLOCK, ITEM_BLOCK = 2048, 1024
+#: Queries of a block, items that meet one in a group, and items that are scored at a time.
+QUERY_BLOCK, SHARD_ITEMS, ITEM_BLOCK = 2048, 20_000, 1024
 
 
 def search_blocks(items: DataFrame, queries: DataFrame, k: int, prepare: Callable[[list], object], score: Callable[[object, list], np.ndarray], block: int) -> DataFrame:
-    """(query, other, score): items and queries have an id (long) and the columns that ``prepare`` and ``score`` use. The queries come in blocks of at
-    most ``block`` rows, each broadcast; the items stream past where they are read, and k rows a query leave a task. Nothing is joined or shuffled
-    but those."""
-
-    def against(shared) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            ids, ready = shared.value
-            best = Best(len(ids), k)
-            for pdf in batches:
-                pdf = pdf.sort_values("id")
-                for lo in range(0, len(pdf), ITEM_BLOCK):
-                    part = pdf.iloc[lo : lo + ITEM_BLOCK]
-                    own = part["id"].to_numpy()
-                    s = score(ready, [part[c].tolist() for c in part.columns[1:]])
-                    s[ids[:, None] == own[None, :]] = -np.inf
-                    best.add(s, own)
-            yield best.frame(ids)
-
-        return run
-
-    out = None
-    spark = items.sparkSession
-    rows, it = [], queries.toLocalIterator()
-    while True:
-        rows = list(islice(it, block))
-        if not rows and out is not None:
-            return out
+    """(query, other, score): items and queries have an id (long) and the columns that ``prepare`` and ``score`` use. Up to ``block`` queries are broadcast, and the items
+    stream past where they are read. More queries are dealt to blocks and the items to shards by hashes of their ids; each block meets each shard in a group of bounded
+    size, and nothing passes through the driver. k rows a query leave a task or a group."""
+    columns = items.columns[1:]
+
+    def best_of(ids: np.ndarray, ready: object, frames: Iterator[pd.DataFrame]) -> pd.DataFrame:
+        best = Best(len(ids), k)
+        for pdf in frames:
+            pdf = pdf.sort_values("id")
+            for lo in range(0, len(pdf), ITEM_BLOCK):
+                part = pdf.iloc[lo : lo + ITEM_BLOCK]
+                own = part["id"].to_numpy()
+                s = score(ready, [part[c].tolist() for c in columns])
+                s[ids[:, None] == own[None, :]] = -np.inf
+                best.add(s, own)
+        return best.frame(ids)
+
+    rows = queries.limit(block + 1).collect()
+    if len(rows) <= block:
         ids = np.array([r[0] for r in rows], dtype=np.int64)
-        shared = spark.sparkContext.broadcast((ids, prepare([list(c) for c in zip(*[r[1:] for r in rows], strict=True)] if rows else [[]] * (len(queries.columns) - 1))))  # block rows
-        part = items.mapInPandas(against(shared), "query long, other long, score double")
-        out = part if out is None else out.unionByName(part)
+        shared = items.sparkSession.sparkContext.broadcast((ids, prepare([list(c) for c in zip(*[r[1:] for r in rows], strict=True)] if rows else [[]] * len(columns))))  # block rows
+
+        def stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            yield best_of(*shared.value, batches)
+
+        return items.mapInPandas(stream, "query long, other long, score double")
+
+    blocks, shards = -(-queries.count() // block), -(-items.count() // SHARD_ITEMS)
+    deal = lambda df, own, other, n_own, n_other: df.withColumn(own, F.pmod(F.xxhash64("id"), F.lit(n_own))).withColumn(other, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_other - 1).cast("long"))))
+
+    def meet(qs: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
+        if qs.empty or own.empty:
+            return pd.DataFrame({"query": [], "other": [], "score": []})
+        return best_of(qs["id"].to_numpy(), prepare([qs[c].tolist() for c in columns]), iter([own]))
+
+    fresh = lambda df: df.select(*[F.col(c).alias(c) for c in df.columns])  # so that both sides can be told apart
+    left, right = deal(fresh(queries), "_block", "_shard", blocks, shards), deal(fresh(items), "_shard", "_block", shards, blocks)
+    return left.groupBy("_block", "_shard").cogroup(right.groupBy("_block", "_shard")).applyInPandas(meet, "query long, other long, score double")
 
 
 class Postings:
@@ -129,14 +135,15 @@ class Postings:
         return out
 
 
-def sparse_neighbours(sparse: DataFrame, key: str, k: int, queries: Column | None = None, block: int = QUERY_BLOCK) -> DataFrame:
+def sparse_neighbours(sparse: DataFrame, key: str, k: int, queries: Column | None = None, block: int = QUERY_BLOCK, asked: DataFrame | None = None, eligible: DataFrame | None = None) -> DataFrame:
     """(key, other, score, rank): exact top k by dot product, itself excluded, among items that share a slot. sparse: key (a number), slot, value.
-    ``queries`` says which items are asked for (all); see ``search_blocks`` for how they meet."""
+    ``queries`` says which items are asked for (all), or ``asked`` lists them; only items in ``eligible`` (all) are given. See ``search_blocks`` for how they meet."""
     slot = F.col("slot").cast("long") if sparse.schema["slot"].dataType.simpleString() in ("int", "bigint") else F.xxhash64("slot")
     lists = sparse.select(F.col(key).cast("long").alias("id"), slot.alias("slot"), "value").groupBy("id").agg(F.collect_list(F.struct("slot", "value")).alias("x"))  # a row of an item's slots
     rows = lists.select("id", F.col("x.slot").alias("slots"), F.col("x.value").alias("values"))
-    asked = rows if queries is None else rows.join(sparse.where(queries).select(F.col(key).cast("long").alias("id")).distinct(), "id", "left_semi")
-    parts = search_blocks(rows, asked, k, Postings, lambda q, x: q.products(x), block)
+    of = lambda df: df.select(F.col(key).cast("long").alias("id")).distinct()
+    wanted = of(asked) if asked is not None else None if queries is None else of(sparse.where(queries))
+    parts = search_blocks(rows if eligible is None else rows.join(of(eligible), "id", "left_semi"), rows if wanted is None else rows.join(wanted, "id", "left_semi"), k, Postings, lambda q, x: q.products(x), block)
     kind = sparse.schema[key].dataType
     named = parts.select(F.col("query").cast(kind).alias(key), F.col("other").cast(kind).alias("other"), "score")
     return top_k(named, [key], [F.desc(F.round("score", 9)), F.asc("other")], k)

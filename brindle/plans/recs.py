@@ -158,14 +158,30 @@ def mmr_rerank(t: Tables) -> DataFrame:
 
 @query()
 def mmr_sweep(t: Tables) -> DataFrame:
-    """Diversity of the lists for several trade-offs."""
-    attrs = {"brand": 0.45, "category": 0.35, "band": 0.20}
-    rows, out = served(t), None
-    for lam in (1.0, 0.85, 0.7, 0.55):
-        r = ranking.diversify(rows, "query", "sku", "relevance", attrs, lam, 24, 1).join(rows.select("query", "sku", *attrs), ["query", "sku"])
-        one = ranking.diversity(r, "query", "sku", attrs).agg(rounded(F.avg("diversity")).alias("diversity")).select(F.lit(lam).alias("lam"), "diversity")
-        out = one if out is None else out.unionByName(one)
-    return out
+    """What several trade-offs between relevance and diversity give and cost, with clicks on every fifth product."""
+    rows = served(t)
+    return _round(ranking.trade_offs(rows, "query", "sku", "relevance", {"brand": 0.45, "category": 0.35, "band": 0.20}, (1.0, 0.85, 0.7, 0.55), rows.where("sku % 5 = 0"), 24, 1))
+
+
+STOP = ["the", "and", "of", "in", "with", "for"]
+
+
+def mailed(t: Tables) -> DataFrame:
+    k = F.col("p_partkey")
+    desc = F.concat(F.lit("<p>"), "p_brand", F.lit("</p> "), ((k % 9 + 2) * 100).cast("string"), F.lit(" thread count, the "), "p_type", F.lit(" of "), (F.col("p_size") % 7).cast("string"), F.lit("0 cm"))
+    return t.raw("part").select(k.alias("sku"), F.col("p_name").alias("title"), desc.alias("description"), (k % 7 != 0).alias("is_active"), (k % 5 != 1).alias("in_stock"))
+
+
+@query(f"""WITH {LINES}, tx AS (SELECT p_partkey AS sku, p_partkey % 7 <> 0 AND p_partkey % 5 <> 1 AS ok, regexp_replace(lower(p_name), '[^a-z0-9 ]+', ' ', 'g') AS a, regexp_replace(lower(p_brand || ' threadcount the ' || p_type || ' of ' || (p_size % 7) || '0 cm'), '[^a-z0-9 ]+', ' ', 'g') AS b FROM part),
+ws AS (SELECT sku, ok, list_filter(regexp_split_to_array(trim(a || ' ' || a || ' ' || b), ' +'), lambda x: length(x) >= 2 AND x NOT IN ('the', 'and', 'of', 'in', 'with', 'for')) AS w FROM tx),
+g AS (SELECT sku, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS term FROM ws), tf AS (SELECT sku, term, count(*) AS tf FROM g GROUP BY 1, 2), n AS (SELECT count(*) AS n FROM part), df AS (SELECT term, count(*) AS df FROM tf GROUP BY 1),
+v AS (SELECT sku, tf.term, (1 + ln(tf)) * (ln((n + 1) / (df + 1)) + 1) AS v FROM tf JOIN df ON tf.term = df.term, n WHERE df >= 2 AND df <= 0.5 * n), le AS (SELECT sku, sqrt(sum(v * v)) AS le FROM v GROUP BY 1), x AS (SELECT v.sku, term, v / le AS v FROM v JOIN le ON v.sku = le.sku),
+pa AS (SELECT customer_id, sku, order_ts FROM lines WHERE order_ts < TIMESTAMP '2001-08-01' AND order_ts >= TIMESTAMP '2001-08-01' - INTERVAL 730 DAY), la AS (SELECT customer_id, arg_max(sku, (order_ts, sku)) AS anchor FROM pa WHERE order_ts >= TIMESTAMP '2001-08-01' - INTERVAL 30 DAY GROUP BY 1),
+s AS (SELECT a.sku AS anchor, b.sku, sum(a.v * b.v) AS s FROM x a JOIN x b ON a.term = b.term AND a.sku <> b.sku JOIN ws ON ws.sku = b.sku AND ok WHERE a.sku IN (SELECT anchor FROM la) GROUP BY 1, 2), nb AS (SELECT *, row_number() OVER (PARTITION BY anchor ORDER BY round(s, 9) DESC, sku) AS r FROM s),
+c AS (SELECT la.customer_id, la.anchor, nb.sku, s FROM la JOIN nb ON nb.anchor = la.anchor AND r <= 24 AND s >= 0.08 WHERE NOT EXISTS (SELECT 1 FROM pa WHERE pa.customer_id = la.customer_id AND pa.sku = nb.sku)), k AS (SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY round(s, 9) DESC, sku) AS rank FROM c)
+SELECT customer_id, anchor, sku, round(s, 4) + 0.0 AS similarity, rank FROM k WHERE rank <= 6""")
+def mail_recommendations(t: Tables) -> DataFrame:
+    return _round(recs.mail_recommendations(mailed(t), t.lines, "2001-08-01", STOP))
 
 
 def listings(t: Tables) -> DataFrame:

@@ -322,3 +322,32 @@ def test_a_frequent_word_is_looked_up_only():
     full += common[1]
     want = np.lexsort((np.arange(100_000), -full))[:10]
     assert f.docs[np.lexsort((f.docs, -f.scores))[:10]].tolist() == want.tolist() and np.allclose(np.sort(f.scores)[::-1][:10], full[want]) and f.read < 30_000
+
+
+def test_trade_offs_by_hand(spark):
+    reachable(spark)
+    from brindle.operators import ranking
+
+    rows = spark.createDataFrame([("q", 1, 1.0, "a"), ("q", 2, 0.9, "a"), ("q", 3, 0.5, "b"), ("r", 4, 1.0, "c"), ("r", 5, 0.0, "c")], "query string, sku long, rel double, brand string")
+    clicks = spark.createDataFrame([("q", 3)], "query string, sku long")
+    got = {r.lam: r for r in ranking.trade_offs(rows, "query", "sku", "rel", {"brand": 1.0}, (1.0, 0.3), clicks, k=2).collect()}
+    assert (got[1.0].relevance_loss, got[1.0].moved, got[1.0].precision_at_k) == (0.0, 0.0, 0.0)
+    # With more weight on differences item 3 takes the place of item 2.
+    r = got[0.3]
+    assert r.relevance_loss == pytest.approx((0.2 + 0.0) / 2) and r.moved == pytest.approx(0.25) and r.precision_at_k == 0.5 and r.diversity == 0.5 and r.brand_distinct == 0.75
+
+
+@pytest.mark.parametrize("block", [3, 1000])
+def test_many_queries_meet_items_in_groups(spark, block, monkeypatch):
+    reachable(spark)
+    from brindle.operators import vectors
+
+    monkeypatch.setattr(vectors, "SHARD_ITEMS", 17)
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(60, 6))
+    d = spark.createDataFrame([(i, [float(a) for a in v]) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    s = u @ u.T
+    np.fill_diagonal(s, -9)
+    got = {(r.query, r["rank"]): r.other for r in vectors.neighbours(d, d.where("vec_id % 2 = 0"), 3, block=block).collect()}
+    assert got == {(q, k + 1): int(o) for q in range(0, 60, 2) for k, o in enumerate(np.argsort(-s[q])[:3])}
