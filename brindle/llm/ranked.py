@@ -8,7 +8,7 @@ is read from its head, and a frequent term's list is cut over many tasks.
 Search, for all items at once:
 1. The first HEAD postings of each list give partial scores; the LOOK documents with the largest ones are looked up. The k-th best score is a lower bound of an item's k-th best.
 2. Uniform threshold: a document whose score reaches the bound has the bound's m-th part in one of the item's m lists at least. Every list gives up
-   its postings from there on. They are sent by document, once for all items, and meet the items' terms there. What a list
+   its postings from the SHARE-th part of that on. They are sent by document, once for all items, and meet the items' terms there. What a list
    has not given up for a document is less than the threshold, and no more than the list's head; documents that can't reach the bound with that, or
    not the k-th best partial score, go.
 3. For those left, what the lists have kept back is looked up, which makes their scores exact.
@@ -36,6 +36,9 @@ K = 20
 #: Postings from the head of each list, and documents of each item that are looked up for its lower bound.
 HEAD = 100
 LOOK = 2 * K
+#: The uniform threshold is the bound over SHARE times the number of lists: with more than 1 the lists give up a few more postings, and the upper bounds
+#: leave far fewer documents to be looked up.
+SHARE = 4
 #: Documents in a partition of the second phase.
 PART_DOCS = 20_000
 
@@ -149,7 +152,7 @@ def tput(lists: DataFrame, terms: DataFrame, n_docs: int, k: int = K, head: int
     low = stage(kth(entries(lists, looked, asked).groupBy("item", "r").agg(F.sum("add").alias("score")), k, "score", "low"), "bounds")
     # The least a posting must add, and the most that a list hides below that.
     m = terms.groupBy("item").agg(F.count("*").alias("m"))
-    need = F.greatest(F.lit(1), F.expr("(coalesce(low, 0) + m - 1) div m"))
+    need = F.greatest(F.lit(1), F.expr(f"(coalesce(low, 0) + {SHARE} * m - 1) div ({SHARE} * m)"))
     asked = asked.join(m, "item").join(low, "item", "left").withColumn("need", need).withColumn("hidden", F.least(F.col("c") * F.col("most"), F.col("need") - 1))
     asked = stage(asked.select("item", "term", "c", "need", "hidden", F.coalesce("low", F.lit(0)).alias("low"), F.sum("hidden").over(Window.partitionBy("item")).alias("all")), "asked")
     least = stage(asked.groupBy("term").agg(F.min(F.expr("(need + c - 1) div c")).alias("least")), "least")
