@@ -6,10 +6,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def fit(docs: DataFrame, alpha: float, prior: str = "smoothed") -> dict[str, DataFrame]:
-    """docs: label, weight, terms. Tables of classes (label, log_prior, log_unseen, total) and terms (label, term, c)."""
+def fit(docs: DataFrame, alpha: float, prior: str = "smoothed", most: int | None = None) -> dict[str, DataFrame]:
+    """docs: label, weight, terms. Tables of classes (label, log_prior, log_unseen, total) and terms (label, term, c). most: only so many terms count, those with the largest weight
+    (of equal ones, the first in the alphabet)."""
     per = docs.groupBy("label").agg(F.sum("weight").alias("w"))
     c = docs.select("label", "weight", F.explode("terms").alias("term")).groupBy("label", "term").agg(F.sum("weight").alias("c"))
+    if most is not None:
+        c = c.join(c.groupBy("term").agg(F.sum("c").alias("_n")).orderBy(F.desc("_n"), "term").limit(most).select("term"), "term", "left_semi").select("label", "term", "c")
     v = F.broadcast(c.select("term").distinct().agg(F.count("*").alias("v")))  # one row
     all_w = F.broadcast(per.agg(F.sum("w").alias("all_w"), F.count("*").alias("k")))  # one row
     classes = per.join(c.groupBy("label").agg(F.sum("c").alias("n")), "label").join(v).join(all_w)
@@ -34,3 +37,9 @@ def predict(docs: DataFrame, model: dict, key: str) -> DataFrame:
     s = s.withColumn("e", F.exp(F.col("s") - F.max("s").over(w)))
     s = s.withColumn("p", F.col("e") / F.sum("e").over(w))
     return s.withColumn("rank", F.row_number().over(w.orderBy(F.desc(F.round("p", 9)), "label"))).select(key, "label", "p", "rank")
+
+
+def accuracy(pred: DataFrame, label: str = "label", guess: str = "guess", weight: str | None = None) -> DataFrame:
+    """(label, accuracy, n): the share of each class's rows, or of their weight, that are told right."""
+    w = F.col(weight) if weight else F.lit(1.0)
+    return pred.groupBy(label).agg((F.sum(F.when(F.col(label) == F.col(guess), w).otherwise(0.0)) / F.sum(w)).alias("accuracy"), F.count("*").alias("n"))

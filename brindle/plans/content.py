@@ -113,12 +113,12 @@ def subject_features(t: Tables) -> DataFrame:
 
 @query()
 def subject_scores(t: Tables) -> DataFrame:
-    """Predicted open rates of subject lines by weighted ridge regression."""
+    """Predicted open rates of subject lines by weighted ridge regression on their words and hand-made features."""
     f = marketing.subject_features(F.col("s"))
-    d = t.reviews.select("review_id", F.get(F.split("body", "\n"), F.lit(0)).alias("s"), (F.coalesce("quality", F.lit(0)) * 0.5 + 0.1).alias("open_rate"), F.sqrt(F.length("body").cast("double")).alias("w"))
-    d = d.select("review_id", "open_rate", "w", *[v.cast("double").alias(k) for k, v in f.items()])
-    p = models.ridge(d, list(f), "open_rate", "w", 0.1).transform(d)
-    return _round(p.select("review_id", F.least(F.lit(1.0), F.greatest(F.lit(0.0), "prediction")).alias("predicted")))
+    d = t.reviews.select("review_id", F.coalesce(F.get(F.split("body", "\n"), F.lit(0)), F.lit("")).alias("s"), (F.coalesce("quality", F.lit(0)) * 0.5 + 0.1).alias("open_rate"), F.sqrt(F.length("body").cast("double")).alias("w"))
+    d = d.select("review_id", F.lower("s").alias("s"), "open_rate", "w", *[v.cast("double").alias(k) for k, v in f.items()])
+    p = classify.text_ridge(d, "review_id", "s", list(f), "open_rate", "w")
+    return _round(p.select("review_id", F.least(F.lit(1.0), F.greatest(F.lit(0.0), "predicted")).alias("predicted")).orderBy(F.desc("predicted"), "review_id"))
 
 
 @query()

@@ -178,6 +178,14 @@ def text_class_nb(t: Tables) -> DataFrame:
     return _round(bayes.predict(d.where("review_id % 5 = 0"), bayes.fit(d.where("review_id % 5 != 0"), 1.0), "review_id"))
 
 
+@query(_NB.replace("SELECT review_id, label, round(p, 4) + 0.0 AS p, rank FROM r", "SELECT d.label, round(avg(CASE WHEN r.label = d.label THEN 1.0 ELSE 0.0 END), 4) + 0.0 AS accuracy, count(*) AS n FROM r JOIN d ON d.review_id = r.review_id WHERE rank = 1 GROUP BY 1"))
+def class_accuracy(t: Tables) -> DataFrame:
+    """How many of each class's held-out texts are told right."""
+    d = text_labels(t)
+    p = bayes.predict(d.where("review_id % 5 = 0"), bayes.fit(d.where("review_id % 5 != 0"), 1.0), "review_id").where("rank = 1")
+    return _round(bayes.accuracy(p.select("review_id", F.col("label").alias("guess")).join(d.select("review_id", "label"), "review_id")))
+
+
 _QNB = """WITH q AS (SELECT lower(p_name) AS q, lower(p_type) AS label, count(*) AS n FROM part GROUP BY 1, 2), sh AS (SELECT q, label, ln(1 + n) AS weight FROM (SELECT *, n / sum(n) OVER (PARTITION BY q) AS s FROM q) WHERE s >= 0.18),
 g AS (SELECT label, weight, unnest(flatten([list_transform(range(1, length(' ' || q || ' ') - n + 2), lambda i: substring(' ' || q || ' ', i, n)) for n in [2, 3, 4]])) AS term FROM sh),
 c AS (SELECT label, term, sum(weight) AS c FROM g GROUP BY 1, 2) SELECT label, term, round(c, 4) + 0.0 AS c FROM c"""

@@ -351,3 +351,26 @@ def test_many_queries_meet_items_in_groups(spark, block, monkeypatch):
     np.fill_diagonal(s, -9)
     got = {(r.query, r["rank"]): r.other for r in vectors.neighbours(d, d.where("vec_id % 2 = 0"), 3, block=block).collect()}
     assert got == {(q, k + 1): int(o) for q in range(0, 60, 2) for k, o in enumerate(np.argsort(-s[q])[:3])}
+
+
+def test_words_and_columns_in_one_ridge(spark):
+    rnd = random.Random(5)
+    rows = []
+    for i in range(600):
+        words = [rnd.choice(["sale", "news", "linen", "today", "blue", "red"]) for _ in range(4)]
+        x = rnd.random()
+        rows.append((i, " ".join(words) if i % 50 else "", x, 0.2 + 0.3 * x + (0.2 if "sale" in words and i % 50 else 0.0), 1.0 + rnd.random()))
+    d = spark.createDataFrame(rows, "id long, s string, x double, y double, w double")
+    p = {r.id: r.predicted for r in classify.text_ridge(d, "id", "s", ["x"], "y", "w", reg=0.1).collect()}
+    y = np.array([r[3] for r in rows])
+    rest = np.array([p[i] for i in range(600)]) - y
+    assert len(p) == 600 and np.mean(rest**2) < 0.15 * np.var(y)
+
+
+def test_vocabulary_cap_and_accuracy(spark):
+    from brindle.operators import bayes
+
+    d = spark.createDataFrame([("a", 1.0, ["x", "x", "y"]), ("b", 1.0, ["z", "z", "y"]), ("b", 2.0, ["w"])], "label string, weight double, terms array<string>")
+    assert {r.term for r in bayes.fit(d, 1.0, most=3)["terms"].collect()} == {"x", "y", "w"} and {r.term for r in bayes.fit(d, 1.0)["terms"].collect()} == set("xyzw")
+    p = spark.createDataFrame([("a", "a", 3.0), ("a", "b", 1.0), ("b", "b", 1.0)], "label string, guess string, w double")
+    assert {r.label: (r.accuracy, r.n) for r in bayes.accuracy(p, weight="w").collect()} == {"a": (0.75, 2), "b": (1.0, 1)}
