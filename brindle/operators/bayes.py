@@ -22,17 +22,20 @@ def fit(docs: DataFrame, alpha: float, prior: str = "smoothed", most: int | None
 
 
 def predict(docs: DataFrame, model: dict, key: str) -> DataFrame:
-    """(key, label, p, rank) of every class. docs: key, terms. Terms not seen in training count for nothing."""
+    """(key, label, p, rank) of every class. docs: key, terms. Terms not seen in training count for nothing.
+
+    A term meets one row with its weights in all classes, so that a document's words are not multiplied by the classes before they are summed up."""
     terms, classes, alpha = model["terms"], model["classes"], model["alpha"]
+    labels = [r[0] for r in classes.select("label").orderBy("label").collect()]  # classes
     t = docs.select(key, F.explode_outer("terms").alias("term")).groupBy(key, "term").agg(F.count("*").alias("m"))
-    vocab = terms.select("term").distinct().withColumn("known", F.lit(1))
-    t = t.join(vocab, "term", "left").withColumn("m", F.when(F.col("known").isNotNull(), F.col("m")).otherwise(0))
+    gain = lambda c: F.log(F.col("c") + alpha) - F.log(F.lit(float(alpha)))
+    rows = terms.groupBy("term").agg(*[F.coalesce(F.max(F.when(F.col("label") == x, gain("c"))), F.lit(0.0)).alias(f"g{i}") for i, x in enumerate(labels)])
+    t = t.join(rows, "term", "left").withColumn("m", F.when(F.col("g0").isNotNull(), F.col("m")).otherwise(0))
     # Every class starts from all its terms unseen; the terms it has add what they differ.
-    n = t.groupBy(key).agg(F.sum("m").alias("n_terms"))
-    seen = t.where("m > 0").join(terms, "term").groupBy(key, "label").agg(F.sum(F.col("m") * (F.log(F.col("c") + alpha) - F.log(F.lit(float(alpha))))).alias("gain"))
-    grid = n.join(F.broadcast(classes))  # a row per class, few and fixed by the labels
-    s = grid.join(seen, [key, "label"], "left")
-    s = s.withColumn("s", F.col("log_prior") + F.col("n_terms") * (F.log(F.lit(float(alpha))) - F.log("total")) + F.coalesce("gain", F.lit(0.0)))
+    per = t.groupBy(key).agg(F.sum("m").alias("n_terms"), *[F.sum(F.when(F.col("m") > 0, F.col("m") * F.col(f"g{i}")).otherwise(0.0)).alias(f"g{i}") for i in range(len(labels))])
+    gains = F.array(*[F.struct(F.lit(x).alias("label"), F.col(f"g{i}").alias("gain")) for i, x in enumerate(labels)])
+    grid = per.select(key, "n_terms", F.explode(gains).alias("x")).select(key, "n_terms", "x.label", "x.gain").join(classes, "label")
+    s = grid.withColumn("s", F.col("log_prior") + F.col("n_terms") * (F.log(F.lit(float(alpha))) - F.log("total")) + F.col("gain"))
     w = Window.partitionBy(key)
     s = s.withColumn("e", F.exp(F.col("s") - F.max("s").over(w)))
     s = s.withColumn("p", F.col("e") / F.sum("e").over(w))
