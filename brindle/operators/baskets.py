@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 from .ranking import top_k
 
 
-def baskets(lines: DataFrame, item: str, largest: int = 30) -> DataFrame:
-    """(order_id, item) of orders with 2 to ``largest`` distinct items. The bound is applied before pairs are made, so pairs per order are bounded."""
+def baskets(lines: DataFrame, item: str, largest: int | None = 30) -> DataFrame:
+    """(order_id, item) of orders with 2 to ``largest`` distinct items (None: any number from 2). The bound is applied before pairs are made, so pairs per order are bounded."""
     d = lines.select("order_id", F.col(item).alias("item")).distinct()
-    return d.withColumn("n", F.count("*").over(Window.partitionBy("order_id"))).where(F.col("n").between(2, largest)).drop("n")
+    return d.withColumn("n", F.count("*").over(Window.partitionBy("order_id"))).where(F.col("n") >= 2 if largest is None else F.col("n").between(2, largest)).drop("n")
 
 
 def rules(b: DataFrame, support: int, confidence: float, lift: float) -> DataFrame:

@@ -55,9 +55,9 @@ def minmax(c: Column, by: Sequence[str]) -> Column:
     return F.when(span < 1e-12, 1.0).otherwise((c - F.min(c).over(w)) / span)
 
 
-def diversify(rows: DataFrame, group: str, item: str, relevance: str, attributes: dict[str, float], lam: float = 0.7, k: int = 24, pin: int = 0, pool: int = 48) -> DataFrame:
+def diversify(rows: DataFrame, group: str, item: str, relevance: str, attributes: dict[str, float], lam: float = 0.7, k: int = 24, pin: int = 0, pool: int | None = 48) -> DataFrame:
     """Greedy marginal relevance: lam * relevance - (1 - lam) * highest similarity to those chosen, where similarity is the weight of
-    attributes in common. Each group's pool is cut to ``pool`` rows first, so a group fits a task. (group, item, position, original_position, score)"""
+    attributes in common. Each group's pool is cut to ``pool`` rows first, so a group fits a task (None: it is as large as its group). (group, item, position, original_position, score)"""
     names, weights = list(attributes), list(attributes.values())
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
 
@@ -76,7 +76,7 @@ def diversify(rows: DataFrame, group: str, item: str, relevance: str, attributes
                 close[i] = max(close[i], sum(w for w, a, b in zip(weights, attrs[i], attrs[j], strict=True) if a == b))
         return pd.DataFrame(out, columns=[group, item, "position", "original_position", "score"])
 
-    pruned = top_k(rows, [group], [F.desc(relevance), F.asc(item)], pool, "_rank")
+    pruned = top_k(rows, [group], [F.desc(relevance), F.asc(item)], (1 << 31) - 1 if pool is None else pool, "_rank")
     return pruned.groupBy(group).applyInPandas(run, f"{group} {kinds[group]}, {item} {kinds[item]}, position int, original_position int, score double")
 
 

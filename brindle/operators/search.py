@@ -13,9 +13,10 @@ from brindle.sources.io import latest
 from .ranking import best, top_k
 
 
-def autocomplete(log: DataFrame, as_of: str, life: float = 14.0, least: float = 3.0, success: float = 0.6, k: int = 8, longest: int = 20) -> DataFrame:
+def autocomplete(log: DataFrame, as_of: str, life: float = 14.0, least: float = 3.0, success: float = 0.6, k: int = 8, longest: int | None = 20) -> DataFrame:
     """(prefix, rank, suggestion, score). log: query_text, event_date, clicked. Counts decay by age; score = ln(1 + searches) * (0.4 + 0.6 * smoothed
-    success); spellings of one query pool their scores under the best; every prefix keeps its k best."""
+    success); spellings of one query pool their scores under the best; every prefix, of up to ``longest`` characters
+    (None: of any length), keeps its k best."""
     q = log.groupBy(tx.plain(F.trim("query_text")).alias("q"), "event_date").agg(F.count("*").alias("n"), F.count_if("clicked").alias("c"))
     q = q.where(F.length("q").between(2, 60) & ~tx.blocked(F.col("q")))
     w = half_life(clip(F.datediff(F.lit(as_of).cast("date"), "event_date").cast("double"), 0.0), life)
@@ -24,7 +25,7 @@ def autocomplete(log: DataFrame, as_of: str, life: float = 14.0, least: float =
     q = q.withColumn("score", score).withColumn("key", tx.variant_key(F.col("q")))
     q = q.withColumn("pooled", F.sum("score").over(Window.partitionBy("key")))
     one = best(q, ["key"], [F.desc(F.round("score", 9)), F.asc("q")]).select("q", "pooled")
-    n = F.least(F.length("q"), F.lit(longest))
+    n = F.length("q") if longest is None else F.least(F.length("q"), F.lit(longest))
     prefix = F.explode(F.transform(F.sequence(F.lit(1), n), lambda i: F.substring("q", F.lit(1), i)))
     rows = one.select(prefix.alias("prefix"), F.col("q").alias("suggestion"), F.col("pooled").alias("score"))
     return top_k(rows, ["prefix"], [F.desc(F.round("score", 9)), F.asc("suggestion")], k)

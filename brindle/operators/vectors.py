@@ -167,8 +167,8 @@ def mean_vector(df: DataFrame, vector: Column, by: list[str] | None = None) -> D
     return e.groupBy(*(by or [])).agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "m"))), lambda s: s["m"]).alias("centroid"))
 
 
-def lookalikes(items: DataFrame, seeds: DataFrame, key: str = "vec_id", vector: str = "embedding", trim: float = 0.1, least: float = 0.55, most: int = 50_000, min_seeds: int = 25) -> DataFrame:
-    """(key, similarity, rank): items nearest to the seeds' centroid, after the seeds least like it are trimmed. Seeds: key."""
+def lookalikes(items: DataFrame, seeds: DataFrame, key: str = "vec_id", vector: str = "embedding", trim: float = 0.1, least: float = 0.55, most: int | None = 50_000, min_seeds: int = 25) -> DataFrame:
+    """(key, similarity, rank): items nearest to the seeds' centroid, after the seeds least like it are trimmed; the ``most`` nearest (None: all). Seeds: key."""
     n = seeds.count()
     if n < min_seeds:
         raise ValueError(f"{n} seeds, need {min_seeds}")
@@ -181,7 +181,7 @@ def lookalikes(items: DataFrame, seeds: DataFrame, key: str = "vec_id", vector:
         own = s.join(edge).where(F.col("sim") >= F.col("edge") - 1e-12).select(key, "u")
     rest = unit.join(seeds.select(key), key, "left_anti").join(at(own))
     s = rest.select(key, dot(F.col("u"), F.col("c")).alias("similarity")).where(F.col("similarity") >= least)
-    return s.orderBy(F.desc(F.round("similarity", 9)), key).limit(most)
+    return s if most is None else s.orderBy(F.desc(F.round("similarity", 9)), key).limit(most)
 
 
 def tfidf(docs: DataFrame, key: str, terms: Column, least: int = 2, share: float = 0.5) -> DataFrame:

@@ -374,3 +374,19 @@ def test_vocabulary_cap_and_accuracy(spark):
     assert {r.term for r in bayes.fit(d, 1.0, most=3)["terms"].collect()} == {"x", "y", "w"} and {r.term for r in bayes.fit(d, 1.0)["terms"].collect()} == set("xyzw")
     p = spark.createDataFrame([("a", "a", 3.0), ("a", "b", 1.0), ("b", "b", 1.0)], "label string, guess string, w double")
     assert {r.label: (r.accuracy, r.n) for r in bayes.accuracy(p, weight="w").collect()} == {"a": (0.75, 2), "b": (1.0, 1)}
+
+
+def test_bounds_can_be_lifted(spark):
+    """Orders, pools, prefixes and look-alikes of any size."""
+    reachable(spark)
+    from brindle.operators import baskets, ranking, search, vectors
+
+    lines = spark.range(45).select(F.lit(1).alias("order_id"), F.col("id").alias("sku"))
+    assert baskets.baskets(lines, "sku").count() == 0 and baskets.baskets(lines, "sku", None).count() == 45
+    rows = spark.range(70).select(F.lit("q").alias("q"), F.col("id").alias("sku"), (1 - F.col("id") / 100).alias("rel"), F.lit("b").alias("brand"))
+    assert ranking.diversify(rows, "q", "sku", "rel", {"brand": 1.0}, k=70).count() == 48 and ranking.diversify(rows, "q", "sku", "rel", {"brand": 1.0}, k=70, pool=None).count() == 70
+    log = spark.createDataFrame([("a query of thirty three characters", "2024-01-01", True)] * 9, "query_text string, event_date string, clicked boolean").withColumn("event_date", F.to_date("event_date"))
+    assert {r.prefix for r in search.autocomplete(log, "2024-01-01").collect()} < {r.prefix for r in search.autocomplete(log, "2024-01-01", longest=None).collect()} and search.autocomplete(log, "2024-01-01", longest=None).count() == 34
+    e = spark.range(90).select(F.col("id").alias("vec_id"), F.array(F.lit(1.0), F.col("id") / 100).alias("embedding"))
+    seeds = e.where("vec_id < 30").select("vec_id")
+    assert vectors.lookalikes(e, seeds, most=5).count() == 5 and vectors.lookalikes(e, seeds, most=None, least=-1.0).count() == 60
