@@ -10,6 +10,7 @@ from brindle.functions.exprs import beta_smoothed, clip, half_life, idf, micros
 
 from brindle.sources.io import latest
 
+from .graph import _checkpoint
 from .ranking import best, top_k
 
 
@@ -191,6 +192,31 @@ def zero_result_fallbacks(queries: DataFrame, products: DataFrame, protected: li
     return out.select("query", strategy.alias("strategy"), "relaxed", F.when(F.col("relaxed").isNull(), F.col("category")).alias("category"))
 
 
+def fallback_rows(queries: DataFrame, products: DataFrame, trending: DataFrame, k: int = 24, **options) -> DataFrame:
+    """(query, strategy, payload): what a query without results shows, as a row of JSON (strategy, relaxed, category, products).
+
+    Products that match the relaxed query come by their place among the k of highest trend, others after them by id; else the category's k of highest trend; else the k of all. A category
+    without trend falls back on all. queries, products, options: as for ``zero_result_fallbacks``; trending: as for ``fallback_products``."""
+    f = _checkpoint(zero_result_fallbacks(queries, products, **options))
+    now = latest(trending, "snapshot_date")
+    if now.isEmpty():
+        raise ValueError("the trending snapshot is empty")
+    order = [F.desc(F.round("score", 9)), F.asc("sku")]
+    top = _checkpoint(now.orderBy(*order).limit(k).withColumn("place", F.row_number().over(Window.orderBy(*order))).select("sku", "place"))  # k rows
+    index = products.select(F.col("sku").alias("doc_id"), F.explode(F.array_distinct("terms")).alias("term"))
+    met = match_all(f.where("strategy = 'relaxed'").select(F.col("query").alias("query_id"), F.split("relaxed", " ").alias("terms")), index)
+    met = met.select(F.col("query_id").alias("query"), F.col("doc_id").alias("sku")).join(F.broadcast(top), "sku", "left")
+    own = top_k(met, ["query"], [F.asc_nulls_last("place"), F.asc("sku")], k).select("query", "sku", "rank")
+    trend = top_k(now, ["category"], order, k).select("category", "sku", "rank")
+    served = trend.select("category").distinct().withColumn("_known", F.lit(True))
+    f = f.join(served, "category", "left").withColumn("strategy", F.when((F.col("strategy") == "category") & F.col("_known").isNull(), "global").otherwise(F.col("strategy"))).withColumn("category", F.when(F.col("strategy") == "category", F.col("category")))
+    shown = own.unionByName(f.where("strategy = 'category'").select("query", "category").join(trend, "category").select("query", "sku", "rank"))
+    lists = shown.groupBy("query").agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "sku"))), lambda x: x["sku"]).alias("products"))  # k products
+    everywhere = [r.sku for r in top.orderBy("place").collect()]  # k rows
+    out = f.join(lists, "query", "left").withColumn("products", F.coalesce("products", F.array(*[F.lit(x) for x in everywhere])))
+    return out.select("query", "strategy", F.to_json(F.struct("strategy", "relaxed", "category", "products"), {"ignoreNullFields": "false"}).alias("payload"))
+
+
 def strategy_shares(fallbacks: DataFrame, searches: DataFrame) -> DataFrame:
     """(strategy, queries, searches, share): how much of the search volume each strategy serves. fallbacks: query, strategy; searches: query, n."""
     j = searches.join(fallbacks.select("query", "strategy"), "query", "left").withColumn("strategy", F.coalesce("strategy", F.lit("none")))

@@ -224,17 +224,37 @@ def spell_corrections(t: Tables) -> DataFrame:
     return search.corrections(wrong, vocab)
 
 
-@query("""WITH pr AS (SELECT p_partkey AS sku, p_type AS category, list_distinct(string_split(lower(p_name), ' ')) AS ts FROM part), ix AS (SELECT sku, category, unnest(ts) AS term FROM pr), n AS (SELECT count(*) AS n FROM pr), kn AS (SELECT term, ln(((SELECT n FROM n) + 1) / (count(*) + 1)) + 1 AS idf FROM ix GROUP BY 1),
+_ZERO = """WITH pr AS (SELECT p_partkey AS sku, p_type AS category, list_distinct(string_split(lower(p_name), ' ')) AS ts FROM part), ix AS (SELECT sku, category, unnest(ts) AS term FROM pr), n AS (SELECT count(*) AS n FROM pr), kn AS (SELECT term, ln(((SELECT n FROM n) + 1) / (count(*) + 1)) + 1 AS idf FROM ix GROUP BY 1),
 q AS (SELECT DISTINCT lower(p_name) || ' zzz ' || lower(p_brand) AS query FROM part), w AS (SELECT query, string_split(query, ' ') AS ws FROM q), t0 AS (SELECT query, term, min(pos) AS pos FROM (SELECT query, unnest(ws) AS term, unnest(range(0, len(ws))) AS pos FROM w) GROUP BY 1, 2),
 t AS (SELECT t0.*, idf, row_number() OVER (PARTITION BY query ORDER BY idf IS NOT NULL, t0.term IN ('king', 'queen', 'twin', 'full'), round(idf, 9), pos) AS gone, count(*) OVER (PARTITION BY query) AS n, count(*) FILTER (WHERE idf IS NULL) OVER (PARTITION BY query) AS unknown FROM t0 LEFT JOIN kn ON kn.term = t0.term),
 tr AS (SELECT * FROM (SELECT *, unnest(range(least(unknown, n - 1), greatest(least(unknown, n - 1), least(n - 1, 3)) + 1)) AS cut FROM t) WHERE gone > cut), hi AS (SELECT query, cut, sku FROM tr JOIN ix ON ix.term = tr.term GROUP BY query, cut, n, sku HAVING count(*) = n - cut),
 en AS (SELECT query, min(cut) AS cut FROM (SELECT query, cut, count(*) AS m FROM hi GROUP BY 1, 2) WHERE m >= 4 AND cut > 0 GROUP BY 1), ke AS (SELECT t.query, string_agg(term, ' ' ORDER BY pos) AS relaxed FROM t JOIN en ON en.query = t.query WHERE gone > cut GROUP BY 1),
 vo AS (SELECT query, category, count(*) AS v FROM t JOIN ix ON ix.term = t.term GROUP BY 1, 2 HAVING count(*) >= 3), tp AS (SELECT query, category FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY v DESC, category) AS r FROM vo) WHERE r = 1)
-SELECT q.query, CASE WHEN relaxed IS NOT NULL THEN 'relaxed' WHEN category IS NOT NULL THEN 'category' ELSE 'global' END AS strategy, relaxed, CASE WHEN relaxed IS NULL THEN category END AS category FROM q LEFT JOIN ke ON ke.query = q.query LEFT JOIN tp ON tp.query = q.query""")
-def zero_result_fallbacks(t: Tables) -> DataFrame:
+SELECT q.query, CASE WHEN relaxed IS NOT NULL THEN 'relaxed' WHEN category IS NOT NULL THEN 'category' ELSE 'global' END AS strategy, relaxed, CASE WHEN relaxed IS NULL THEN category END AS category FROM q LEFT JOIN ke ON ke.query = q.query LEFT JOIN tp ON tp.query = q.query"""
+
+
+def zero_results(t: Tables) -> tuple[DataFrame, DataFrame]:
     p = t.products.select("sku", "category", F.split(F.lower("title"), " ").alias("terms"))
     q = t.products.select(F.concat_ws(" ", F.lower("title"), F.lit("zzz"), F.lower("brand")).alias("query")).distinct()
-    return search.zero_result_fallbacks(q.select("query", F.split("query", " ").alias("terms")), p)
+    return q.select("query", F.split("query", " ").alias("terms")), p
+
+
+@query(_ZERO)
+def zero_result_fallbacks(t: Tables) -> DataFrame:
+    return search.zero_result_fallbacks(*zero_results(t))
+
+
+@query(_ZERO.replace("SELECT q.query, CASE WHEN relaxed", ", fb AS (SELECT q.query, CASE WHEN relaxed", 1) + """), tn AS (SELECT p_partkey AS sku, p_type AS category, p_retailprice % 97 AS score FROM part WHERE p_type <> (SELECT min(p_type) FROM part)),
+rg AS (SELECT sku, row_number() OVER (ORDER BY round(score, 9) DESC, sku) AS place FROM tn QUALIFY place <= 5), rc AS (SELECT category, sku, row_number() OVER (PARTITION BY category ORDER BY round(score, 9) DESC, sku) AS rank FROM tn QUALIFY rank <= 5),
+g AS (SELECT query, CASE WHEN strategy = 'category' AND category NOT IN (SELECT category FROM rc) THEN 'global' ELSE strategy END AS strategy, relaxed, category FROM fb), rt AS (SELECT DISTINCT query, unnest(string_split(relaxed, ' ')) AS term FROM g WHERE relaxed IS NOT NULL),
+mm AS (SELECT query, sku FROM rt JOIN ix ON ix.term = rt.term GROUP BY query, sku HAVING count(*) = (SELECT count(*) FROM rt r2 WHERE r2.query = rt.query)), ow AS (SELECT query, mm.sku, row_number() OVER (PARTITION BY query ORDER BY place NULLS LAST, mm.sku) AS rank FROM mm LEFT JOIN rg ON rg.sku = mm.sku QUALIFY rank <= 5),
+sh AS (SELECT query, list(sku ORDER BY rank) AS products FROM (SELECT * FROM ow UNION ALL SELECT query, sku, rank FROM g JOIN rc ON rc.category = g.category WHERE strategy = 'category') GROUP BY 1)
+SELECT g.query, strategy, CAST(to_json({'strategy': strategy, 'relaxed': relaxed, 'category': CASE WHEN strategy = 'category' THEN category END, 'products': coalesce(products, (SELECT list(sku ORDER BY place) FROM rg))}) AS VARCHAR) AS payload FROM g LEFT JOIN sh ON sh.query = g.query""")
+def zero_result_rows(t: Tables) -> DataFrame:
+    """Each query without results with what it shows instead, as a row of JSON; one category has no trend."""
+    least = t.products.agg(F.min("category")).first()[0]
+    trend = t.products.where(F.col("category") != F.lit(least)).select(F.lit("2024-01-01").alias("snapshot_date"), "category", "sku", (F.col("price") % 97).alias("score"))
+    return search.fallback_rows(*zero_results(t), trend, 5)
 
 
 @query(r"""SELECT doc_id, CASE WHEN regexp_matches(q, '\$(\d+)\s*-\s*\$?(\d+)') THEN CAST(regexp_extract(q, '\$(\d+)\s*-\s*\$?(\d+)', 1) AS DOUBLE) END AS min_price, CASE WHEN regexp_matches(q, '\$(\d+)\s*-\s*\$?(\d+)') THEN CAST(regexp_extract(q, '\$(\d+)\s*-\s*\$?(\d+)', 2) AS DOUBLE) WHEN regexp_matches(q, '\b(?:under|below|less than)\s*\$?(\d+)') THEN CAST(regexp_extract(q, '\b(?:under|below|less than)\s*\$?(\d+)', 1) AS DOUBLE) END AS max_price,
