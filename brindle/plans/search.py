@@ -216,7 +216,9 @@ def query_categories(t: Tables) -> DataFrame:
     return _round(p.where("rank <= 2").groupBy("q").agg(F.max(F.when(F.col("rank") == 1, F.col("label"))).alias("best"), F.max(F.when(F.col("rank") == 1, F.col("p"))).alias("p"), F.max(F.when(F.col("rank") == 2, F.col("label"))).alias("second")))
 
 
-@query()
+@query("""WITH v AS (SELECT word, count(*) AS n FROM (SELECT unnest(string_split(lower(p_name), ' ')) AS word FROM part) GROUP BY 1), wr AS (SELECT DISTINCT unnest([substring(word, 2, 50), substring(word, 1, 2) || 'z' || substring(word, 3, 50)]) AS word FROM v), k AS (SELECT * FROM v WHERE n >= 3),
+c AS (SELECT wr.word, k.word AS cand, n, damerau_levenshtein(wr.word, k.word) AS dist FROM wr, k WHERE NOT regexp_matches(wr.word, '^[0-9]+$') AND length(wr.word) > 2 AND wr.word NOT IN (SELECT word FROM k)), d AS (SELECT *, min(dist) OVER (PARTITION BY word) AS closest FROM c WHERE dist = 1 OR (dist = 2 AND length(word) > 4)),
+r AS (SELECT *, row_number() OVER (PARTITION BY word ORDER BY round(ln(n / (SELECT sum(n) FROM k) + 1e-12) + CASE WHEN dist = 1 THEN ln(0.08) ELSE ln(0.004) END, 9) DESC, cand) AS r FROM d WHERE dist = closest) SELECT word, cand AS best, CAST(dist AS INT) AS dist FROM r WHERE r = 1""")
 def spell_corrections(t: Tables) -> DataFrame:
     words = t.products.select(F.explode(F.split(F.lower("title"), " ")).alias("word"))
     vocab = words.groupBy("word").agg(F.count("*").alias("n"))
