@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -101,27 +103,44 @@ def values(t: Tables) -> DataFrame:
     return drift.unpivot(wide.withColumnRenamed("value", "v").withColumnRenamed("v", "value"), ["value", "sku", "squared"], ["is_ref"])
 
 
-@query(_VALUES + """, nn AS (SELECT * FROM v WHERE value IS NOT NULL), ed AS (SELECT feature, list_sort(list_distinct(quantile_cont(value, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]))) AS e, min(value) AS lo, max(value) AS hi FROM nn WHERE is_ref GROUP BY 1), ee AS (SELECT feature, list_filter(e, lambda x: x > lo AND x < hi) AS e FROM ed),
+_PSI = _VALUES + """, nn AS (SELECT * FROM v WHERE value IS NOT NULL), ed AS (SELECT feature, list_sort(list_distinct(quantile_cont(value, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]))) AS e, min(value) AS lo, max(value) AS hi FROM nn WHERE is_ref GROUP BY 1), ee AS (SELECT feature, list_filter(e, lambda x: x > lo AND x < hi) AS e FROM ed),
 b AS (SELECT nn.feature, is_ref, len(list_filter(e, lambda x: x <= value)) AS bin FROM nn JOIN ee ON nn.feature = ee.feature), c AS (SELECT feature, bin, count(*) FILTER (WHERE is_ref) AS r, count(*) FILTER (WHERE NOT is_ref) AS c FROM b GROUP BY 1, 2),
 n AS (SELECT feature, count(*) FILTER (WHERE is_ref) AS nr, count(*) FILTER (WHERE NOT is_ref) AS nc FROM b GROUP BY 1), g AS (SELECT ee.feature, unnest(range(0, len(e) + 1)) AS bin FROM ee), s AS (SELECT g.feature, greatest(1e-6, coalesce(r, 0) / nr) AS r, greatest(1e-6, coalesce(c, 0) / nc) AS c, nr, nc FROM g JOIN n ON g.feature = n.feature LEFT JOIN c ON c.feature = g.feature AND c.bin = g.bin)
-SELECT feature, round(sum((c - r) * ln(c / r)), 4) + 0.0 AS psi, max(nr) AS n_ref, max(nc) AS n_cur FROM s GROUP BY 1""")
+SELECT feature, round(sum((c - r) * ln(c / r)), 4) + 0.0 AS psi, max(nr) AS n_ref, max(nc) AS n_cur FROM s GROUP BY 1"""
+
+
+@query(_PSI)
 def psi_drift(t: Tables) -> DataFrame:
     return _round(drift.psi(values(t)))
 
 
-@query(_VALUES + """, k AS (SELECT feature, value, count(*) FILTER (WHERE is_ref) AS r, count(*) FILTER (WHERE NOT is_ref) AS c FROM v WHERE value IS NOT NULL GROUP BY 1, 2), d AS (SELECT feature, abs(sum(r) OVER w / sum(r) OVER e - sum(c) OVER w / sum(c) OVER e) AS d, CAST(sum(r) OVER e AS BIGINT) AS nr, CAST(sum(c) OVER e AS BIGINT) AS nc FROM k WINDOW w AS (PARTITION BY feature ORDER BY value), e AS (PARTITION BY feature))
-SELECT feature, round(max(d), 4) + 0.0 AS d, max(nr) AS n_ref, max(nc) AS n_cur FROM d GROUP BY 1""")
+_KS = _VALUES + """, k AS (SELECT feature, value, count(*) FILTER (WHERE is_ref) AS r, count(*) FILTER (WHERE NOT is_ref) AS c FROM v WHERE value IS NOT NULL GROUP BY 1, 2), d AS (SELECT feature, abs(sum(r) OVER w / sum(r) OVER e - sum(c) OVER w / sum(c) OVER e) AS d, CAST(sum(r) OVER e AS BIGINT) AS nr, CAST(sum(c) OVER e AS BIGINT) AS nc FROM k WINDOW w AS (PARTITION BY feature ORDER BY value), e AS (PARTITION BY feature))
+SELECT feature, round(max(d), 4) + 0.0 AS d, max(nr) AS n_ref, max(nc) AS n_cur FROM d GROUP BY 1"""
+
+
+@query(_KS)
 def ks_statistic(t: Tables) -> DataFrame:
     return _round(drift.ks(values(t)))
 
 
-@query(_VALUES + """ SELECT feature, round(avg(CASE WHEN NOT is_ref THEN CASE WHEN value IS NULL THEN 1.0 ELSE 0.0 END END) - avg(CASE WHEN is_ref THEN CASE WHEN value IS NULL THEN 1.0 ELSE 0.0 END END), 4) + 0.0 AS null_rate_delta, round((avg(CASE WHEN NOT is_ref THEN value END) - avg(CASE WHEN is_ref THEN value END)) / (stddev_samp(CASE WHEN is_ref THEN value END) + 1e-6), 4) + 0.0 AS mean_shift_sd FROM v GROUP BY 1""")
+_SHIFT = _VALUES + """ SELECT feature, round(avg(CASE WHEN NOT is_ref THEN CASE WHEN value IS NULL THEN 1.0 ELSE 0.0 END END) - avg(CASE WHEN is_ref THEN CASE WHEN value IS NULL THEN 1.0 ELSE 0.0 END END), 4) + 0.0 AS null_rate_delta, round((avg(CASE WHEN NOT is_ref THEN value END) - avg(CASE WHEN is_ref THEN value END)) / (stddev_samp(CASE WHEN is_ref THEN value END) + 1e-6), 4) + 0.0 AS mean_shift_sd FROM v GROUP BY 1"""
+
+
+@query(_SHIFT)
 def null_and_mean_shift(t: Tables) -> DataFrame:
     v = values(t)
     return _round(drift.null_rates(v).join(drift.mean_shift(v), "feature"))
 
 
-@query()
+def _exact(sql: str) -> str:
+    """The same figures before they are rounded."""
+    return re.sub(r"round\((.*?), 4\) \+ 0\.0 AS", r"\1 AS", sql)
+
+
+@query(f"""WITH p0 AS ({_exact(_PSI)}), k0 AS ({_exact(_KS)}), s0 AS ({_exact(_SHIFT)}), k1 AS (SELECT feature, d, sqrt(n_ref * n_cur / (n_ref + n_cur)) AS en FROM k0), k2 AS (SELECT feature, d, (en + 0.12 + 0.11 / en) * d AS lam FROM k1),
+k3 AS (SELECT feature, CASE WHEN d <= 0 OR lam <= 0.2 THEN 1.0 ELSE least(1.0, greatest(0.0, 2 * list_sum(list_transform(range(1, 101), lambda i: CASE WHEN i % 2 = 1 THEN 1 ELSE -1 END * exp(-2.0 * i * i * lam * lam))))) END AS ks_p FROM k2),
+f AS (SELECT feature, 'psi' AS metric, psi AS value FROM p0 UNION ALL SELECT feature, 'ks_p', ks_p FROM k3 UNION ALL SELECT feature, 'null_rate_delta', null_rate_delta FROM s0 UNION ALL SELECT feature, 'mean_shift_sd', mean_shift_sd FROM s0)
+SELECT feature, metric, round(value, 4) + 0.0 AS value, CASE WHEN metric = 'psi' AND value > 0.2 THEN 'alert' WHEN metric = 'psi' AND value > 0.1 THEN 'warn' WHEN metric = 'ks_p' AND value < 0.001 THEN 'alert' WHEN metric = 'null_rate_delta' AND value > 0.05 THEN 'alert' WHEN metric = 'mean_shift_sd' AND abs(value) > 0.5 THEN 'warn' END AS severity FROM f""")
 def drift_findings(t: Tables) -> DataFrame:
     return _round(drift.findings(values(t)).withColumn("severity", drift.severity()))
 
