@@ -21,6 +21,8 @@ def configure(spark: SparkSession) -> SparkSession:
     paths = [p for p in env.get("PYTHONPATH", "").split(":") if p]
     if root not in paths:
         env["PYTHONPATH"] = ":".join([root, *paths])
+    # A task has the cores that Spark gives it: matrix products inside one don't start threads of their own.
+    env["OPENBLAS_NUM_THREADS"] = "1"
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark

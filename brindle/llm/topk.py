@@ -39,7 +39,7 @@ BLOCK_QUERIES = 512
 #: One item in SAMPLE is searched first for floors.
 SAMPLE = 16
 #: How far every list is read after each round.
-DEPTHS = (0.3, 0.4, 0.5, 0.6, 0.75, 1.0)
+DEPTHS = (0.45, 0.6, 0.75, 1.0)
 #: Reading stops when this part of a block is left.
 RESOLVE = 0.125
 #: Query blocks whose floors a task keeps from one item block to the next.
