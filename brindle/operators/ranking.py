@@ -48,6 +48,13 @@ def price_bands(products: DataFrame, bands: int = 4, group: str = "category", pr
     return met.withColumn("band", F.when(F.col("_kinds") < bands, 0).otherwise(rank_band(F.col("_n"), F.col("_n_all"), bands))).select(*products.columns, "band")
 
 
+def listing_attributes(products: DataFrame, bands: int = 4) -> DataFrame:
+    """(sku, brand, color, band): what lists are told apart by; products without a brand are ``_unbranded``, without a colour ``_multi``."""
+    p = price_bands(products, bands)
+    fill = lambda c, to: F.coalesce(F.when(F.trim(c) != "", F.col(c)), F.lit(to)).alias(c)
+    return p.select("sku", fill("brand", "_unbranded"), fill("color", "_multi"), "band")
+
+
 def minmax(c: Column, by: Sequence[str]) -> Column:
     """Scaled to 0..1 in its group; all 1 if constant."""
     w = Window.partitionBy(*by)

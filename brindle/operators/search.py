@@ -32,6 +32,18 @@ def autocomplete(log: DataFrame, as_of: str, life: float = 14.0, least: float =
     return top_k(rows, ["prefix"], [F.desc(F.round("score", 9)), F.asc("suggestion")], k)
 
 
+def suggestion_rows(index: DataFrame) -> DataFrame:
+    """(prefix, suggestions): one row a prefix, with its suggestions and scores, the best first. index: as from ``autocomplete``."""
+    kept = F.array_sort(F.collect_list(F.struct("rank", F.col("suggestion").alias("text"), "score")))  # k of them
+    return index.groupBy("prefix").agg(F.transform(kept, lambda x: F.struct(x["text"].alias("text"), x["score"].alias("score"))).alias("suggestions"))
+
+
+def suggest(index: DataFrame, prefix: str) -> DataFrame:
+    """(suggestion, score, rank) of what somebody has typed so far: a filter that reaches the scan of a written index."""
+    plain = index.sparkSession.range(1).select(tx.plain(F.lit(prefix))).first()[0]
+    return index.where(F.col("prefix") == plain).select("suggestion", "score", "rank").orderBy("rank")
+
+
 def category_shares(clicks: DataFrame, prior: float = 1.0, least: float = 0.05, k: int = 3) -> DataFrame:
     """(query_text, category_id, share, rank). clicks: query_text, category_id, one row a click. Smoothed shares, small ones dropped."""
     g = clicks.groupBy("query_text", "category_id").agg((F.count("*") + prior).alias("w"))

@@ -111,6 +111,14 @@ def subject_features(t: Tables) -> DataFrame:
     return _round(t.reviews.select("review_id", *[f[k].alias(k) for k in ("n_chars", "n_words", "n_urgency", "has_question", "has_percent", "caps")]))
 
 
+@query(r"""SELECT doc_id AS review_id, CAST(regexp_matches(s, '[\x{1F300}-\x{1FAFF}\x{2600}-\x{27BF}]') AS INT) AS has_emoji, CAST(regexp_matches(s, '(?i)\{\{\s*(first_name|name|city)\s*\}\}|%FNAME%') AS INT) AS has_name FROM (SELECT doc_id, string_split(text, chr(10))[1] || CASE doc_id % 4 WHEN 0 THEN ' ☀' WHEN 1 THEN ' {{ First_Name }}' WHEN 2 THEN ' %fname% 🎁' ELSE '' END AS s FROM documents)""")
+def subject_flags(t: Tables) -> DataFrame:
+    """Subject lines with pictures or the reader's name."""
+    end = F.get(F.array(F.lit(" ☀"), F.lit(" {{ First_Name }}"), F.lit(" %fname% 🎁"), F.lit("")), (F.col("review_id") % 4).cast("int"))
+    f = marketing.subject_features(F.concat(F.get(F.split("body", "\n"), F.lit(0)), end))
+    return t.reviews.select("review_id", f["has_emoji"].alias("has_emoji"), f["has_name"].alias("has_name"))
+
+
 @query()
 def subject_scores(t: Tables) -> DataFrame:
     """Predicted open rates of subject lines by weighted ridge regression on their words and hand-made features."""

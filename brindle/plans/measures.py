@@ -7,6 +7,7 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from brindle.functions.exprs import NUDGE
 from brindle.operators import drift, experiments, holdout
 from brindle.sources.tables import Tables
 
@@ -154,9 +155,12 @@ def found(t: Tables) -> DataFrame:
     return t.events.select(i.alias("finding_id"), F.concat(F.lit("m"), (F.col("customer_id") % 3).cast("string")).alias("model"), F.col("event_type").alias("feature"), F.get(names, (i % 4).cast("int")).alias("metric"), (F.col("value") / 200 - 0.1).alias("value"), F.col("event_ts").alias("created_at"))
 
 
-@query(f"""WITH {_FIND}, se AS (SELECT *, CASE WHEN metric = 'psi' AND value > 0.2 THEN 'alert' WHEN metric = 'psi' AND value > 0.1 THEN 'warn' WHEN metric = 'ks_p' AND value < 0.001 THEN 'alert' WHEN metric = 'null_rate_delta' AND value > 0.05 THEN 'alert' WHEN metric = 'mean_shift_sd' AND abs(value) > 0.5 THEN 'warn' END AS severity FROM fi),
+_ALERTS = f"""WITH {_FIND}, se AS (SELECT *, CASE WHEN metric = 'psi' AND value > 0.2 THEN 'alert' WHEN metric = 'psi' AND value > 0.1 THEN 'warn' WHEN metric = 'ks_p' AND value < 0.001 THEN 'alert' WHEN metric = 'null_rate_delta' AND value > 0.05 THEN 'alert' WHEN metric = 'mean_shift_sd' AND abs(value) > 0.5 THEN 'warn' END AS severity FROM fi),
 r AS (SELECT *, row_number() OVER (PARTITION BY model, feature, metric ORDER BY created_at, finding_id) AS r FROM se WHERE severity IS NOT NULL AND created_at >= TIMESTAMP '2024-01-16' AND NOT EXISTS (SELECT 1 FROM fi f WHERE f.created_at < TIMESTAMP '2024-01-01 06:00:00' AND f.model = se.model AND f.feature = se.feature AND f.metric = se.metric))
-SELECT finding_id, model, feature, metric, severity FROM r WHERE r = 1""")
+SELECT finding_id, model, feature, metric, severity FROM r WHERE r = 1"""
+
+
+@query(_ALERTS)
 def alert_dedup(t: Tables) -> DataFrame:
     f = found(t)
     ts = lambda s: F.lit(s).cast("timestamp_ntz")
@@ -164,6 +168,15 @@ def alert_dedup(t: Tables) -> DataFrame:
     return drift.alerts(f.where(F.col("created_at") >= ts("2024-01-16")), recent).select("finding_id", "model", "feature", "metric", "severity")
 
 
+@query(_ALERTS.replace("SELECT finding_id, model, feature, metric, severity FROM r WHERE r = 1", """, a AS (SELECT *, CASE WHEN severity = 'alert' THEN ':red_circle:' ELSE ':large_yellow_circle:' END || ' `' || model || '` / `' || feature || '` ' || metric || '=' || format('{:.4g}', value + """ + f"{NUDGE}" + """) AS line FROM r WHERE r = 1)
+SELECT '*Model drift report 2024-01-30* (' || count(*) || ' alerts)' || chr(10) || string_agg(line, chr(10) ORDER BY severity <> 'alert', model, feature, metric) AS text FROM a"""))
+def alert_message(t: Tables) -> DataFrame:
+    """What the alerts say, as one text. A nudge on both sides keeps exact halves apart."""
+    f = found(t)
+    ts = lambda s: F.lit(s).cast("timestamp_ntz")
+    return drift.message(drift.alerts(f.where(F.col("created_at") >= ts("2024-01-16")), f.where(F.col("created_at") < ts("2024-01-01 06:00:00"))).withColumn("value", F.col("value") + NUDGE), "2024-01-30")
+
+
 _RANK = "CAST('0x' || substring(md5('0:' || {}), 1, 15) AS BIGINT)"
 
 

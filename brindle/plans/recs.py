@@ -139,12 +139,29 @@ def session_conversion(t: Tables) -> DataFrame:
     return v.join(pooled, "session_id", "left").select("session_id", rounded(sigmoid(x)).alias("p"))
 
 
-@query("""WITH w AS (SELECT *, row_number() OVER (PARTITION BY p_type ORDER BY p_retailprice, p_partkey) AS rn, count(*) OVER (PARTITION BY p_type) AS n, (SELECT count(DISTINCT p_retailprice) FROM part q WHERE q.p_type = part.p_type) AS k FROM part)
-SELECT p_partkey AS sku, p_type AS category, CASE WHEN k < 4 THEN 0 ELSE CAST(greatest(0, ceil((rn - 1) * 4 / greatest(n - 1, 1)) - 1) AS INT) END AS band FROM w""")
+_BAND = """WITH w AS (SELECT *, row_number() OVER (PARTITION BY p_type ORDER BY p_retailprice, p_partkey) AS rn, count(*) OVER (PARTITION BY p_type) AS n, (SELECT count(DISTINCT p_retailprice) FROM part q WHERE q.p_type = part.p_type) AS k FROM part)
+SELECT p_partkey AS sku, p_type AS category, CASE WHEN k < 4 THEN 0 ELSE CAST(greatest(0, ceil((rn - 1) * 4 / greatest(n - 1, 1)) - 1) AS INT) END AS band FROM w"""
+
+
+@query(_BAND)
 def price_band_within_category(t: Tables) -> DataFrame:
     return ranking.price_bands(t.products).select("sku", "category", "band")
 
 
+@query(f"WITH b AS ({_BAND}) SELECT sku, CASE WHEN sku % 6 = 0 THEN '_unbranded' ELSE p_brand END AS brand, CASE sku % 4 WHEN 0 THEN 'oat' WHEN 1 THEN 'sage' ELSE '_multi' END AS color, band FROM b JOIN part ON p_partkey = sku")
+def listing_attributes(t: Tables) -> DataFrame:
+    k = F.col("sku")
+    p = t.products.withColumn("brand", F.when(k % 6 != 0, F.col("brand"))).withColumn("color", F.when(k % 4 == 0, "oat").when(k % 4 == 1, "sage").when(k % 4 == 2, ""))
+    return ranking.listing_attributes(p)
+
+
+@query(f"WITH {_UNIT}, p AS (SELECT a.vec_id, list_sum(list_transform(range(1, len(a.v) + 1), lambda i: a.v[i] * b.v[i])) AS s, sqrt(list_sum(list_transform(a.v, lambda x: x * x))) * sqrt(list_sum(list_transform(b.v, lambda x: x * x))) AS n FROM u a JOIN u b ON b.vec_id = a.vec_id + 1) SELECT vec_id, round(s / (n + 1e-9), 4) + 0.0 AS cosine FROM p")
+def pair_cosines(t: Tables) -> DataFrame:
+    """Each vector with the next one."""
+    e = t.raw("embeddings").select("vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("a"))
+    return _round(vectors.pair_cosine(e.join(e.select((F.col("vec_id") - 1).alias("vec_id"), F.col("a").alias("b")), "vec_id"), "a", "b").select("vec_id", "cosine"))
+
+
 def served(t: Tables) -> DataFrame:
     """Result lists: a title's products, by size."""
     p = ranking.price_bands(t.products)

@@ -43,6 +43,25 @@ def autocomplete_index(t: Tables) -> DataFrame:
     return _round(search.autocomplete(t.queries, "2024-03-01", least=0.2))
 
 
+@query(f"WITH a AS ({_AUTO}) SELECT prefix, string_agg(suggestion, '|' ORDER BY rank) AS suggestions, max(score) AS best, count(*) AS n FROM a GROUP BY 1")
+def autocomplete_rows(t: Tables) -> DataFrame:
+    """The index, flat: a row a prefix."""
+    r = search.suggestion_rows(_round(search.autocomplete(t.queries, "2024-03-01", least=0.2)))
+    return r.select("prefix", F.array_join(F.transform("suggestions", lambda x: x["text"]), "|").alias("suggestions"), F.array_max(F.transform("suggestions", lambda x: x["score"])).alias("best"), F.size("suggestions").cast("long").alias("n"))
+
+
+_LEET = "translate({}, '" + "".join(tx.LEET) + "', '" + "".join(tx.LEET.values()) + "')"
+_SPOILED = ["", " sh1t", " d1ck sale", " n a z i", " p0rnhub", " dickens", "$lut"]
+
+
+@query(f"""WITH q AS (SELECT p_partkey AS sku, lower(p_name) || (['{"', '".join(_SPOILED)}'])[CAST(p_partkey % {len(_SPOILED)} AS INT) + 1] AS q FROM part), r AS (SELECT sku, {_LEET.format('q')} AS r FROM q)
+SELECT sku, regexp_matches(' ' || r || ' ', ' (?:{'|'.join(tx.BLOCKED)}) ') OR regexp_matches(replace(r, ' ', ''), '{'|'.join(w for w in tx.BLOCKED if len(w) >= 5)}') AS blocked FROM r""")
+def blocked_titles(t: Tables) -> DataFrame:
+    """Titles with words that must not be suggested, in digits and signs, too."""
+    ends = F.array(*[F.lit(x) for x in _SPOILED])
+    return t.products.select("sku", tx.blocked(F.concat(F.lower("title"), F.get(ends, (F.col("sku") % len(_SPOILED)).cast("int")))).alias("blocked"))
+
+
 _FIRST = "WITH " + SEARCHES + ", w1 AS (SELECT string_split(query_text, ' ')[1] AS query_text, category_id, clicked, query_id FROM searches WHERE query_text <> '')"
 _SHARES = ", s0 AS (SELECT query_text, category_id, count(*) + 1.0 AS w FROM w1 WHERE query_id % 2 = 0 GROUP BY 1, 2), s1 AS (SELECT *, w / sum(w) OVER (PARTITION BY query_text) AS share FROM s0), sh AS (SELECT query_text, category_id, share, row_number() OVER (PARTITION BY query_text ORDER BY share DESC, category_id) AS rank FROM s1 WHERE share >= 0.05)"
 
