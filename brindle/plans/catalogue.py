@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from . import content, customers, measures, recs, reports, search, supply  # noqa: F401
+from . import content, customers, inout, measures, recs, reports, search, supply  # noqa: F401
 from .registry import ORACLES, QUERIES  # noqa: F401
