@@ -13,7 +13,9 @@ from brindle.sources import io
 from brindle.sources.tables import Tables
 from brindle.streaming import jobs
 
+from .content import _BANDIT, bandit_log
 from .customers import _round
+from .measures import _FIND, found
 from .registry import EVENTS, query
 
 
@@ -108,3 +110,20 @@ SELECT customer_id, min(event_ts) AS "start", max(event_ts) + INTERVAL 30 MINUTE
 def stream_sessions(t: Tables) -> DataFrame:
     """Sessions that a gap of half an hour ends."""
     return to_end(t, jobs.session_counts(streamed(t)))
+
+
+@query(_BANDIT + " SELECT arm, CAST(i AS INT) AS i, round(sum(x[i + 1] * reward), 4) + 0.0 AS value FROM e GROUP BY 1, 2")
+def stream_bandit(t: Tables) -> DataFrame:
+    """The bandit's state after a log in four files, each a batch that adds its part."""
+    log, state = folder(t, "log"), folder(t, "state")
+    bandit_log(t).repartition(4).write.parquet(log)
+    jobs.merge_statistics(jobs.read_events(t.spark, log, 1), ["bias", "value", "tier"], state, folder(t, "seen")).awaitTermination()
+    return _round(jobs.read_statistics(t.spark, state)[1])
+
+
+@query(f"WITH {_FIND} SELECT DISTINCT model, feature, metric FROM fi")
+def stream_alerts(t: Tables) -> DataFrame:
+    """Findings of one step without those whose key was there before."""
+    at = folder(t, "findings")
+    found(t).write.parquet(at)
+    return jobs.run_to_end(jobs.first_alerts(jobs.read_events(t.spark, at, 1000)), folder(t, "out"), folder(t, "state")).select("model", "feature", "metric")
