@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from brindle.functions import text as tx
 from brindle.operators import bayes, boosting, catalog, classify, features, images, lifetime, marketing, models, reviews, search
 from brindle.operators.graph import _checkpoint as checkpoint
 from brindle.sources.tables import Tables
