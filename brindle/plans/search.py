@@ -151,7 +151,8 @@ def bm25_scores(t: Tables) -> DataFrame:
 def bm25_topk(t: Tables) -> DataFrame:
     """The best hundred documents of the same queries, from the index."""
     q = t.queries.where("query_id % 20 = 0 and query_text != ''").select("query_id", F.split("query_text", " ").alias("terms"))
-    lists = retrieval.index(t.reviews.select(F.col("review_id").alias("doc_id"), tx.tokens(F.col("body")).alias("terms")))
+    docs = t.reviews.select(F.col("review_id").alias("doc_id"), tx.tokens(F.col("body")).alias("terms"))
+    lists = retrieval.index(docs, terms=q.select(F.explode("terms").alias("term")))
     return _round(retrieval.search(lists, q, 100).drop("read", "postings"))
 
 
