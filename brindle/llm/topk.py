@@ -172,7 +172,8 @@ def scan(items: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     shards = shuffle_partitions(items.sparkSession, items.count(), 64)
     dealt = items.withColumn("shard", F.pmod(F.xxhash64("block"), F.lit(shards)))
     asked = queries.withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))))
-    met = dealt.join(asked, (dealt.shard == asked.shard) & (F.col("dims") == F.col("qdims"))).select("block", "dims", "rows", "places", "vals", "qblock", "qrows", "q", "floors")
+    # The queries are one copy a shard here, which Spark's estimate leaves out: broadcast, all copies would go through the driver.
+    met = dealt.join(asked.hint("merge"), (dealt.shard == asked.shard) & (F.col("dims") == F.col("qdims"))).select("block", "dims", "rows", "places", "vals", "qblock", "qrows", "q", "floors")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         raised: OrderedDict[str, np.ndarray] = OrderedDict()

@@ -49,6 +49,14 @@ def test_topk(spark, items, monkeypatch):
     assert topk.report(df.limit(0)).collect() == [] and topk.report(df.where("vec_id = 1")).collect() == []
 
 
+def test_topk_copies_of_queries_are_not_broadcast(spark):
+    """A copy of the queries a shard met the items by a broadcast: it went through the driver."""
+    rows = topk.integers(spark.createDataFrame(vectors(), "vec_id long, embedding array<float>"), "vec_id", "embedding", 1024)
+    asked = topk.query_blocks(rows.withColumn("floor", F.lit(topk.NONE).cast("long")), 700)
+    plan = topk.scan(topk.stage(topk.item_blocks(rows), "blocks"), topk.stage(asked, "asked"), 10)._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan
+
+
 def test_reading_stops_before_the_end_of_the_lists():
     rng = np.random.default_rng(1)
     x = np.floor(1024 * rng.normal(size=(3000, 16)) * 0.2).astype(np.int64)
