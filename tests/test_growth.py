@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from brindle.operators import drift, experiments, vectors
+from brindle.plans.catalogue import QUERIES
 
 
 def plan(df):
@@ -23,3 +24,12 @@ def test_equal_vectors_meet_once(spark, monkeypatch):
         score = {j: round(sum(x * v[j % 3].get(s, 0.0) for s, x in v[i % 3].items()), 9) for j in range(60) if j != i}
         want = sorted(score, key=lambda j: (-score[j], j))[:25]
         assert [r.other for r in sorted((r for r in got if r.id == i), key=lambda r: r.rank)] == want
+
+
+def test_large_sides_of_a_join_are_not_broadcast(spark, tmp_path):
+    """A million parts are a few MB as a file; as broadcast tables they went through the driver with hundreds."""
+    k = F.col("id")
+    p = spark.range(1_000_000).select(k.alias("p_partkey"), F.lit("old ring").alias("p_name"), F.lit("b").alias("p_brand"), F.lit("t").alias("p_type"), (k % 50).cast("int").alias("p_size"), (900 + k % 1000 / 10).cast("double").alias("p_retailprice"))
+    p.coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
+    df = QUERIES["reorder_policy"](spark, str(tmp_path))
+    assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
