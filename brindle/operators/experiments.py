@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from brindle.functions.exprs import Z95, rank_band
 from brindle.functions.tails import chi2_p, normal_p, t_p
 
-from .ranking import running_sums
+from .ranking import running_least, running_sums
 
 
 def arm_sizes(units: DataFrame) -> DataFrame:
@@ -50,12 +50,11 @@ def compare(stats: DataFrame, control: str = "control") -> DataFrame:
 
 
 def adjust_p(df: DataFrame, by: list[str], p: str = "p_value", tie: str = "metric") -> DataFrame:
-    """Benjamini-Hochberg: adds p_adjusted."""
-    rank = F.row_number().over(Window.partitionBy(*by).orderBy(p, tie))
-    n = F.count("*").over(Window.partitionBy(*by))
-    x = df.withColumn("_r", rank).withColumn("_q", F.col(p) * n / F.col("_r"))
-    low = F.min("_q").over(Window.partitionBy(*by).orderBy("_r").rowsBetween(0, Window.unboundedFollowing))
-    return x.withColumn("p_adjusted", F.least(F.lit(1.0), low)).drop("_r", "_q")
+    """Benjamini-Hochberg: adds p_adjusted. Ranks, and the least of what follows, are running figures over ranges of the order: no task sorts a whole family, and no
+    row looks at all that follow."""
+    x = running_sums(df, by, [F.asc(p), F.asc(tie)], {"_r": F.lit(1)})
+    x = running_least(x, by, [F.desc("_r")], {"_q": F.col(p) * F.col("_r_all") / F.col("_r")})
+    return x.withColumn("p_adjusted", F.least(F.lit(1.0), "_q")).drop("_r", "_r_all", "_q")
 
 
 def analyse(units: DataFrame, metrics: DataFrame, control: str = "control", alpha: float = 0.05, srm: float = 0.001) -> DataFrame:

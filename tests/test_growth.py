@@ -33,3 +33,21 @@ def test_large_sides_of_a_join_are_not_broadcast(spark, tmp_path):
     p.coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
     df = QUERIES["reorder_policy"](spark, str(tmp_path))
     assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_small_values_in_a_message_have_no_zeros_left(spark):
+    rows = [("alert", "m", f"f{i}", "psi", v) for i, v in enumerate([1.3e-7, 1e-10, 2.5e-5, 0.05, 10.0, -0.25, 0.0])]
+    text = drift.message(spark.createDataFrame(rows, "severity string, model string, feature string, metric string, value double"), "d").first()[0]
+    assert [line.split("psi=")[1] for line in text.split("\n")[1:]] == ["1.3e-07", "1e-10", "2.5e-05", "0.05", "10", "-0.25", "0"]
+
+
+def test_adjusted_p_values_look_at_no_whole_family_a_row(spark):
+    d = spark.range(4000).select(F.lit("e").alias("e"), F.col("id").alias("metric"), (F.col("id") * 7919 % 10007 / 10007).alias("p_value"))
+    x = experiments.adjust_p(d, ["e"])
+    assert "unboundedfollowing" not in plan(x)
+    ps = sorted((r.p_value, r.metric) for r in d.collect())
+    low, want = 1.0, {}
+    for r in range(len(ps), 0, -1):
+        low = min(low, ps[r - 1][0] * len(ps) / r)
+        want[ps[r - 1][1]] = round(low, 12)
+    assert {r.metric: round(r.p_adjusted, 12) for r in x.collect()} == want
