@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import datetime
+import random
+
 from pyspark.sql import functions as F
 
-from brindle.operators import drift, experiments, vectors
+from brindle.operators import drift, experiments, graph, vectors
 from brindle.plans.catalogue import QUERIES
 
 
@@ -39,6 +42,7 @@ def test_small_values_in_a_message_have_no_zeros_left(spark):
     rows = [("alert", "m", f"f{i}", "psi", v) for i, v in enumerate([1.3e-7, 1e-10, 2.5e-5, 0.05, 10.0, -0.25, 0.0])]
     text = drift.message(spark.createDataFrame(rows, "severity string, model string, feature string, metric string, value double"), "d").first()[0]
     assert [line.split("psi=")[1] for line in text.split("\n")[1:]] == ["1.3e-07", "1e-10", "2.5e-05", "0.05", "10", "-0.25", "0"]
+    assert drift.message(spark.createDataFrame([], "severity string, model string, feature string, metric string, value double"), "d").first()[0] is None
 
 
 def test_adjusted_p_values_look_at_no_whole_family_a_row(spark):
@@ -51,3 +55,19 @@ def test_adjusted_p_values_look_at_no_whole_family_a_row(spark):
         low = min(low, ps[r - 1][0] * len(ps) / r)
         want[ps[r - 1][1]] = round(low, 12)
     assert {r.metric: round(r.p_adjusted, 12) for r in x.collect()} == want
+
+
+def test_bursts_count_no_window_a_row(spark):
+    rng = random.Random(5)
+    rows = [(k, datetime.datetime(2024, 1, 1) + datetime.timedelta(hours=rng.randrange(300))) for k in ("a", "b", None) for _ in range(60 if k != "b" else 6)]
+    x = graph.bursts(spark.createDataFrame(rows, "k string, ts timestamp_ntz"), ["k"], "ts", 24, 4)
+    assert "RangeFrame" not in plan(x)
+    want, day = {}, datetime.timedelta(hours=24)
+    for k in ("a", "b", None):
+        own = sorted(t for q, t in rows if q == k)
+        for t in own:
+            inside = [u for u in own if t - day <= u <= t]
+            if len(inside) >= 4:
+                want[k] = (inside[0], t, len(inside))
+                break
+    assert {r.k: (r.start, r.end, r.n) for r in x.collect()} == want
