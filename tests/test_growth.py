@@ -7,7 +7,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from brindle.operators import drift, experiments, graph, vectors
+from brindle.operators import drift, experiments, graph, search, vectors
 from brindle.plans.catalogue import QUERIES
 
 
@@ -71,3 +71,12 @@ def test_bursts_count_no_window_a_row(spark):
                 want[k] = (inside[0], t, len(inside))
                 break
     assert {r.k: (r.start, r.end, r.n) for r in x.collect()} == want
+
+
+def test_fallbacks_meet_no_single_products(spark):
+    k = F.col("id")
+    products = spark.range(20).select(k.alias("sku"), F.array(F.lit("red"), F.concat(F.lit("w"), (k % 2).cast("string"))).alias("terms"), F.lit("c").alias("category"))
+    asked = spark.range(2).select(F.concat(F.lit("red zzz q"), k.cast("string")).alias("query")).select("query", F.split("query", " ").alias("terms"))
+    x = search.zero_result_fallbacks(asked, products)
+    assert "sku#" not in plan(x)
+    assert sorted((r.query, r.strategy, r.relaxed) for r in x.collect()) == [("red zzz q0", "relaxed", "red"), ("red zzz q1", "relaxed", "red")]
