@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+import math
 import random
 
 from pyspark.sql import functions as F
@@ -100,3 +101,23 @@ def test_copies_of_a_listing_give_a_row_each(spark):
     got = {(r.a, r.b): round(r.score, 6) for r in recs.duplicate_listings(df, 0.9, expand=False).collect()}
     assert got == {(0, i): 1.0 for i in range(1, 40)} | {(50, 51): 1.0, (50, 52): 1.0, (0, 50): round(0.8 + 0.2 * 10.0 / 10.1, 6)} | {(i, j): 1.0 for i in (0, 50) for j in (60, 61)}
     assert recs.duplicate_listings(df, 0.9).count() == 43 * 42 // 2 + 43 * 2
+
+
+def test_bm25_exchanges_no_pairs(spark, monkeypatch):
+    """Pairs of queries and documents stay where the document is; queries of the same words, in blocks, give what scoring each alone gives."""
+    monkeypatch.setattr(search, "ASKED", 2, raising=False)
+    rng = random.Random(5)
+    docs = {i: [rng.choice("abcdefg") for _ in range(rng.randint(0, 9))] for i in range(60)}
+    asked = {100: ["a", "b"], 101: ["b", "a", "a"], 102: ["c"], 103: ["a", "z"], 104: ["z"], 105: [], 106: ["g", "f", "e"]}
+    q = spark.createDataFrame(list(asked.items()), "query_id long, terms array<string>")
+    out = search.bm25(q, spark.createDataFrame(list(docs.items()), "doc_id long, terms array<string>"))
+    exchanges = [line for line in out._jdf.queryExecution().executedPlan().toString().split("\n") if "hashpartitioning" in line]
+    assert not [line for line in exchanges if "query_id" in line or "class" in line]
+    n, mean = len(docs), sum(map(len, docs.values())) / len(docs)
+    want = {}
+    for name, terms in asked.items():
+        for d, words in docs.items():
+            for t in set(terms) & set(words):
+                df, tf = sum(t in x for x in docs.values()), words.count(t)
+                want[name, d] = want.get((name, d), 0.0) + math.log(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len(words) / mean))
+    assert {(r.query_id, r.doc_id): round(r.score, 9) for r in out.collect()} == {k: round(v, 9) for k, v in want.items()}
