@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime
 import math
 import random
+import re
 
 from pyspark.sql import functions as F
 
@@ -121,3 +122,20 @@ def test_bm25_exchanges_no_pairs(spark, monkeypatch):
                 df, tf = sum(t in x for x in docs.values()), words.count(t)
                 want[name, d] = want.get((name, d), 0.0) + math.log(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len(words) / mean))
     assert {(r.query_id, r.doc_id): round(r.score, 9) for r in out.collect()} == {k: round(v, 9) for k, v in want.items()}
+
+
+def test_items_are_sent_once_for_many_blocks_of_queries(spark):
+    """Twenty blocks of queries share one copy of the items, and find what each query alone finds."""
+    rng = random.Random(3)
+    v = {i: {s: rng.randint(1, 9) / 7 for s in rng.sample(range(12), 4)} for i in range(80)}
+    df = spark.createDataFrame([(i, s, x) for i, r in v.items() for s, x in r.items()], "id long, slot int, value double")
+    lists = df.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("slot", "value"))).alias("x")).select("id", F.col("x.slot").cast("array<long>").alias("slots"), F.col("x.value").alias("values"))
+    parts = vectors.search_blocks(lists, lists, 3, vectors.Postings, lambda q, y: q.products(y), 4)
+    copies = re.findall(r"sequence\(cast\(0 as bigint\), cast\((\d+) as bigint\)", parts._jdf.queryExecution().analyzed().toString())
+    assert copies == ["0", "0"]
+    got = {}
+    for r in parts.collect():
+        got.setdefault(r.query, []).append((-round(r.score, 9), r.other))
+    for i in v:
+        score = {j: sum(x * v[j][s] for s, x in v[i].items() if s in v[j]) for j in v if j != i and set(v[i]) & set(v[j])}
+        assert [j for _, j in sorted(got[i])] == sorted(score, key=lambda j: (-round(score[j], 9), j))[:3]
