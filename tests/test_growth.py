@@ -139,3 +139,13 @@ def test_items_are_sent_once_for_many_blocks_of_queries(spark):
     for i in v:
         score = {j: sum(x * v[j][s] for s, x in v[i].items() if s in v[j]) for j in v if j != i and set(v[i]) & set(v[j])}
         assert [j for _, j in sorted(got[i])] == sorted(score, key=lambda j: (-round(score[j], 9), j))[:3]
+
+
+def test_documents_of_the_same_terms_meet_a_query_once(spark):
+    """Two hundred documents of two kinds: rows that meet by term are those of kinds."""
+    docs = {i: ["old", "ring"] if i % 2 else ["old", "bolt", "x"] for i in range(200)}
+    post = spark.createDataFrame([(i, t) for i, ts in docs.items() for t in ts] + [(900, None)], "doc_id long, term string")
+    asked = {"a": ["old", "ring"], "b": ["ring", "old", "ring"], "c": ["old"], "d": ["x", "nothing"], "e": []}
+    out = search.match_all(spark.createDataFrame(list(asked.items()), "query_id string, terms array<string>"), post)
+    assert re.search(r"Aggregate \[asked.*, n.*, of_doc.*\]", plan(out))
+    assert sorted(tuple(r) for r in out.collect()) == sorted((q, i) for q, ts in asked.items() for i, own in docs.items() if ts and set(ts) <= set(own))
